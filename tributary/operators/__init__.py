@@ -21,6 +21,7 @@ from tributary.operators.schema import (
     project_records,
     record_schema,
     storage_type,
+    type_variant_columns,
 )
 
 __all__ = [
@@ -45,4 +46,5 @@ __all__ = [
     "response_records",
     "skip_empty",
     "storage_type",
+    "type_variant_columns",
 ]

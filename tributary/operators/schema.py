@@ -123,3 +123,21 @@ def project_records(records: DataFrame, schema: T.StructType, *, mode: str = "FA
         *[c for c in keep if c in records.columns],
         *[F.col("_r").getField(f.name).alias(f.name) for f in schema.fields],
     )
+
+
+def type_variant_columns(df: DataFrame, cols: list[str], *, mode: str = "FAILFAST") -> DataFrame:
+    """VARIANT columns → typed columns (same unification rules as records),
+    using one global ``schema_of_variant_agg`` per column."""
+    if not cols:
+        return df
+    row = df.agg(*[F.schema_of_variant_agg(F.col(f"`{c}`")).alias(f"s{i}")
+                   for i, c in enumerate(cols)]).first()
+    get = F.variant_get if mode == "FAILFAST" else F.try_variant_get
+    types = {}
+    for i, c in enumerate(cols):
+        text = row[f"s{i}"] if row is not None else None
+        types[c] = storage_type(variant_schema_to_type(text) if text else T.NullType(), c, mode)
+    return df.select(*[
+        get(F.col(f"`{f.name}`"), "$", ddl(types[f.name])).alias(f.name) if f.name in types
+        else F.col(f"`{f.name}`") for f in df.schema.fields
+    ])
