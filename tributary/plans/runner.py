@@ -72,6 +72,17 @@ class RunResult:
                 self.finished_at, self.rows_read, self.rows_written, self.error)
 
 
+def _short_message(e: Exception) -> str:
+    """One line for the audit table: the Python error raised in a worker, else the first line."""
+    lines = [ln.strip() for ln in str(e).splitlines() if ln.strip()]
+    if not lines:
+        return ""
+    if "Python worker" in lines[0]:
+        worker = [ln for ln in lines if ln.split(":", 1)[0].endswith(("Error", "Exception"))]
+        return worker[-1] if worker else lines[-1]
+    return lines[0]
+
+
 def table_name_for(source: str, prefix: str = "") -> str:
     return prefix + re.sub(r"[^0-9A-Za-z_]", "_", source).lower()
 
@@ -127,7 +138,7 @@ class Runner:
                 action, rows_written = load.action, load.rows
         except Exception as e:  # noqa: BLE001 - a failing source must not stop the others
             status = FAILURE
-            error = f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
+            error = f"{type(e).__name__}: {_short_message(e)}"
             log.error("source %s failed: %s\n%s", spec.name, error, traceback.format_exc())
         finished = _dt.datetime.now(_dt.timezone.utc)
         result = RunResult(run_id, spec.job_name, spec.name, status, started, finished,

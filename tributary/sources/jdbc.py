@@ -78,7 +78,8 @@ class JdbcSource:
         if lo is None or hi is None:
             # ANSI-quoted by default; ``partition_column_sql`` overrides the spelling
             qcol = self.conn.get("partition_column_sql") or f'"{col}"'
-            blo, bhi = self._bounds(spark, opts, dbtable, qcol)
+            bounded = rel if kind == "dbtable" else f"({rel})"
+            blo, bhi = self._bounds(spark, opts, bounded, qcol)
             lo = blo if lo is None else lo
             hi = bhi if hi is None else hi
         if lo is None or hi is None:  # empty relation: a single partition is enough
