@@ -26,6 +26,6 @@ def normalize(responses: DataFrame, *, schema: str = FIRST_RECORD, clean: bool =
     base = ("source", "load_id", "seq") + tuple(keep)
     recs = response_records(responses, body=body, mode=mode, clean=clean,
                             keep=base, keep_body=True)
-    st = record_schema(recs, how=schema, mode=mode)
+    st = record_schema(explode_records(recs, keep=base), how=schema, mode=mode)
     exploded = explode_records(recs.drop("_body"), keep=base)
     return project_records(exploded, st, mode=mode, keep=tuple(keep))

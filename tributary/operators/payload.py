@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions.json import as_array, as_object, body_kind, is_empty_container, is_truthy
+from tributary.functions.json import as_object, is_empty_container
 
 # Fixed values that must equal the reference's behaviour:
 #   key used to wrap non-object payload items, and the record that replaces an
@@ -41,26 +41,49 @@ def _check_mode(mode: str) -> str:
     return m
 
 
+# JSON text patterns (whitespace as JSON defines it). Kinds and emptiness are
+# read from the body text, which is far cheaper than walking the parsed value;
+# the parse (done once per body) still decides validity.
+_WS = "[ \\t\\n\\r]*"
+_FIRST = f"^{_WS}(.)"
+# every JSON value that Python treats as false: {} [] "" null false 0 (any spelling)
+_FALSY_TEXT = (f'^{_WS}(\\{{{_WS}\\}}|\\[{_WS}\\]|""|null|false'
+               f'|-?0+(\\.0*)?([eE][+-]?[0-9]+)?){_WS}$')
+_HAS_EMPTY = f"[\\[{{]{_WS}[\\]}}]"
+_ARRAY_OF_OBJECTS = f"^{_WS}\\[{_WS}\\{{"
+
+
+def text_has_data(body: Column) -> Column:
+    """Python truthiness of a JSON text, from the text alone (NULL text → False)."""
+    return F.coalesce(~body.rlike(_FALSY_TEXT), F.lit(False))
+
+
 def classify_responses(responses: DataFrame, body: str = "body") -> DataFrame:
-    """Adds ``_v`` (variant), ``_obj``, ``_arr``, ``kind`` and ``has_data``.
+    """Adds ``_v`` (variant), ``kind`` and ``has_data``.
 
-    ``kind`` is ``invalid`` for unparsable text; a response carrying a transport
-    ``error`` column value is also ``invalid``.
+    ``kind`` is ``invalid`` for unparsable text (or a set ``error`` column),
+    else ``object``, ``array``, ``null``, ``boolean``, ``string`` or ``number``.
+    Each body is parsed once; filter on ``has_data`` only after this point if
+    the filter may be pushed below the parse (``response_records`` filters on
+    the text instead).
     """
-    v = F.try_parse_json(F.col(body))
-    df = responses.withColumn("_v", v)
-    df = df.withColumn("_obj", as_object("_v")).withColumn("_arr", as_array("_v"))
-    kind = body_kind(F.col("_v"), F.col("_obj"), F.col("_arr"))
+    text = F.col(body)
+    df = responses.select("*", F.try_parse_json(text).alias("_v"),
+                          F.regexp_extract(text, _FIRST, 1).alias("_c"))
+    c = F.col("_c")
+    kind = (F.when(F.col("_v").isNull(), F.lit("invalid"))
+            .when(c == "{", F.lit("object")).when(c == "[", F.lit("array"))
+            .when(c == "n", F.lit("null")).when(c.isin("t", "f"), F.lit("boolean"))
+            .when(c == '"', F.lit("string")).otherwise(F.lit("number")))
     if "error" in responses.columns:
         kind = F.when(F.col("error").isNotNull(), F.lit("invalid")).otherwise(kind)
-    df = df.withColumn("kind", kind)
-    return df.withColumn(
-        "has_data", is_truthy(F.col("_v"), F.col("kind"), F.col("_obj"), F.col("_arr"))
-    )
+    df = df.select(*responses.columns, "_v", kind.alias("kind"))
+    return df.withColumn("has_data", (F.col("kind") != "invalid") & text_has_data(text))
 
 
 def clean_record(rec: Column) -> Column:
-    """Drops top-level ``{}``/``[]`` values; an emptied record becomes the placeholder."""
+    """``map<string,variant>`` record: drops top-level ``{}``/``[]`` values; an
+    emptied record becomes the placeholder."""
     kept = F.map_filter(rec, lambda _k, x: ~is_empty_container(x))
     placeholder = F.create_map(
         F.lit(PLACEHOLDER_KEY), F.parse_json(F.lit(f'"{PLACEHOLDER_VALUE}"'))
@@ -68,60 +91,65 @@ def clean_record(rec: Column) -> Column:
     return F.when(rec.isNull(), rec).when(F.size(kept) == 0, placeholder).otherwise(kept)
 
 
-def body_records(classified: DataFrame) -> Column:
-    """``array<map<string,variant>>`` of the records of one classified response.
+def _placeholder_variant() -> Column:
+    return F.parse_json(F.lit(f'{{"{PLACEHOLDER_KEY}":"{PLACEHOLDER_VALUE}"}}'))
 
-    A non-object item after a leading object gives a NULL element.
+
+def body_records(classified: DataFrame, body: str = "body", clean: bool = True,
+                 mode: str = "FAILFAST") -> tuple[Column, Column]:
+    """(``recs``, ``wrapped``) of one classified response.
+
+    ``recs`` is ``array<variant>`` of object records. The map route, which
+    copies values, runs only for bodies whose text holds an empty ``{}``/``[]``;
+    a non-object item after a leading object fails there (FAILFAST) or becomes
+    NULL, and elsewhere is rejected by the schema pass. An invalid response
+    has no records (FAILFAST raises).
     """
-    arr = F.col("_arr")
-    first_is_object = as_object(F.get(arr, 0)).isNotNull()
-    wrap = lambda x: F.create_map(F.lit(VALUE_KEY), x)
-    return (
-        F.when(F.col("kind") == "object", F.array(F.col("_obj")))
-        .when((F.col("kind") == "array") & first_is_object, F.transform(arr, as_object))
-        .when(F.col("kind") == "array", F.transform(arr, wrap))
-        .otherwise(F.array(wrap(F.col("_v"))))
-    )
+    v, kind, text = F.col("_v"), F.col("kind"), F.col(body)
+    objects = (kind == "object") | ((kind == "array") & text.rlike(_ARRAY_OF_OBJECTS))
+    items = F.when(kind == "array", v.try_cast("array<variant>")).otherwise(F.array(v))
+    wrap = lambda x: F.to_variant_object(F.create_map(F.lit(VALUE_KEY), x))
+    not_object = F.raise_error(F.concat(
+        F.lit("response seq "), F.col("seq").cast("string"),
+        F.lit(" mixes objects with non-object items"))).cast("variant")
+    if clean:
+        def cleaned(x):
+            rec = F.to_variant_object(clean_record(as_object(x)))
+            if mode == "FAILFAST":
+                return F.when(as_object(x).isNull(), not_object).otherwise(rec)
+            return rec
+        obj_recs = F.when(text.rlike(_HAS_EMPTY), F.transform(items, cleaned)).otherwise(items)
+        wrapped_recs = F.transform(items, lambda x: F.when(is_empty_container(x), _placeholder_variant())
+                                   .otherwise(wrap(x)))
+    else:
+        obj_recs, wrapped_recs = items, F.transform(items, wrap)
+    invalid = F.array().cast("array<variant>")
+    if mode == "FAILFAST":
+        invalid = F.raise_error(F.concat(
+            F.lit("invalid response (seq "), F.col("seq").cast("string"),
+            F.lit("): body is not JSON or the fetch failed"))).cast("array<variant>")
+    recs = F.when(kind == "invalid", invalid).when(objects, obj_recs).otherwise(wrapped_recs)
+    return recs, ~objects
 
 
 def response_records(responses: DataFrame, *, body: str = "body", mode: str = "FAILFAST",
                      clean: bool = True, keep: tuple[str, ...] = ("source", "load_id", "seq"),
                      keep_body: bool = False) -> DataFrame:
-    """Responses → cleaned record arrays, one row per response that has data.
+    """Responses → record arrays, one row per response whose text has data.
 
     Output columns: the ``keep`` columns that exist, ``wrapped`` (records are
-    ``{"value": …}`` wrappers), ``recs`` (``array<map<string,variant>>``) and,
-    with ``keep_body``, the body text.
-
-    FAILFAST raises on an invalid response and on a non-object item after a
-    leading object; PERMISSIVE drops invalid responses and keeps such an item as
-    a NULL record (a row of NULLs after projection).
+    ``{"value": …}`` wrappers), ``recs`` (``array<variant>``; empty for an
+    invalid response in PERMISSIVE mode) and, with ``keep_body``, ``_body``.
     """
     mode = _check_mode(mode)
-    df = classify_responses(responses, body)
-    if mode == "FAILFAST":
-        df = df.withColumn(
-            "has_data",
-            F.when(
-                F.col("kind") == "invalid",
-                F.raise_error(F.concat(F.lit("invalid response (seq "), F.col("seq").cast("string"),
-                                       F.lit("): body is not JSON or the fetch failed"))),
-            ).otherwise(F.col("has_data")).cast("boolean"),
-        )
-    df = df.filter(F.col("has_data"))
-    recs = body_records(df)
-    if clean:
-        recs = F.transform(recs, clean_record)
-    if mode == "FAILFAST":
-        recs = F.when(
-            F.exists(recs, lambda r: r.isNull()),
-            F.raise_error(F.concat(F.lit("response seq "), F.col("seq").cast("string"),
-                                   F.lit(" mixes objects with non-object items"))).cast(
-                "array<map<string,variant>>"),
-        ).otherwise(recs)
-    wrapped = (F.col("kind") != "object") & ~(
-        (F.col("kind") == "array") & as_object(F.get(F.col("_arr"), 0)).isNotNull()
-    )
+    text = F.col(body)
+    failed = F.col("error").isNotNull() if "error" in responses.columns else F.lit(False)
+    if mode == "FAILFAST":  # failed fetches carry no body: do not let the text filter hide them
+        df = responses.filter(text_has_data(text) | failed | text.isNull())
+    else:
+        df = responses.filter(text_has_data(text) & ~failed)
+    df = classify_responses(df, body)
+    recs, wrapped = body_records(df, body, clean, mode)
     cols = [c for c in keep if c in responses.columns]
     out = [F.col(c) for c in cols] + [wrapped.alias("wrapped"), recs.alias("recs")]
     if keep_body:
@@ -130,15 +158,22 @@ def response_records(responses: DataFrame, *, body: str = "body", mode: str = "F
 
 
 def explode_records(recs: DataFrame, keep: tuple[str, ...] = ("source", "load_id", "seq")) -> DataFrame:
-    """One row per record: the ``keep`` columns, ``pos`` and ``rec``."""
+    """One row per record: the ``keep`` columns, ``wrapped``, ``pos``, ``rec`` and,
+    when the input has ``_body``, ``_body0`` — the body text on position 0 only
+    (so the text is not copied onto every record of a page)."""
     cols = [c for c in keep if c in recs.columns]
-    return recs.select(*cols, F.posexplode("recs").alias("pos", "rec"))
+    if "_body" in recs.columns:
+        tagged = F.transform("recs", lambda x, i: F.struct(
+            x.alias("rec"), F.when(i == 0, F.col("_body")).alias("_body0")))
+        return recs.select(*cols, "wrapped", F.posexplode(tagged).alias("pos", "_t")).select(
+            *cols, "wrapped", "pos", F.col("_t.rec").alias("rec"), F.col("_t._body0").alias("_body0"))
+    return recs.select(*cols, "wrapped", F.posexplode("recs").alias("pos", "rec"))
 
 
 def skip_empty(responses: DataFrame, body: str = "body") -> DataFrame:
     """Responses whose body has data (N11); unparsable and failed ones are dropped."""
-    df = classify_responses(responses, body)
-    return df.filter(F.col("has_data")).select(*responses.columns)
+    df = classify_responses(responses.filter(text_has_data(F.col(body))), body)
+    return df.filter(F.col("kind") != "invalid").select(*responses.columns)
 
 
 def response_outcomes(responses: DataFrame, body: str = "body") -> DataFrame:

@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.functions.json import as_object
+
 FIRST_RECORD = "first_record"
 UNION = "union"
 
@@ -77,35 +79,37 @@ def storage_type(dt: T.DataType, path: str, mode: str = "FAILFAST") -> T.DataTyp
 
 
 def _order_key(df: DataFrame) -> Column:
-    cols = [c for c in ("load_id", "seq") if c in df.columns]
-    return F.struct(*cols) if len(cols) > 1 else F.col(cols[0])
+    cols = [c for c in ("load_id", "seq", "pos") if c in df.columns]
+    return F.struct(*cols)
 
 
-def record_schema(recs: DataFrame, *, how: str = FIRST_RECORD, mode: str = "FAILFAST") -> T.StructType:
-    """Pass 1 over ``response_records(..., keep_body=True)`` output → table schema.
+def record_schema(records: DataFrame, *, how: str = FIRST_RECORD, mode: str = "FAILFAST") -> T.StructType:
+    """Pass 1 over ``explode_records`` output (with ``_body0``) → table schema.
 
     Returns an empty StructType when there are no records.
     """
     if how not in (FIRST_RECORD, UNION):
         raise ValueError(f"schema must be {FIRST_RECORD!r} or {UNION!r}, got {how!r}")
-    first = F.min_by(F.struct(F.col("_body").alias("body"), F.get("recs", 0).alias("r0")),
-                     _order_key(recs))
-    agg = recs.agg(F.schema_of_variant_agg(F.to_variant_object("recs")).alias("schema"),
-                   first.alias("first"))
+    rec = F.col("rec")
+    if mode != "FAILFAST":  # leave non-object items (rows of NULLs) out of the schema
+        rec = F.when(as_object(rec).isNotNull(), rec)
+    first = F.min_by(F.struct(F.col("_body0").alias("body"), F.col("rec").alias("r0")),
+                     _order_key(records))
+    agg = records.agg(F.schema_of_variant_agg(rec).alias("schema"), first.alias("first"))
     body = F.col("first.body")
     raw_keys = F.coalesce(F.json_object_keys(body),
                           F.json_object_keys(F.get_json_object(body, "$[0]")))
-    clean_keys = F.map_keys(F.col("first.r0"))
+    clean_keys = F.json_object_keys(F.to_json(F.col("first.r0")))
     inter = F.array_intersect(raw_keys, clean_keys)
     keys = F.when(F.coalesce(F.size(inter), F.lit(0)) > 0, inter).otherwise(clean_keys)
     row = agg.select("schema", keys.alias("keys")).first()
     if row is None or row["schema"] is None:
         return T.StructType([])
-    merged = variant_schema_to_type(row["schema"])
-    # the aggregate is over arrays of records: ARRAY<STRUCT<…>>
-    rec_type = merged.elementType if isinstance(merged, T.ArrayType) else merged
-    if not isinstance(rec_type, T.StructType):
+    rec_type = variant_schema_to_type(row["schema"])
+    if isinstance(rec_type, T.NullType):
         return T.StructType([])
+    if not isinstance(rec_type, T.StructType):
+        raise SchemaConflictError("records mix objects with non-object items")
     by_name = {f.name: f.dataType for f in rec_type.fields}
     names = list(row["keys"] or []) if how == FIRST_RECORD else [f.name for f in rec_type.fields]
     return T.StructType([
@@ -113,16 +117,32 @@ def record_schema(recs: DataFrame, *, how: str = FIRST_RECORD, mode: str = "FAIL
     ])
 
 
+def _key_path(name: str) -> str | None:
+    if "'" not in name and "\\" not in name:
+        return f"$['{name}']"
+    if '"' not in name and "\\" not in name:
+        return f'$["{name}"]'
+    return None
+
+
 def project_records(records: DataFrame, schema: T.StructType, *, mode: str = "FAILFAST",
                     keep: tuple[str, ...] = ()) -> DataFrame:
-    """Pass 2: typed columns from the ``rec`` map column, in ``schema`` order."""
+    """Pass 2: typed columns from the ``rec`` variant column, in ``schema`` order.
+
+    One ``variant_get`` per column (a key lookup in the object), which is
+    cheaper than casting the whole record to a struct.
+    """
     get = F.variant_get if mode == "FAILFAST" else F.try_variant_get
-    typed = get(F.to_variant_object("rec"), "$", ddl(schema))
-    cols = [F.col(c) for c in keep if c in records.columns]
-    return records.select(*cols, typed.alias("_r")).select(
-        *[c for c in keep if c in records.columns],
-        *[F.col("_r").getField(f.name).alias(f.name) for f in schema.fields],
-    )
+    rec = F.col("rec")
+    cols = []
+    for f in schema.fields:
+        path = _key_path(f.name)
+        if path is None:
+            one = T.StructType([T.StructField(f.name, f.dataType, True)])
+            cols.append(get(rec, "$", ddl(one)).getField(f.name).alias(f.name))
+        else:
+            cols.append(get(rec, path, ddl(f.dataType)).alias(f.name))
+    return records.select(*[F.col(c) for c in keep if c in records.columns], *cols)
 
 
 def type_variant_columns(df: DataFrame, cols: list[str], *, mode: str = "FAILFAST") -> DataFrame:
