@@ -77,6 +77,8 @@ ORACLE_SQL: dict[str, str] = {
     "table_create": "SELECT * FROM supplier",
     "table_append": "SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'F'",
     "table_replace_on_mismatch": "SELECT * FROM nation",
+    "rest_pages":
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
     "fetch_fanout": "SELECT count(*) AS raw_rows, count(*) AS table_rows FROM orders",
     "run_audit":
         "SELECT event_type || '_job' AS job_name, count(*) AS runs, "
@@ -92,8 +94,8 @@ ORACLE_SQL: dict[str, str] = {
     "source_validation": _CONFIG_CTE
         + "SELECT name, src_type, schedule, error, error IS NULL AS valid FROM v",
     "source_configs": _CONFIG_CTE
-        + "SELECT 'nation_' || CAST(c_nationkey AS VARCHAR) || '_' || CAST(c_custkey // 100 AS VARCHAR) "
-          "AS pipeline, CAST(row_number() OVER (PARTITION BY c_nationkey, c_custkey // 100 "
+        + "SELECT 'nation_' || CAST(c_nationkey AS VARCHAR) || '_' || CAST(c_custkey // 1000 AS VARCHAR) "
+          "AS pipeline, CAST(row_number() OVER (PARTITION BY c_nationkey, c_custkey // 1000 "
           "ORDER BY c_custkey) - 1 AS INTEGER) AS idx, name, src_type, connection, schedule, error, "
           "error IS NULL AS valid FROM v",
     "incremental_load": "SELECT * FROM events",

@@ -24,7 +24,7 @@ from tributary.operators import (
 from tributary.plans.configs import pipeline_sources, read_pipeline_files, validate_config_rows, validate_sources
 from tributary.plans.runner import Runner, job_summary, run_history
 from tributary.plans.specs import SourceSpec
-from tributary.session import scratch_dir, unique_name
+from tributary.session import local_path, scratch_dir, ship_package, unique_name
 from tributary.sinks.raw import (
     raw_path,
     read_raw,
@@ -41,6 +41,7 @@ from tributary.streaming import LOAD_COL, incremental_load
 # Page size of the synthetic API responses: every response body holds at most
 # this many records, whatever the key distribution.
 PAGE = 64
+CONFIGS_PER_FILE = 1000  # sources per generated pipeline file (a bounded group)
 FIRST = 1_000_000_000_000  # seq offset that orders one kind of response before the other
 
 
@@ -287,6 +288,46 @@ def fetch_fanout(spark, d):
                       F.sum("t").cast("bigint").alias("table_rows"))
 
 
+def _write_page_files(pages: DataFrame, folder: str) -> None:
+    """Fixture: executors write each page body to ``<folder>/page_<n>.json``."""
+    def write(batches):
+        import os
+
+        import pandas as pd
+
+        os.makedirs(folder, exist_ok=True)
+        for pdf in batches:
+            for page, body in zip(pdf["page"], pdf["body"]):
+                with open(os.path.join(folder, f"page_{page}.json"), "w", encoding="utf-8") as fh:
+                    fh.write(body)
+            yield pd.DataFrame({"n": [len(pdf)]})
+    pages.mapInPandas(write, "n long").agg(F.sum("n")).collect()
+
+
+def rest_pages(spark, d):
+    """Orders served as paged JSON files, fetched over ``file://`` by the REST
+    source (path pagination, 32 requests per task), then raw → normalize → table."""
+    o = _t(spark, d, "orders")
+    page = F.floor(F.col("o_orderkey") / PAGE)
+    rec = F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    pages = o.groupBy(page.alias("page")).agg(F.to_json(F.array_sort(F.collect_list(rec))).alias("body"))
+    ship_package(spark)
+    folder = local_path(scratch_dir(spark, "api"))
+    _write_page_files(pages, folder)
+    n_pages = int(o.agg(F.max("o_orderkey")).first()[0]) // PAGE + 1
+    runner = Runner(spark, scratch_dir(spark, "out"), table_prefix=unique_name("api") + "_",
+                    audit_table=unique_name("runs"))
+    # PERMISSIVE: a block of keys with no orders has no page file; its request
+    # yields an error row that is logged in the raw layer and left out
+    spec = SourceSpec("orders_api", "api", {
+        "endpoint": f"file://{folder}/page_{{page}}.json", "type": "GET", "pages": n_pages,
+        "page_start": 0, "requests_per_partition": 32, "mode": "PERMISSIVE"})
+    res = runner.run_source(spec)
+    if res.status != "SUCCESS":
+        raise RuntimeError(res.error)
+    return spark.table(res.table)
+
+
 # ---------------------------------------------------------------- audit
 def _audit_from_events(spark, d) -> str:
     e = _t(spark, d, "events")
@@ -341,7 +382,7 @@ def source_configs(spark, d):
     rows = _config_rows(_t(spark, d, "customer"))
     src = F.to_json(F.struct("name", "src_type", F.parse_json("connection").alias("connection"), "schedule"))
     files = (rows.groupBy(F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string"), F.lit("_"),
-                                   F.floor(F.col("c_custkey") / 100).cast("string")).alias("pipeline"))
+                                   F.floor(F.col("c_custkey") / CONFIGS_PER_FILE).cast("string")).alias("pipeline"))
              .agg(F.array_sort(F.collect_list(F.struct("c_custkey", src.alias("src")))).alias("items"))
              .select("pipeline", F.concat(F.lit("[\n"), F.array_join(F.transform("items", lambda x: x["src"]), ",\n"),
                                           F.lit("\n]")).alias("value")))
@@ -394,6 +435,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_append": table_append,
     "table_replace_on_mismatch": table_replace_on_mismatch,
     "fetch_fanout": fetch_fanout,
+    "rest_pages": rest_pages,
     "run_audit": run_audit,
     "run_history_topk": run_history_topk,
     "source_validation": source_validation,

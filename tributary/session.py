@@ -7,6 +7,8 @@ the folder the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -74,3 +76,32 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
 
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tributary`` importable in Python workers (``addPyFile`` of a zip), once
+    per application — needed where code runs in Python workers (the REST reader)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import tributary
+
+    pkg = os.path.dirname(os.path.abspath(tributary.__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tributary-pyfiles-"), "tributary")
+    archive = shutil.make_archive(target, "zip", root_dir=os.path.dirname(pkg), base_dir="tributary")
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
+def local_path(path: str) -> str:
+    """A shared-root path as a local filesystem path (only for ``file:`` roots)."""
+    if path.startswith("file://"):
+        return path[len("file://"):]
+    if path.startswith("file:"):
+        return path[len("file:"):]
+    if ":" in path.split("/", 1)[0]:
+        raise ValueError(f"not a local path: {path}")
+    return path

@@ -1,7 +1,8 @@
 """REST source (S7–S11): a Spark Python data source named ``rest_json``.
 
-One input partition per request, so requests run on the executors in parallel
-and nothing is fetched on the driver. Each request yields one response row::
+Requests are split into input partitions (``requests_per_partition`` each,
+default 1), so they run on the executors in parallel and nothing is fetched on
+the driver. Each request yields one response row::
 
     source STRING, load_id STRING, seq BIGINT, url STRING, status INT,
     fetched_at TIMESTAMP, body STRING, error STRING
@@ -14,7 +15,9 @@ Options:
 ``body``       JSON payload (POST)
 ``requests``   JSON array of ``{"args": …, "body": …}`` — one partition each
 ``page_param`` with ``pages``: GET the same endpoint ``pages`` times with
-               ``page_param`` = ``page_start`` … (an extension: pagination)
+               ``page_param`` = ``page_start`` … (an extension: pagination); an
+               endpoint containing ``{page}`` gets the number in its path instead
+``requests_per_partition``  requests fetched by one task (default 1)
 ``timeout``    seconds per request (default 30)
 ``mode``       ``FAILFAST`` (default): a failed request fails the task (Spark
                retries it); ``PERMISSIVE``: the row carries ``error`` and a NULL body
@@ -52,7 +55,7 @@ def response_struct():
 
 
 @dataclass
-class RequestPartition(InputPartition):
+class Request:
     seq: int
     method: str
     url: str
@@ -60,6 +63,11 @@ class RequestPartition(InputPartition):
     body: Any
 
 
+@dataclass
+class RequestPartition(InputPartition):
+    requests: list
+
+
 def http_fetch(method: str, url: str, params: dict, body: Any, timeout: float) -> tuple[int, str]:
     """Plain urllib transport: GET with query parameters, POST with a JSON payload."""
     if method == "GET":
@@ -72,7 +80,7 @@ def http_fetch(method: str, url: str, params: dict, body: Any, timeout: float) -
     try:
         with urllib.request.urlopen(req, timeout=timeout) as resp:  # noqa: S310
             charset = resp.headers.get_content_charset() or "utf-8"
-            return resp.status, resp.read().decode(charset)
+            return resp.status or 200, resp.read().decode(charset)  # file:// has no status
     except urllib.error.HTTPError as e:
         return e.code, e.read().decode("utf-8", "replace")
 
@@ -94,7 +102,7 @@ def _json_option(options: dict, key: str, default: Any) -> Any:
         raise ValueError(f"option {key!r} is not JSON: {e}") from e
 
 
-def plan_requests(options: dict) -> list[RequestPartition]:
+def plan_requests(options: dict) -> list[Request]:
     """Validate options (on the driver) and list the requests, one per partition."""
     endpoint = options.get("endpoint")
     if not endpoint:
@@ -110,14 +118,17 @@ def plan_requests(options: dict) -> list[RequestPartition]:
     if explicit is not None:
         if not isinstance(explicit, list):
             raise ValueError("rest_json: option 'requests' must be a JSON array")
-        return [RequestPartition(i, method, endpoint, {**args, **(r.get("args") or {})},
-                                 r.get("body", body)) for i, r in enumerate(explicit)]
-    if options.get("page_param"):
+        return [Request(i, method, endpoint, {**args, **(r.get("args") or {})},
+                        r.get("body", body)) for i, r in enumerate(explicit)]
+    if options.get("page_param") or "{page}" in endpoint:
         pages = int(options.get("pages", 1))
         start = int(options.get("page_start", 1))
-        return [RequestPartition(i, method, endpoint, {**args, options["page_param"]: start + i}, body)
+        if "{page}" in endpoint:
+            return [Request(i, method, endpoint.replace("{page}", str(start + i)), args, body)
+                    for i in range(pages)]
+        return [Request(i, method, endpoint, {**args, options["page_param"]: start + i}, body)
                 for i in range(pages)]
-    return [RequestPartition(0, method, endpoint, args, body)]
+    return [Request(0, method, endpoint, args, body)]
 
 
 class RestJsonReader(DataSourceReader):
@@ -130,11 +141,16 @@ class RestJsonReader(DataSourceReader):
         self.mode = mode
 
     def partitions(self):
-        return self.requests
+        n = max(1, int(self.options.get("requests_per_partition", 1)))
+        return [RequestPartition(self.requests[i:i + n]) for i in range(0, len(self.requests), n)]
 
     def read(self, partition: RequestPartition):
         fetch = _load_fetcher(self.options.get("fetcher"))
         timeout = float(self.options.get("timeout", 30))
+        for request in partition.requests:
+            yield self._one(fetch, timeout, request)
+
+    def _one(self, fetch, timeout: float, partition: Request) -> tuple:
         source, load_id = self.options.get("source"), self.options.get("load_id")
         shown = partition.url
         if partition.method == "GET" and partition.params:
@@ -151,8 +167,8 @@ class RestJsonReader(DataSourceReader):
             if self.mode == "FAILFAST":
                 raise RuntimeError(f"rest_json request {partition.seq} to {shown} failed: {error}")
             text = None
-        yield (source, load_id, partition.seq, shown, status,
-               _dt.datetime.now(_dt.timezone.utc), text, error)
+        return (source, load_id, partition.seq, shown, status,
+                _dt.datetime.now(_dt.timezone.utc), text, error)
 
 
 class RestJsonDataSource(DataSource):
@@ -193,12 +209,16 @@ class RestSource:
         for key in ("requests",):
             if key in c:
                 opts[key] = json.dumps(c[key])
-        for key in ("page_param", "pages", "page_start", "timeout", "mode", "fetcher"):
+        for key in ("page_param", "pages", "page_start", "timeout", "mode", "fetcher",
+                    "requests_per_partition"):
             if key in c:
                 opts[key] = str(c[key])
         return opts
 
     def read(self, spark, load_id: str | None = None):
+        from tributary.session import ship_package
+
+        ship_package(spark)  # the reader runs in Python workers: they import this module
         register(spark)
         plan_requests(self.options(load_id))  # fail early, on the driver
         return spark.read.format("rest_json").options(**self.options(load_id)).load()
