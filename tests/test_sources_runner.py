@@ -44,6 +44,12 @@ def test_jdbc_partitioned_and_pushdown(spark, derby):
     assert "PushedFilters" in plan and "GreaterThan(value,150.0)" in plan
 
 
+def test_jdbc_predicates_one_partition_each(spark, derby):
+    df = _src(derby, table="TEST_TABLE", predicates=['"id" = 1', '"id" IN (2, 3)']).read(spark)
+    assert df.rdd.getNumPartitions() == 2
+    assert sorted(r.id for r in df.collect()) == [1, 2, 3]
+
+
 def test_jdbc_needs_url(spark):
     with pytest.raises(ValueError, match="ODBC"):
         _src(None, odbc_connection_string="DRIVER=x").read(spark)
