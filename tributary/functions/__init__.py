@@ -1,24 +1,15 @@
 """Scalar column helpers (all native Spark expressions, no Python UDFs)."""
 
-from tributary.functions.json import (
-    as_array,
-    as_object,
-    body_kind,
-    is_empty_container,
-    is_truthy,
-    parse_body,
-    variant_text,
-)
-from tributary.functions.text import CRON_PATTERN, is_cron, raw_timestamp_text, raw_load_stamp
+from tributary.functions.json import as_array, as_object, is_empty_container, parse_body, variant_text
+from tributary.functions.text import CRON_PATTERN, cron_column, is_cron, raw_load_stamp, raw_timestamp_text
 
 __all__ = [
     "CRON_PATTERN",
     "as_array",
     "as_object",
-    "body_kind",
+    "cron_column",
     "is_cron",
     "is_empty_container",
-    "is_truthy",
     "parse_body",
     "raw_load_stamp",
     "raw_timestamp_text",

@@ -1,9 +1,8 @@
 """Column helpers for JSON payloads held as VARIANT.
 
-The payload rules follow Python truthiness on parsed JSON: ``null``, ``{}``, ``[]``,
-``""``, ``0`` and ``false`` are empty; everything else has data. All tests are
-wrapped so that they never evaluate to SQL NULL (a NULL test would silently drop
-a row inside ``filter``).
+Emptiness tests are wrapped so that they never evaluate to SQL NULL (a NULL test
+would silently drop a row inside ``filter``). Body-level truthiness is read from
+the text: see ``tributary.operators.payload.text_has_data``.
 """
 
 from __future__ import annotations
@@ -42,41 +41,6 @@ def is_empty_container(v: Column | str) -> Column:
     )
 
 
-def body_kind(v: Column | str, obj: Column | None = None, arr: Column | None = None) -> Column:
-    """One of ``invalid`` (SQL NULL), ``object``, ``array``, ``null``, ``string``,
-    ``boolean`` or ``number``. ``obj``/``arr`` may pass already-computed casts."""
-    v = _c(v)
-    obj = as_object(v) if obj is None else obj
-    arr = as_array(v) if arr is None else arr
-    scalar = F.schema_of_variant(v)
-    return (
-        F.when(v.isNull(), F.lit("invalid"))
-        .when(obj.isNotNull(), F.lit("object"))
-        .when(arr.isNotNull(), F.lit("array"))
-        .when(scalar == "VOID", F.lit("null"))
-        .when(scalar == "STRING", F.lit("string"))
-        .when(scalar == "BOOLEAN", F.lit("boolean"))
-        .otherwise(F.lit("number"))
-    )
-
-
-def is_truthy(v: Column | str, kind: Column, obj: Column | None = None,
-              arr: Column | None = None) -> Column:
-    """Python ``bool(value)`` for a parsed payload of the given ``kind``."""
-    v = _c(v)
-    obj = as_object(v) if obj is None else obj
-    arr = as_array(v) if arr is None else arr
-    truth = (
-        F.when(kind == "object", F.size(obj) > 0)
-        .when(kind == "array", F.size(arr) > 0)
-        .when(kind == "string", F.try_variant_get(v, "$", "string") != "")
-        .when(kind == "boolean", F.try_variant_get(v, "$", "boolean"))
-        .when(kind == "number", F.try_variant_get(v, "$", "double") != 0)
-        .otherwise(F.lit(False))
-    )
-    return F.coalesce(truth, F.lit(False))
-
-
 def variant_text(v: Column | str) -> Column:
     """JSON text of a variant (keys sorted, as VARIANT stores them)."""
     return F.to_json(_c(v))

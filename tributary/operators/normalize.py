@@ -2,30 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from tributary.operators.payload import _check_mode, explode_records, response_records
-from tributary.operators.schema import FIRST_RECORD, project_records, record_schema
-from tributary.session import ensure_json_semantics
+from tributary.operators.schema import (
+    FIRST_RECORD,
+    project_records,
+    record_schema,
+    schema_from_metrics,
+    schema_metrics,
+)
+from tributary.session import ensure_json_semantics, scratch_dir
 
 
 def normalize(responses: DataFrame, *, schema: str = FIRST_RECORD, clean: bool = True,
-              mode: str = "FAILFAST", body: str = "body",
-              keep: tuple[str, ...] = ()) -> DataFrame:
+              mode: str = "FAILFAST", body: str = "body", keep: tuple[str, ...] = (),
+              staging: str | bool | None = None) -> DataFrame:
     """Responses (``seq``, ``body`` and optionally ``source``, ``load_id``, ``error``)
     → one typed row per record.
 
     ``schema="first_record"`` takes the columns and their order from the first
     record (by ``load_id``, ``seq``, position); ``"union"`` takes every key seen.
     ``keep`` names response columns to carry into the output (e.g. ``seq``).
-    The input is read twice (schema pass, projection); pass a durable input
-    (the raw layer) rather than a live fetch.
+
+    By default the records are **staged**: one job parses every body once,
+    writes the records as VARIANT parquet under the shared folder and, through
+    ``observe``, collects the merged schema and the first record's key list;
+    the result is a projection over the staged files. The staged copy also cuts
+    the lineage: a lost executor re-reads it instead of re-parsing the input.
+    ``staging`` may name the folder; ``staging=False`` runs the schema pass as a
+    separate aggregate and re-derives the records from the input instead.
     """
     mode = _check_mode(mode)
-    ensure_json_semantics(responses.sparkSession)
+    spark = responses.sparkSession
+    ensure_json_semantics(spark)
     base = ("source", "load_id", "seq") + tuple(keep)
     recs = response_records(responses, body=body, mode=mode, clean=clean,
                             keep=base, keep_body=True)
-    st = record_schema(explode_records(recs, keep=base), how=schema, mode=mode)
-    exploded = explode_records(recs.drop("_body"), keep=base)
-    return project_records(exploded, st, mode=mode, keep=tuple(keep))
+    records = explode_records(recs, keep=base)
+    if staging is False:
+        st = record_schema(records, how=schema, mode=mode)
+        exploded = explode_records(recs.drop("_body"), keep=base)
+        return project_records(exploded, st, mode=mode, keep=tuple(keep))
+    path = staging if isinstance(staging, str) else scratch_dir(spark, "staged-records")
+    obs = Observation()
+    (records.observe(obs, *schema_metrics(records, mode)).drop("_keys0")
+     .write.mode("overwrite").parquet(path))
+    metrics = obs.get
+    st = schema_from_metrics(metrics.get("schema"), metrics.get("keys"), how=schema, mode=mode)
+    return project_records(spark.read.parquet(path), st, mode=mode, keep=tuple(keep))

@@ -157,16 +157,33 @@ def response_records(responses: DataFrame, *, body: str = "body", mode: str = "F
     return df.select(*out)
 
 
+def first_keys(rec: Column, body: Column, wrapped: Column) -> Column:
+    """Column names a record gives when it is the first one of the table, in the
+    order its body text lists them (VARIANT itself keeps keys sorted).
+
+    Computed once per response (for its position-0 record) from the text; the
+    map route (which copies values) runs only when cleaning may have removed a key.
+    """
+    raw = F.coalesce(F.json_object_keys(body), F.json_object_keys(F.get_json_object(body, "$[0]")))
+    kept = F.map_keys(as_object(rec))
+    inter = F.array_intersect(raw, kept)
+    cleaned = F.when(F.coalesce(F.size(inter), F.lit(0)) > 0, inter).otherwise(kept)
+    return (F.when(wrapped, kept)
+            .when(body.rlike(_HAS_EMPTY), cleaned)
+            .otherwise(F.coalesce(F.array_distinct(raw), kept)))
+
+
 def explode_records(recs: DataFrame, keep: tuple[str, ...] = ("source", "load_id", "seq")) -> DataFrame:
     """One row per record: the ``keep`` columns, ``wrapped``, ``pos``, ``rec`` and,
-    when the input has ``_body``, ``_body0`` — the body text on position 0 only
-    (so the text is not copied onto every record of a page)."""
+    when the input has ``_body``, ``_keys0`` — the first-record key list, on
+    position 0 only (the body text itself is not copied onto the records)."""
     cols = [c for c in keep if c in recs.columns]
     if "_body" in recs.columns:
         tagged = F.transform("recs", lambda x, i: F.struct(
-            x.alias("rec"), F.when(i == 0, F.col("_body")).alias("_body0")))
+            x.alias("rec"),
+            F.when(i == 0, first_keys(x, F.col("_body"), F.col("wrapped"))).alias("_keys0")))
         return recs.select(*cols, "wrapped", F.posexplode(tagged).alias("pos", "_t")).select(
-            *cols, "wrapped", "pos", F.col("_t.rec").alias("rec"), F.col("_t._body0").alias("_body0"))
+            *cols, "wrapped", "pos", F.col("_t.rec").alias("rec"), F.col("_t._keys0").alias("_keys0"))
     return recs.select(*cols, "wrapped", F.posexplode("recs").alias("pos", "rec"))
 
 

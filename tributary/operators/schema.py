@@ -83,40 +83,47 @@ def _order_key(df: DataFrame) -> Column:
     return F.struct(*cols)
 
 
-def record_schema(records: DataFrame, *, how: str = FIRST_RECORD, mode: str = "FAILFAST") -> T.StructType:
-    """Pass 1 over ``explode_records`` output (with ``_body0``) → table schema.
-
-    Returns an empty StructType when there are no records.
-    """
-    if how not in (FIRST_RECORD, UNION):
-        raise ValueError(f"schema must be {FIRST_RECORD!r} or {UNION!r}, got {how!r}")
+def schema_metrics(records: DataFrame, mode: str = "FAILFAST") -> list[Column]:
+    """The two aggregates pass 1 needs, over ``explode_records`` output (with
+    ``_keys0``): the merged record schema and the first record's key list.
+    Both merge idempotently, so they are safe as observed metrics too."""
     rec = F.col("rec")
     if mode != "FAILFAST":  # leave non-object items (rows of NULLs) out of the schema
         rec = F.when(as_object(rec).isNotNull(), rec)
-    first = F.min_by(F.struct(F.col("_body0").alias("body"), F.col("rec").alias("r0")),
-                     _order_key(records))
-    agg = records.agg(F.schema_of_variant_agg(rec).alias("schema"), first.alias("first"))
-    body = F.col("first.body")
-    raw_keys = F.coalesce(F.json_object_keys(body),
-                          F.json_object_keys(F.get_json_object(body, "$[0]")))
-    clean_keys = F.json_object_keys(F.to_json(F.col("first.r0")))
-    inter = F.array_intersect(raw_keys, clean_keys)
-    keys = F.when(F.coalesce(F.size(inter), F.lit(0)) > 0, inter).otherwise(clean_keys)
-    row = agg.select("schema", keys.alias("keys")).first()
-    if row is None or row["schema"] is None:
+    return [F.schema_of_variant_agg(rec).alias("schema"),
+            F.min_by(F.col("_keys0"), _order_key(records)).alias("keys")]
+
+
+def schema_from_metrics(schema_text: str | None, keys: list[str] | None, *,
+                        how: str = FIRST_RECORD, mode: str = "FAILFAST") -> T.StructType:
+    """Table schema from the pass-1 metrics (empty when there were no records)."""
+    if how not in (FIRST_RECORD, UNION):
+        raise ValueError(f"schema must be {FIRST_RECORD!r} or {UNION!r}, got {how!r}")
+    if schema_text is None:
         return T.StructType([])
-    rec_type = variant_schema_to_type(row["schema"])
+    rec_type = variant_schema_to_type(schema_text)
     if isinstance(rec_type, T.NullType):
         return T.StructType([])
     if not isinstance(rec_type, T.StructType):
         raise SchemaConflictError("records mix objects with non-object items")
     by_name = {f.name: f.dataType for f in rec_type.fields}
-    names = list(row["keys"] or []) if how == FIRST_RECORD else [f.name for f in rec_type.fields]
+    names = list(keys or []) if how == FIRST_RECORD else [f.name for f in rec_type.fields]
     return T.StructType([
         T.StructField(n, storage_type(by_name.get(n, T.NullType()), n, mode), True) for n in names
     ])
 
 
+def record_schema(records: DataFrame, *, how: str = FIRST_RECORD, mode: str = "FAILFAST") -> T.StructType:
+    """Pass 1 as its own aggregate job over ``explode_records`` output (with ``_keys0``).
+
+    ``normalize`` gets the same metrics while staging the records instead.
+    """
+    row = records.agg(*schema_metrics(records, mode)).first()
+    if row is None:
+        return T.StructType([])
+    return schema_from_metrics(row["schema"], row["keys"], how=how, mode=mode)
+
+
 def _key_path(name: str) -> str | None:
     if "'" not in name and "\\" not in name:
         return f"$['{name}']"

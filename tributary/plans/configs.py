@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.functions.text import CRON_PATTERN
+from tributary.functions.text import cron_column
 from tributary.sources import supported_types
 
 CONFIG_COLUMNS = ["pipeline", "idx", "name", "src_type", "connection", "schedule"]
@@ -85,7 +85,7 @@ def source_error(name: Column, src_type: Column, conn_size: Column, has_schedule
         .when(~F.array_contains(types, F.lower(src_type)),
               F.concat(F.lit("unsupported source type '"), src_type, F.lit("'")))
         .when(has_schedule & ~schedule_is_text, F.lit("schedule must be a string"))
-        .when(has_schedule & ~schedule.rlike(CRON_PATTERN),
+        .when(has_schedule & ~cron_column(schedule),
               F.concat(F.lit("invalid cron schedule '"), schedule, F.lit("'")))
     )
 
