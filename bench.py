@@ -67,7 +67,8 @@ def main() -> None:
     pages = _order_pages(t("orders"))
     root = scratch_dir(spark, "bench_api")
     pages_path = f"{root}/pages"
-    pages.write.parquet(pages_path)  # the "fetched" responses (untimed input)
+    # the "fetched" responses (untimed input), as many files as a parallel fetch leaves
+    pages.repartition(int(cpus) * 2).write.parquet(pages_path)
     table = unique_name("orders_api")
 
     def api():

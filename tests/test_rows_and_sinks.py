@@ -103,3 +103,13 @@ def test_table_sink_refuses_unknown_options(spark):
         write_table(a, unique_name("t"), on_mismatch="merge")
     with pytest.raises(RuntimeError, match="Delta"):
         write_table(a, unique_name("t"), fmt="delta")
+
+
+def test_table_folder_from_earlier_session_is_reused(spark):
+    name = unique_name("t")
+    path = os.path.join(scratch_dir(spark, "tables"), name)
+    a = spark.createDataFrame([(1, "x")], "id bigint, v string")
+    assert write_table(a, name, path=path).action == "created"
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay, as after a new session
+    assert write_table(a, name, path=path).action == "appended"
+    assert spark.table(name).count() == 2

@@ -8,8 +8,8 @@ from tributary.plans import PipelineSpec, Runner, SourceSpec, job_summary
 from tributary.session import scratch_dir, unique_name
 from tributary.sources import JdbcSource, RestSource
 from tributary.sources.rest import plan_requests
-from tributary.streaming import LOAD_COL, incremental_load
-from tributary.sinks import write_raw, raw_path
+from tributary.streaming import LOAD_COL, incremental_load, incremental_responses_load
+from tributary.sinks import raw_path, write_raw, write_raw_responses
 
 STUB = "stub_http:fetch"
 TEST_TABLE = [(1, "Alice", 100.5), (2, "Bob", 200.7), (3, "Charlie", 300.9)]
@@ -125,3 +125,17 @@ def test_incremental_load_is_idempotent(spark):
     assert second["rows"] == 50 and third["rows"] == 0
     t = spark.table(name)
     assert t.count() == 100 and t.select(LOAD_COL).distinct().count() == 2
+
+
+def test_incremental_responses_load(spark):
+    root = scratch_dir(spark, "stream")
+    first = spark.createDataFrame([(0, '[{"id":1,"v":"a"},{"id":2,"v":"b"}]'), (1, "[]")],
+                                  "seq bigint, body string")
+    write_raw_responses(first, root, "api", "a")
+    name, kw = unique_name("incr"), {"checkpoint": f"{root}/_ck", "table_path": f"{root}/t"}
+    assert incremental_responses_load(spark, raw_path(root, "api"), name, **kw)["rows"] == 2
+    write_raw_responses(spark.createDataFrame([(2, '{"v":"c","id":3}')], "seq bigint, body string"),
+                        root, "api", "b")
+    assert incremental_responses_load(spark, raw_path(root, "api"), name, **kw)["rows"] == 1
+    t = spark.table(name)
+    assert sorted((r.id, r.v) for r in t.collect()) == [(1, "a"), (2, "b"), (3, "c")]

@@ -59,6 +59,13 @@ def delta_available(spark) -> bool:
         return False
 
 
+def _path_has_data(spark, path: str) -> bool:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and len(fs.listStatus(p)) > 0
+
+
 def write_table(df: DataFrame, table: str, *, fmt: str = "parquet", path: str | None = None,
                 on_mismatch: str = "replace", partition_by: list[str] | None = None,
                 skip_if_empty: bool = True) -> TableLoad:
@@ -82,6 +89,10 @@ def write_table(df: DataFrame, table: str, *, fmt: str = "parquet", path: str |
         return TableLoad(table, SKIPPED, 0)
     obs = Observation(f"rows_{table.replace('.', '_')}")
     exists = spark.catalog.tableExists(table)
+    if not exists and path and _path_has_data(spark, path):
+        # data from an earlier session whose catalog did not keep the table
+        spark.catalog.createTable(table, path=path, source=fmt)
+        exists = True
     previous = None
     if not exists:
         action, mode, out = CREATED, "error", df

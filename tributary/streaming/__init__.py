@@ -1,5 +1,5 @@
 """Streaming: incremental loading of the raw layer."""
 
-from tributary.streaming.incremental import LOAD_COL, incremental_load
+from tributary.streaming.incremental import LOAD_COL, incremental_load, incremental_responses_load
 
-__all__ = ["LOAD_COL", "incremental_load"]
+__all__ = ["LOAD_COL", "incremental_load", "incremental_responses_load"]

@@ -65,3 +65,22 @@ def incremental_load(spark: SparkSession, raw_folder: str, schema: T.StructType,
              .start())
     query.awaitTermination()
     return stats
+
+
+def incremental_responses_load(spark: SparkSession, raw_folder: str, table: str, *,
+                               checkpoint: str, table_path: str | None = None,
+                               fmt: str = "parquet", schema: str = "first_record",
+                               mode: str = "FAILFAST", on_mismatch: str = "fail") -> dict:
+    """Incremental load of a raw layer of API responses: each micro-batch of new
+    response files is normalized (its own first-record schema) and appended.
+
+    A batch whose columns differ from the table's fails (``on_mismatch="fail"``)
+    rather than replacing the rows loaded so far.
+    """
+    from tributary.operators.normalize import normalize
+    from tributary.sources.rest import response_struct
+
+    return incremental_load(
+        spark, raw_folder, response_struct(), table, checkpoint=checkpoint,
+        table_path=table_path, fmt=fmt, on_mismatch=on_mismatch,
+        shape=lambda batch: normalize(batch, schema=schema, mode=mode))
