@@ -26,7 +26,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from tributary.fixtures import DERBY_DRIVER, drop_derby, load_into_derby  # noqa: E402
 from tributary.operators import normalize  # noqa: E402

@@ -4,7 +4,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from tributary.operators import generic_columns, named_rows, positional, type_variant_columns
 from tributary.session import scratch_dir, unique_name

@@ -1,7 +1,7 @@
 """Payload shaping: response bodies → one row per record (N3–N6, N9–N11).
 
 Input is a table of responses, one JSON body per row, with an order given by
-``seq``. Each body becomes zero or more records, each a ``map<string,variant>``:
+``seq``. Each body becomes zero or more records, each a VARIANT object:
 
 * object body → that object is the one record;
 * array body whose first item is an object → each item is a record (a later
@@ -15,6 +15,8 @@ Records then lose top-level keys whose value is ``{}`` or ``[]``; a record left
 with no keys becomes ``{"placeholder": "empty_record"}``.
 
 Everything is a narrow projection plus ``posexplode``: no shuffle, no UDF.
+Kinds and emptiness come from the body text; the map form of a record (which
+copies its values) is built only where cleaning may change it.
 """
 
 from __future__ import annotations
