@@ -51,7 +51,7 @@ def main() -> None:
     times, rows = {}, {}
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm_dir):
-        for key in ("jdbc_partitioned_scan", "payload_records", "raw_roundtrip"):
+        for key in ("jdbc_partitioned_scan", "payload_records", "raw_roundtrip", "rest_pages"):
             QUERIES[key](spark, warm_dir).write.format("noop").mode("overwrite").save()
 
     # 1. JDBC scan → raw + table (the source is read exactly once)

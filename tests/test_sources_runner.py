@@ -74,6 +74,9 @@ def test_rest_get_post_pages_errors(spark):
     pages = RestSource(SourceSpec("pg", "api", {"endpoint": "http://h/p", "page_param": "page",
                                                 "pages": 5, "fetcher": STUB})).read(spark)
     assert pages.rdd.getNumPartitions() == 5 and pages.count() == 5
+    spread = RestSource(SourceSpec("pg2", "api", {"endpoint": "http://h/p", "page_param": "page",
+                                                  "pages": 10, "partitions": 3, "fetcher": STUB})).read(spark)
+    assert spread.rdd.getNumPartitions() == 3 and spread.select("seq").distinct().count() == 10
     perm = RestSource(SourceSpec("e", "api", {"endpoint": "http://h/status500", "mode": "PERMISSIVE",
                                               "fetcher": STUB})).read(spark).first()
     assert perm.error == "HTTP 500" and perm.body is None

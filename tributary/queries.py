@@ -306,7 +306,8 @@ def _write_page_files(pages: DataFrame, folder: str) -> None:
 
 def rest_pages(spark, d):
     """Orders served as paged JSON files, fetched over ``file://`` by the REST
-    source (path pagination, 32 requests per task), then raw → normalize → table."""
+    source (path pagination, requests spread over twice the default parallelism),
+    then raw → normalize → table."""
     o = _t(spark, d, "orders")
     page = F.floor(F.col("o_orderkey") / PAGE)
     rec = F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
@@ -321,7 +322,7 @@ def rest_pages(spark, d):
     # yields an error row that is logged in the raw layer and left out
     spec = SourceSpec("orders_api", "api", {
         "endpoint": f"file://{folder}/page_{{page}}.json", "type": "GET", "pages": n_pages,
-        "page_start": 0, "requests_per_partition": 32, "mode": "PERMISSIVE"})
+        "page_start": 0, "partitions": "auto", "mode": "PERMISSIVE"})
     res = runner.run_source(spec)
     if res.status != "SUCCESS":
         raise RuntimeError(res.error)

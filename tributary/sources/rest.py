@@ -18,6 +18,8 @@ Options:
                ``page_param`` = ``page_start`` … (an extension: pagination); an
                endpoint containing ``{page}`` gets the number in its path instead
 ``requests_per_partition``  requests fetched by one task (default 1)
+``partitions`` target number of tasks instead (requests spread evenly); the
+               connector's ``"auto"`` means twice the default parallelism
 ``timeout``    seconds per request (default 30)
 ``mode``       ``FAILFAST`` (default): a failed request fails the task (Spark
                retries it); ``PERMISSIVE``: the row carries ``error`` and a NULL body
@@ -142,6 +144,9 @@ class RestJsonReader(DataSourceReader):
 
     def partitions(self):
         n = max(1, int(self.options.get("requests_per_partition", 1)))
+        if self.options.get("partitions"):
+            target = max(1, int(self.options["partitions"]))
+            n = max(1, -(-len(self.requests) // target))
         return [RequestPartition(self.requests[i:i + n]) for i in range(0, len(self.requests), n)]
 
     def read(self, partition: RequestPartition):
@@ -210,7 +215,7 @@ class RestSource:
             if key in c:
                 opts[key] = json.dumps(c[key])
         for key in ("page_param", "pages", "page_start", "timeout", "mode", "fetcher",
-                    "requests_per_partition"):
+                    "requests_per_partition", "partitions"):
             if key in c:
                 opts[key] = str(c[key])
         return opts
@@ -220,5 +225,8 @@ class RestSource:
 
         ship_package(spark)  # the reader runs in Python workers: they import this module
         register(spark)
-        plan_requests(self.options(load_id))  # fail early, on the driver
-        return spark.read.format("rest_json").options(**self.options(load_id)).load()
+        opts = self.options(load_id)
+        if opts.get("partitions") == "auto":
+            opts["partitions"] = str(2 * spark.sparkContext.defaultParallelism)
+        plan_requests(opts)  # fail early, on the driver
+        return spark.read.format("rest_json").options(**opts).load()
