@@ -142,3 +142,24 @@ def test_incremental_responses_load(spark):
     assert incremental_responses_load(spark, raw_path(root, "api"), name, **kw)["rows"] == 1
     t = spark.table(name)
     assert sorted((r.id, r.v) for r in t.collect()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_cli_runs_a_pipeline_file(spark, derby, tmp_path, capsys):
+    from tributary.__main__ import main
+
+    p = tmp_path / "cli.json"
+    p.write_text(json.dumps([{"name": "cli_src", "src_type": "jdbc",
+                              "connection": {"url": derby, "driver": DERBY_DRIVER, "table": "TEST_TABLE"}}]))
+    assert main(["run", str(p), "--output-root", scratch_dir(spark, "cli")]) == 0
+    out = capsys.readouterr().out
+    assert "cli/cli_src: SUCCESS" in out and "written=3" in out and "cli_src_job SUCCESS" in out
+
+
+def test_example_pipelines_validate():
+    import os
+
+    from tributary.plans import load_pipelines
+
+    here = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "pipelines")
+    names = {s.name for p in load_pipelines(here) for s in p.sources}
+    assert {"warehouse_orders", "warehouse_open_orders", "catalog_items", "catalog_search"} <= names
