@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.functions.json import as_object
+from tributary.functions.names import column
 
 FIRST_RECORD = "first_record"
 UNION = "union"
@@ -157,7 +158,7 @@ def type_variant_columns(df: DataFrame, cols: list[str], *, mode: str = "FAILFAS
     using one global ``schema_of_variant_agg`` per column."""
     if not cols:
         return df
-    row = df.agg(*[F.schema_of_variant_agg(F.col(f"`{c}`")).alias(f"s{i}")
+    row = df.agg(*[F.schema_of_variant_agg(column(c)).alias(f"s{i}")
                    for i, c in enumerate(cols)]).first()
     get = F.variant_get if mode == "FAILFAST" else F.try_variant_get
     types = {}
@@ -165,6 +166,6 @@ def type_variant_columns(df: DataFrame, cols: list[str], *, mode: str = "FAILFAS
         text = row[f"s{i}"] if row is not None else None
         types[c] = storage_type(variant_schema_to_type(text) if text else T.NullType(), c, mode)
     return df.select(*[
-        get(F.col(f"`{f.name}`"), "$", ddl(types[f.name])).alias(f.name) if f.name in types
-        else F.col(f"`{f.name}`") for f in df.schema.fields
+        get(column(f.name), "$", ddl(types[f.name])).alias(f.name) if f.name in types
+        else column(f.name) for f in df.schema.fields
     ])

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.functions.names import column
 from tributary.functions.text import raw_timestamp_text
 
 LOAD_ID = "load_id"
@@ -57,7 +58,7 @@ def _needs_text(dt: T.DataType) -> bool:
 
 def stringify(df: DataFrame) -> DataFrame:
     """Project every column to its raw-layer rendering (K3)."""
-    return df.select(*[_stringify(F.col(f"`{f.name}`"), f.dataType).alias(f.name)
+    return df.select(*[_stringify(column(f.name), f.dataType).alias(f.name)
                        for f in df.schema.fields])
 
 
@@ -134,7 +135,7 @@ def read_raw(spark: SparkSession, root: str, source: str, schema: T.StructType,
     if with_load_id and load_id is None:
         read_schema = read_schema.add(LOAD_ID, T.StringType(), True)
     df = spark.read.schema(read_schema).json(path)
-    cols = [_restore(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields]
+    cols = [_restore(column(f.name), f.dataType).alias(f.name) for f in schema.fields]
     if with_load_id:
         cols.append(F.col(LOAD_ID) if load_id is None else F.lit(load_id).alias(LOAD_ID))
     return df.select(*cols)

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.functions.names import column
+
 log = logging.getLogger(__name__)
 
 CREATED, APPENDED, REPLACED, SKIPPED = "created", "appended", "replaced", "skipped"
@@ -100,7 +102,7 @@ def write_table(df: DataFrame, table: str, *, fmt: str = "parquet", path: str |
         current = spark.table(table).schema
         if same_columns(current, df.schema):
             action, mode = APPENDED, "append"
-            out = df.select(*[F.col(f"`{f.name}`") for f in current.fields])
+            out = df.select(*[column(f.name) for f in current.fields])
         elif on_mismatch == "fail":
             raise SchemaMismatchError(
                 f"table {table}: columns {current.simpleString()} != {df.schema.simpleString()}")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.functions.names import column
 from tributary.sinks.raw import _restore, raw_schema
 from tributary.sinks.table import write_table
 
@@ -46,7 +47,7 @@ def incremental_load(spark: SparkSession, raw_folder: str, schema: T.StructType,
         if _already_loaded(batch.sparkSession, table, load_id):
             stats["skipped"] += 1
             return
-        typed = batch.select(*[_restore(F.col(f"`{f.name}`"), f.dataType).alias(f.name)
+        typed = batch.select(*[_restore(column(f.name), f.dataType).alias(f.name)
                                for f in schema.fields])
         if shape is not None:
             typed = shape(typed)
