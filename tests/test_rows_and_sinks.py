@@ -112,3 +112,34 @@ def test_table_folder_from_earlier_session_is_reused(spark):
     spark.sql(f"DROP TABLE {name}")  # external: the files stay, as after a new session
     assert write_table(a, name, path=path).action == "appended"
     assert spark.table(name).count() == 2
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_ts = st.datetimes(min_value=dt.datetime(1970, 1, 2), max_value=dt.datetime(2200, 1, 1))
+_row = st.tuples(
+    st.integers(-2**62, 2**62),
+    st.one_of(st.none(), st.text(max_size=8)),
+    st.one_of(st.none(), _ts),
+    st.one_of(st.none(), st.decimals(min_value=-10**6, max_value=10**6, places=2,
+                                     allow_nan=False, allow_infinity=False)),
+    st.one_of(st.none(), st.dates(min_value=dt.date(1900, 1, 1), max_value=dt.date(2200, 1, 1))),
+    st.one_of(st.none(), st.binary(max_size=6)),
+    st.lists(st.one_of(st.none(), _ts), max_size=3),
+    st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False, width=64)),
+)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(_row, min_size=1, max_size=6))
+def test_property_raw_roundtrip(spark, rows):
+    schema = ("id bigint, s string, t timestamp_ntz, m decimal(12,2), d date, y binary, "
+              "ts array<timestamp_ntz>, f double")
+    df = spark.createDataFrame([(*r[:5], bytearray(r[5]) if r[5] is not None else None, *r[6:]) for r in rows],
+                               schema)
+    root = scratch_dir(spark, "prop")
+    write_raw(df, root, "p", "l1")
+    back = read_raw(spark, root, "p", df.schema, "l1")
+    key = lambda r: repr(tuple(r))
+    assert sorted(back.collect(), key=key) == sorted(df.collect(), key=key)
