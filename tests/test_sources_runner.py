@@ -128,6 +128,12 @@ def test_incremental_load_is_idempotent(spark):
     assert second["rows"] == 50 and third["rows"] == 0
     t = spark.table(name)
     assert t.count() == 100 and t.select(LOAD_COL).distinct().count() == 2
+    # a second stream (own checkpoint) into the same table is not mistaken for a replay
+    other = scratch_dir(spark, "stream")
+    write_raw(df.filter("id < 10"), other, "s", "a")
+    more = incremental_load(spark, raw_path(other, "s"), df.schema, name,
+                            checkpoint=f"{other}/_ck", table_path=f"{root}/t")
+    assert more["rows"] == 10 and spark.table(name).count() == 110
 
 
 def test_incremental_responses_load(spark):

@@ -4,12 +4,15 @@ Whatever landed under a raw folder since the last run is loaded into the
 table: ``readStream`` on the JSON files with an explicit schema,
 ``trigger(availableNow=True)`` (process what is there, then stop) and
 ``foreachBatch`` into the create/append/replace sink. Each micro-batch is
-tagged ``_load_id = <batch id>``; a replayed batch whose id is already in the
-table is skipped, so a restart after a failure never duplicates rows.
+tagged ``_load_id = <stream tag>-<batch id>`` (the tag comes from the checkpoint
+location, so two streams feeding one table never share ids); a replayed batch
+whose id is already in the table is skipped, so a restart after a failure never
+duplicates rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,9 +44,10 @@ def incremental_load(spark: SparkSession, raw_folder: str, schema: T.StructType,
     partition.
     """
     stats = {"batches": 0, "skipped": 0, "rows": 0}
+    tag = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:10]
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        load_id = str(batch_id)
+        load_id = f"{tag}-{batch_id:09d}"
         if _already_loaded(batch.sparkSession, table, load_id):
             stats["skipped"] += 1
             return
