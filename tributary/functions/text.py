@@ -8,15 +8,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values that must equal the reference's behaviour:
-#   schedule shape: five space-separated fields of digits and * - , /
-CRON_PATTERN = r"^[\d\*\-,/]+ [\d\*\-,/]+ [\d\*\-,/]+ [\d\*\-,/]+ [\d\*\-,/]+$"
-#   raw file stamp: local wall clock as %Y%m%d_%H%M%S
-LOAD_STAMP_FORMAT = "%Y%m%d_%H%M%S"
-#   text of a timestamp in the raw layer (Python's str(datetime)):
-#   "YYYY-MM-DD HH:MM:SS" when the microseconds are zero, else ".ffffff" with all six digits
-RAW_TS_SECONDS = "yyyy-MM-dd HH:mm:ss"
-RAW_TS_MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+from tributary.fixed import CRON_PATTERN, LOAD_STAMP_FORMAT, RAW_TS_MICROS, RAW_TS_SECONDS
+
 
 _CRON_RE = re.compile(CRON_PATTERN)
 

@@ -24,14 +24,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tributary.fixed import PLACEHOLDER_KEY, PLACEHOLDER_VALUE, VALUE_KEY
 from tributary.functions.json import as_object, is_empty_container
 
-# Fixed values that must equal the reference's behaviour:
-#   key used to wrap non-object payload items, and the record that replaces an
-#   object left with no keys.
-VALUE_KEY = "value"
-PLACEHOLDER_KEY = "placeholder"
-PLACEHOLDER_VALUE = "empty_record"
 
 MODES = ("FAILFAST", "PERMISSIVE")
 

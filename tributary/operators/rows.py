@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value that must equal the reference's behaviour: generic column names.
-GENERIC_PREFIX = "column_"
+from tributary.fixed import GENERIC_PREFIX
+
 
 
 def _width_guard(row: Column, width: int, what: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tributary.functions.text import CRON_PATTERN
+from tributary.fixed import CRON_PATTERN
 
 _CONFIG_CTE = """
 WITH c AS (

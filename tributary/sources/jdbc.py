@@ -25,9 +25,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Fixed value that must equal the reference's behaviour: the table scanned when
-# a source names neither a table nor a query.
-DEFAULT_TABLE = "data"
+from tributary.fixed import DEFAULT_TABLE
+
 DEFAULT_FETCHSIZE = 10000
 
 
