@@ -169,3 +169,16 @@ def test_example_pipelines_validate():
     here = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "pipelines")
     names = {s.name for p in load_pipelines(here) for s in p.sources}
     assert {"warehouse_orders", "warehouse_open_orders", "catalog_items", "catalog_search"} <= names
+
+
+def test_runner_parallel_sources(spark, derby):
+    runner = Runner(spark, scratch_dir(spark, "par"), table_prefix=unique_name("par") + "_",
+                    audit_table=unique_name("runs"), parallel_sources=3)
+    specs = [SourceSpec(f"s{i}", "jdbc", {"url": derby, "driver": DERBY_DRIVER, "table": "TEST_TABLE"})
+             for i in range(4)]
+    specs.append(SourceSpec("pages", "api", {"endpoint": "http://h/p", "page_param": "page",
+                                             "pages": 2, "fetcher": STUB}))
+    results = runner.run_pipeline(PipelineSpec("par", specs))
+    assert [r.source for r in results] == ["s0", "s1", "s2", "s3", "pages"]
+    assert all(r.status == "SUCCESS" for r in results), [r.error for r in results]
+    assert spark.table(runner.audit_table).count() == 5

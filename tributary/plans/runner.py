@@ -19,8 +19,10 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 import re
+import threading
 import traceback
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -93,7 +95,8 @@ class Runner:
     def __init__(self, spark: SparkSession, output_root: str | None = None, *,
                  table_format: str = "parquet", table_prefix: str = "",
                  audit_table: str = "ingest_runs", on_mismatch: str = "replace",
-                 schema: str = "first_record", mode: str = "FAILFAST") -> None:
+                 schema: str = "first_record", mode: str = "FAILFAST",
+                 parallel_sources: int = 1) -> None:
         self.spark = spark
         self.root = (output_root or f"{shared_root(spark)}/output").rstrip("/")
         self.table_format = table_format
@@ -102,6 +105,8 @@ class Runner:
         self.on_mismatch = on_mismatch
         self.schema = schema
         self.mode = mode
+        self.parallel_sources = max(1, int(parallel_sources))
+        self._audit_lock = threading.Lock()
 
     # -- one source -------------------------------------------------------
     def _load(self, spec: SourceSpec, connector, load_id: str) -> tuple[int, DataFrame]:
@@ -113,7 +118,9 @@ class Runner:
                                 self.root, spec.name, load_id)
             raw = read_raw(self.spark, self.root, spec.name, response_struct(), load_id)
             mode = str(spec.connection.get("mode", self.mode)).upper()
-            shaped = normalize(raw, schema=spec.connection.get("schema", self.schema), mode=mode)
+            staging = f"{self.root}/staging/{spec.name}/load_id={load_id}"
+            shaped = normalize(raw, schema=spec.connection.get("schema", self.schema), mode=mode,
+                               staging=staging)
         else:
             df = connector.read(self.spark)
             write_raw(df.observe(obs, F.count(F.lit(1)).alias("n")), self.root, spec.name, load_id)
@@ -122,6 +129,7 @@ class Runner:
         return rows, shaped
 
     def run_source(self, spec: SourceSpec) -> RunResult:
+        self.spark.sparkContext.setJobDescription(f"tributary {spec.job_name}")
         started = _dt.datetime.now(_dt.timezone.utc)
         run_id, load_id = uuid.uuid4().hex, raw_load_stamp()
         table = table_name_for(spec.name, self.table_prefix)
@@ -144,20 +152,30 @@ class Runner:
         result = RunResult(run_id, spec.job_name, spec.name, status, started, finished,
                            rows_read, rows_written, error, table, action, load_id)
         self.record(result)
+        self.spark.sparkContext.setJobDescription(None)
         return result
 
     def run_pipeline(self, pipeline: PipelineSpec, *, include_scheduled: bool = False) -> list[RunResult]:
         """Run every unscheduled source (scheduled ones belong to an outside
-        scheduler; ``include_scheduled`` runs them too), isolating failures."""
-        return [self.run_source(s) for s in pipeline.sources
-                if include_scheduled or not s.schedule]
+        scheduler; ``include_scheduled`` runs them too), isolating failures.
+
+        With ``parallel_sources > 1`` that many sources run at once (Spark
+        schedules their jobs side by side); results keep the pipeline's order.
+        """
+        specs = [s for s in pipeline.sources if include_scheduled or not s.schedule]
+        if self.parallel_sources == 1 or len(specs) < 2:
+            return [self.run_source(s) for s in specs]
+        with ThreadPoolExecutor(max_workers=self.parallel_sources) as pool:
+            return list(pool.map(self.run_source, specs))
 
     # -- audit ---------------------------------------------------------
     def record(self, result: RunResult) -> None:
+        """Append one audit row (serialised: the first write creates the table)."""
         row = self.spark.createDataFrame([result.audit_row()], AUDIT_SCHEMA)
-        write_table(row, self.audit_table, fmt=self.table_format,
-                    path=f"{self.root}/tables/{self.audit_table}", on_mismatch="fail",
-                    skip_if_empty=False)
+        with self._audit_lock:
+            write_table(row, self.audit_table, fmt=self.table_format,
+                        path=f"{self.root}/tables/{self.audit_table}", on_mismatch="fail",
+                        skip_if_empty=False)
 
     def run_history(self, limit: int = 100) -> DataFrame:
         return run_history(self.spark.table(self.audit_table), limit)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -79,21 +80,23 @@ def unique_name(prefix: str) -> str:
 
 
 _SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``tributary`` importable in Python workers (``addPyFile`` of a zip), once
     per application — needed where code runs in Python workers (the REST reader)."""
     sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    import tributary
-
-    pkg = os.path.dirname(os.path.abspath(tributary.__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="tributary-pyfiles-"), "tributary")
-    archive = shutil.make_archive(target, "zip", root_dir=os.path.dirname(pkg), base_dir="tributary")
-    sc.addPyFile(archive)
-    _SHIPPED.add(sc.applicationId)
+    with _SHIP_LOCK:
+        if sc.applicationId in _SHIPPED:
+            return
+        import tributary
+
+        pkg = os.path.dirname(os.path.abspath(tributary.__file__))
+        target = os.path.join(tempfile.mkdtemp(prefix="tributary-pyfiles-"), "tributary")
+        archive = shutil.make_archive(target, "zip", root_dir=os.path.dirname(pkg), base_dir="tributary")
+        sc.addPyFile(archive)
+        _SHIPPED.add(sc.applicationId)
 
 
 def local_path(path: str) -> str:
