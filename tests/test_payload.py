@@ -98,10 +98,11 @@ def test_non_object_after_object_raises(responses):
         normalize(responses(['[{"a":1},5]'])).collect()
 
 
-def test_invalid_json(responses):
+@pytest.mark.parametrize("bad", ['{"bad', '{"a":1} x', '{"a":1},', '1 2', '[1] [2]', "{'a':1}"])
+def test_invalid_json(responses, bad):
     with pytest.raises(Exception, match="invalid response"):
-        normalize(responses(['{"bad'])).collect()
-    assert normalize(responses(['{"bad', '{"a":1}']), mode="PERMISSIVE").count() == 1
+        normalize(responses([bad])).collect()
+    assert normalize(responses([bad, '{"a":1}']), mode="PERMISSIVE").count() == 1
 
 
 def test_skip_empty_and_outcomes(responses):

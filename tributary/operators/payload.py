@@ -65,10 +65,13 @@ def classify_responses(responses: DataFrame, body: str = "body") -> DataFrame:
     the text instead).
     """
     text = F.col(body)
+    # Spark's parser stops after the first complete value; like Python's json, a
+    # text with anything after it (``{"a":1} x``, ``1 2``) is not valid JSON
+    single = F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
     df = responses.select("*", F.try_parse_json(text).alias("_v"),
-                          F.regexp_extract(text, _FIRST, 1).alias("_c"))
+                          F.regexp_extract(text, _FIRST, 1).alias("_c"), single.alias("_single"))
     c = F.col("_c")
-    kind = (F.when(F.col("_v").isNull(), F.lit("invalid"))
+    kind = (F.when(F.col("_v").isNull() | ~F.col("_single"), F.lit("invalid"))
             .when(c == "{", F.lit("object")).when(c == "[", F.lit("array"))
             .when(c == "n", F.lit("null")).when(c.isin("t", "f"), F.lit("boolean"))
             .when(c == '"', F.lit("string")).otherwise(F.lit("number")))

@@ -202,7 +202,7 @@ def response_errors(spark, d):
     responses = e.select(
         F.col("event_id").alias("seq"),
         F.when(t == "signup", F.lit(None).cast("string"))
-         .when(t == "error", F.col("props").substr(1, 5))
+         .when(t == "error", F.concat(F.col("props"), F.lit(" x")))  # text after the value
          .when(t == "view", F.lit("{}")).otherwise(F.col("props")).alias("body"),
         F.when(t == "signup", F.lit("HTTP 503")).alias("error"))
     return response_outcomes(responses).groupBy("outcome").agg(F.count(F.lit(1)).alias("responses"))
