@@ -46,7 +46,7 @@ def normalize(responses: DataFrame, *, schema: str = FIRST_RECORD, clean: bool =
         return project_records(exploded, st, mode=mode, keep=tuple(keep))
     path = staging if isinstance(staging, str) else scratch_dir(spark, "staged-records")
     obs = Observation()
-    (records.observe(obs, *schema_metrics(records, mode)).drop("_keys0")
+    (records.observe(obs, *schema_metrics(records, mode)).drop("_keys0", "wrapped")
      .write.mode("overwrite").parquet(path))
     metrics = obs.get
     st = schema_from_metrics(metrics.get("schema"), metrics.get("keys"), how=schema, mode=mode)
