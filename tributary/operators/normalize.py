@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from tributary.operators.payload import _check_mode, explode_records, response_records
 from tributary.operators.schema import (
@@ -17,7 +18,7 @@ from tributary.session import ensure_json_semantics, scratch_dir
 
 def normalize(responses: DataFrame, *, schema: str = FIRST_RECORD, clean: bool = True,
               mode: str = "FAILFAST", body: str = "body", keep: tuple[str, ...] = (),
-              staging: str | bool | None = None) -> DataFrame:
+              staging: str | bool | None = None, stats: dict | None = None) -> DataFrame:
     """Responses (``seq``, ``body`` and optionally ``source``, ``load_id``, ``error``)
     → one typed row per record.
 
@@ -32,6 +33,7 @@ def normalize(responses: DataFrame, *, schema: str = FIRST_RECORD, clean: bool =
     the lineage: a lost executor re-reads it instead of re-parsing the input.
     ``staging`` may name the folder; ``staging=False`` runs the schema pass as a
     separate aggregate and re-derives the records from the input instead.
+    A ``stats`` dict receives ``records`` (the number of rows) when staging.
     """
     mode = _check_mode(mode)
     spark = responses.sparkSession
@@ -46,8 +48,10 @@ def normalize(responses: DataFrame, *, schema: str = FIRST_RECORD, clean: bool =
         return project_records(exploded, st, mode=mode, keep=tuple(keep))
     path = staging if isinstance(staging, str) else scratch_dir(spark, "staged-records")
     obs = Observation()
-    (records.observe(obs, *schema_metrics(records, mode)).drop("_keys0", "wrapped")
-     .write.mode("overwrite").parquet(path))
+    (records.observe(obs, *schema_metrics(records, mode), F.count(F.lit(1)).alias("records"))
+     .drop("_keys0", "wrapped").write.mode("overwrite").parquet(path))
     metrics = obs.get
+    if stats is not None:
+        stats["records"] = int(metrics.get("records") or 0)
     st = schema_from_metrics(metrics.get("schema"), metrics.get("keys"), how=schema, mode=mode)
     return project_records(spark.read.parquet(path), st, mode=mode, keep=tuple(keep))

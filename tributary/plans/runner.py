@@ -109,8 +109,9 @@ class Runner:
         self._audit_lock = threading.Lock()
 
     # -- one source -------------------------------------------------------
-    def _load(self, spec: SourceSpec, connector, load_id: str) -> tuple[int, DataFrame]:
-        """Fetch once into the raw layer; return (rows read, DataFrame for the table)."""
+    def _load(self, spec: SourceSpec, connector, load_id: str) -> tuple[int, DataFrame, int]:
+        """Fetch once into the raw layer; return (rows read, DataFrame for the table,
+        its row count)."""
         obs = Observation(f"read_{uuid.uuid4().hex[:8]}")
         if isinstance(connector, RestSource):
             responses = connector.read(self.spark, load_id)
@@ -119,14 +120,17 @@ class Runner:
             raw = read_raw(self.spark, self.root, spec.name, response_struct(), load_id)
             mode = str(spec.connection.get("mode", self.mode)).upper()
             staging = f"{self.root}/staging/{spec.name}/load_id={load_id}"
+            stats: dict = {}
             shaped = normalize(raw, schema=spec.connection.get("schema", self.schema), mode=mode,
-                               staging=staging)
+                               staging=staging, stats=stats)
+            rows = int((obs.get or {}).get("n", 0))
+            return rows, shaped, stats.get("records", 0)
         else:
             df = connector.read(self.spark)
             write_raw(df.observe(obs, F.count(F.lit(1)).alias("n")), self.root, spec.name, load_id)
             shaped = read_raw(self.spark, self.root, spec.name, df.schema, load_id)
         rows = int((obs.get or {}).get("n", 0))
-        return rows, shaped
+        return rows, shaped, rows
 
     def run_source(self, spec: SourceSpec) -> RunResult:
         self.spark.sparkContext.setJobDescription(f"tributary {spec.job_name}")
@@ -137,11 +141,11 @@ class Runner:
         action, status, error = None, SUCCESS, None
         try:
             connector = source_for(spec)
-            rows_read, shaped = self._load(spec, connector, load_id)
-            if rows_read == 0:
+            rows_read, shaped, rows_shaped = self._load(spec, connector, load_id)
+            if rows_read == 0 or rows_shaped == 0:
                 action = SKIPPED
             else:
-                load = write_table(shaped, table, fmt=self.table_format,
+                load = write_table(shaped, table, fmt=self.table_format, known_rows=rows_shaped,
                                    path=f"{self.root}/tables/{table}", on_mismatch=self.on_mismatch)
                 action, rows_written = load.action, load.rows
         except Exception as e:  # noqa: BLE001 - a failing source must not stop the others

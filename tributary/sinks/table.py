@@ -70,7 +70,7 @@ def _path_has_data(spark, path: str) -> bool:
 
 def write_table(df: DataFrame, table: str, *, fmt: str = "parquet", path: str | None = None,
                 on_mismatch: str = "replace", partition_by: list[str] | None = None,
-                skip_if_empty: bool = True) -> TableLoad:
+                skip_if_empty: bool = True, known_rows: int | None = None) -> TableLoad:
     """Write ``df`` to catalog table ``table``.
 
     * table missing → create (``created``);
@@ -79,6 +79,7 @@ def write_table(df: DataFrame, table: str, *, fmt: str = "parquet", path: str |
       (``replaced``), ``"fail"`` raises :class:`SchemaMismatchError`;
     * no rows → nothing is written (``skipped``), no table is created.
 
+    ``known_rows`` (a count the caller already observed) saves the emptiness check.
     ``path`` makes the table external (data under a shared folder);
     ``fmt="delta"`` needs the Delta Lake package on the classpath.
     """
@@ -87,7 +88,7 @@ def write_table(df: DataFrame, table: str, *, fmt: str = "parquet", path: str |
     spark = df.sparkSession
     if fmt == "delta" and not delta_available(spark):
         raise RuntimeError("format 'delta' requested but Delta Lake is not on the classpath")
-    if skip_if_empty and df.isEmpty():
+    if skip_if_empty and (known_rows == 0 if known_rows is not None else df.isEmpty()):
         return TableLoad(table, SKIPPED, 0)
     obs = Observation(f"rows_{table.replace('.', '_')}")
     exists = spark.catalog.tableExists(table)
