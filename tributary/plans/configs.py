@@ -45,8 +45,9 @@ def pipeline_sources(files: DataFrame) -> DataFrame:
              .otherwise(v.try_cast("array<variant>")))
     df = files.select("pipeline", v.isNull().alias("_bad_json"),
                       F.when(v.isNull(), F.array(F.lit(None).cast("variant"))).otherwise(items).alias("_items"),
-                      (v.isNotNull() & items.isNull()).alias("_bad_shape"))
-    df = df.select("pipeline", "_bad_json", "_bad_shape",
+                      (v.isNotNull() & items.isNull()).alias("_bad_shape"),
+                      F.coalesce(F.size(items) == 0, F.lit(False)).alias("_no_sources"))
+    df = df.select("pipeline", "_bad_json", "_bad_shape", "_no_sources",
                    F.posexplode_outer("_items").alias("idx", "src"))
     src = F.col("src")
     conn = F.try_variant_get(src, "$.connection", "variant")
@@ -54,11 +55,13 @@ def pipeline_sources(files: DataFrame) -> DataFrame:
     is_obj = src.try_cast("map<string,variant>").isNotNull()
     file_error = (F.when(F.col("_bad_json"), F.lit("invalid JSON"))
                   .when(F.col("_bad_shape"), F.lit("pipeline must be an object or a list"))
+                  .when(F.col("_no_sources"), F.lit("pipeline has no sources"))
                   .when(~is_obj, F.concat(F.lit("source "), F.col("idx").cast("string"),
                                           F.lit(" must be an object"))))
     return df.select(
         "pipeline",
-        F.when(F.col("_bad_json") | F.col("_bad_shape"), F.lit(None)).otherwise(F.col("idx")).alias("idx"),
+        F.when(F.col("_bad_json") | F.col("_bad_shape") | F.col("_no_sources"), F.lit(None))
+        .otherwise(F.col("idx")).alias("idx"),
         F.try_variant_get(src, "$.name", "string").alias("name"),
         F.try_variant_get(src, "$.src_type", "string").alias("src_type"),
         F.when(conn.isNotNull() & ~F.is_variant_null(conn), F.to_json(conn)).alias("connection"),
