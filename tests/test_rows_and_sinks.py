@@ -104,6 +104,16 @@ def test_table_sink_refuses_unknown_options(spark):
         write_table(a, unique_name("t"), fmt="delta")
 
 
+def test_replace_with_data_derived_from_the_table(spark):
+    name = unique_name("t")
+    path = os.path.join(scratch_dir(spark, "tables"), name)
+    write_table(spark.createDataFrame([(1, "x"), (2, "y")], "id bigint, v string"), name, path=path)
+    derived = spark.table(name).selectExpr("id", "upper(v) AS v", "id * 10 AS w")
+    load = write_table(derived, name, path=path)
+    assert (load.action, load.rows) == ("replaced", 2)
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == [(1, "X", 10), (2, "Y", 20)]
+
+
 def test_table_folder_from_earlier_session_is_reused(spark):
     name = unique_name("t")
     path = os.path.join(scratch_dir(spark, "tables"), name)

@@ -73,32 +73,46 @@ def pipeline_sources(files: DataFrame) -> DataFrame:
     )
 
 
-def source_error(name: Column, src_type: Column, conn_size: Column, has_schedule: Column,
-                 schedule_is_text: Column, schedule: Column) -> Column:
-    """First validation failure of a source row, NULL when valid (same order as
-    ``tributary.plans.specs.source_errors``). ``conn_size`` is -1 when the
-    connection is not an object."""
+def source_checks(name: Column, src_type: Column, conn_size: Column, has_schedule: Column,
+                  schedule_is_text: Column, schedule: Column) -> list[Column]:
+    """Each validation check of a source row: its message, or NULL when it passes
+    (same checks and order as ``tributary.plans.specs.source_errors``).
+    ``conn_size`` is -1 when the connection is not an object."""
     types = F.array(*[F.lit(t) for t in supported_types()])
     empty = lambda c: c.isNull() | (c == "")
-    return (
-        F.when(empty(name), F.lit("source name is empty"))
-        .when(empty(src_type), F.lit("source type is empty"))
-        .when(conn_size < 0, F.lit("connection must be an object"))
-        .when(conn_size == 0, F.lit("connection is empty"))
-        .when(~F.array_contains(types, F.lower(src_type)),
-              F.concat(F.lit("unsupported source type '"), src_type, F.lit("'")))
-        .when(has_schedule & ~schedule_is_text, F.lit("schedule must be a string"))
+    return [
+        F.when(empty(name), F.lit("source name is empty")),
+        F.when(empty(src_type), F.lit("source type is empty")),
+        F.when(conn_size < 0, F.lit("connection must be an object"))
+        .when(conn_size == 0, F.lit("connection is empty")),
+        F.when(~empty(src_type) & ~F.array_contains(types, F.lower(src_type)),
+               F.concat(F.lit("unsupported source type '"), src_type, F.lit("'"))),
+        F.when(has_schedule & ~schedule_is_text, F.lit("schedule must be a string"))
         .when(has_schedule & ~cron_column(schedule),
-              F.concat(F.lit("invalid cron schedule '"), schedule, F.lit("'")))
-    )
+              F.concat(F.lit("invalid cron schedule '"), schedule, F.lit("'"))),
+    ]
+
+
+def source_errors_column(*args: Column) -> Column:
+    """``array<string>`` of every failed check (empty when valid)."""
+    return F.filter(F.array(*source_checks(*args)), lambda m: m.isNotNull())
+
+
+def source_error(*args: Column) -> Column:
+    """First failed check, NULL when valid."""
+    return F.coalesce(*source_checks(*args))
 
 
 def validate_sources(sources: DataFrame) -> DataFrame:
-    """Adds ``error`` (first failure or NULL) and ``valid`` to ``pipeline_sources`` output."""
-    err = F.coalesce(F.col("file_error"), source_error(
-        F.col("name"), F.col("src_type"), F.col("_conn_size"), F.col("_has_schedule"),
-        F.col("_schedule_is_text"), F.col("schedule")))
-    return sources.select(*CONFIG_COLUMNS, err.alias("error"), err.isNull().alias("valid"))
+    """Adds ``errors`` (every failure), ``error`` (the first, or NULL) and ``valid``
+    to ``pipeline_sources`` output."""
+    args = (F.col("name"), F.col("src_type"), F.col("_conn_size"), F.col("_has_schedule"),
+            F.col("_schedule_is_text"), F.col("schedule"))
+    errors = F.when(F.col("file_error").isNotNull(), F.array(F.col("file_error"))) \
+        .otherwise(source_errors_column(*args))
+    err = F.coalesce(F.col("file_error"), source_error(*args))
+    return sources.select(*CONFIG_COLUMNS, errors.alias("errors"), err.alias("error"),
+                          err.isNull().alias("valid"))
 
 
 def load_configs(spark: SparkSession, path: str) -> DataFrame:
@@ -112,6 +126,7 @@ def validate_config_rows(rows: DataFrame) -> DataFrame:
     conn = F.try_parse_json(F.col("connection"))
     size = F.coalesce(F.size(conn.try_cast("map<string,variant>")), F.lit(-1))
     has_schedule = F.col("schedule").isNotNull()
-    err = source_error(F.col("name"), F.col("src_type"), size, has_schedule, F.lit(True),
-                       F.col("schedule"))
-    return rows.select("*", err.alias("error"), err.isNull().alias("valid"))
+    args = (F.col("name"), F.col("src_type"), size, has_schedule, F.lit(True), F.col("schedule"))
+    err = source_error(*args)
+    return rows.select("*", source_errors_column(*args).alias("errors"), err.alias("error"),
+                       err.isNull().alias("valid"))

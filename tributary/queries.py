@@ -21,7 +21,13 @@ from tributary.operators import (
     response_outcomes,
     type_variant_columns,
 )
-from tributary.plans.configs import pipeline_sources, read_pipeline_files, validate_config_rows, validate_sources
+from tributary.plans.configs import (
+    CONFIG_COLUMNS,
+    pipeline_sources,
+    read_pipeline_files,
+    validate_config_rows,
+    validate_sources,
+)
 from tributary.plans.runner import Runner, job_summary, run_history
 from tributary.plans.specs import SourceSpec
 from tributary.session import local_path, scratch_dir, ship_package, unique_name
@@ -390,7 +396,7 @@ def source_configs(spark, d):
     folder = scratch_dir(spark, "pipelines")
     files.repartition("pipeline").write.partitionBy("pipeline").text(folder)
     out = validate_sources(pipeline_sources(read_pipeline_files(spark, folder, name_from="partition")))
-    return out
+    return out.select(*CONFIG_COLUMNS, "error", "valid")
 
 
 # ---------------------------------------------------------------- streaming

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -112,6 +113,10 @@ def write_table(df: DataFrame, table: str, *, fmt: str = "parquet", path: str |
             log.warning("table %s: schema changed, replacing (%s -> %s)", table, previous,
                         df.schema.simpleString())
             action, mode, out = REPLACED, "overwrite", df
+    if action == REPLACED and _reads_table(out, spark, table):
+        # the new data is derived from the table it replaces: Spark cannot overwrite a
+        # location it is reading, so stage the rows first (reliable checkpoint)
+        out = out.checkpoint(eager=True)
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = out.write.format(fmt).mode(mode)
     if path and action != APPENDED:
@@ -123,3 +128,23 @@ def write_table(df: DataFrame, table: str, *, fmt: str = "parquet", path: str |
     writer.saveAsTable(table)
     rows = obs.get.get("rows", 0) if obs.get else 0
     return TableLoad(table, action, int(rows), previous)
+
+
+def _reads_table(df: DataFrame, spark, table: str) -> bool:
+    """Whether ``df`` scans the files of catalog table ``table``."""
+    try:
+        location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(
+            F.col("col_name") == "Location").first()
+        files = df.inputFiles()
+    except Exception:  # noqa: BLE001 - unknown: stage to be safe
+        return True
+    if location is None:
+        return False
+    root = _norm(location["data_type"])
+    return any(_norm(f).startswith(root + "/") for f in files)
+
+
+def _norm(uri: str) -> str:
+    """``file:/x`` and ``file:///x`` (and other spellings of one location) alike."""
+    u = urlparse(uri)
+    return f"{u.scheme or 'file'}://{u.netloc}{u.path.rstrip('/')}"
