@@ -5,7 +5,10 @@ Per source::
     read (lazy) ──write──▶ raw/<source>/load_id=<stamp>   (the only read of the source)
                               │ read back, explicit schema
                               ▼
-                     shape (normalize for REST) ──▶ catalog table (create/append/replace)
+          REST: normalize ──stage──▶ staging/<source>/load_id=<stamp>  (parse once, observe schema)
+                              │ typed projection
+                              ▼
+                     catalog table (create / append / replace)
                               ▼
                         audit row ──▶ audit table
 
@@ -35,7 +38,7 @@ from tributary.plans.specs import PipelineSpec, SourceSpec
 from tributary.session import shared_root
 from tributary.sinks.raw import read_raw, write_raw, write_raw_responses
 from tributary.sinks.table import SKIPPED, write_table
-from tributary.sources import JdbcSource, RestSource, source_for
+from tributary.sources import RestSource, source_for
 from tributary.sources.rest import response_struct
 
 log = logging.getLogger(__name__)
@@ -203,5 +206,5 @@ def job_summary(audit: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["AUDIT_SCHEMA", "FAILURE", "SUCCESS", "JdbcSource", "RunResult", "Runner",
-           "job_summary", "run_history", "table_name_for"]
+__all__ = ["AUDIT_SCHEMA", "FAILURE", "SUCCESS", "RunResult", "Runner", "job_summary",
+           "run_history", "table_name_for"]
