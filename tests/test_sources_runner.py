@@ -111,6 +111,8 @@ def test_runner_end_to_end(spark, derby):
     assert again.table_action == "appended" and spark.table(again.table).count() == 6
     hist = runner.run_history(3).collect()
     assert len(hist) == 3 and hist[0].source == "db_all"
+    status = runner.run_status(10, job_name="broken_job").collect()
+    assert [(r.job_name, r.status) for r in status] == [("broken_job", "FAILURE")]
     summary = {r.job_name: r for r in job_summary(spark.table(runner.audit_table)).collect()}
     assert summary["db_all_job"].runs == 2 and summary["broken_job"].failures == 1
 

@@ -187,6 +187,16 @@ class Runner:
     def run_history(self, limit: int = 100) -> DataFrame:
         return run_history(self.spark.table(self.audit_table), limit)
 
+    def run_status(self, limit: int = 100, job_name: str | None = None) -> DataFrame:
+        """``run_id, job_name, status`` of the latest runs (of one job, if given);
+        empty when nothing ran yet."""
+        if not self.spark.catalog.tableExists(self.audit_table):
+            return self.spark.createDataFrame([], "run_id string, job_name string, status string")
+        audit = self.spark.table(self.audit_table)
+        if job_name is not None:
+            audit = audit.filter(F.col("job_name") == job_name)
+        return run_history(audit, limit).select("run_id", "job_name", "status")
+
 
 def run_history(audit: DataFrame, limit: int = 100) -> DataFrame:
     """Latest ``limit`` runs, newest first (ties broken by run id) — a top-k,
