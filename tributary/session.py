@@ -90,10 +90,16 @@ def ship_package(spark: SparkSession) -> None:
     with _SHIP_LOCK:
         if sc.applicationId in _SHIPPED:
             return
+        submitted = sc.getConf().get("spark.submit.pyFiles", "") or ""
+        if "tributary" in submitted:  # already shipped with --py-files
+            _SHIPPED.add(sc.applicationId)
+            return
         import tributary
 
         pkg = os.path.dirname(os.path.abspath(tributary.__file__))
-        target = os.path.join(tempfile.mkdtemp(prefix="tributary-pyfiles-"), "tributary")
+        # a unique archive name, so it never clashes with a file the user added
+        target = os.path.join(tempfile.mkdtemp(prefix="tributary-pyfiles-"),
+                              f"tributary_pkg_{uuid.uuid4().hex[:8]}")
         archive = shutil.make_archive(target, "zip", root_dir=os.path.dirname(pkg), base_dir="tributary")
         sc.addPyFile(archive)
         _SHIPPED.add(sc.applicationId)
