@@ -44,6 +44,14 @@ def test_jdbc_partitioned_and_pushdown(spark, derby):
     assert "PushedFilters" in plan and "GreaterThan(value,150.0)" in plan
 
 
+def test_jdbc_partitions_sized_by_rows(spark, derby):
+    few = _src(derby, table="TEST_TABLE", partition_column="id").read(spark)
+    assert few.rdd.getNumPartitions() == 1 and few.count() == 3  # 3 rows: one partition
+    capped = _src(derby, table="TEST_TABLE", partition_column="id", rows_per_partition=1,
+                  max_connections=2).read(spark)
+    assert capped.rdd.getNumPartitions() == 2 and capped.count() == 3
+
+
 def test_jdbc_predicates_one_partition_each(spark, derby):
     df = _src(derby, table="TEST_TABLE", predicates=['"id" = 1', '"id" IN (2, 3)']).read(spark)
     assert df.rdd.getNumPartitions() == 2

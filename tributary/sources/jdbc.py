@@ -8,8 +8,12 @@ Connection options (the ``connection`` dict of a source spec):
 ``query``          SQL run verbatim by the database; wins over ``table``
 ``user`` / ``password``
 ``partition_column``, ``num_partitions``, ``lower_bound``, ``upper_bound``
-                   parallel scan; missing bounds come from one MIN/MAX query
-                   that the database answers (a single row)
+                   parallel scan; missing bounds come from one MIN/MAX/COUNT
+                   query that the database answers (a single row). Without
+                   ``num_partitions`` the scan gets one partition per
+                   ``rows_per_partition`` rows (default 1,000,000), at most
+                   ``max_connections`` (default 32) — the database, not the
+                   cluster size, bounds the useful concurrency
 ``partition_column_sql``  spelling of the column in the bounds query
 ``predicates``     list of WHERE clauses, one partition each (for a partition
                    column whose values are skewed, where equal strides would
@@ -28,6 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tributary.fixed import DEFAULT_TABLE
 
 DEFAULT_FETCHSIZE = 10000
+DEFAULT_ROWS_PER_PARTITION = 1_000_000
+DEFAULT_MAX_CONNECTIONS = 32
 
 
 class JdbcSource:
@@ -63,9 +69,17 @@ class JdbcSource:
         return "dbtable", str(self.conn.get("table") or DEFAULT_TABLE)
 
     def _bounds(self, spark: SparkSession, opts: dict[str, str], rel: str, col: str) -> tuple:
-        sql = f"SELECT MIN({col}) AS lo, MAX({col}) AS hi FROM {rel} b"
+        sql = f"SELECT MIN({col}) AS lo, MAX({col}) AS hi, COUNT(*) AS n FROM {rel} b"
         row = spark.read.format("jdbc").options(**opts).option("query", sql).load().first()
-        return (row[0], row[1]) if row is not None else (None, None)
+        return (row[0], row[1], row[2]) if row is not None else (None, None, 0)
+
+    def _partitions(self, spark: SparkSession, rows: int | None) -> int:
+        if self.conn.get("num_partitions"):
+            return max(1, int(self.conn["num_partitions"]))
+        cap = int(self.conn.get("max_connections", DEFAULT_MAX_CONNECTIONS))
+        per = int(self.conn.get("rows_per_partition", DEFAULT_ROWS_PER_PARTITION))
+        by_rows = -(-int(rows) // per) if rows else spark.sparkContext.defaultParallelism
+        return max(1, min(cap, by_rows, spark.sparkContext.defaultParallelism * 4))
 
     # -- read ----------------------------------------------------------
     def read(self, spark: SparkSession) -> DataFrame:
@@ -83,16 +97,17 @@ class JdbcSource:
         # Spark forbids ``query`` with a partition column: wrap it as a subquery.
         dbtable = rel if kind == "dbtable" else f"({rel}) q"
         lo, hi = self.conn.get("lower_bound"), self.conn.get("upper_bound")
-        if lo is None or hi is None:
+        rows = None
+        if lo is None or hi is None or not self.conn.get("num_partitions"):
             # ANSI-quoted by default; ``partition_column_sql`` overrides the spelling
             qcol = self.conn.get("partition_column_sql") or f'"{col}"'
             bounded = rel if kind == "dbtable" else f"({rel})"
-            blo, bhi = self._bounds(spark, opts, bounded, qcol)
+            blo, bhi, rows = self._bounds(spark, opts, bounded, qcol)
             lo = blo if lo is None else lo
             hi = bhi if hi is None else hi
         if lo is None or hi is None:  # empty relation: a single partition is enough
             return spark.read.format("jdbc").options(**opts).option("dbtable", dbtable).load()
-        n = int(self.conn.get("num_partitions") or spark.sparkContext.defaultParallelism)
+        n = self._partitions(spark, rows)
         return (
             spark.read.format("jdbc").options(**opts)
             .option("dbtable", dbtable)

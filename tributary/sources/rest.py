@@ -19,7 +19,9 @@ Options:
                endpoint containing ``{page}`` gets the number in its path instead
 ``requests_per_partition``  requests fetched by one task (default 1)
 ``partitions`` target number of tasks instead (requests spread evenly); the
-               connector's ``"auto"`` means twice the default parallelism
+               connector's ``"auto"`` means twice the default parallelism, at
+               most ``max_partitions`` (default 64): the endpoint, not the
+               cluster size, bounds the useful concurrency
 ``timeout``    seconds per request (default 30)
 ``mode``       ``FAILFAST`` (default): a failed request fails the task (Spark
                retries it); ``PERMISSIVE``: the row carries ``error`` and a NULL body
@@ -227,6 +229,7 @@ class RestSource:
         register(spark)
         opts = self.options(load_id)
         if opts.get("partitions") == "auto":
-            opts["partitions"] = str(2 * spark.sparkContext.defaultParallelism)
+            cap = int(self.conn.get("max_partitions", 64))
+            opts["partitions"] = str(max(1, min(cap, 2 * spark.sparkContext.defaultParallelism)))
         plan_requests(opts)  # fail early, on the driver
         return spark.read.format("rest_json").options(**opts).load()
