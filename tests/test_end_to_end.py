@@ -72,3 +72,19 @@ def test_audit_counts_every_run(spark, runner):
     hist = runner.run_history(100).collect()
     assert all(h.status == "SUCCESS" for h in hist)
     assert any(h.job_name == "api_single_job" for h in hist)
+
+
+def test_raw_documents_in_the_one_file_per_fetch_layout(spark, tmp_path):
+    from tributary.operators import normalize
+    from tributary.sources import read_documents
+
+    folder = tmp_path / "raw" / "posts"
+    folder.mkdir(parents=True)
+    (folder / "posts_20240101_120000.json").write_text(json.dumps(
+        [{"id": 1, "title": "a"}, {"id": 2, "title": "b", "extra": True}], indent=2))
+    (folder / "posts_20240102_120000.json").write_text(json.dumps({"id": 3, "title": "c"}, indent=2))
+    docs = read_documents(spark, str(tmp_path / "raw"))
+    assert sorted(r.load_id for r in docs.collect()) == ["20240101_120000", "20240102_120000"]
+    out = normalize(docs)
+    assert out.columns == ["id", "title"]  # the oldest document's first record decides
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "a"), (2, "b"), (3, "c")]

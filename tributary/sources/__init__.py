@@ -6,6 +6,7 @@ Types are looked up case-insensitively. ``odbc`` is accepted as an alias of
 
 from __future__ import annotations
 
+from tributary.sources.documents import read_documents
 from tributary.sources.jdbc import DEFAULT_TABLE, JdbcSource, jdbc_write
 from tributary.sources.rest import RESPONSE_SCHEMA, RestJsonDataSource, RestSource
 
@@ -41,6 +42,7 @@ __all__ = [
     "RestSource",
     "is_supported_type",
     "jdbc_write",
+    "read_documents",
     "register_type",
     "source_for",
     "supported_types",
