@@ -3,6 +3,7 @@ outcome of each source and the latest runs.
 
     python -m tributary run pipelines/ [--output-root DIR] [--format parquet]
                                        [--include-scheduled] [--history 10] [--master URL]
+                                       [--parallel-sources N]
 
 Under ``spark-submit`` the submitted configuration is used; otherwise a local
 session is started.
@@ -47,6 +48,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--include-scheduled", action="store_true")
     run.add_argument("--history", type=int, default=10)
     run.add_argument("--master", default=None)
+    run.add_argument("--parallel-sources", type=int, default=1)
     args = parser.parse_args(argv)
 
     pipelines = ([PipelineSpec.from_json(args.path)] if os.path.isfile(args.path)
@@ -55,7 +57,8 @@ def main(argv: list[str] | None = None) -> int:
         print(f"no pipelines found in {args.path}")
         return 0
     spark = _session(args.master)
-    runner = Runner(spark, args.output_root, table_format=args.format)
+    runner = Runner(spark, args.output_root, table_format=args.format,
+                    parallel_sources=args.parallel_sources)
     failures = 0
     for pipeline in pipelines:
         for r in runner.run_pipeline(pipeline, include_scheduled=args.include_scheduled):
