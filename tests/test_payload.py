@@ -158,3 +158,12 @@ def test_staged_and_two_pass_agree(responses):
     direct = normalize(responses(bodies), staging=False)
     assert staged.schema == direct.schema
     assert sorted(map(repr, staged.collect())) == sorted(map(repr, direct.collect()))
+
+
+@pytest.mark.parametrize("staging", [None, False])
+def test_keep_response_columns(spark, staging):
+    df = spark.createDataFrame([(5, '[{"a":1},{"a":2}]', "u1"), (7, '{"a":3}', "u2")],
+                               "seq bigint, body string, url string")
+    out = normalize(df, keep=("seq", "url"), staging=staging)
+    assert out.columns == ["seq", "url", "a"]
+    assert sorted(tuple(r) for r in out.collect()) == [(5, "u1", 1), (5, "u1", 2), (7, "u2", 3)]

@@ -38,7 +38,7 @@ def normalize(responses: DataFrame, *, schema: str = FIRST_RECORD, clean: bool =
     mode = _check_mode(mode)
     spark = responses.sparkSession
     ensure_json_semantics(spark)
-    base = ("source", "load_id", "seq") + tuple(keep)
+    base = tuple(dict.fromkeys(("source", "load_id", "seq") + tuple(keep)))
     recs = response_records(responses, body=body, mode=mode, clean=clean,
                             keep=base, keep_body=True)
     records = explode_records(recs, keep=base)
