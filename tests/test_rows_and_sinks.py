@@ -153,3 +153,13 @@ def test_property_raw_roundtrip(spark, rows):
     back = read_raw(spark, root, "p", df.schema, "l1")
     key = lambda r: repr(tuple(r))
     assert sorted(back.collect(), key=key) == sorted(df.collect(), key=key)
+
+
+def test_read_all_raw_loads_with_their_ids(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
+    root = scratch_dir(spark, "loads")
+    write_raw(df.filter("id = 1"), root, "s", "20240101_000000_000001")
+    write_raw(df.filter("id = 2"), root, "s", "20240102_000000_000001")
+    both = read_raw(spark, root, "s", df.schema, with_load_id=True)
+    assert sorted(tuple(r) for r in both.collect()) == [
+        (1, "a", "20240101_000000_000001"), (2, "b", "20240102_000000_000001")]

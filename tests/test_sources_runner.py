@@ -85,6 +85,10 @@ def test_rest_get_post_pages_errors(spark):
     spread = RestSource(SourceSpec("pg2", "api", {"endpoint": "http://h/p", "page_param": "page",
                                                   "pages": 10, "partitions": 3, "fetcher": STUB})).read(spark)
     assert spread.rdd.getNumPartitions() == 3 and spread.select("seq").distinct().count() == 10
+    listed = RestSource(SourceSpec("l", "api", {"endpoint": "http://h/x", "type": "POST", "body": {"q": 0},
+                                                "requests": [{"body": {"q": 1}}, {}],
+                                                "fetcher": STUB})).read(spark)
+    assert [json.loads(r.body)["echo"] for r in listed.orderBy("seq").collect()] == [{"q": 1}, {"q": 0}]
     perm = RestSource(SourceSpec("e", "api", {"endpoint": "http://h/status500", "mode": "PERMISSIVE",
                                               "fetcher": STUB})).read(spark).first()
     assert perm.error == "HTTP 500" and perm.body is None
