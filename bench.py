@@ -1,6 +1,7 @@
 """Headline ingestion jobs, timed. Prints one JSON line.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_EVENT_LOG_DIR (optional: write Spark's event log there, for stage and task times).
 
 Jobs (SURVEY §7.4 plus the heavier shaping queries):
   jdbc_scan_to_table   lineitem served over JDBC → partitioned scan → raw layer + table
@@ -46,7 +47,11 @@ def timed(fn):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app="tributary-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]}
+    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app="tributary-bench",
+                          extra=extra)
     t = lambda n: spark.read.parquet(f"{sf_dir}/{n}.parquet")
     times, rows = {}, {}
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")

@@ -12,6 +12,7 @@ from tributary.operators.payload import (
     response_records,
     skip_empty,
 )
+from tributary.operators.partitioning import spread_small
 from tributary.operators.rows import GENERIC_PREFIX, generic_columns, named_rows, positional
 from tributary.operators.schema import (
     FIRST_RECORD,
@@ -45,6 +46,7 @@ __all__ = [
     "response_outcomes",
     "response_records",
     "skip_empty",
+    "spread_small",
     "storage_type",
     "type_variant_columns",
 ]

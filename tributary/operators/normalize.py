@@ -55,3 +55,4 @@ def normalize(responses: DataFrame, *, schema: str = FIRST_RECORD, clean: bool =
         stats["records"] = int(metrics.get("records") or 0)
     st = schema_from_metrics(metrics.get("schema"), metrics.get("keys"), how=schema, mode=mode)
     return project_records(spark.read.parquet(path), st, mode=mode, keep=tuple(keep))
+

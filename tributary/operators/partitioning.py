@@ -1,0 +1,21 @@
+"""Spreading a small, scan-fed input over the cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when it has fewer partitions.
+
+    For inputs read straight from files (a few files, one parquet row group)
+    whose rows are expensive to process — the JSON parse in ``normalize``: a
+    round-robin exchange of the text is cheaper than parsing on a few cores.
+    A large input (at least one partition per core) is returned unchanged, so
+    this never adds a shuffle at scale. Use it only on exchange-free inputs:
+    counting the partitions of a plan with a shuffle would run that shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

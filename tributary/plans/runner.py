@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 
 from tributary.functions.text import raw_load_stamp
 from tributary.operators.normalize import normalize
+from tributary.operators.partitioning import spread_small
 from tributary.plans.specs import PipelineSpec, SourceSpec
 from tributary.session import shared_root
 from tributary.sinks.raw import read_raw, write_raw, write_raw_responses
@@ -120,7 +121,7 @@ class Runner:
             responses = connector.read(self.spark, load_id)
             write_raw_responses(responses.observe(obs, F.count(F.lit(1)).alias("n")),
                                 self.root, spec.name, load_id)
-            raw = read_raw(self.spark, self.root, spec.name, response_struct(), load_id)
+            raw = spread_small(read_raw(self.spark, self.root, spec.name, response_struct(), load_id))
             mode = str(spec.connection.get("mode", self.mode)).upper()
             staging = f"{self.root}/staging/{spec.name}/load_id={load_id}"
             stats: dict = {}

@@ -19,6 +19,7 @@ from tributary.operators import (
     normalize,
     positional,
     response_outcomes,
+    spread_small,
     type_variant_columns,
 )
 from tributary.plans.configs import (
@@ -63,7 +64,9 @@ def _jdbc(spark: SparkSession, df: DataFrame, fixture_table: str, **conn) -> Dat
 
 
 def _responses(df: DataFrame, seq, body) -> DataFrame:
-    return df.select(seq.cast("bigint").alias("seq"), body.alias("body"))
+    """Responses built row by row from a table scan (no exchange), spread over the
+    cores when the table arrives in fewer partitions (e.g. one row group)."""
+    return spread_small(df.select(seq.cast("bigint").alias("seq"), body.alias("body")))
 
 
 # ---------------------------------------------------------------- JDBC scans
