@@ -40,3 +40,14 @@ def test_history_is_a_top_k_and_summary_aggregates_partially(spark):
     assert "TakeOrderedAndProject" in _plan(run_history(audit, 10))
     plan = _plan(job_summary(audit))
     assert plan.count("HashAggregate") >= 2 and "partial_" in plan
+
+
+def test_spread_small_only_when_fewer_partitions_than_cores(spark):
+    from tributary.operators import spread_small
+
+    cores = spark.sparkContext.defaultParallelism
+    narrow = spark.range(0, 1000, numPartitions=1)
+    assert spread_small(narrow).rdd.getNumPartitions() == cores
+    wide = spark.range(0, 1000, numPartitions=cores * 2)
+    same = spread_small(wide)
+    assert same.rdd.getNumPartitions() == cores * 2 and "Exchange" not in _plan(same)
