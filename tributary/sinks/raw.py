@@ -150,4 +150,4 @@ def read_raw_positional(spark: SparkSession, root: str, source: str,
         schema = schema.add(LOAD_ID, T.StringType(), True)
     df = spark.read.schema(schema).format("text").load(path)
     return df.select(*([F.col(LOAD_ID)] if load_id is None else []),
-                     F.parse_json("value").try_cast("array<variant>").alias("row"))
+                     F.try_parse_json("value").try_cast("array<variant>").alias("row"))
