@@ -50,7 +50,9 @@ def test_record_list_and_single_record(spark, runner):
 def test_empty_payload_writes_no_table(spark, runner, name):
     r = _run(runner, name)
     assert r.status == "SUCCESS" and r.table_action == "skipped" and r.rows_written == 0
+    assert r.rows_read == 1  # the response was fetched ...
     assert not spark.catalog.tableExists(r.table)
+    assert _raw_bodies(spark, runner, r) == []  # ... but no raw data is written
 
 
 @pytest.mark.parametrize("name,columns,rows", [

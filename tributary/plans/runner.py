@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from tributary.functions.text import raw_load_stamp
 from tributary.operators.normalize import normalize
 from tributary.operators.partitioning import spread_small
+from tributary.operators.payload import text_has_data
 from tributary.plans.specs import PipelineSpec, SourceSpec
 from tributary.session import shared_root
 from tributary.sinks.raw import read_raw, write_raw, write_raw_responses
@@ -118,9 +119,11 @@ class Runner:
         its row count)."""
         obs = Observation(f"read_{uuid.uuid4().hex[:8]}")
         if isinstance(connector, RestSource):
-            responses = connector.read(self.spark, load_id)
-            write_raw_responses(responses.observe(obs, F.count(F.lit(1)).alias("n")),
-                                self.root, spec.name, load_id)
+            responses = connector.read(self.spark, load_id).observe(obs, F.count(F.lit(1)).alias("n"))
+            # like the reference, a fetch without data leaves no raw output: empty
+            # payloads and failed requests are counted as read but not written
+            with_data = responses.filter(text_has_data(F.col("body")) & F.col("error").isNull())
+            write_raw_responses(with_data, self.root, spec.name, load_id)
             raw = spread_small(read_raw(self.spark, self.root, spec.name, response_struct(), load_id))
             mode = str(spec.connection.get("mode", self.mode)).upper()
             staging = f"{self.root}/staging/{spec.name}/load_id={load_id}"
