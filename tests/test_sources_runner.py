@@ -69,6 +69,8 @@ def test_rest_plan_and_validation():
         plan_requests({"endpoint": "http://x", "method": "PUT"})
     with pytest.raises(ValueError, match="endpoint"):
         plan_requests({})
+    with pytest.raises(ValueError, match="array of objects"):
+        plan_requests({"endpoint": "http://x", "requests": "[1, 2]"})
 
 
 def test_rest_get_post_pages_errors(spark):

@@ -107,7 +107,7 @@ def _json_option(options: dict, key: str, default: Any) -> Any:
 
 
 def plan_requests(options: dict) -> list[Request]:
-    """Validate options (on the driver) and list the requests, one per partition."""
+    """Validate options (on the driver) and list the requests, numbered in order."""
     endpoint = options.get("endpoint")
     if not endpoint:
         raise ValueError("rest_json: option 'endpoint' is required")
@@ -120,8 +120,8 @@ def plan_requests(options: dict) -> list[Request]:
         raise ValueError("rest_json: option 'args' must be a JSON object")
     explicit = _json_option(options, "requests", None)
     if explicit is not None:
-        if not isinstance(explicit, list):
-            raise ValueError("rest_json: option 'requests' must be a JSON array")
+        if not isinstance(explicit, list) or not all(isinstance(r, dict) for r in explicit):
+            raise ValueError("rest_json: option 'requests' must be a JSON array of objects")
         return [Request(i, method, endpoint, {**args, **(r.get("args") or {})},
                         r.get("body", body)) for i, r in enumerate(explicit)]
     if options.get("page_param") or "{page}" in endpoint:
@@ -157,24 +157,24 @@ class RestJsonReader(DataSourceReader):
         for request in partition.requests:
             yield self._one(fetch, timeout, request)
 
-    def _one(self, fetch, timeout: float, partition: Request) -> tuple:
+    def _one(self, fetch, timeout: float, request: Request) -> tuple:
         source, load_id = self.options.get("source"), self.options.get("load_id")
-        shown = partition.url
-        if partition.method == "GET" and partition.params:
-            shown += "?" + urllib.parse.urlencode(partition.params)
+        shown = request.url
+        if request.method == "GET" and request.params:
+            shown += "?" + urllib.parse.urlencode(request.params)
         status, text, error = None, None, None
         try:
-            status, text = fetch(partition.method, partition.url, partition.params,
-                                 partition.body, timeout)
+            status, text = fetch(request.method, request.url, request.params,
+                                 request.body, timeout)
             if status is not None and status >= 400:
                 error = f"HTTP {status}"
         except Exception as e:  # transport failure
             error = f"{type(e).__name__}: {e}"
         if error is not None:
             if self.mode == "FAILFAST":
-                raise RuntimeError(f"rest_json request {partition.seq} to {shown} failed: {error}")
+                raise RuntimeError(f"rest_json request {request.seq} to {shown} failed: {error}")
             text = None
-        return (source, load_id, partition.seq, shown, status,
+        return (source, load_id, request.seq, shown, status,
                 _dt.datetime.now(_dt.timezone.utc), text, error)
 
 
