@@ -1,16 +1,18 @@
 """Record schema: first-record columns and type unification (N7, N8).
 
-Two passes over the record arrays, both distributed:
+Two steps over the exploded records, both distributed:
 
-1. one global aggregate (partial per partition, one tiny row out) computes
+1. two aggregates (``schema_metrics``; partial per task, one tiny row out):
    * ``schema_of_variant_agg`` over every record — the union of keys with a
      merged type per key (conflicting kinds merge to VARIANT), and
-   * ``min_by`` of the first response — its body text and first cleaned record.
-   The first record's key order is read from the body text with
-   ``json_object_keys`` (document order), intersected with the cleaned keys.
-   Only the key list and the schema string reach the driver.
-2. a projection ``variant_get(record, '$', struct<…>)`` (raises on a bad value)
-   or ``try_variant_get`` (NULL instead).
+   * ``min_by`` of the key list carried by each response's first record (read
+     from the body text in document order, see ``payload.first_keys``), ordered
+     by (load id, seq, position).
+   ``normalize`` observes them while staging the records; ``record_schema``
+   runs them as a job of their own. Only the key list and the schema string
+   reach the driver.
+2. a projection, one ``variant_get(record, '$[key]', type)`` per column
+   (raises on a bad value) or ``try_variant_get`` (NULL instead).
 
 Type mapping, as Python ``json`` + Arrow inference would type the values:
 whole numbers → BIGINT, any fraction or a mix of the two → DOUBLE, text →
