@@ -90,3 +90,14 @@ def test_raw_documents_in_the_one_file_per_fetch_layout(spark, tmp_path):
     out = normalize(docs)
     assert out.columns == ["id", "title"]  # the oldest document's first record decides
     assert sorted(tuple(r) for r in out.collect()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_staging_is_dropped_after_the_table_commit(spark, runner):
+    import os
+
+    from tributary.session import local_path
+
+    r = _run(runner, "records")
+    staging = local_path(f"{runner.root}/staging/{r.source}/load_id={r.load_id}")
+    assert r.table_action in ("created", "appended") and r.rows_written == 2
+    assert not os.path.exists(staging)

@@ -37,7 +37,7 @@ from tributary.operators.normalize import normalize
 from tributary.operators.partitioning import spread_small
 from tributary.operators.payload import text_has_data
 from tributary.plans.specs import PipelineSpec, SourceSpec
-from tributary.session import shared_root
+from tributary.session import delete_path, shared_root
 from tributary.sinks.raw import read_raw, write_raw, write_raw_responses
 from tributary.sinks.table import SKIPPED, write_table
 from tributary.sources import RestSource, source_for
@@ -101,7 +101,7 @@ class Runner:
                  table_format: str = "parquet", table_prefix: str = "",
                  audit_table: str = "ingest_runs", on_mismatch: str = "replace",
                  schema: str = "first_record", mode: str = "FAILFAST",
-                 parallel_sources: int = 1) -> None:
+                 parallel_sources: int = 1, keep_staging: bool = False) -> None:
         self.spark = spark
         self.root = (output_root or f"{shared_root(spark)}/output").rstrip("/")
         self.table_format = table_format
@@ -111,6 +111,7 @@ class Runner:
         self.schema = schema
         self.mode = mode
         self.parallel_sources = max(1, int(parallel_sources))
+        self.keep_staging = keep_staging
         self._audit_lock = threading.Lock()
 
     # -- one source -------------------------------------------------------
@@ -126,7 +127,7 @@ class Runner:
             write_raw_responses(with_data, self.root, spec.name, load_id)
             raw = spread_small(read_raw(self.spark, self.root, spec.name, response_struct(), load_id))
             mode = str(spec.connection.get("mode", self.mode)).upper()
-            staging = f"{self.root}/staging/{spec.name}/load_id={load_id}"
+            staging = self._staging_path(spec, load_id)
             stats: dict = {}
             shaped = normalize(raw, schema=spec.connection.get("schema", self.schema), mode=mode,
                                staging=staging, stats=stats)
@@ -139,6 +140,9 @@ class Runner:
         rows = int((obs.get or {}).get("n", 0))
         return rows, shaped, rows
 
+    def _staging_path(self, spec: SourceSpec, load_id: str) -> str:
+        return f"{self.root}/staging/{spec.name}/load_id={load_id}"
+
     def run_source(self, spec: SourceSpec) -> RunResult:
         self.spark.sparkContext.setJobDescription(f"tributary {spec.job_name}")
         started = _dt.datetime.now(_dt.timezone.utc)
@@ -155,6 +159,9 @@ class Runner:
                 load = write_table(shaped, table, fmt=self.table_format, known_rows=rows_shaped,
                                    path=f"{self.root}/tables/{table}", on_mismatch=self.on_mismatch)
                 action, rows_written = load.action, load.rows
+            if not self.keep_staging:
+                # the table is committed; the raw layer stays the durable copy
+                delete_path(self.spark, self._staging_path(spec, load_id))
         except Exception as e:  # noqa: BLE001 - a failing source must not stop the others
             status = FAILURE
             error = f"{type(e).__name__}: {_short_message(e)}"

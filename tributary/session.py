@@ -114,3 +114,11 @@ def local_path(path: str) -> str:
     if ":" in path.split("/", 1)[0]:
         raise ValueError(f"not a local path: {path}")
     return path
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` on whatever filesystem it lives on (Hadoop API)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.exists(p) and fs.delete(p, True))
