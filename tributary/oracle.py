@@ -99,4 +99,5 @@ ORACLE_SQL: dict[str, str] = {
           "ORDER BY c_custkey) - 1 AS INTEGER) AS idx, name, src_type, connection, schedule, error, "
           "error IS NULL AS valid FROM v",
     "incremental_load": "SELECT * FROM events",
+    "incremental_responses": "SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
 }

@@ -43,7 +43,7 @@ from tributary.sinks.raw import (
 from tributary.sinks.table import write_table
 from tributary.sources.jdbc import JdbcSource
 from tributary.sources.rest import response_struct
-from tributary.streaming import LOAD_COL, incremental_load
+from tributary.streaming import LOAD_COL, incremental_load, incremental_responses_load
 
 # Page size of the synthetic API responses: every response body holds at most
 # this many records, whatever the key distribution.
@@ -418,6 +418,23 @@ def incremental_load_q(spark, d):
     return spark.table(name).drop(LOAD_COL)
 
 
+def incremental_responses(spark, d):
+    """API responses (events' ``props`` bodies) landing in the raw layer in two
+    loads; each stream run normalizes what is new and appends it."""
+    e = _t(spark, d, "events")
+    root = scratch_dir(spark, "stream")
+    early = F.col("event_type").isin("view", "click")
+    responses = e.select(F.col("event_id").alias("seq"), F.col("props").alias("body"))
+    write_raw_responses(responses.filter(early), root, "events_api", "a")
+    name = unique_name("inc_api")
+    kw = dict(checkpoint=f"{root}/_checkpoint", table_path=f"{root}/tables/{name}")
+    folder = raw_path(root, "events_api")
+    incremental_responses_load(spark, folder, name, **kw)
+    write_raw_responses(responses.filter(~early), root, "events_api", "b")
+    incremental_responses_load(spark, folder, name, **kw)
+    return spark.table(name).drop(LOAD_COL)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "jdbc_table_scan": jdbc_table_scan,
     "jdbc_default_table": jdbc_default_table,
@@ -451,4 +468,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_validation": source_validation,
     "source_configs": source_configs,
     "incremental_load": incremental_load_q,
+    "incremental_responses": incremental_responses,
 }
