@@ -58,6 +58,11 @@ def test_jdbc_predicates_one_partition_each(spark, derby):
     assert sorted(r.id for r in df.collect()) == [1, 2, 3]
 
 
+def test_jdbc_duplicate_column_names_are_refused(spark, derby):
+    with pytest.raises(ValueError, match="alias the columns"):
+        _src(derby, query='SELECT "id", "name" AS "id" FROM TEST_TABLE').read(spark)
+
+
 def test_jdbc_needs_url(spark):
     with pytest.raises(ValueError, match="ODBC"):
         _src(None, odbc_connection_string="DRIVER=x").read(spark)

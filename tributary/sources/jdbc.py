@@ -83,6 +83,29 @@ class JdbcSource:
 
     # -- read ----------------------------------------------------------
     def read(self, spark: SparkSession) -> DataFrame:
+        """The source as a DataFrame (lazy: rows are fetched by the tasks).
+
+        Column names must be unique (case-insensitively, as Spark resolves them);
+        a query returning a repeated name is refused with a hint to alias it.
+        """
+        try:
+            df = self._read(spark)
+        except Exception as e:  # noqa: BLE001 - add a hint, keep the cause
+            text = str(e)
+            if any(k in text for k in ("more than one result column", "uplicate column",
+                                       "ambiguous", "already exists")):
+                raise ValueError(f"source {self.spec.name!r}: the query returns a column name "
+                                 "more than once; alias the columns so every name is unique") from e
+            raise
+        seen: dict[str, str] = {}
+        for name in df.columns:
+            if name.lower() in seen:
+                raise ValueError(f"source {self.spec.name!r}: columns {seen[name.lower()]!r} and "
+                                 f"{name!r} clash; alias the columns so every name is unique")
+            seen[name.lower()] = name
+        return df
+
+    def _read(self, spark: SparkSession) -> DataFrame:
         opts = self._base_options()
         kind, rel = self.relation()
         preds = self.conn.get("predicates")
