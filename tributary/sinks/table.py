@@ -55,11 +55,18 @@ def same_columns(a: T.StructType, b: T.StructType) -> bool:
 
 
 def delta_available(spark) -> bool:
-    try:
-        spark._jvm.java.lang.Class.forName("io.delta.tables.DeltaTable")
-        return True
-    except Exception:
-        return False
+    """Whether the Delta Lake classes are on the session's classpath (including jars
+    added with ``--packages``, which the context class loader sees)."""
+    name = "io.delta.tables.DeltaTable"
+    jvm = spark._jvm
+    for load in (lambda: jvm.java.lang.Thread.currentThread().getContextClassLoader().loadClass(name),
+                 lambda: jvm.java.lang.Class.forName(name)):
+        try:
+            load()
+            return True
+        except Exception:  # noqa: BLE001 - not found by this loader
+            continue
+    return False
 
 
 def _path_has_data(spark, path: str) -> bool:
