@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions.text import cron_column
+from tributary.operators.payload import text_has_data
 from tributary.sources import supported_types
 
 CONFIG_COLUMNS = ["pipeline", "idx", "name", "src_type", "connection", "schedule"]
@@ -64,6 +65,9 @@ def pipeline_sources(files: DataFrame) -> DataFrame:
         .otherwise(F.col("idx")).alias("idx"),
         F.try_variant_get(src, "$.name", "string").alias("name"),
         F.try_variant_get(src, "$.src_type", "string").alias("src_type"),
+        # Python truthiness of the raw values (0, false, [], {} are empty too)
+        text_has_data(F.to_json(F.try_variant_get(src, "$.name", "variant"))).alias("_has_name"),
+        text_has_data(F.to_json(F.try_variant_get(src, "$.src_type", "variant"))).alias("_has_type"),
         F.when(conn.isNotNull() & ~F.is_variant_null(conn), F.to_json(conn)).alias("connection"),
         F.try_variant_get(src, "$.schedule", "string").alias("schedule"),
         F.coalesce(F.size(conn.try_cast("map<string,variant>")), F.lit(-1)).alias("_conn_size"),
@@ -74,18 +78,22 @@ def pipeline_sources(files: DataFrame) -> DataFrame:
 
 
 def source_checks(name: Column, src_type: Column, conn_size: Column, has_schedule: Column,
-                  schedule_is_text: Column, schedule: Column) -> list[Column]:
+                  schedule_is_text: Column, schedule: Column, has_name: Column | None = None,
+                  has_type: Column | None = None) -> list[Column]:
     """Each validation check of a source row: its message, or NULL when it passes
     (same checks and order as ``tributary.plans.specs.source_errors``).
-    ``conn_size`` is -1 when the connection is not an object."""
+    ``conn_size`` is -1 when the connection is not an object; ``has_name`` /
+    ``has_type`` give Python truthiness of non-text values where known."""
     types = F.array(*[F.lit(t) for t in supported_types()])
     empty = lambda c: c.isNull() | (c == "")
+    no_name = empty(name) if has_name is None else ~has_name
+    no_type = empty(src_type) if has_type is None else ~has_type
     return [
-        F.when(empty(name), F.lit("source name is empty")),
-        F.when(empty(src_type), F.lit("source type is empty")),
+        F.when(no_name, F.lit("source name is empty")),
+        F.when(no_type, F.lit("source type is empty")),
         F.when(conn_size < 0, F.lit("connection must be an object"))
         .when(conn_size == 0, F.lit("connection is empty")),
-        F.when(~empty(src_type) & ~F.array_contains(types, F.lower(src_type)),
+        F.when(~no_type & ~F.array_contains(types, F.lower(src_type)),
                F.concat(F.lit("unsupported source type '"), src_type, F.lit("'"))),
         F.when(has_schedule & ~schedule_is_text, F.lit("schedule must be a string"))
         .when(has_schedule & ~cron_column(schedule),
@@ -107,7 +115,7 @@ def validate_sources(sources: DataFrame) -> DataFrame:
     """Adds ``errors`` (every failure), ``error`` (the first, or NULL) and ``valid``
     to ``pipeline_sources`` output."""
     args = (F.col("name"), F.col("src_type"), F.col("_conn_size"), F.col("_has_schedule"),
-            F.col("_schedule_is_text"), F.col("schedule"))
+            F.col("_schedule_is_text"), F.col("schedule"), F.col("_has_name"), F.col("_has_type"))
     errors = F.when(F.col("file_error").isNotNull(), F.array(F.col("file_error"))) \
         .otherwise(source_errors_column(*args))
     err = F.coalesce(F.col("file_error"), source_error(*args))
