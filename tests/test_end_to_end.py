@@ -101,3 +101,13 @@ def test_staging_is_dropped_after_the_table_commit(spark, runner):
     staging = local_path(f"{runner.root}/staging/{r.source}/load_id={r.load_id}")
     assert r.table_action in ("created", "appended") and r.rows_written == 2
     assert not os.path.exists(staging)
+
+
+def test_documents_without_a_stamp_use_the_file_name(spark, tmp_path):
+    from tributary.sources import read_documents
+
+    folder = tmp_path / "docs" / "inventory"
+    folder.mkdir(parents=True)
+    (folder / "snapshot.json").write_text(json.dumps([{"sku": "a", "qty": 1}]))
+    row = read_documents(spark, str(tmp_path / "docs")).first()
+    assert (row.source, row.load_id) == ("inventory", "snapshot.json")
