@@ -192,6 +192,11 @@ def test_example_pipelines_validate():
     assert {"warehouse_orders", "warehouse_open_orders", "catalog_items", "catalog_search"} <= names
 
 
+def test_runner_refuses_delta_without_the_package(spark):
+    with pytest.raises(RuntimeError, match="Delta"):
+        Runner(spark, scratch_dir(spark, "d"), table_format="delta")
+
+
 def test_runner_parallel_sources(spark, derby):
     runner = Runner(spark, scratch_dir(spark, "par"), table_prefix=unique_name("par") + "_",
                     audit_table=unique_name("runs"), parallel_sources=3)

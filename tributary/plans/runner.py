@@ -39,7 +39,7 @@ from tributary.operators.payload import text_has_data
 from tributary.plans.specs import PipelineSpec, SourceSpec
 from tributary.session import delete_path, shared_root
 from tributary.sinks.raw import read_raw, write_raw, write_raw_responses
-from tributary.sinks.table import SKIPPED, write_table
+from tributary.sinks.table import SKIPPED, delta_available, write_table
 from tributary.sources import RestSource, source_for
 from tributary.sources.rest import response_struct
 
@@ -112,6 +112,8 @@ class Runner:
         self.mode = mode
         self.parallel_sources = max(1, int(parallel_sources))
         self.keep_staging = keep_staging
+        if table_format == "delta" and not delta_available(spark):
+            raise RuntimeError("table_format='delta' needs the Delta Lake package on the classpath")
         self._audit_lock = threading.Lock()
 
     # -- one source -------------------------------------------------------
