@@ -182,7 +182,7 @@ class Runner:
         With ``parallel_sources > 1`` that many sources run at once (Spark
         schedules their jobs side by side); results keep the pipeline's order.
         """
-        specs = [s for s in pipeline.sources if include_scheduled or not s.schedule]
+        specs = list(pipeline.sources) if include_scheduled else pipeline.unscheduled()
         if self.parallel_sources == 1 or len(specs) < 2:
             return [self.run_source(s) for s in specs]
         with ThreadPoolExecutor(max_workers=self.parallel_sources) as pool:
