@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.functions.names import column
+from tributary.session import shared_root
 
 log = logging.getLogger(__name__)
 
@@ -123,6 +124,7 @@ def write_table(df: DataFrame, table: str, *, fmt: str = "parquet", path: str |
     if action == REPLACED and _reads_table(out, spark, table):
         # the new data is derived from the table it replaces: Spark cannot overwrite a
         # location it is reading, so stage the rows first (reliable checkpoint)
+        shared_root(spark)  # the checkpoint dir: from the session, or set where unset
         out = out.checkpoint(eager=True)
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = out.write.format(fmt).mode(mode)
