@@ -53,3 +53,48 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def parts_for(count: int, each: int) -> int:
     return max(1, math.ceil(count / each))
+
+
+# ---------------------------------------------------------------- bit tables
+#: Bits of a bit table: 2**23 are 1 MB, whatever the input's size.
+TABLE_BITS = 1 << 23
+_BUCKET = 32768  # bits in a row of the table, as bitmap_construct_agg builds them
+
+
+class BitTable:
+    """Tells of a key whether it may be among ``keys``, without a shuffle of the asking rows.
+
+    ``keys`` has one bigint column ``key``, a hash. Each key sets one of ``bits`` bits;
+    the table is at most bits / 8 bytes and is broadcast. A bit set by another key makes
+    a row look like a member, so what members get must be exact for others too.
+    """
+
+    def __init__(self, keys: DataFrame, purpose: str, bits: int = TABLE_BITS):
+        self.bits = bits
+        slot = F.pmod(F.col("key"), F.lit(bits))
+        self.table = staged(keys.groupBy(F.floor(slot / _BUCKET).cast("int").alias("bucket"))
+                            .agg(F.bitmap_construct_agg(F.pmod(slot, F.lit(_BUCKET))).alias("bits")), purpose)
+
+    def flag(self, df: DataFrame, key: Column, name: str) -> DataFrame:
+        """``df`` with the boolean column ``name``: ``key`` may be in the table."""
+        slot_c, bucket_c, bits_c = free_names(df, "slot", "bucket", "bits")
+        table = F.broadcast(self.table.select(F.col("bucket").alias(bucket_c), F.col("bits").alias(bits_c)))
+        slotted = df.withColumn(slot_c, F.pmod(key, F.lit(self.bits)))
+        joined = slotted.join(table, F.floor(F.col(slot_c) / _BUCKET).cast("int") == F.col(bucket_c), "left")
+        at = F.pmod(F.col(slot_c), F.lit(_BUCKET)).cast("int")
+        byte = F.conv(F.hex(F.substring(F.col(bits_c), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        is_set = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), F.pmod(at, F.lit(8)))) != 0
+        return joined.withColumn(name, F.coalesce(is_set, F.lit(False))).drop(slot_c, bucket_c, bits_c)
+
+
+def without_ids(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """``df`` without the rows whose id is in ``ids`` (one column ``id``, not null).
+
+    Only rows whose id may be among them are shuffled; the rest pass in their partition.
+    """
+    ids = staged(ids.distinct(), "ids")
+    (flag,) = free_names(df, "listed")
+    flagged = BitTable(ids.select(F.xxhash64("id").alias("key")), "id-bits").flag(df, F.xxhash64(F.col(id_col)), flag)
+    rest = flagged.where(flag).join(ids, F.col(id_col) == F.col("id"), "left_anti")
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    return flagged.where(~F.col(flag)).select(*cols).unionByName(rest.select(*cols))

@@ -13,12 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tributary.llm.common import SPACE, free_names, staged, text_or_empty
+from tributary.llm.common import SPACE, TABLE_BITS, BitTable, free_names, staged, text_or_empty
 
 PREFIX_CHARS = 256
-#: Bits of the table of surviving pairs. It is broadcast: 2**23 bits are 1 MB at most.
-SURVIVOR_BITS = 1 << 23
-_BUCKET = 32768  # bits of one row of the table, as bitmap_construct_agg builds them
 
 
 def normal_text(text: str) -> Column:
@@ -26,55 +23,29 @@ def normal_text(text: str) -> Column:
     return F.regexp_replace(text_or_empty(text), f"{SPACE}+", " ")
 
 
-def _pair(norm: Column) -> tuple[Column, Column]:
-    return F.octet_length(norm), F.xxhash64(F.substring(norm, 1, PREFIX_CHARS))
+def _pair(text: str) -> Column:
+    """Hash of length and prefix hash."""
+    norm = normal_text(text)
+    return F.xxhash64(F.octet_length(norm), F.xxhash64(F.substring(norm, 1, PREFIX_CHARS)))
 
 
-def _slot(n: Column, prefix: Column, bits: int) -> Column:
-    return F.pmod(F.xxhash64(n, prefix), F.lit(bits))
+def _refined(df: DataFrame, text: str, bits: int) -> BitTable:
+    """Levels one and two: the (length, prefix hash) pairs that two or more rows of ``df`` have."""
+    norm = normal_text(text)
+    narrow = df.select(F.octet_length(norm).alias("n"), F.xxhash64(F.substring(norm, 1, PREFIX_CHARS)).alias("prefix"))
+    pairs = narrow.groupBy("n", "prefix").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    return BitTable(pairs.select(F.xxhash64("n", "prefix").alias("key")), "dedup-pairs", bits)
 
 
-class Refinement:
-    """Levels one and two of the refinement of ``df``.
-
-    Built by one aggregation of (length, prefix hash); ``flag`` then tells from a
-    row alone whether its pair may have company.
-    """
-
-    def __init__(self, df: DataFrame, text: str, bits: int = SURVIVOR_BITS):
-        self.text, self.bits = text, bits
-        norm = normal_text(text)
-        n, prefix = _pair(norm)
-        pairs = df.select(n.alias("n"), prefix.alias("prefix")).groupBy("n", "prefix").agg(F.count(F.lit(1)).alias("c"))
-        slot = _slot(F.col("n"), F.col("prefix"), bits)
-        table = (pairs.where("c > 1")
-                 .select(F.expr("n").alias("n"), slot.alias("slot"))
-                 .groupBy(F.floor(F.col("slot") / _BUCKET).cast("int").alias("bucket"))
-                 .agg(F.bitmap_construct_agg(F.pmod(F.col("slot"), F.lit(_BUCKET))).alias("bits")))
-        self.table = staged(table, "dedup-pairs")  # at most bits / _BUCKET rows of 4 KB
-
-    def flag(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` with the boolean column ``name``: this row's pair may have company."""
-        n, prefix = _pair(normal_text(self.text))
-        slot_c, bucket_c, bits_c = free_names(df, "slot", "bucket", "bits")
-        slotted = df.withColumn(slot_c, _slot(n, prefix, self.bits))
-        table = F.broadcast(self.table.select(F.col("bucket").alias(bucket_c), F.col("bits").alias(bits_c)))
-        here = F.floor(F.col(slot_c) / _BUCKET).cast("int")
-        joined = slotted.join(table, here == F.col(bucket_c), "left")
-        at = F.pmod(F.col(slot_c), F.lit(_BUCKET)).cast("int")
-        byte = F.conv(F.hex(F.substring(F.col(bits_c), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        is_set = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), F.pmod(at, F.lit(8)))) != 0
-        return joined.withColumn(name, F.coalesce(is_set, F.lit(False))).drop(slot_c, bucket_c, bits_c)
-
-
-def _groups(df: DataFrame, refined: Refinement, id_col: str) -> DataFrame:
+def _groups(df: DataFrame, refined: BitTable, text: str, id_col: str) -> DataFrame:
     """Level three: (hash, keep, size, lead) of every group of two or more equal texts.
 
     ``lead`` counts the rows that carry the smallest id; it is over 1 only where a
     row is repeated with its id.
     """
-    full = (refined.flag(df.select(id_col, refined.text), "__alike").where("__alike")
-            .select(F.sha2(normal_text(refined.text), 256).alias("hash"), F.col(id_col).alias("id")))
+    narrow = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    full = (refined.flag(narrow, _pair("text"), "alike").where("alike")
+            .select(F.sha2(normal_text("text"), 256).alias("hash"), "id"))
     by_id = full.groupBy("hash", "id").agg(F.count(F.lit(1)).alias("rows"))
     # null ids come last: any id is preferred to none
     first = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("rows").alias("rows"))
@@ -107,48 +78,42 @@ def _matched(df: DataFrame, groups: DataFrame, id_col: str, hash_c: str, names:
     return (_only_one(out, kept, hash_c, lead) if ties else out).drop(lead)
 
 
-def exact_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id",
-                     bits: int = SURVIVOR_BITS) -> DataFrame:
+def exact_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id", bits: int = TABLE_BITS,
+                     digest_all: bool = False) -> DataFrame:
     """One row per row of ``df``: its id, keep_id, group_size and kept.
 
     Equal means identical after white-space runs became one space; a null text is
     empty. keep_id is the smallest id of the group (a null id only where the group has
     no other). A row repeated with its id is kept once. An empty table gives none.
+    ``digest_all`` adds text_sha256, the full hash of every normalised text, which
+    costs a full hash for rows without company too.
     """
-    refined = Refinement(df, text, bits)
-    groups = _groups(df, refined, id_col)
+    refined = _refined(df, text, bits)
+    groups = _groups(df, refined, text, id_col)
     narrow = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    inner = Refinement.__new__(Refinement)
-    inner.text, inner.bits, inner.table = "text", refined.bits, refined.table
-    # rows without company get a key of their own, so that they spread over the tasks
-    alone = F.concat(F.lit("alone "), F.coalesce(F.xxhash64("id", F.length("text")), F.lit(0)).cast("string"))
-    rows = inner.flag(narrow, "alike").select(
-        "id", F.when(F.col("alike"), F.sha2(normal_text("text"), 256)).otherwise(alone).alias("hash"))
+    full = F.sha2(normal_text("text"), 256)
+    if digest_all:
+        rows = narrow.select("id", full.alias("hash"))
+    else:  # rows without company get a key of their own, so that they spread over the tasks
+        alone = F.concat(F.lit("alone "), F.xxhash64("id", F.length("text")).cast("string"))
+        rows = refined.flag(narrow, _pair("text"), "alike").select(
+            "id", F.when(F.col("alike"), full).otherwise(alone).alias("hash"))
     out = _matched(rows, groups, "id", "hash", ["keep_id", "group_size", "kept", "lead"])
-    return out.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept")
+    return out.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept",
+                      *[F.col("hash").alias("text_sha256")] * digest_all)
 
 
 def drop_exact_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id",
-                          bits: int = SURVIVOR_BITS) -> DataFrame:
+                          bits: int = TABLE_BITS) -> DataFrame:
     """``df`` without the rows that ``exact_duplicates`` does not keep, columns unchanged.
 
     Only rows that may have company are shuffled; the others pass in their partition.
     """
-    refined = Refinement(df, text, bits)
-    groups = _groups(df, refined, id_col)
+    refined = _refined(df, text, bits)
+    groups = _groups(df, refined, text, id_col)
     alike, hash_c, keep, size, kept, lead = free_names(df, "alike", "hash", "keep", "size", "kept", "lead")
-    flagged = refined.flag(df, alike)
-    unique = flagged.where(~F.col(alike)).select(*[F.col(f"`{c}`") for c in df.columns])
+    flagged = refined.flag(df, _pair(text), alike)
+    cols = [F.col(f"`{c}`") for c in df.columns]
     rest = flagged.where(alike).withColumn(hash_c, F.sha2(normal_text(text), 256))
     rest = _matched(rest, groups, id_col, hash_c, [keep, size, kept, lead])
-    return unique.unionByName(rest.where(kept).select(*[F.col(f"`{c}`") for c in df.columns]))
-
-
-def dedup_report(df: DataFrame, text: str = "text", id_col: str = "doc_id",
-                 bits: int = SURVIVOR_BITS) -> DataFrame:
-    """``exact_duplicates`` with text_sha256, the hash of every normalised text."""
-    refined = Refinement(df, text, bits)
-    groups = _groups(df, refined, id_col)
-    rows = df.select(F.col(id_col).alias("doc_id"), F.sha2(normal_text(text), 256).alias("text_sha256"))
-    out = _matched(rows, groups, "doc_id", "text_sha256", ["keep_id", "group_size", "kept", "lead"])
-    return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return flagged.where(~F.col(alike)).select(*cols).unionByName(rest.where(kept).select(*cols))

@@ -32,7 +32,7 @@ from tributary.session import ship_package
 MAGIC = b"PLANES01"
 BLOCK_IDS = 1 << 16
 LEVEL = 3
-#: Forms of words that a Python worker remembers with their ids.
+#: Forms of words that a Python worker remembers with their ids, in each of two generations.
 REMEMBERED = 400_000
 #: Long texts are tokenized in pieces of about so many characters, cut at spaces.
 PIECE_CHARS = 1 << 20
@@ -151,7 +151,7 @@ class _Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.lib, self.known = Tokenizer.from_file(path), {"": b""}
+        self.lib, self.known, self.older = Tokenizer.from_file(path), {"": b""}, {}
         self.lib.no_padding()
         self.lib.no_truncation()
         names = [t.content for t in self.lib.get_added_tokens_decoder().values() if t.special]
@@ -163,9 +163,9 @@ class _Encoder:
         for i in range(0, len(plain), 2000):
             some = plain[i:i + 2000]
             ids = np.array(self.lib.encode_batch_fast([self.part.join(some)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(ids == self.part_id)
-            for w, own in zip(some, np.split(ids, cuts)):
-                self.known[w] = own[1:].tobytes() if len(own) and own[0] == self.part_id else own.tobytes()
+            raw, cuts = ids.tobytes(), (np.flatnonzero(ids == self.part_id) * 4).tolist()
+            for w, a, b in zip(some, [-4, *cuts], [*cuts, len(raw)]):
+                self.known[w] = raw[a + 4:b]
         odd = [w for w in words if not self.part or "<|" in w]
         for w, e in zip(odd, self.lib.encode_batch_fast(odd, add_special_tokens=False) if odd else []):
             self.known[w] = np.array(e.ids, "<u4").tobytes()
@@ -173,11 +173,16 @@ class _Encoder:
     def batch(self, texts: list[str | None]) -> Iterator[list[bytes]]:
         """For each text, its ids as little-endian 32-bit integers, in parts."""
         split = [[p.replace("\n", " ").replace("\t", " ").split(" ") for p in _pieces(t or "")] for t in texts]
-        new = {w for pieces in split for words in pieces for w in words}.difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            new = {w for pieces in split for words in pieces for w in words} - {""}
-            self.known = {"": b""}
-        self._learn(list(new))
+        words = {w for pieces in split for words in pieces for w in words}
+        if len(self.known) + len(words) > REMEMBERED:
+            self.older, self.known = self.known, {"": b""}
+        new = []
+        for w in words.difference(self.known):
+            if (ids := self.older.get(w)) is None:
+                new.append(w)
+            else:
+                self.known[w] = ids
+        self._learn(new)
         known = self.known
         for pieces in split:
             yield [b"".join([known[w] for w in words]) for words in pieces]

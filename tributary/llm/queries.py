@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import exact, planes, urls
+from tributary.llm import exact, planes, simhash, urls
 from tributary.session import scratch_dir
 
 
@@ -33,8 +33,13 @@ def op1_plane_tokens(spark, d):
     return planes.read_token_files(files)
 
 
+def op3_simhash_pivots(spark, d):
+    found = simhash.near_duplicates(_t(spark, d, "documents"), words=3, bits=2)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op4_exact_dedup(spark, d):
-    return exact.dedup_report(_t(spark, d, "documents"))
+    return exact.exact_duplicates(_t(spark, d, "documents"), digest_all=True)
 
 
 def op5_url_rules(spark, d):
@@ -44,6 +49,7 @@ def op5_url_rules(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_plane_tokens": op1_plane_tokens,
+    "op3_simhash_pivots": op3_simhash_pivots,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_url_rules": op5_url_rules,
 }
