@@ -104,11 +104,15 @@ def _masks(bits: int) -> list[int]:
 def _cells(fp: Column, bits: int) -> Column:
     """Every cell along the first CUTS pivots in which a partner could look for this fingerprint."""
     width = bits + 1
+
+    def cross(cells: Column, own: Column) -> Column:
+        return F.flatten(F.transform(cells, lambda x: F.transform(own, lambda y: x * 128 + y)))
+
     cells = F.array(F.lit(0))
     for p in pivots()[:CUTS]:
         c = F.bit_count(fp.bitwiseXOR(F.lit(_signed(p))))
-        own = F.array_distinct(F.array(F.floor(c / width).cast("int"), F.floor((c + bits) / width).cast("int")))
-        cells = F.flatten(F.transform(cells, lambda x, own=own: F.transform(own, lambda y: x * 128 + y)))
+        cells = cross(cells, F.array_distinct(F.array(F.floor(c / width).cast("int"),
+                                                      F.floor((c + bits) / width).cast("int"))))
     return cells
 
 
