@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import exact, planes, simhash, urls
+from tributary.llm import exact, pieces, planes, quality, simhash, urls
 from tributary.session import scratch_dir
 
 
@@ -47,9 +47,22 @@ def op5_url_rules(spark, d):
     return urls.judge_urls(_t(spark, d, "pages"), rules, keep=("page_id",))
 
 
+PIECE_MODEL, DROPOUT_SEED, DROPOUT_RATE = "piece_bpe_32k.model", 2024, 0.1
+
+
+def op6_merge_dropout(spark, d):
+    return pieces.encode_pieces(_t(spark, d, "documents"), vocabulary(PIECE_MODEL), DROPOUT_SEED, DROPOUT_RATE)
+
+
+def op8_compression_bands(spark, d):
+    return quality.quality_report(_t(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_plane_tokens": op1_plane_tokens,
     "op3_simhash_pivots": op3_simhash_pivots,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_url_rules": op5_url_rules,
+    "op6_merge_dropout": op6_merge_dropout,
+    "op8_compression_bands": op8_compression_bands,
 }
