@@ -21,7 +21,6 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +28,7 @@ from tributary.session import ship_package
 
 MARK = "\u2581"
 #: Segmentations that each word form can get.
-VARIANTS = 8
+VARIANTS = 4
 #: Words that a Python worker remembers, in each of two generations.
 REMEMBERED = 400_000
 #: Words of more symbols are merged one by one; the others many at a time.
@@ -45,6 +44,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+
+
 class Pieces:
     """A SentencePiece BPE model's pieces, merges and byte pieces."""
 
@@ -83,6 +86,10 @@ class Pieces:
         by = np.argsort(keys)
         self.keys, self.made = keys[by], np.array(list(self.merges.values()), np.int64)[by]
         self.ranks = np.array([self.rank[i] for i in self.made], np.int64)
+        self.of_char = np.full(0x110000, -1, np.int64)
+        for name, symbol in symbols.items():
+            if len(name) == 1:
+                self.of_char[ord(name)] = symbol
 
     def ids_of(self, symbol: int, char: str) -> list[int]:
         if 0 <= symbol < self.n:
@@ -98,8 +105,11 @@ class Segmenter:
         self.least = np.uint64(min(int(rate * 2.0**64), (1 << 64) - 1))
         self.never = rate <= 0
 
-    def _salt(self, word: str, variant: int) -> int:
-        return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), (self.seed * 1000003 + variant) & (2**64 - 1))
+    def _salts(self, chars: np.ndarray, place: np.ndarray, first: np.ndarray, variants: list[int]) -> np.ndarray:
+        """A hash of each word, the variant and the seed; ``chars`` are the words' code points."""
+        each = _mix(chars.astype(np.uint64) << np.uint64(32) ^ place.astype(np.uint64))
+        own = np.uint64((self.seed * 0x9E3779B97F4A7C15) & (2**64 - 1)) ^ np.array(variants, np.uint64)
+        return _mix(np.add.reduceat(each, first) ^ _mix(own))
 
     def _skipped(self, salts: np.ndarray, a: np.ndarray, m: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether the merge of [a, m) and [m, b) is skipped, for many candidates."""
@@ -111,7 +121,7 @@ class Segmenter:
         p, n = self.p, len(word)
         sym = [p.symbols.get(c, -1) for c in word]
         end, prev, nxt = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
-        salt = np.array([self._salt(word, variant)], np.uint64)
+        salt = self._salts(_points(word), np.arange(n), np.array([0]), [variant])
         agenda: list[tuple[int, int, int, int]] = []
 
         def offer(i: int, j: int) -> None:
@@ -140,32 +150,32 @@ class Segmenter:
             i = nxt[i]
         return out
 
-    def many(self, words: list[str], variants: list[int]) -> list[list[int]]:
+    def many(self, words: list[str], variants: list[int]) -> list[bytes]:
         """``one`` for many words together: each round makes the best merge of every word."""
-        short = [k for k, w in enumerate(words) if 0 < len(w) <= LONG_WORD]
-        out: list[list[int]] = [[]] * len(words)
+        out = [b""] * len(words)
+        short = []
         for k, w in enumerate(words):
             if len(w) > LONG_WORD:
-                out[k] = self.one(w, variants[k])
+                out[k] = np.array(self.one(w, variants[k]), "<i4").tobytes()
+            elif w:
+                short.append(k)
         if not short:
             return out
         p = self.p
-        text = "".join(words[k] for k in short)
-        sizes = np.array([len(words[k]) for k in short])
-        get = p.symbols.get
-        sym = np.fromiter((get(c, -1) for c in text), np.int64, len(text))
+        chars = _points("".join([words[k] for k in short]))
+        sizes = np.fromiter((len(words[k]) for k in short), np.int64, len(short))
+        sym = p.of_char[chars]
         word = np.repeat(np.arange(len(short)), sizes)
         first = np.cumsum(sizes) - sizes
-        start = np.arange(len(text)) - first[word]
+        start = np.arange(len(chars)) - first[word]
         end = start + 1
-        salts = np.array([self._salt(words[k], variants[k]) for k in short], np.uint64)
+        salts = self._salts(chars, start, first, [variants[k] for k in short])
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        while len(sym):
+        while True:
             key = sym[:-1] * p.width + sym[1:]
             at = np.searchsorted(p.keys, key)
             at[at == len(p.keys)] = 0
-            can = (p.keys[at] == key) & (word[:-1] == word[1:]) & (sym[:-1] >= 0) & (sym[1:] >= 0)
-            here = np.flatnonzero(can)
+            here = np.flatnonzero((p.keys[at] == key) & (word[:-1] == word[1:]) & (sym[:-1] >= 0) & (sym[1:] >= 0))
             if not self.never and len(here):
                 here = here[~self._skipped(salts[word[here]], start[here], end[here], end[here + 1])]
             if not len(here):
@@ -177,28 +187,25 @@ class Segmenter:
             heads = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
             best = np.minimum.reduceat(order, heads) % len(sym)
             sym[best], end[best] = p.made[at[best]], end[best + 1]
-            stays = np.ones(len(sym), bool)
-            stays[best + 1] = False
             live = np.zeros(len(short), bool)
             live[owner[heads]] = True
-            mine = live[word]
-            if not mine.all():
-                out_of = ~mine
-                done.append((word[out_of], start[out_of], sym[out_of]))
-            stays &= mine
+            stays = live[word]
+            if not stays.all():
+                done.append((word[~stays], start[~stays], sym[~stays]))
+            stays[best + 1] = False
             sym, word, start, end = sym[stays], word[stays], start[stays], end[stays]
         word, start, sym = (np.concatenate(x) for x in zip(*done))
-        by = np.lexsort((start, word))
+        by = np.argsort(word * (LONG_WORD + 1) + start)
         word, start, sym = word[by], start[by], sym[by]
-        bounds = np.searchsorted(word, np.arange(len(short) + 1)).tolist()
-        symbols, starts = sym.tolist(), start.tolist()
-        plain = bool((sym >= 0).all() and (sym < p.n).all())
+        bounds = np.searchsorted(word, np.arange(len(short) + 1))
+        odd = np.unique(word[(sym < 0) | (sym >= p.n)]).tolist()
+        raw, cuts = sym.astype("<i4").tobytes(), (bounds * 4).tolist()
         for i, k in enumerate(short):
-            a, b = bounds[i], bounds[i + 1]
-            if plain:
-                out[k] = symbols[a:b]
-            else:
-                out[k] = [y for s, c in zip(symbols[a:b], starts[a:b]) for y in p.ids_of(s, words[k][c])]
+            out[k] = raw[cuts[i]:cuts[i + 1]]
+        for i in odd:
+            w, a, b = words[short[i]], bounds[i], bounds[i + 1]
+            ids = [y for s, c in zip(sym[a:b].tolist(), start[a:b].tolist()) for y in p.ids_of(s, w[c])]
+            out[short[i]] = np.array(ids, "<i4").tobytes()
         return out
 
 
@@ -208,8 +215,8 @@ class Encoder:
     def __init__(self, path: str, seed: int, rate: float, variants: int):
         self.pieces = Pieces(path)
         self.seg, self.seed, self.variants = Segmenter(self.pieces, seed, rate), seed, variants if rate > 0 else 1
-        self.known: dict[tuple[str, int], bytes] = {}
-        self.older: dict[tuple[str, int], bytes] = {}
+        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.older: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
 
     def _words(self, text: str | None) -> list[str]:
         if not text:
@@ -220,34 +227,35 @@ class Encoder:
 
     def encode(self, texts: list[str | None], keys: list[int]) -> Iterator[np.ndarray]:
         """The ids of each text; ``keys`` (64-bit hashes of the documents) choose the variants."""
-        jobs = []
+        if sum(map(len, self.known)) > REMEMBERED:
+            self.older, self.known = self.known, [{} for _ in self.known]
+        gets = [d.get for d in self.known]
+        jobs, missing = [], set()
         for t, key in zip(texts, keys):
             words = self._words(t)
             pick = _mix(np.arange(len(words), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(key))
-            jobs.append(list(zip(words, (pick % np.uint64(self.variants)).tolist())))
-        wanted = {x for job in jobs for x in job}
-        if len(self.known) + len(wanted) > REMEMBERED:
-            self.older, self.known = self.known, {}
+            picks = (pick % np.uint64(self.variants)).tolist()
+            ids = [gets[v](w) for w, v in zip(words, picks)]
+            if None in ids:
+                missing.update((w, v) for w, v, i in zip(words, picks, ids) if i is None)
+            jobs.append((words, picks, ids))
         new = []
-        for x in wanted.difference(self.known):
-            if (ids := self.older.get(x)) is None:
-                new.append(x)
+        for w, v in missing:
+            if (own := self.older[v].get(w)) is None:
+                new.append((w, v))
             else:
-                self.known[x] = ids
-        marked = set()
-        for t in texts:
+                self.known[v][w] = own
+        for i in range(0, len(new), 4000):  # so many fit the processor's cache
+            some = new[i:i + 4000]
+            for (w, v), own in zip(some, self.seg.many([w for w, _ in some], [v for _, v in some])):
+                self.known[v][w] = own
+        for (words, picks, ids), t in zip(jobs, texts):
+            if None in ids:
+                ids = [gets[v](w) for w, v in zip(words, picks)]
+            row = np.frombuffer(b"".join(ids), "<i4")
             if t and MARK in t:
-                marked.add(next(c for c in _STAND_INS if c not in t))
-        for i in range(0, len(new), 20000):
-            some = new[i:i + 20000]
-            for x, ids in zip(some, self.seg.many([w for w, _ in some], [v for _, v in some])):
-                self.known[x] = np.array(ids, "<i4").tobytes()
-        known = self.known
-        for job, t in zip(jobs, texts):
-            ids = np.frombuffer(b"".join([known[x] for x in job]), "<i4")
-            if t and marked and MARK in t:
-                ids = self._restore(ids, next(c for c in _STAND_INS if c not in t))
-            yield ids
+                row = self._restore(row, next(c for c in _STAND_INS if c not in t))
+            yield row
 
     def _restore(self, ids: np.ndarray, stand_in: str) -> np.ndarray:
         """The bytes of the stand-in become those of the mark; both take three."""

@@ -12,9 +12,11 @@ and an Arrow table of documents), then 24 bytes: footer start, two footer length
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -139,53 +141,97 @@ class PlaneReader:
 
 
 # ---------------------------------------------------------------- tokenizing in tasks
+#: What the word-wise way below rests on; another tokenizer is given whole texts.
+_NORMAL = ["NFC", "Replace", "Lowercase"]
+_PRE = ["Split", "ByteLevel"]
+#: Latin letters and closing marks: lower case and byte level are plain for them, and the
+#: letters and the marks are one token run each.
+_SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)").fullmatch
+
+
+def _byte_level() -> list[str]:
+    """The printable character that byte-level models use for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
 class _Encoder:
     """The tokenizers library, asked once for each form of a word.
 
-    White space parts the words of this vocabulary and is dropped by it, so a text's ids
-    are those of its words in order. Words are cut at spaces, line ends and tabs only;
-    other white space stays inside a word and is left to the library. New words are
-    encoded many at a time, parted by a special token that the words themselves lack.
+    White space parts the words of a word-wise vocabulary and is dropped by it, so a
+    text's ids are those of its words in order. Words are cut at spaces, line ends and
+    tabs only; other white space stays inside a word and is left to the library. Words of
+    plain letters go straight to the library's model, other new words through the whole
+    tokenizer, many at a time, parted by a special token that the words themselves lack.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.lib, self.known, self.older = Tokenizer.from_file(path), {"": b""}, {}
+        self.lib, self.known, self.older, self.runs = Tokenizer.from_file(path), {"": b""}, {}, {"": b""}
         self.lib.no_padding()
         self.lib.no_truncation()
         names = [t.content for t in self.lib.get_added_tokens_decoder().values() if t.special]
         self.part = names[0] if names else None
         self.part_id = self.lib.token_to_id(self.part) if names else None
+        spec = json.loads(self.lib.to_str())
+        self.by_word = bool(names) and all(n.startswith("<|") for n in names) and (
+            [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])] == _NORMAL
+            and [x["type"] for x in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])] == _PRE
+            and not spec["pre_tokenizer"]["pretokenizers"][1]["add_prefix_space"]
+            and "\\s\\p{L}\\p{N}" in spec["pre_tokenizer"]["pretokenizers"][0]["pattern"].get("Regex", ""))
+        self.level = _byte_level()
+
+    def _run(self, run: str) -> bytes:
+        """The ids of letters in lower case, or of marks."""
+        if (ids := self.runs.get(run)) is None:
+            level = run if run.isascii() else "".join(map(self.level.__getitem__, run.encode()))
+            ids = self.runs[run] = array("I", [t.id for t in self.lib.model.tokenize(level)]).tobytes()
+        return ids
 
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self.part and "<|" not in w]
+        if len(self.runs) > REMEMBERED:
+            self.runs = {"": b""}
+        known, run, rest = self.known, self._run, []
+        for w in words:
+            if (m := _SIMPLE(w)) is None:
+                rest.append(w)
+            else:
+                known[w] = run(m[1].lower()) + run(m[2])
+        plain = [w for w in rest if "<|" not in w]
         for i in range(0, len(plain), 2000):
             some = plain[i:i + 2000]
             ids = np.array(self.lib.encode_batch_fast([self.part.join(some)], add_special_tokens=False)[0].ids, "<u4")
             raw, cuts = ids.tobytes(), (np.flatnonzero(ids == self.part_id) * 4).tolist()
             for w, a, b in zip(some, [-4, *cuts], [*cuts, len(raw)]):
-                self.known[w] = raw[a + 4:b]
-        odd = [w for w in words if not self.part or "<|" in w]
+                known[w] = raw[a + 4:b]
+        odd = [w for w in rest if "<|" in w]
         for w, e in zip(odd, self.lib.encode_batch_fast(odd, add_special_tokens=False) if odd else []):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
+            known[w] = np.array(e.ids, "<u4").tobytes()
 
     def batch(self, texts: list[str | None]) -> Iterator[list[bytes]]:
         """For each text, its ids as little-endian 32-bit integers, in parts."""
-        split = [[p.replace("\n", " ").replace("\t", " ").split(" ") for p in _pieces(t or "")] for t in texts]
-        words = {w for pieces in split for words in pieces for w in words}
-        if len(self.known) + len(words) > REMEMBERED:
+        if not self.by_word:
+            for e in self.lib.encode_batch_fast([t or "" for t in texts], add_special_tokens=False):
+                yield [np.array(e.ids, "<u4").tobytes()]
+            return
+        if len(self.known) > REMEMBERED:
             self.older, self.known = self.known, {"": b""}
+        get = self.known.get
+        split = [[p.replace("\n", " ").replace("\t", " ").split(" ") for p in _pieces(t or "")] for t in texts]
+        found = [[list(map(get, words)) for words in pieces] for pieces in split]
+        missing = {w for pieces, ids in zip(split, found) for words, own in zip(pieces, ids) if None in own
+                   for w, i in zip(words, own) if i is None}
         new = []
-        for w in words.difference(self.known):
+        for w in missing:
             if (ids := self.older.get(w)) is None:
                 new.append(w)
             else:
                 self.known[w] = ids
         self._learn(new)
-        known = self.known
-        for pieces in split:
-            yield [b"".join([known[w] for w in words]) for words in pieces]
+        for pieces, ids in zip(split, found):
+            yield [b"".join(map(get, words) if None in own else own) for words, own in zip(pieces, ids)]
 
 
 def _pieces(text: str) -> Iterator[str]:
