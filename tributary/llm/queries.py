@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tributary.llm import exact, pieces, planes, quality, simhash, urls
+from tributary.llm import exact, pieces, planes, quality, repeats, simhash, urls
 from tributary.session import scratch_dir
 
 
@@ -33,6 +34,13 @@ def op1_plane_tokens(spark, d):
     return planes.read_token_files(files)
 
 
+def op2_suffix_repeats(spark, d):
+    cut = repeats.cut_repeats(_t(spark, d, "documents"), length=400)
+    n = F.aggregate("removed", F.lit(0).cast("bigint"), lambda s, x: s + x["end"] - x["start"])
+    return cut.select("doc_id", "n_bytes", n.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_simhash_pivots(spark, d):
     found = simhash.near_duplicates(_t(spark, d, "documents"), words=3, bits=2)
     return found.select("doc_id", "fingerprint", "component_id")
@@ -60,6 +68,7 @@ def op8_compression_bands(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_plane_tokens": op1_plane_tokens,
+    "op2_suffix_repeats": op2_suffix_repeats,
     "op3_simhash_pivots": op3_simhash_pivots,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_url_rules": op5_url_rules,
