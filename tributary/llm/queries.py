@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import exact, pieces, planes, quality, repeats, simhash, urls
+from tributary.llm import exact, mixing, pieces, planes, quality, repeats, simhash, urls
 from tributary.session import scratch_dir
 
 
@@ -62,6 +62,11 @@ def op6_merge_dropout(spark, d):
     return pieces.encode_pieces(_t(spark, d, "documents"), vocabulary(PIECE_MODEL), DROPOUT_SEED, DROPOUT_RATE)
 
 
+def op7_entropy_mixing(spark, d):
+    plan = mixing.mix_plan(_t(spark, d, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def op8_compression_bands(spark, d):
     return quality.quality_report(_t(spark, d, "documents"))
 
@@ -73,5 +78,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_url_rules": op5_url_rules,
     "op6_merge_dropout": op6_merge_dropout,
+    "op7_entropy_mixing": op7_entropy_mixing,
     "op8_compression_bands": op8_compression_bands,
 }
