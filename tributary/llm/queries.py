@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import exact, mixing, pieces, planes, quality, repeats, simhash, urls
+from tributary.llm import exact, mixing, pieces, planes, quality, repeats, simhash, surrogates, urls
 from tributary.session import scratch_dir
 
 
@@ -71,6 +71,15 @@ def op8_compression_bands(spark, d):
     return quality.quality_report(_t(spark, d, "documents"))
 
 
+#: In production the key is a secret of the deployment.
+SURROGATE_KEY = "a key for tests"
+
+
+def op9_surrogates(spark, d):
+    out = surrogates.replace_personal_data(_t(spark, d, "documents").select("doc_id", "text"), SURROGATE_KEY)
+    return out.select("doc_id", "text", "n_entities")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_plane_tokens": op1_plane_tokens,
     "op2_suffix_repeats": op2_suffix_repeats,
@@ -80,4 +89,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_merge_dropout": op6_merge_dropout,
     "op7_entropy_mixing": op7_entropy_mixing,
     "op8_compression_bands": op8_compression_bands,
+    "op9_surrogates": op9_surrogates,
 }
