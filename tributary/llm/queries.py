@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import exact, mixing, pieces, planes, quality, repeats, simhash, surrogates, urls
+from tributary.llm import exact, mixing, pieces, planes, quality, repeats, simhash, surrogates, toxicity, urls
 from tributary.session import scratch_dir
 
 
@@ -80,6 +80,11 @@ def op9_surrogates(spark, d):
     return out.select("doc_id", "text", "n_entities")
 
 
+def op10_lexicon_automata(spark, d):
+    docs = _t(spark, d, "documents")
+    return toxicity.score_documents(docs, toxicity.fit_model(docs, _t(spark, d, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_plane_tokens": op1_plane_tokens,
     "op2_suffix_repeats": op2_suffix_repeats,
@@ -90,4 +95,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_entropy_mixing": op7_entropy_mixing,
     "op8_compression_bands": op8_compression_bands,
     "op9_surrogates": op9_surrogates,
+    "op10_lexicon_automata": op10_lexicon_automata,
 }
