@@ -33,6 +33,7 @@ VARIANTS = 4
 REMEMBERED = 400_000
 #: Words of more symbols are merged one by one; the others many at a time.
 LONG_WORD = 48
+NO_MERGE = 1 << 30  # a rank behind all
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _STAND_INS = "\uFFFE\uFFFF" + "".join(map(chr, range(0xFDD0, 0xFDF0)))  # noncharacters
 
@@ -82,15 +83,47 @@ class Pieces:
         self.merges = {(symbols[names[i][:k]], symbols[names[i][k:]]): i for i in plain
                        for k in range(1, len(names[i])) if names[i][:k] in symbols and names[i][k:] in symbols}
         self.width = max(symbols.values()) + 2
-        keys = np.array([a * self.width + b for a, b in self.merges], np.int64)
-        by = np.argsort(keys)
-        self.keys, self.made = keys[by], np.array(list(self.merges.values()), np.int64)[by]
-        self.ranks = np.array([self.rank[i] for i in self.made], np.int64)
+        pairs = np.array([a * self.width + b for a, b in self.merges], np.int64)
+        self._index(pairs, np.array(list(self.merges.values()), np.int64))
         self.of_char = np.full(0x110000, -1, np.int64)
         for name, symbol in symbols.items():
             if len(name) == 1:
                 self.of_char[ord(name)] = symbol
 
+    def _index(self, pairs: np.ndarray, made: np.ndarray) -> None:
+        """Pairs of symbols in a table with open addressing, so that many are looked up at once."""
+        bits = max(8, int(2.5 * len(pairs)).bit_length())
+        self.shift, self.slots = np.uint64(64 - bits), (1 << bits) - 1
+        self.pair, self.made = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int64)
+        todo, slot = np.arange(len(pairs)), self._slot(pairs)
+        while len(todo):
+            free = self.pair[slot] < 0
+            self.pair[slot[free]] = pairs[todo[free]]  # of several for one slot the last stays
+            placed = self.pair[slot] == pairs[todo]
+            self.made[slot[placed]] = made[todo[placed]]
+            todo, slot = todo[~placed], (slot[~placed] + 1) & self.slots
+        ranks = np.array([self.rank.get(i, 0) for i in range(self.n)], np.int64)
+        self.ranks = np.append(ranks, NO_MERGE)  # the last stands for -1
+
+    def _slot(self, pairs: np.ndarray) -> np.ndarray:
+        return ((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The piece that each pair of symbols makes, or -1."""
+        pairs = left * self.width + right
+        slot = self._slot(pairs)
+        found = self.pair[slot]
+        out = np.where(found == pairs, self.made[slot], -1)
+        todo = np.flatnonzero((found != pairs) & (found >= 0))
+        while len(todo):
+            slot[todo] = (slot[todo] + 1) & self.slots
+            found = self.pair[slot[todo]]
+            hit = found == pairs[todo]
+            out[todo[hit]] = self.made[slot[todo[hit]]]
+            todo = todo[~hit & (found >= 0)]
+        out[(left < 0) | (right < 0)] = -1
+        return out
+
     def ids_of(self, symbol: int, char: str) -> list[int]:
         if 0 <= symbol < self.n:
             return [symbol]
@@ -170,30 +203,40 @@ class Segmenter:
         start = np.arange(len(chars)) - first[word]
         end = start + 1
         salts = self._salts(chars, start, first, [variants[k] for k in short])
+        made = np.full(len(sym), -1)
+
+        def offer(at: np.ndarray) -> None:
+            """Looks up the pairs (at, at + 1) that may be merged next."""
+            if len(at):
+                new = p.merged(sym[at], sym[at + 1])
+                if not self.never:
+                    new[self._skipped(salts[word[at]], start[at], end[at], end[at + 1])] = -1
+                made[at] = new
+
+        offer(np.flatnonzero(word[:-1] == word[1:]))
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        while True:
-            key = sym[:-1] * p.width + sym[1:]
-            at = np.searchsorted(p.keys, key)
-            at[at == len(p.keys)] = 0
-            here = np.flatnonzero((p.keys[at] == key) & (word[:-1] == word[1:]) & (sym[:-1] >= 0) & (sym[1:] >= 0))
-            if not self.never and len(here):
-                here = here[~self._skipped(salts[word[here]], start[here], end[here], end[here + 1])]
-            if not len(here):
-                done.append((word, start, sym))
-                break
+        while len(sym):
             # best of each word: lowest rank, then leftmost
-            order = p.ranks[at[here]] * len(sym) + here
-            owner = word[here]
-            heads = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-            best = np.minimum.reduceat(order, heads) % len(sym)
-            sym[best], end[best] = p.made[at[best]], end[best + 1]
-            live = np.zeros(len(short), bool)
-            live[owner[heads]] = True
-            stays = live[word]
-            if not stays.all():
-                done.append((word[~stays], start[~stays], sym[~stays]))
+            heads = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            order = np.minimum.reduceat(p.ranks[made] * len(sym) + np.arange(len(sym)), heads)
+            live = order < NO_MERGE * len(sym)
+            if not live.all():
+                over = np.repeat(~live, np.diff(np.append(heads, len(sym))))
+                done.append((word[over], start[over], sym[over]))
+            best = order[live] % len(sym)
+            sym[best], end[best] = made[best], end[best + 1]
+            made[best] = made[best + 1]
+            stays = np.repeat(live, np.diff(np.append(heads, len(sym))))
             stays[best + 1] = False
-            sym, word, start, end = sym[stays], word[stays], start[stays], end[stays]
+            place = (np.cumsum(stays) - 1)[best]
+            sym, word, start, end, made = sym[stays], word[stays], start[stays], end[stays], made[stays]
+            if not len(sym):
+                break
+            made[place] = -1
+            after = place[(place + 1 < len(sym))]
+            after = after[word[after] == word[after + 1]]
+            before = place[place > 0] - 1
+            offer(np.concatenate([after, before[word[before] == word[before + 1]]]))
         word, start, sym = (np.concatenate(x) for x in zip(*done))
         by = np.argsort(word * (LONG_WORD + 1) + start)
         word, start, sym = word[by], start[by], sym[by]
