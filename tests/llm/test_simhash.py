@@ -1,0 +1,108 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from tests.llm.conftest import EDGE_ROWS
+from tributary.llm import simhash as S
+
+
+def slow_fingerprint(text):
+    text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall("[^\x20\x09-\x0D]+", text)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(fps, bits):
+    """fp to the smallest index reachable, by all pairs."""
+    up = list(range(len(fps)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= bits:
+                a, b = root(i), root(j)
+                up[max(a, b)] = min(a, b)
+    return [root(i) for i in range(len(fps))]
+
+
+def test_fingerprints_of_edge_rows():
+    for _, text, *_ in EDGE_ROWS:
+        assert S.fingerprint(text, 3) == slow_fingerprint(text)
+
+
+def test_edge_rows_against_all_pairs(edge, clashing, nothing):
+    ids = [r[0] for r in EDGE_ROWS]
+    fps = [slow_fingerprint(r[1]) for r in EDGE_ROWS]
+    comp = components(fps, 2)
+    want = []
+    for i, c in zip(ids, comp):
+        low = min((x for x, d in zip(ids, comp) if d == c and x is not None), default=None)
+        want.append((i, f"{fps[ids.index(i)]:016x}", low))
+    for df in (edge, clashing):
+        assert sorted((tuple(r) for r in S.near_duplicates(df).collect()), key=repr) == sorted(want, key=repr)
+    assert S.near_duplicates(nothing).collect() == []
+
+
+@pytest.mark.parametrize("members", [4096, 2])
+@pytest.mark.parametrize("bits", [1, 2, 4])
+def test_links_connect_all_near_fingerprints(spark, members, bits):
+    """A dense ball and strangers; ``members`` 2 cuts every bucket along the pivots."""
+    rnd = random.Random(bits)
+    center = rnd.getrandbits(64)
+    fps = {0, 1, center}
+    for _ in range(150):
+        x = center
+        for _ in range(rnd.randint(1, 5)):
+            x ^= 1 << rnd.randrange(64)
+        fps |= {x, rnd.getrandbits(64)}
+    fps = sorted(fps)
+    signed = [(x - (1 << 64) if x >> 63 else x,) for x in fps]
+    links = S.near_links(spark.createDataFrame(signed, "fp bigint"), bits, members)
+    seen = [(r.u & (2**64 - 1), r.v & (2**64 - 1)) for r in links.collect()]
+    stars = {r.u & (2**64 - 1): r.root & (2**64 - 1) for r in S.star_components(links).collect()}
+    comp = components(fps, bits)
+    mine = {}
+    for x, c in zip(fps, comp):
+        mine.setdefault(c, set()).add(stars.get(x, x))
+    assert all(len(r) == 1 for r in mine.values()) and len(set.union(*mine.values())) == len(mine)
+    assert len(seen) <= len(S._masks(bits)) * 16 * len(fps)
+
+
+def test_distances_to_pivots_never_discard_a_near_pair():
+    rnd = random.Random(9)
+    for _ in range(500):
+        x = rnd.getrandbits(64)
+        y = x ^ (1 << rnd.randrange(64)) ^ (1 << rnd.randrange(64))
+        assert max(abs((x ^ p).bit_count() - (y ^ p).bit_count()) for p in S.pivots()) <= 2
+
+
+def test_long_chain_of_links(spark):
+    rows = [(i, i + 1) for i in range(40)]
+    got = S.star_components(spark.createDataFrame(rows, "u bigint, v bigint")).collect()
+    assert {(r.u, r.root) for r in got} == {(i, 0) for i in range(1, 41)}
+
+
+def test_drop_keeps_the_smallest_of_each(edge, clashing, nothing):
+    out = S.drop_near_duplicates(clashing)
+    assert out.columns == clashing.columns
+    found = {r.doc_id: r.component_id for r in S.near_duplicates(edge).collect()}
+    assert {r.doc_id for r in out.collect()} == {i for i, c in found.items() if i is None or i == c}
+    assert S.drop_near_duplicates(nothing).collect() == []
+
+
+def test_fingerprint_of_many_shingles_is_counted_in_steps(monkeypatch):
+    text = " ".join(f"w{i % 97}" for i in range(500))
+    whole = S.fingerprint(text, 3)
+    monkeypatch.setattr(S, "_STEP", 7)
+    assert S.fingerprint(text, 3) == whole == slow_fingerprint(text)
+    assert np.uint64(whole) == whole

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in parts of a few rows, to bound what a Python worker holds at once."""
+    for b in batches:
+        for i in range(0, len(b), rows):
+            yield b.slice(i, rows)
+
+
 def parts_for(count: int, each: int) -> int:
     return max(1, math.ceil(count / each))
 
@@ -93,8 +102,8 @@ def without_ids(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     Only rows whose id may be among them are shuffled; the rest pass in their partition.
     """
     ids = staged(ids.distinct(), "ids")
-    (flag,) = free_names(df, "listed")
+    flag, id_r = free_names(df, "listed", "id_r")
     flagged = BitTable(ids.select(F.xxhash64("id").alias("key")), "id-bits").flag(df, F.xxhash64(F.col(id_col)), flag)
-    rest = flagged.where(flag).join(ids, F.col(id_col) == F.col("id"), "left_anti")
+    rest = flagged.where(flag).join(ids.withColumnRenamed("id", id_r), F.col(id_col) == F.col(id_r), "left_anti")
     cols = [F.col(f"`{c}`") for c in df.columns]
     return flagged.where(~F.col(flag)).select(*cols).unionByName(rest.select(*cols))
