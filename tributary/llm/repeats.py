@@ -29,13 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import BitTable, staged
+from tributary.llm.common import BitTable, slices, staged
 from tributary.session import ship_package
 
 GRAM = 100
 CLASS_STRETCHES = 2048
 #: Bytes of text that are hashed together; places inside fit PLACE_BITS.
-BUFFER = 1 << 22
+BUFFER = 1 << 20
 PLACE_BITS = 24
 #: Stretches that are sorted together.
 SORTED_TOGETHER = 8192
@@ -307,7 +307,7 @@ def find_repeats(docs: DataFrame, length: int = 400, gram: int = GRAM, text: str
     kind = keyed.schema["id"].dataType.simpleString()
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             for parts, numbers, offsets in _buffers(_octets(b.column(2)), length):
                 n, first, last, at, g, d = stretches(parts, length, gram)
                 if len(n):
@@ -335,7 +335,7 @@ def find_repeats(docs: DataFrame, length: int = 400, gram: int = GRAM, text: str
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "th", "g", "n", "first", "last", "at", "bytes", "d1", "d2"]
-        for b in batches:
+        for b in slices(batches):
             texts, want = _octets(b.column(2)), b.column(3)
             flat, ends = want.flatten(), np.asarray(want.offsets)
             g, n, kinds_, first, last, at = (flat.field(i).to_numpy() for i in range(6))
@@ -430,7 +430,7 @@ def cut_repeats(docs: DataFrame, length: int = 400, text: str = "text", id_col:
     kind = listed.schema["id"].dataType.simpleString()
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             kept, removed, sizes = [], [], []
             for raw, spans_ in zip(_octets(b.column(1)), b.column(2)):
                 own = spans_.values if spans_.is_valid else None
