@@ -27,7 +27,7 @@ def staging_job(spark, sf):
     responses = o.select(F.col("o_orderkey").alias("seq"),
                          F.to_json(F.struct("o_orderkey", "o_totalprice")).alias("body"))
     records = explode_records(response_records(responses, keep_body=True))
-    return records.observe(Observation(), *schema_metrics(records)).drop("_keys0", "wrapped")
+    return records.observe(Observation(), *schema_metrics(records)).drop("_body0", "wrapped")
 
 
 def main() -> None:

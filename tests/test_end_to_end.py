@@ -1,11 +1,10 @@
-"""The reference's own scenarios, end to end through the runner (stub transport),
-checked by reading values back rather than by the existence of files."""
+"""Runs through the runner with a stub transport, checked by the values read back."""
 
 import json
 
 import pytest
 
-from tests.stub_http import FIXTURE_BODIES
+from tests.stub_http import BODIES
 from tributary.plans import Runner, SourceSpec
 from tributary.session import scratch_dir, unique_name
 from tributary.sinks import raw_path
@@ -19,61 +18,73 @@ def runner(spark):
                   audit_table=unique_name("runs"))
 
 
-def _run(runner, name):
-    spec = SourceSpec(f"api_{name}", "api", {"endpoint": f"http://h/fixture/{name}", "fetcher": STUB})
+def _run(runner, name, **conn):
+    spec = SourceSpec(f"api_{name}", "api", {"endpoint": f"http://h/bodies/{name}", "fetcher": STUB, **conn})
     return runner.run_source(spec)
 
 
-def _raw_bodies(spark, runner, result):
+def _raw(spark, runner, result):
     path = raw_path(runner.root, result.source, result.load_id)
-    return [json.loads(json.loads(r.value)["body"]) for r in spark.read.text(path).collect()]
+    return [json.loads(r.value) for r in spark.read.text(path).collect()]
 
 
-def test_mixed_object_raw_is_the_payload(spark, runner):
-    r = _run(runner, "mixed")
-    assert r.status == "SUCCESS" and r.table_action == "created"
-    assert _raw_bodies(spark, runner, r) == [FIXTURE_BODIES["mixed"]]
-    assert [tuple(x) for x in spark.table(r.table).collect()] == [("data", 123)]
-    assert spark.table(r.table).columns == ["test", "number"]
+#: What each payload becomes: columns and rows of the table.
+TABLES = {
+    "flat_object": (["harbour", "berths"], [("north", 14)]),
+    "object_list": (["imo", "ship", "draught"], [(901, "Kestrel", 6.25), (902, "Heron", 4.5)]),
+    "one_object": (["imo", "ship", "draught"], [(903, "Plover", 5.75)]),
+    "other_keys_later": (["pilot"], [("yes",), (None,)]),
+    "texts": (["value"], [("buoy",), ("quay",), ("lock",)]),
+    "number": (["value"], [(1870,)]),
+    "text": (["value"], [("closed at low tide",)]),
+}
 
 
-def test_record_list_and_single_record(spark, runner):
-    many = _run(runner, "records")
-    assert sorted(tuple(x) for x in spark.table(many.table).collect()) == [
-        (1, "Alice", 100.5), (2, "Bob", 200.7)]
-    one = _run(runner, "single")
-    assert spark.table(one.table).schema.simpleString() == "struct<id:bigint,name:string,value:double>"
-    assert one.rows_written == 1
+@pytest.mark.parametrize("name", sorted(TABLES))
+def test_payload_kinds_in_raw_layer_and_table(spark, runner, name):
+    r = _run(runner, name)
+    assert r.status == "SUCCESS" and r.table_action == "created" and r.failed_requests == 0
+    assert [json.loads(x["body"]) for x in _raw(spark, runner, r)] == [BODIES[name]]
+    columns, rows = TABLES[name]
+    t = spark.table(r.table)
+    assert t.columns == columns
+    assert sorted((tuple(x) for x in t.collect()), key=repr) == sorted(rows, key=repr)
 
 
-@pytest.mark.parametrize("name", ["none", "empty_list"])
-def test_empty_payload_writes_no_table(spark, runner, name):
+@pytest.mark.parametrize("name", ["null", "empty_array"])
+def test_empty_payload_is_logged_and_writes_no_table(spark, runner, name):
     r = _run(runner, name)
-    assert r.status == "SUCCESS" and r.table_action == "skipped" and r.rows_written == 0
-    assert r.rows_read == 1  # the response was fetched ...
+    assert r.status == "SUCCESS" and r.table_action == "skipped" and (r.rows_read, r.rows_written) == (1, 0)
     assert not spark.catalog.tableExists(r.table)
-    assert _raw_bodies(spark, runner, r) == []  # ... but no raw data is written
+    assert [json.loads(x["body"]) for x in _raw(spark, runner, r)] == [BODIES[name]]
 
 
-@pytest.mark.parametrize("name,columns,rows", [
-    ("kind_dict", ["single"], [("dict",)]),
-    ("kind_dicts", ["list"], [(None,), ("of",)]),
-    ("kind_strings", ["value"], [("list",), ("of",), ("simple",), ("strings",)]),
-    ("kind_number", ["value"], [(42,)]),
-    ("kind_string", ["value"], [("simple string",)]),
-])
-def test_payload_kinds(spark, runner, name, columns, rows):
-    r = _run(runner, name)
-    t = spark.table(r.table)
-    assert t.columns == columns
-    assert sorted((tuple(x) for x in t.collect()), key=repr) == sorted(rows, key=repr)
+def test_failed_requests_are_logged_and_counted(spark, runner):
+    """One page of five answers 500: the run is PARTIAL, the audit counts it, raw holds its error."""
+    r = _run(runner, "x", endpoint="http://h/flaky", page_param="page", pages=5, mode="PERMISSIVE")
+    assert (r.status, r.failed_requests, r.rows_read, r.rows_written) == ("PARTIAL", 1, 5, 12)
+    assert sorted((x["seq"], x["status"], x["error"]) for x in _raw(spark, runner, r)) == [
+        (i, 500, "HTTP 500") if i == 1 else (i, 200, None) for i in range(5)]
+    row = spark.table(runner.audit_table).filter("job_name = 'api_x_job'").first()
+    assert (row.status, row.failed_requests, row.error) == ("PARTIAL", 1, "1 of 5 requests failed")
+    all_bad = _run(runner, "y", endpoint="http://h/status500", mode="PERMISSIVE")
+    assert (all_bad.status, all_bad.failed_requests, all_bad.table_action) == ("FAILURE", 1, "skipped")
+    strict = _run(runner, "z", endpoint="http://h/flaky", page_param="page", pages=5)
+    assert strict.status == "FAILURE" and "HTTP 500" in strict.error
+
+
+def test_sources_that_would_share_a_table_are_refused(spark, runner):
+    first = _run(runner, "number")
+    spec = SourceSpec("API.Number", "api", {"endpoint": "http://h/bodies/text", "fetcher": STUB})
+    second = runner.run_source(spec)
+    assert first.status == "SUCCESS" and second.status == "FAILURE" and "share table" in second.error
+    assert spark.table(first.table).first().value == 1870
 
 
-def test_audit_counts_every_run(spark, runner):
-    _run(runner, "single")
+def test_audit_has_every_run(spark, runner):
+    _run(runner, "one_object")
     hist = runner.run_history(100).collect()
-    assert all(h.status == "SUCCESS" for h in hist)
-    assert any(h.job_name == "api_single_job" for h in hist)
+    assert any(h.job_name == "api_one_object_job" and h.status == "SUCCESS" for h in hist)
 
 
 def test_raw_documents_in_the_one_file_per_fetch_layout(spark, tmp_path):
@@ -83,7 +94,7 @@ def test_raw_documents_in_the_one_file_per_fetch_layout(spark, tmp_path):
     folder = tmp_path / "raw" / "posts"
     folder.mkdir(parents=True)
     (folder / "posts_20240101_120000.json").write_text(json.dumps(
-        [{"id": 1, "title": "a"}, {"id": 2, "title": "b", "extra": True}], indent=2))
+        [{"id": 1, "title": "a"}, {"id": 2, "title": "b", "late": True}], indent=2))
     (folder / "posts_20240102_120000.json").write_text(json.dumps({"id": 3, "title": "c"}, indent=2))
     docs = read_documents(spark, str(tmp_path / "raw"))
     assert sorted(r.load_id for r in docs.collect()) == ["20240101_120000", "20240102_120000"]
@@ -97,7 +108,7 @@ def test_staging_is_dropped_after_the_table_commit(spark, runner):
 
     from tributary.session import local_path
 
-    r = _run(runner, "records")
+    r = _run(runner, "object_list")
     staging = local_path(f"{runner.root}/staging/{r.source}/load_id={r.load_id}")
     assert r.table_action in ("created", "appended") and r.rows_written == 2
     assert not os.path.exists(staging)

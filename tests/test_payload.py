@@ -1,70 +1,38 @@
-"""Payload shaping against a plain-Python model using pyarrow's own inference."""
+"""Payload shaping: each body's literal result, and properties over generated payloads."""
 
 import json
 
-import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tributary.operators import normalize, response_outcomes, skip_empty
+from tributary.operators import normalize, normalize_by_source, response_outcomes, skip_empty
 from tributary.operators.schema import SchemaConflictError
 
-
-def model_records(bodies):
-    """Records as the rules define them (before typing)."""
-    recs = []
-    for b in bodies:
-        data = json.loads(b)
-        if not data:
-            continue
-        if isinstance(data, dict):
-            items = [data]
-        elif isinstance(data, list):
-            items = data if isinstance(data[0], dict) else [{"value": x} for x in data]
-        else:
-            items = [{"value": data}]
-        for r in items:
-            if isinstance(r, dict):
-                r = {k: v for k, v in r.items() if not ((isinstance(v, (dict, list))) and not v)}
-                r = r or {"placeholder": "empty_record"}
-            recs.append(r)
-    return recs
-
-
-def model(bodies):
-    """Records typed by ``pa.Table.from_pylist``: (column names, rows)."""
-    recs = model_records(bodies)
-    if not recs:
-        return [], []
-    t = pa.Table.from_pylist(recs)
-    return t.column_names, [tuple(row.values()) for row in t.to_pylist()]
-
-
-def _bool_with_fraction(recs) -> bool:
-    """A column holding both true/false and fractions: Arrow's inference stops at the
-    first boolean, so it types such a column DOUBLE when a fraction comes first and
-    fails otherwise; the engine treats every such mix as a conflict (documented)."""
-    kinds: dict = {}
-    for r in recs:
-        for k, v in (r.items() if isinstance(r, dict) else []):
-            kinds.setdefault(k, set()).add(type(v))
-    return any(bool in ks and float in ks for ks in kinds.values())
-
-
-EDGE = ['null', '""', '0', 'false', '[]', '{}', '[{}]', '[0]', '[null]', '{"a":{}}', '{"a":[]}',
-        '{"a":[null]}', '[{"a":1},{"a":2.5}]', '[{"z":1,"a":2}]', '{"a":1,"a":2}', '{"a":100.0}',
-        '{"single":"dict"}', '[{"list":"of"},{"dicts":"here"}]', '["simple","list","of","strings"]',
-        '42', '"simple string"', '0.0', 'true', '[[1,2],[3]]', '{"a":{"b":1},"c":[1,2]}']
-
-
-@pytest.mark.parametrize("body", EDGE)
-def test_single_body_matches_model(responses, body):
-    cols, rows = model([body])
+EMPTY = ([], [])
+GONE = (["placeholder"], [("empty_record",)])
+#: Body → columns and rows of the table it gives.
+SHAPES = {
+    "null": EMPTY, '""': EMPTY, "0": EMPTY, "0.0": EMPTY, "-0": EMPTY, "false": EMPTY, "[]": EMPTY, "{}": EMPTY, " [ ] ": EMPTY,
+    "[{}]": GONE, '{"deck":{}}': GONE, '{"deck":[]}': GONE, '[{"a":{},"b":[]}]': GONE,
+    "[0]": (["value"], [(0,)]), "[null]": (["value"], [(None,)]), "true": (["value"], [(True,)]),
+    "7": (["value"], [(7,)]), '"fog"': (["value"], [("fog",)]), "-2.5e3": (["value"], [(-2500.0,)]),
+    '["ebb","flood"]': (["value"], [("ebb",), ("flood",)]), "[[1,2],[3]]": (["value"], [([1, 2],), ([3],)]),
+    '{"deck":[null]}': (["deck"], [([None],)]), '{"z":1,"a":2}': (["z", "a"], [(1, 2)]), '{"a":1,"a":2}': (["a"], [(2,)]),
+    '{"a":100.0}': (["a"], [(100.0,)]), '[{"a":1},{"a":2.5}]': (["a"], [(1.0,), (2.5,)]),
+    '[{"mast":1,"sail":{}},{"mast":2,"oar":3}]': (["mast"], [(1,), (2,)]),
+    '[{"mast":"tall"},{"oar":"short"}]': (["mast"], [("tall",), (None,)]),
+    '{"hull":{"len":1},"crew":[1,2]}': (["hull", "crew"], [({"len": 1}, [1, 2])]),
+    '[{},{"a":1}]': (["placeholder"], [("empty_record",), (None,)]),
+}
+
+
+@pytest.mark.parametrize("body", SHAPES)
+def test_a_body_and_its_table(responses, body):
+    columns, rows = SHAPES[body]
     out = normalize(responses([body]))
-    assert out.columns == cols
-    got = [tuple(r) for r in out.collect()]
-    assert [tuple(_plain(v) for v in r) for r in got] == [tuple(_plain(v) for v in r) for r in rows]
+    assert out.columns == columns
+    assert [tuple(_plain(v) for v in r) for r in out.collect()] == [tuple(_plain(v) for v in r) for r in rows]
 
 
 def _plain(v):
@@ -140,37 +108,72 @@ def test_order_by_seq_not_arrival(spark):
     assert normalize(df).columns == ["early"]
 
 
-json_scalar = st.one_of(st.integers(-10**6, 10**6), st.text(max_size=5), st.booleans(), st.none(),
-                        st.floats(-1e6, 1e6, allow_nan=False).map(lambda x: round(x, 3)))
-inner_obj = st.dictionaries(st.sampled_from(["x", "y"]),
-                            st.one_of(st.integers(-9, 9), st.text(max_size=3)), min_size=1, max_size=2)
-json_obj = st.dictionaries(st.sampled_from(["a", "b", "c", "d"]),
-                           st.one_of(st.integers(-100, 100), st.just({}), st.just([]), json_scalar,
-                                     st.lists(st.integers(0, 5), max_size=3), inner_obj), max_size=4)
+# values of one kind for each key, so that any mix of payloads can share a table
+record = st.fixed_dictionaries({}, optional={
+    "n": st.integers(-10**6, 10**6), "s": st.text(max_size=5), "f": st.floats(-1e6, 1e6, allow_nan=False).map(lambda x: round(x, 3)),
+    "o": st.dictionaries(st.sampled_from(["x", "y"]), st.integers(-9, 9), max_size=2), "l": st.lists(st.integers(0, 5), max_size=3)})
 
 
 @settings(max_examples=25, deadline=None)
-@given(st.lists(st.one_of(json_obj, st.lists(json_obj, min_size=1, max_size=4),
-                          st.lists(st.integers(0, 9), min_size=1, max_size=3), json_scalar),
-                min_size=1, max_size=5))
-def test_property_matches_model(spark, payloads):
-    bodies = [json.dumps(p) for p in payloads]
-    df = spark.createDataFrame(list(enumerate(bodies)), "seq bigint, body string")
-    try:
-        cols, rows = model(bodies)
-    except (pa.ArrowInvalid, pa.ArrowTypeError, pa.ArrowNotImplementedError):
-        with pytest.raises(SchemaConflictError):  # both sides reject the mix
-            normalize(df)
-        return
+@given(st.lists(st.one_of(record, st.lists(record, min_size=1, max_size=4)), min_size=1, max_size=5))
+def test_property_records_survive(spark, payloads):
+    """Every record of every payload is a row, with the first record's columns and its own values in them."""
+    df = spark.createDataFrame([(i, json.dumps(p)) for i, p in enumerate(payloads)], "seq bigint, body string")
+    out = normalize(df)
+    flat = [r for p in payloads if p for r in (p if isinstance(p, list) else [p])]
+    filled = [{k: v for k, v in r.items() if v != {} and v != []} for r in flat]
+    assert out.columns == (list(filled[0]) or ["placeholder"] if filled else [])
+    want = sorted(repr(tuple(_plain(({**r} if r else {"placeholder": "empty_record"}).get(c)) for c in out.columns)) for r in filled)
+    got = sorted(repr(tuple(_plain({k: x for k, x in v.asDict().items() if x is not None}) if hasattr(v, "asDict") else _plain(v) for v in row))
+                 for row in out.collect())
+    assert [g.replace(".0,", ",").replace(".0)", ")") for g in got] == [w.replace(".0,", ",").replace(".0)", ")") for w in want]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.sampled_from(['{"a":1}', "[1]", "5", '"x"']), st.text(alphabet='{}[]",:12a ', min_size=1, max_size=12))
+def test_property_text_behind_a_value_is_invalid(spark, value, rest):
+    body = value + rest
     try:
-        out = normalize(df)
-    except SchemaConflictError:
-        assert _bool_with_fraction(model_records(bodies)), bodies
-        return
-    assert out.columns == cols
-    got = sorted(repr(tuple(_plain(v) for v in r)) for r in out.collect())
-    want = sorted(repr(tuple(_plain(v) for v in r)) for r in rows)
-    assert got == want
+        json.loads(body)
+        valid = True
+    except ValueError:
+        valid = False
+    row = response_outcomes(spark.createDataFrame([(0, body)], "seq bigint, body string")).first()
+    assert (row.outcome != "invalid_json") == valid, body
+
+
+@pytest.mark.parametrize("body", ['{"a":1}] x', '{"a":1}],[{"a":2}', '1},{"b":2', '1,"v":2', '{"a":1}}', "[1]]"])
+def test_bodies_that_close_a_wrapper_are_invalid(responses, body):
+    with pytest.raises(Exception, match="invalid response"):
+        normalize(responses([body])).collect()
+
+
+@pytest.mark.parametrize("bodies", [['{"a":9223372036854775808}'], ['{"a":1152921504606846977}', '{"a":1.5}'],
+                                    ['{"a":[1.5,9007199254740993]}'], ['{"a":{"b":1.5}}', '{"a":{"b":9007199254740993}}'],
+                                    ["[1.5,9007199254740993]"]])
+def test_whole_numbers_never_change_silently(responses, bodies):
+    with pytest.raises(Exception, match="too large to be exact"):
+        normalize(responses(bodies)).collect()
+    assert normalize(responses(bodies), mode="PERMISSIVE").count() >= 1
+
+
+def test_large_but_exact_numbers_are_kept(responses):
+    out = normalize(responses(['{"a":9007199254740992,"b":9223372036854775807,"c":1e300}', '{"a":1.5,"b":1,"c":12345678901234567890.5}']))
+    assert sorted(tuple(r) for r in out.collect()) == [
+        (1.5, 1, 1.2345678901234567e19), (9007199254740992.0, 9223372036854775807, 1e300)]
+
+
+def test_keys_that_differ_by_case_are_refused_early(responses):
+    with pytest.raises(SchemaConflictError, match="differ only by case"):
+        normalize(responses(['{"id":1,"ID":2}']))
+
+
+def test_each_source_has_its_own_first_record(spark):
+    df = spark.createDataFrame([("a", 0, '{"x":1,"y":"s"}'), ("b", 1, '{"y":2.5}'), ("a", 2, '{"x":2,"z":1}'), ("b", 3, "[]")],
+                               "source string, seq bigint, body string")
+    got = normalize_by_source(df)
+    assert {k: v.columns for k, v in got.items()} == {"a": ["x", "y"], "b": ["y"]}
+    assert sorted(tuple(r) for r in got["a"].collect()) == [(1, "s"), (2, None)] and got["b"].first().y == 2.5
 
 
 def test_staged_and_two_pass_agree(responses):

@@ -42,12 +42,10 @@ def test_history_is_a_top_k_and_summary_aggregates_partially(spark):
     assert plan.count("HashAggregate") >= 2 and "partial_" in plan
 
 
-def test_spread_small_only_when_fewer_partitions_than_cores(spark):
-    from tributary.operators import spread_small
-
-    cores = spark.sparkContext.defaultParallelism
-    narrow = spark.range(0, 1000, numPartitions=1)
-    assert spread_small(narrow).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 1000, numPartitions=cores * 2)
-    same = spread_small(wide)
-    assert same.rdd.getNumPartitions() == cores * 2 and "Exchange" not in _plan(same)
+def test_no_exchange_before_the_parse_whatever_the_core_count(spark):
+    from tributary.queries import _responses
+
+    for parts in (1, spark.sparkContext.defaultParallelism * 2):
+        narrow = spark.range(0, 1000, numPartitions=parts).select(F.col("id"), F.lit('{"a":1}').alias("b"))
+        plan = _plan(response_records(_responses(narrow, F.col("id"), F.col("b"))))
+        assert "Exchange" not in plan

@@ -29,6 +29,11 @@ def test_named_rows_width_mismatch_raises(spark):
     df = spark.createDataFrame([([1, 2],), ([1, 2, 3],)], "row array<int>")
     with pytest.raises(Exception, match="expected 2"):
         named_rows(df, ["a", "b"]).collect()
+    for pruned in (named_rows(df, ["a", "b"]).select("b"), named_rows(df, ["a", "b"]).groupBy().count()):
+        with pytest.raises(Exception, match="expected 2"):  # whichever columns are used
+            pruned.collect()
+    with pytest.raises(Exception, match="row has no values"):
+        named_rows(spark.createDataFrame([(None,)], "row array<int>"), ["a"]).collect()
 
 
 def test_generic_columns_width_from_first_row(spark):
@@ -41,11 +46,11 @@ def test_generic_columns_width_from_first_row(spark):
 
 
 def test_positional_rows_typed_like_the_values(spark):
-    df = spark.createDataFrame([(1, "Alice", 100.5), (2, "Bob", 200.7)], "id int, name string, value double")
+    df = spark.createDataFrame([(7, "gravel", 2.25), (9, "sand", 0.5)], "code int, stuff string, tons double")
     rows = df.select(positional(df).alias("row"))
     out = type_variant_columns(generic_columns(rows), ["column_0", "column_1", "column_2"])
     assert out.schema.simpleString() == "struct<column_0:bigint,column_1:string,column_2:double>"
-    assert sorted(tuple(r) for r in out.collect()) == [(1, "Alice", 100.5), (2, "Bob", 200.7)]
+    assert sorted(tuple(r) for r in out.collect()) == [(7, "gravel", 2.25), (9, "sand", 0.5)]
 
 
 def test_raw_stringify_rules(spark):
@@ -57,6 +62,33 @@ def test_raw_stringify_rules(spark):
     assert (r.a, r.b, r.d, r.m) == ("2024-01-01 12:00:00", "2024-01-01 12:00:00.500000", "2024-01-01", "1.10")
 
 
+def test_instants_survive_a_repeated_hour(spark):
+    """In New York 05:30 and 06:30 UTC of that day are both 01:30 on the wall."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.range(2).selectExpr("id", "timestamp_seconds(1730611800 + 3600 * id) AS t",
+                                       "array(timestamp_micros(1730611800000001)) AS ts")
+        root = scratch_dir(spark, "t")
+        path = write_raw(df, root, "src", "l1")
+        back = read_raw(spark, root, "src", df.schema, "l1").selectExpr("id", "unix_seconds(t) AS s", "unix_micros(ts[0]) AS u")
+        assert sorted((r.id, r.s, r.u) for r in back.collect()) == [
+            (0, 1730611800, 1730611800000001), (1, 1730615400, 1730611800000001)]
+        assert {json.loads(r.value)["t"] for r in spark.read.text(path).collect()} == {
+            "2024-11-03 05:30:00+00:00", "2024-11-03 06:30:00+00:00"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("line", ['{"id":2', '{"id":"x"}', "nonsense"])
+def test_a_bad_raw_line_raises(spark, line):
+    root = scratch_dir(spark, "t")
+    spark.createDataFrame([('{"id":1}',), (line,)], "value string").write.text(f"{root}/raw/src/load_id=l1")
+    df = read_raw(spark, root, "src", spark.createDataFrame([], "id bigint").schema, "l1")
+    with pytest.raises(Exception):
+        df.collect()
+
+
 def test_raw_roundtrip_keeps_types_and_nulls(spark):
     df = spark.createDataFrame(
         [(1, None, dt.datetime(2024, 1, 1, 0, 0, 1, 5), decimal.Decimal("2.50"), [dt.date(2024, 2, 3)])],
@@ -70,10 +102,10 @@ def test_raw_roundtrip_keeps_types_and_nulls(spark):
 
 
 def test_raw_positional_lines_are_arrays(spark):
-    df = spark.createDataFrame([(1, "Alice", 100.5)], "id int, name string, value double")
+    df = spark.createDataFrame([(7, "gravel", 2.25)], "code int, stuff string, tons double")
     root = scratch_dir(spark, "t")
     path = write_raw_positional(df.select(positional(df).alias("row")), root, "src", "l1")
-    assert json.loads(spark.read.text(path).first().value) == [1, "Alice", 100.5]
+    assert json.loads(spark.read.text(path).first().value) == [7, "gravel", 2.25]
     assert read_raw_positional(spark, root, "src", "l1").count() == 1
 
 
@@ -114,6 +146,45 @@ def test_replace_with_data_derived_from_the_table(spark):
     assert sorted(tuple(r) for r in spark.table(name).collect()) == [(1, "X", 10), (2, "Y", 20)]
 
 
+def _located(spark, name):
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first().data_type
+
+
+@pytest.mark.parametrize("external", [True, False])
+def test_a_replacement_that_fails_leaves_the_old_table(spark, external):
+    name = unique_name("t")
+    path = os.path.join(scratch_dir(spark, "tables"), name) if external else None
+    write_table(spark.createDataFrame([(1, "x")], "id bigint, v string"), name, path=path)
+    bad = spark.range(10).selectExpr("id", "if(id = 7, raise_error('boom'), 1) AS w")
+    with pytest.raises(Exception, match="boom"):
+        write_table(bad, name, path=path, known_rows=10)
+    assert [tuple(r) for r in spark.table(name).collect()] == [(1, "x")]
+    assert write_table(spark.range(3).selectExpr("id", "id AS w"), name, path=path).action == "replaced"
+    assert spark.table(name).count() == 3
+
+
+def test_a_replaced_table_is_found_again_and_its_old_files_go(spark):
+    name = unique_name("t")
+    path = os.path.join(scratch_dir(spark, "tables"), name)
+    write_table(spark.createDataFrame([(1, "x")], "id bigint, v string"), name, path=path)
+    old = _located(spark, name)
+    new = spark.createDataFrame([(1, 2)], "id bigint, w bigint")
+    write_table(new, name, path=path)
+    assert _located(spark, name) != old and not os.path.exists(old.removeprefix("file:"))
+    spark.sql(f"DROP TABLE {name}")  # the catalog is lost
+    assert write_table(new, name, path=path).action == "appended"
+    assert spark.table(name).count() == 2
+
+
+def test_whole_numbers_go_into_a_double_column_where_exact(spark):
+    name = unique_name("t")
+    write_table(spark.createDataFrame([(1.5,)], "v double"), name)
+    assert write_table(spark.createDataFrame([(2,)], "v bigint"), name, on_mismatch="fail").action == "appended"
+    with pytest.raises(Exception, match="too large"):
+        write_table(spark.createDataFrame([(2**53 + 1,)], "v bigint"), name, on_mismatch="fail")
+    assert sorted(r.v for r in spark.table(name).collect()) == [1.5, 2.0]
+
+
 def test_table_folder_from_earlier_session_is_reused(spark):
     name = unique_name("t")
     path = os.path.join(scratch_dir(spark, "tables"), name)

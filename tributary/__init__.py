@@ -14,7 +14,7 @@ Entry points:
 * ``tributary.sources``: ``JdbcSource``, ``RestSource`` (``rest_json`` data
   source), ``read_documents``, ``register_type``
 * ``tributary.operators``: ``normalize`` and its parts, ``named_rows``,
-  ``generic_columns``, ``spread_small``
+  ``generic_columns``
 * ``tributary.sinks``: ``write_raw`` / ``read_raw`` and variants, ``write_table``
 * ``tributary.streaming``: ``incremental_load``, ``incremental_responses_load``
 * ``python -m tributary run <folder>``: the command line

@@ -30,6 +30,14 @@ def raw_timestamp_text(ts: Column) -> Column:
     ).otherwise(F.date_format(ts, RAW_TS_MICROS))
 
 
+def raw_instant_text(ts: Column) -> Column:
+    """Zoned timestamp → its UTC wall clock with the offset, so that the instant stays
+    whatever the session's zone is."""
+    seconds = (F.unix_micros(ts).cast("decimal(24,0)") / F.lit(1000000)).cast("decimal(18,6)")
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.concat(raw_timestamp_text(utc), F.lit("+00:00"))
+
+
 def raw_load_stamp(now: _dt.datetime | None = None) -> str:
     """Load id for a raw write: wall clock to the second plus microseconds, so two
     loads in one second do not overwrite each other."""

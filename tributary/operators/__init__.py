@@ -1,6 +1,6 @@
 """Shaping operators between fetch and sink."""
 
-from tributary.operators.normalize import normalize
+from tributary.operators.normalize import normalize, normalize_by_source
 from tributary.operators.payload import (
     PLACEHOLDER_KEY,
     PLACEHOLDER_VALUE,
@@ -12,7 +12,6 @@ from tributary.operators.payload import (
     response_records,
     skip_empty,
 )
-from tributary.operators.partitioning import spread_small
 from tributary.operators.rows import GENERIC_PREFIX, generic_columns, named_rows, positional
 from tributary.operators.schema import (
     FIRST_RECORD,
@@ -40,13 +39,13 @@ __all__ = [
     "generic_columns",
     "named_rows",
     "normalize",
+    "normalize_by_source",
     "positional",
     "project_records",
     "record_schema",
     "response_outcomes",
     "response_records",
     "skip_empty",
-    "spread_small",
     "storage_type",
     "type_variant_columns",
 ]

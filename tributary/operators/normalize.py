@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary.operators.payload import _check_mode, explode_records, response_records
 from tributary.operators.schema import (
     FIRST_RECORD,
+    _keys,
     project_records,
     record_schema,
     schema_from_metrics,
@@ -18,7 +20,8 @@ from tributary.session import ensure_json_semantics, scratch_dir
 
 def normalize(responses: DataFrame, *, schema: str = FIRST_RECORD, clean: bool = True,
               mode: str = "FAILFAST", body: str = "body", keep: tuple[str, ...] = (),
-              staging: str | bool | None = None, stats: dict | None = None) -> DataFrame:
+              staging: str | bool | None = None, stats: dict | None = None,
+              columns: T.StructType | None = None) -> DataFrame:
     """Responses (``seq``, ``body`` and optionally ``source``, ``load_id``, ``error``)
     → one typed row per record.
 
@@ -28,11 +31,12 @@ def normalize(responses: DataFrame, *, schema: str = FIRST_RECORD, clean: bool =
 
     By default the records are **staged**: one job parses every body once,
     writes the records as VARIANT parquet under the shared folder and, through
-    ``observe``, collects the merged schema and the first record's key list;
+    ``observe``, collects the merged schema and the body of the first record;
     the result is a projection over the staged files. The staged copy also cuts
     the lineage: a lost executor re-reads it instead of re-parsing the input.
     ``staging`` may name the folder; ``staging=False`` runs the schema pass as a
     separate aggregate and re-derives the records from the input instead.
+    ``columns`` gives names and types outright, whatever the records hold.
     A ``stats`` dict receives ``records`` (the number of rows) when staging.
     """
     mode = _check_mode(mode)
@@ -43,16 +47,40 @@ def normalize(responses: DataFrame, *, schema: str = FIRST_RECORD, clean: bool =
                             keep=base, keep_body=True)
     records = explode_records(recs, keep=base)
     if staging is False:
-        st = record_schema(records, how=schema, mode=mode)
+        st = columns or record_schema(records, how=schema, mode=mode, clean=clean)
         exploded = explode_records(recs.drop("_body"), keep=base)
         return project_records(exploded, st, mode=mode, keep=tuple(keep))
     path = staging if isinstance(staging, str) else scratch_dir(spark, "staged-records")
     obs = Observation()
     (records.observe(obs, *schema_metrics(records, mode), F.count(F.lit(1)).alias("records"))
-     .drop("_keys0", "wrapped").write.mode("overwrite").parquet(path))
+     .drop("_body0", "wrapped").write.mode("overwrite").parquet(path))
     metrics = obs.get
     if stats is not None:
         stats["records"] = int(metrics.get("records") or 0)
-    st = schema_from_metrics(metrics.get("schema"), metrics.get("keys"), how=schema, mode=mode)
+    st = columns or schema_from_metrics(metrics.get("schema"), _keys(spark, metrics.get("first"), schema, mode, clean),
+                             how=schema, mode=mode)
     return project_records(spark.read.parquet(path), st, mode=mode, keep=tuple(keep))
 
+
+
+def normalize_by_source(responses: DataFrame, *, schema: str = FIRST_RECORD, clean: bool = True,
+                        mode: str = "FAILFAST", body: str = "body", keep: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """``normalize`` for each ``source`` of a table of responses: source name → typed records.
+
+    Every source has its own first record and its own types; they are found for all of
+    them in one aggregation, of which one row per source reaches the driver.
+    """
+    mode = _check_mode(mode)
+    spark = responses.sparkSession
+    ensure_json_semantics(spark)
+    base = tuple(dict.fromkeys(("source", "load_id", "seq") + tuple(keep)))
+    recs = response_records(responses, body=body, mode=mode, clean=clean, keep=base, keep_body=True)
+    records = explode_records(recs, keep=base)
+    found = records.groupBy("source").agg(*schema_metrics(records, mode)).collect()
+    plain = explode_records(recs.drop("_body"), keep=base)
+    out = {}
+    for row in found:
+        st = schema_from_metrics(row["schema"], _keys(spark, row["first"], schema, mode, clean), how=schema, mode=mode)
+        own = plain.filter(F.col("source").eqNullSafe(F.lit(row["source"])))
+        out[row["source"]] = project_records(own, st, mode=mode, keep=tuple(keep))
+    return out

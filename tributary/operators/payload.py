@@ -65,11 +65,15 @@ def classify_responses(responses: DataFrame, body: str = "body") -> DataFrame:
     the text instead).
     """
     text = F.col(body)
-    # Spark's parser stops after the first complete value; like Python's json, a
-    # text with anything after it (``{"a":1} x``, ``1 2``) is not valid JSON
+    # Spark's parsers stop after the first complete value; like Python's json, a text
+    # with anything after it (``{"a":1} x``, ``[1] [2]``) is not valid JSON. The body is
+    # parsed as the value of an object and counted as the item of an array: no text can
+    # end both wrappers early.
     single = F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
-    df = responses.select("*", F.try_parse_json(text).alias("_v"),
-                          F.regexp_extract(text, _FIRST, 1).alias("_c"), single.alias("_single"))
+    wrapped = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    df = responses.select("*", wrapped.alias("_w"), F.regexp_extract(text, _FIRST, 1).alias("_c"),
+                          single.alias("_single"))
+    df = df.withColumn("_v", F.try_variant_get("_w", "$.v", "variant"))
     c = F.col("_c")
     kind = (F.when(F.col("_v").isNull() | ~F.col("_single"), F.lit("invalid"))
             .when(c == "{", F.lit("object")).when(c == "[", F.lit("array"))
@@ -159,11 +163,7 @@ def response_records(responses: DataFrame, *, body: str = "body", mode: str = "F
 
 def first_keys(rec: Column, body: Column, wrapped: Column) -> Column:
     """Column names a record gives when it is the first one of the table, in the
-    order its body text lists them (VARIANT itself keeps keys sorted).
-
-    Computed once per response (for its position-0 record) from the text; the
-    map route (which copies values) runs only when cleaning may have removed a key.
-    """
+    order its body text lists them (VARIANT itself keeps keys sorted)."""
     raw = F.coalesce(F.json_object_keys(body), F.json_object_keys(F.get_json_object(body, "$[0]")))
     kept = F.map_keys(as_object(rec))
     inter = F.array_intersect(raw, kept)
@@ -173,17 +173,23 @@ def first_keys(rec: Column, body: Column, wrapped: Column) -> Column:
             .otherwise(F.coalesce(F.array_distinct(raw), kept)))
 
 
+def keys_of_first(spark, body: str, mode: str, clean: bool = True) -> list[str]:
+    """``first_keys`` of the one response whose first record decides the columns."""
+    one = spark.createDataFrame([(0, body)], "seq bigint, body string")
+    recs = response_records(one, mode=mode, clean=clean, keep=("seq",), keep_body=True)
+    row = recs.select(first_keys(F.col("recs")[0], F.col("_body"), F.col("wrapped")).alias("keys")).first()
+    return list(row["keys"] or []) if row is not None else []
+
+
 def explode_records(recs: DataFrame, keep: tuple[str, ...] = ("source", "load_id", "seq")) -> DataFrame:
     """One row per record: the ``keep`` columns, ``wrapped``, ``pos``, ``rec`` and,
-    when the input has ``_body``, ``_keys0`` — the first-record key list, on
-    position 0 only (the body text itself is not copied onto the records)."""
+    when the input has ``_body``, ``_body0`` — the body text, on position 0 only."""
     cols = [c for c in keep if c in recs.columns]
     if "_body" in recs.columns:
         tagged = F.transform("recs", lambda x, i: F.struct(
-            x.alias("rec"),
-            F.when(i == 0, first_keys(x, F.col("_body"), F.col("wrapped"))).alias("_keys0")))
+            x.alias("rec"), F.when(i == 0, F.col("_body")).alias("_body0")))
         return recs.select(*cols, "wrapped", F.posexplode(tagged).alias("pos", "_t")).select(
-            *cols, "wrapped", "pos", F.col("_t.rec").alias("rec"), F.col("_t._keys0").alias("_keys0"))
+            *cols, "wrapped", "pos", F.col("_t.rec").alias("rec"), F.col("_t._body0").alias("_body0"))
     return recs.select(*cols, "wrapped", F.posexplode("recs").alias("pos", "rec"))
 
 

@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 from tributary.fixed import GENERIC_PREFIX
 
 
-
-def _width_guard(row: Column, width: int, what: str) -> Column:
-    return F.when(
-        F.size(row) != width,
-        F.raise_error(F.concat(F.lit(f"{what}: row has "), F.size(row).cast("string"),
-                               F.lit(f" values, expected {width}"))),
-    )
+def _checked_width(df: DataFrame, row: Column, width: int, what: str) -> DataFrame:
+    """``df``; a row of another width (or null) raises, whichever columns are selected later."""
+    found = F.coalesce(F.size(row).cast("string"), F.lit("no"))
+    message = F.concat(F.lit(f"{what}: row has "), found, F.lit(f" values, expected {width}"))
+    fits = row.isNotNull() & (F.size(row) == width)
+    return df.filter(F.when(fits, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def named_rows(df: DataFrame, names: list[str], row: str = "row",
@@ -30,10 +29,8 @@ def named_rows(df: DataFrame, names: list[str], row: str = "row",
     for i, n in enumerate(names):
         last[n] = i  # first position kept by dict order, value index updated
     r = F.col(row)
-    guard = _width_guard(r, len(names), "named_rows")
-    cols = [F.coalesce(guard, r[last[n]]).alias(n) if k == 0 else r[last[n]].alias(n)
-            for k, n in enumerate(last)]
-    return df.select(*[F.col(c) for c in keep], *cols)
+    cols = [r[i].alias(n) for n, i in last.items()]
+    return _checked_width(df, r, len(names), "named_rows").select(*[F.col(c) for c in keep], *cols)
 
 
 def generic_columns(df: DataFrame, row: str = "row", order: str | list[str] | None = None,
@@ -52,10 +49,8 @@ def generic_columns(df: DataFrame, row: str = "row", order: str | list[str] | No
     if width_row is None or width_row["n"] is None:
         return df.select(*[F.col(c) for c in keep])
     n = int(width_row["n"])
-    guard = _width_guard(r, n, "generic_columns")
-    cols = [(F.coalesce(guard, r[i]) if i == 0 else r[i]).alias(f"{GENERIC_PREFIX}{i}")
-            for i in range(n)]
-    return df.select(*[F.col(c) for c in keep], *cols)
+    cols = [r[i].alias(f"{GENERIC_PREFIX}{i}") for i in range(n)]
+    return _checked_width(df, r, n, "generic_columns").select(*[F.col(c) for c in keep], *cols)
 
 
 def positional(df: DataFrame, cols: list[str] | None = None, as_variant: bool = True) -> Column:

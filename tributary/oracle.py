@@ -70,16 +70,33 @@ ORACLE_SQL: dict[str, str] = {
     "raw_payload": "SELECT event_id, props FROM events",
     "raw_stringify":
         "SELECT event_id, CASE WHEN microsecond(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') "
-        "ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS ts_text FROM events",
+        "ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS ts_text, strftime(ts, '%Y-%m-%d') AS day_text, "
+        "CAST(CAST(value AS DECIMAL(12,3)) AS VARCHAR) AS amount_text, "
+        "CASE WHEN event_id % 1000000 = 0 THEN strftime(make_timestamp(event_id * 1000001), '%Y-%m-%d %H:%M:%S') "
+        "ELSE strftime(make_timestamp(event_id * 1000001), '%Y-%m-%d %H:%M:%S.%f') END || '+00:00' AS instant_text, "
+        "event_id * 1000001 AS micros FROM events",
     "raw_positional":
         "SELECT CAST(n_nationkey AS BIGINT) AS column_0, n_name AS column_1, "
         "CAST(n_regionkey AS BIGINT) AS column_2 FROM nation",
     "table_create": "SELECT * FROM supplier",
     "table_append": "SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'F'",
-    "table_replace_on_mismatch": "SELECT * FROM nation",
-    "rest_pages":
-        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
-    "fetch_fanout": "SELECT count(*) AS raw_rows, count(*) AS table_rows FROM orders",
+    "table_replace_on_mismatch": "SELECT * FROM orders",
+    "rest_pages": "SELECT * FROM orders",
+    "rest_failures": """
+        WITH p AS (SELECT event_id // 64 AS page, count(*) AS n FROM events GROUP BY 1),
+        a AS (SELECT CAST(sum(CASE WHEN page % 5 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS bad,
+                     CAST(sum(CASE WHEN page % 5 <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS good,
+                     CAST(sum(CASE WHEN page % 5 <> 0 THEN n ELSE 0 END) AS BIGINT) AS written FROM p)
+        SELECT 'raw: HTTP 503' AS what, bad AS n FROM a UNION ALL SELECT 'raw: ok', good FROM a
+        UNION ALL SELECT 'audit: PARTIAL', 1 UNION ALL SELECT 'audit: failed requests', bad FROM a
+        UNION ALL SELECT 'audit: rows written', written FROM a UNION ALL SELECT 'table: rows', written FROM a""",
+    "fetch_fanout": "SELECT o_orderkey, o_custkey, o_totalprice, CAST(count(*) AS BIGINT) AS raw_rows, "
+                    "CAST(count(*) AS BIGINT) AS table_rows FROM orders GROUP BY ALL",
+    "first_record_per_source":
+        "SELECT 'nations' AS source, CAST(n_nationkey AS BIGINT) AS seq, 'n_name,n_regionkey' AS columns, "
+        "n_name AS first, CAST(n_regionkey AS VARCHAR) AS second FROM nation "
+        "UNION ALL SELECT 'orders', o_orderkey, 'o_totalprice,o_orderstatus', CAST(o_totalprice AS VARCHAR), "
+        "o_orderstatus FROM orders",
     "run_audit":
         "SELECT event_type || '_job' AS job_name, count(*) AS runs, "
         "CAST(sum(CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END) AS BIGINT) AS successes, "
@@ -93,11 +110,21 @@ ORACLE_SQL: dict[str, str] = {
         "FROM events ORDER BY ts DESC, run_id DESC LIMIT 10",
     "source_validation": _CONFIG_CTE
         + "SELECT name, src_type, schedule, error, error IS NULL AS valid FROM v",
-    "source_configs": _CONFIG_CTE
-        + "SELECT 'nation_' || CAST(c_nationkey AS VARCHAR) || '_' || CAST(c_custkey // 1000 AS VARCHAR) "
-          "AS pipeline, CAST(row_number() OVER (PARTITION BY c_nationkey, c_custkey // 1000 "
-          "ORDER BY c_custkey) - 1 AS INTEGER) AS idx, name, src_type, connection, schedule, error, "
-          "error IS NULL AS valid FROM v",
+    "source_configs": _CONFIG_CTE.replace("FROM customer\n), v", """FROM customer
+), c AS (
+  SELECT * REPLACE (CASE WHEN name <> '' AND c_custkey % 50 = 1 THEN 'Shared-Name'
+                         WHEN name <> '' AND c_custkey % 50 = 2 THEN 'shared.name' ELSE name END AS name) FROM c0
+), v""").replace("WITH c AS", "WITH c0 AS") + """
+    , f AS (SELECT *, 'nation_' || CAST(c_nationkey AS VARCHAR) || '_' || CAST(c_custkey // 1000 AS VARCHAR) AS pipeline,
+                   lower(regexp_replace(name, '[^0-9A-Za-z_]', '_', 'g')) AS t FROM v),
+    w AS (SELECT *, CAST(row_number() OVER (PARTITION BY pipeline ORDER BY c_custkey) - 1 AS INTEGER) AS idx,
+                 row_number() OVER (PARTITION BY pipeline, t ORDER BY c_custkey) AS nth,
+                 first(name) OVER (PARTITION BY pipeline, t ORDER BY c_custkey) AS owner FROM f),
+    z AS (SELECT *, coalesce(CASE WHEN c_custkey % 20 = 0 THEN 'unknown source fields: owner' END, error,
+                 CASE WHEN name <> '' AND nth > 1 AND owner = name THEN 'source ''' || name || ''' appears twice'
+                      WHEN name <> '' AND nth > 1 THEN 'sources ''' || owner || ''' and ''' || name
+                           || ''' share table ''' || t || '''' END) AS e FROM w)
+    SELECT pipeline, idx, name, src_type, connection, schedule, e AS error, e IS NULL AS valid FROM z""",
     "incremental_load": "SELECT * FROM events",
     "incremental_responses": "SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
 }

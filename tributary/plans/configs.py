@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tributary.functions.text import cron_column
 from tributary.operators.payload import text_has_data
+from tributary.plans.specs import FIELDS
 from tributary.sources import supported_types
 
 CONFIG_COLUMNS = ["pipeline", "idx", "name", "src_type", "connection", "schedule"]
@@ -74,6 +76,8 @@ def pipeline_sources(files: DataFrame) -> DataFrame:
         (sched.isNotNull() & ~F.is_variant_null(sched)).alias("_has_schedule"),
         F.coalesce(F.schema_of_variant(sched) == "STRING", F.lit(False)).alias("_schedule_is_text"),
         file_error.alias("file_error"),
+        F.array_sort(F.array_except(F.map_keys(src.try_cast("map<string,variant>")),
+                                    F.array(*[F.lit(f) for f in FIELDS]))).alias("_extra"),
     )
 
 
@@ -116,9 +120,21 @@ def validate_sources(sources: DataFrame) -> DataFrame:
     to ``pipeline_sources`` output."""
     args = (F.col("name"), F.col("src_type"), F.col("_conn_size"), F.col("_has_schedule"),
             F.col("_schedule_is_text"), F.col("schedule"), F.col("_has_name"), F.col("_has_type"))
+    # a pipeline file is bounded, and so is a group of its sources with one table
+    same = Window.partitionBy("pipeline", "_table").orderBy("idx")
+    named = F.coalesce(F.col("_has_name"), F.lit(False))
+    table = F.when(named, F.lower(F.regexp_replace("name", "[^0-9A-Za-z_]", "_")))
+    sources = sources.withColumn("_table", table).withColumn("_first", F.first("name").over(same)) \
+        .withColumn("_nth", F.row_number().over(same))
+    extra = F.when(F.size("_extra") > 0, F.concat(F.lit("unknown source fields: "), F.array_join("_extra", ", ")))
+    twice = F.when(named & (F.col("_nth") > 1), F.when(
+        F.col("_first") == F.col("name"), F.concat(F.lit("source '"), F.col("name"), F.lit("' appears twice"))).otherwise(
+        F.concat(F.lit("sources '"), F.col("_first"), F.lit("' and '"), F.col("name"), F.lit("' share table '"),
+                 F.col("_table"), F.lit("'"))))
+    own = F.concat(F.array(extra), F.array(*source_checks(*args)), F.array(twice))
     errors = F.when(F.col("file_error").isNotNull(), F.array(F.col("file_error"))) \
-        .otherwise(source_errors_column(*args))
-    err = F.coalesce(F.col("file_error"), source_error(*args))
+        .otherwise(F.filter(own, lambda m: m.isNotNull()))
+    err = F.try_element_at(errors, F.lit(1))
     return sources.select(*CONFIG_COLUMNS, errors.alias("errors"), err.alias("error"),
                           err.isNull().alias("valid"))
 

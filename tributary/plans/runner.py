@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
-import re
 import threading
 import traceback
 import uuid
@@ -34,9 +33,7 @@ from pyspark.sql import types as T
 
 from tributary.functions.text import raw_load_stamp
 from tributary.operators.normalize import normalize
-from tributary.operators.partitioning import spread_small
-from tributary.operators.payload import text_has_data
-from tributary.plans.specs import PipelineSpec, SourceSpec
+from tributary.plans.specs import PipelineSpec, SourceSpec, table_name_for
 from tributary.session import delete_path, shared_root
 from tributary.sinks.raw import read_raw, write_raw, write_raw_responses
 from tributary.sinks.table import SKIPPED, delta_available, write_table
@@ -55,8 +52,10 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("rows_read", T.LongType()),
     T.StructField("rows_written", T.LongType()),
     T.StructField("error", T.StringType()),
+    T.StructField("failed_requests", T.LongType()),
 ])
-SUCCESS, FAILURE = "SUCCESS", "FAILURE"
+#: PARTIAL: data was loaded, but some requests failed (only a PERMISSIVE source goes on then).
+SUCCESS, PARTIAL, FAILURE = "SUCCESS", "PARTIAL", "FAILURE"
 
 
 @dataclass
@@ -73,10 +72,11 @@ class RunResult:
     table: str | None = None
     table_action: str | None = None
     load_id: str | None = None
+    failed_requests: int = 0
 
     def audit_row(self) -> tuple:
         return (self.run_id, self.job_name, self.source, self.status, self.started_at,
-                self.finished_at, self.rows_read, self.rows_written, self.error)
+                self.finished_at, self.rows_read, self.rows_written, self.error, self.failed_requests)
 
 
 def _short_message(e: Exception) -> str:
@@ -90,10 +90,6 @@ def _short_message(e: Exception) -> str:
     return lines[0]
 
 
-def table_name_for(source: str, prefix: str = "") -> str:
-    return prefix + re.sub(r"[^0-9A-Za-z_]", "_", source).lower()
-
-
 class Runner:
     """Runs sources against one output root and one catalog database."""
 
@@ -115,32 +111,39 @@ class Runner:
         if table_format == "delta" and not delta_available(spark):
             raise RuntimeError("table_format='delta' needs the Delta Lake package on the classpath")
         self._audit_lock = threading.Lock()
+        self._tables: dict[str, str] = {}
 
     # -- one source -------------------------------------------------------
-    def _load(self, spec: SourceSpec, connector, load_id: str) -> tuple[int, DataFrame, int]:
+    def _load(self, spec: SourceSpec, connector, load_id: str) -> tuple[int, DataFrame, int, int]:
         """Fetch once into the raw layer; return (rows read, DataFrame for the table,
-        its row count)."""
+        its row count, failed requests)."""
         obs = Observation(f"read_{uuid.uuid4().hex[:8]}")
         if isinstance(connector, RestSource):
-            responses = connector.read(self.spark, load_id).observe(obs, F.count(F.lit(1)).alias("n"))
-            # like the reference, a fetch without data leaves no raw output: empty
-            # payloads and failed requests are counted as read but not written
-            with_data = responses.filter(text_has_data(F.col("body")) & F.col("error").isNull())
-            write_raw_responses(with_data, self.root, spec.name, load_id)
-            raw = spread_small(read_raw(self.spark, self.root, spec.name, response_struct(), load_id))
+            # every response is logged, failed ones with their status and error
+            responses = connector.read(self.spark, load_id).observe(
+                obs, F.count(F.lit(1)).alias("n"), F.count_if(F.col("error").isNotNull()).alias("failed"))
+            write_raw_responses(responses, self.root, spec.name, load_id)
+            raw = read_raw(self.spark, self.root, spec.name, response_struct(), load_id)
             mode = str(spec.connection.get("mode", self.mode)).upper()
             staging = self._staging_path(spec, load_id)
             stats: dict = {}
             shaped = normalize(raw, schema=spec.connection.get("schema", self.schema), mode=mode,
                                staging=staging, stats=stats)
-            rows = int((obs.get or {}).get("n", 0))
-            return rows, shaped, stats.get("records", 0)
+            seen = obs.get or {}
+            return int(seen.get("n", 0)), shaped, stats.get("records", 0), int(seen.get("failed", 0))
         else:
             df = connector.read(self.spark)
             write_raw(df.observe(obs, F.count(F.lit(1)).alias("n")), self.root, spec.name, load_id)
             shaped = read_raw(self.spark, self.root, spec.name, df.schema, load_id)
         rows = int((obs.get or {}).get("n", 0))
-        return rows, shaped, rows
+        return rows, shaped, rows, 0
+
+    def _claim(self, table: str, source: str) -> None:
+        """Refuses a second source whose name gives the same table: it would replace the first."""
+        with self._audit_lock:
+            owner = self._tables.setdefault(table, source)
+        if owner != source:
+            raise ValueError(f"sources {owner!r} and {source!r} would share table {table!r}; rename one")
 
     def _staging_path(self, spec: SourceSpec, load_id: str) -> str:
         return f"{self.root}/staging/{spec.name}/load_id={load_id}"
@@ -150,27 +153,31 @@ class Runner:
         started = _dt.datetime.now(_dt.timezone.utc)
         run_id, load_id = uuid.uuid4().hex, raw_load_stamp()
         table = table_name_for(spec.name, self.table_prefix)
-        rows_read = rows_written = 0
+        rows_read = rows_written = failed = 0
         action, status, error = None, SUCCESS, None
         try:
+            self._claim(table, spec.name)
             connector = source_for(spec)
-            rows_read, shaped, rows_shaped = self._load(spec, connector, load_id)
+            rows_read, shaped, rows_shaped, failed = self._load(spec, connector, load_id)
             if rows_read == 0 or rows_shaped == 0:
                 action = SKIPPED
             else:
                 load = write_table(shaped, table, fmt=self.table_format, known_rows=rows_shaped,
                                    path=f"{self.root}/tables/{table}", on_mismatch=self.on_mismatch)
                 action, rows_written = load.action, load.rows
-            if not self.keep_staging:
-                # the table is committed; the raw layer stays the durable copy
-                delete_path(self.spark, self._staging_path(spec, load_id))
+            if failed:
+                status = PARTIAL if rows_written else FAILURE
+                error = f"{failed} of {rows_read} requests failed"
         except Exception as e:  # noqa: BLE001 - a failing source must not stop the others
             status = FAILURE
             error = f"{type(e).__name__}: {_short_message(e)}"
             log.error("source %s failed: %s\n%s", spec.name, error, traceback.format_exc())
+        if not self.keep_staging:
+            # the raw layer stays the durable copy
+            delete_path(self.spark, self._staging_path(spec, load_id))
         finished = _dt.datetime.now(_dt.timezone.utc)
         result = RunResult(run_id, spec.job_name, spec.name, status, started, finished,
-                           rows_read, rows_written, error, table, action, load_id)
+                           rows_read, rows_written, error, table, action, load_id, failed)
         self.record(result)
         self.spark.sparkContext.setJobDescription(None)
         return result
@@ -229,5 +236,5 @@ def job_summary(audit: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["AUDIT_SCHEMA", "FAILURE", "SUCCESS", "RunResult", "Runner", "job_summary",
+__all__ = ["AUDIT_SCHEMA", "FAILURE", "PARTIAL", "SUCCESS", "RunResult", "Runner", "job_summary",
            "run_history", "table_name_for"]

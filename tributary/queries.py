@@ -12,14 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.fixtures import DERBY_DRIVER, load_into_derby
+from tributary.fixtures import DERBY_DRIVER, load_into_derby, write_pages
 from tributary.operators import (
     generic_columns,
     named_rows,
     normalize,
+    normalize_by_source,
     positional,
     response_outcomes,
-    spread_small,
     type_variant_columns,
 )
 from tributary.plans.configs import (
@@ -31,7 +31,7 @@ from tributary.plans.configs import (
 )
 from tributary.plans.runner import Runner, job_summary, run_history
 from tributary.plans.specs import SourceSpec
-from tributary.session import local_path, scratch_dir, ship_package, unique_name
+from tributary.session import scratch_dir, unique_name
 from tributary.sinks.raw import (
     raw_path,
     read_raw,
@@ -64,9 +64,8 @@ def _jdbc(spark: SparkSession, df: DataFrame, fixture_table: str, **conn) -> Dat
 
 
 def _responses(df: DataFrame, seq, body) -> DataFrame:
-    """Responses built row by row from a table scan (no exchange), spread over the
-    cores when the table arrives in fewer partitions (e.g. one row group)."""
-    return spread_small(df.select(seq.cast("bigint").alias("seq"), body.alias("body")))
+    """Responses built row by row from a table scan (no exchange)."""
+    return df.select(seq.cast("bigint").alias("seq"), body.alias("body"))
 
 
 # ---------------------------------------------------------------- JDBC scans
@@ -127,13 +126,16 @@ def payload_records(spark, d):
     return normalize(_order_pages(_t(spark, d, "orders")))
 
 
-def payload_values(spark, d):
-    li = _t(spark, d, "lineitem")
-    pages = (li.groupBy("l_orderkey", F.floor(F.col("l_linenumber") / PAGE).alias("page"))
+def value_pages(li: DataFrame) -> DataFrame:
+    """The parts of each order as an array of plain values."""
+    return (li.groupBy("l_orderkey", F.floor(F.col("l_linenumber") / PAGE).alias("page"))
              .agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))),
-                                        lambda x: x["l_partkey"])).alias("body"))
+                                       lambda x: x["l_partkey"])).alias("body"))
              .select(F.col("l_orderkey").alias("seq"), "body"))
-    return normalize(pages)
+
+
+def payload_values(spark, d):
+    return normalize(value_pages(_t(spark, d, "lineitem")))
 
 
 def payload_scalar(spark, d):
@@ -152,6 +154,22 @@ def first_record_schema(spark, d):
     return normalize(nb.unionByName(ob))
 
 
+def first_record_per_source(spark, d):
+    """Two sources in one table of responses: each has the columns of its own first record."""
+    n, o = _t(spark, d, "nation"), _t(spark, d, "orders")
+    nb = n.select(F.lit("nations").alias("source"), F.col("n_nationkey").cast("bigint").alias("seq"),
+                  F.to_json(F.struct("n_name", "n_regionkey")).alias("body"))
+    ob = o.select(F.lit("orders").alias("source"), F.col("o_orderkey").alias("seq"),
+                  F.to_json(F.struct("o_totalprice", "o_orderstatus")).alias("body"))
+    out = None
+    for source, df in normalize_by_source(nb.unionByName(ob), keep=("seq",)).items():
+        cols = [c for c in df.columns if c != "seq"]
+        row = df.select(F.lit(source).alias("source"), "seq", F.lit(",".join(cols)).alias("columns"),
+                        F.col(cols[0]).cast("string").alias("first"), F.col(cols[1]).cast("string").alias("second"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def type_unify(spark, d):
     li = _t(spark, d, "lineitem")
     qty = F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("bigint").cast("string")) \
@@ -235,11 +253,19 @@ def raw_payload(spark, d):
 
 
 def raw_stringify(spark, d):
-    e = _t(spark, d, "events").select("event_id", "ts")
+    """Types that JSON lacks as the raw layer's text, and back: the last column is the
+    instant that is read again."""
+    e = _t(spark, d, "events").select(
+        "event_id", "ts", F.col("ts").cast("date").alias("day"), F.col("value").cast("decimal(12,3)").alias("amount"),
+        F.timestamp_micros(F.col("event_id") * 1_000_001).alias("instant"))
     root = scratch_dir(spark, "raw")
     path = write_raw(e, root, "events", "l1")
-    return spark.read.schema("event_id bigint, ts string").json(path) \
-        .select("event_id", F.col("ts").alias("ts_text"))
+    text = spark.read.schema("event_id bigint, ts string, day string, amount string, instant string").json(path)
+    back = read_raw(spark, root, "events", e.schema, "l1").select(
+        F.col("event_id").alias("id"), F.unix_micros("instant").alias("micros"))
+    return text.join(back, F.col("event_id") == F.col("id")).select(
+        "event_id", F.col("ts").alias("ts_text"), F.col("day").alias("day_text"), F.col("amount").alias("amount_text"),
+        F.col("instant").alias("instant_text"), "micros")
 
 
 def raw_positional(spark, d):
@@ -276,66 +302,64 @@ def table_append(spark, d):
 def table_replace_on_mismatch(spark, d):
     name, path = _table(spark)
     write_table(_t(spark, d, "customer"), name, path=path)
-    assert write_table(_t(spark, d, "nation"), name, path=path).action == "replaced"
+    assert write_table(_t(spark, d, "orders"), name, path=path).action == "replaced"
     return spark.table(name)
 
 
-def fetch_fanout(spark, d):
-    o = _t(spark, d, "orders")
-    url = load_into_derby(o, "ORDERS")
-    runner = Runner(spark, scratch_dir(spark, "out"), table_prefix=unique_name("fan") + "_",
-                    audit_table=unique_name("runs"))
-    spec = SourceSpec("orders_src", "jdbc", {"url": url, "driver": DERBY_DRIVER, "table": "ORDERS",
-                                             "partition_column": "o_orderkey"})
-    res = runner.run_source(spec)
-    if res.status != "SUCCESS":
-        raise RuntimeError(res.error)
-    raw = spark.read.schema("o_orderkey bigint").json(raw_path(runner.root, spec.name))
-    tagged = raw.select(F.lit(1).alias("r"), F.lit(0).alias("t")).unionByName(
-        spark.table(res.table).select(F.lit(0).alias("r"), F.lit(1).alias("t")))
-    return tagged.agg(F.sum("r").cast("bigint").alias("raw_rows"),
-                      F.sum("t").cast("bigint").alias("table_rows"))
+def orders_pages(o: DataFrame) -> DataFrame:
+    """Orders as API pages by blocks of keys: ``page``, ``body``."""
+    rec = F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    return (o.groupBy(F.floor(F.col("o_orderkey") / PAGE).alias("page"))
+            .agg(F.to_json(F.array_sort(F.collect_list(rec))).alias("body")))
 
 
-def _write_page_files(pages: DataFrame, folder: str) -> None:
-    """Fixture: executors write each page body to ``<folder>/page_<n>.json``."""
-    def write(batches):
-        import os
+def load_pages(spark: SparkSession, pages: DataFrame, name: str, **conn):
+    """Serves ``pages`` as an API and runs a source that fetches them; (runner, result)."""
+    connection = write_pages(pages, scratch_dir(spark, "api"))
+    runner = Runner(spark, scratch_dir(spark, "out"), table_prefix=unique_name("api") + "_",
+                    audit_table=unique_name("runs"))
+    return runner, runner.run_source(SourceSpec(name, "api", {**connection, **conn}))
 
-        import pandas as pd
 
-        os.makedirs(folder, exist_ok=True)
-        for pdf in batches:
-            for page, body in zip(pdf["page"], pdf["body"]):
-                with open(os.path.join(folder, f"page_{page}.json"), "w", encoding="utf-8") as fh:
-                    fh.write(body)
-            yield pd.DataFrame({"n": [len(pdf)]})
-    pages.mapInPandas(write, "n long").agg(F.sum("n")).collect()
+def fetch_fanout(spark, d):
+    """One fetch, two sinks: every order's values counted in the raw layer and in the table."""
+    runner, res = load_pages(spark, orders_pages(_t(spark, d, "orders")), "orders_src")
+    if res.status != "SUCCESS":
+        raise RuntimeError(res.error)
+    bodies = read_raw(spark, runner.root, "orders_src", response_struct(), res.load_id)
+    cols = ["o_orderkey", "o_custkey", "o_totalprice"]
+    raw = bodies.select(F.inline(F.from_json("body", "array<struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>>")))
+    both = raw.select(*cols, F.lit(1).alias("r"), F.lit(0).alias("t")).unionByName(
+        spark.table(res.table).select(*cols, F.lit(0).alias("r"), F.lit(1).alias("t")))
+    return both.groupBy(*cols).agg(F.sum("r").alias("raw_rows"), F.sum("t").alias("table_rows"))
 
 
 def rest_pages(spark, d):
-    """Orders served as paged JSON files, fetched over ``file://`` by the REST
-    source (path pagination, requests spread over twice the default parallelism),
-    then raw → normalize → table."""
-    o = _t(spark, d, "orders")
-    page = F.floor(F.col("o_orderkey") / PAGE)
-    rec = F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
-    pages = o.groupBy(page.alias("page")).agg(F.to_json(F.array_sort(F.collect_list(rec))).alias("body"))
-    ship_package(spark)
-    folder = local_path(scratch_dir(spark, "api"))
-    _write_page_files(pages, folder)
-    n_pages = int(o.agg(F.max("o_orderkey")).first()[0]) // PAGE + 1
-    runner = Runner(spark, scratch_dir(spark, "out"), table_prefix=unique_name("api") + "_",
-                    audit_table=unique_name("runs"))
-    # PERMISSIVE: a block of keys with no orders has no page file; its request
-    # yields an error row that is logged in the raw layer and left out
-    spec = SourceSpec("orders_api", "api", {
-        "endpoint": f"file://{folder}/page_{{page}}.json", "type": "GET", "pages": n_pages,
-        "page_start": 0, "partitions": "auto", "mode": "PERMISSIVE"})
-    res = runner.run_source(spec)
+    """Orders served as pages, fetched by the REST source (path pagination, requests
+    spread over twice the default parallelism), then raw → normalize → table."""
+    _, res = load_pages(spark, orders_pages(_t(spark, d, "orders")), "orders_api")
     if res.status != "SUCCESS":
         raise RuntimeError(res.error)
-    return spark.table(res.table)
+    return spark.table(res.table).withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+
+
+def rest_failures(spark, d):
+    """Event pages of which every fifth answers 503: what raw layer, table and audit say."""
+    e = _t(spark, d, "events")
+    page = F.floor(F.col("event_id") / PAGE)
+    body = F.to_json(F.array_sort(F.collect_list(F.struct("event_id", "user_id"))))
+    pages = e.groupBy(page.alias("page")).agg(body.alias("good")).select(
+        "page", F.when(F.col("page") % 5 == 0, "!503").otherwise(F.col("good")).alias("body"))
+    runner, res = load_pages(spark, pages, "events_api", mode="PERMISSIVE")
+    raw = read_raw(spark, runner.root, "events_api", response_struct(), res.load_id)
+    logged = raw.groupBy(F.concat(F.lit("raw: "), F.coalesce("error", F.lit("ok"))).alias("what")).agg(
+        F.count(F.lit(1)).alias("n"))
+    audit = spark.table(runner.audit_table).select(F.explode(F.array(
+        F.struct(F.concat(F.lit("audit: "), F.col("status")).alias("what"), F.lit(1).cast("bigint").alias("n")),
+        F.struct(F.lit("audit: failed requests").alias("what"), F.col("failed_requests").alias("n")),
+        F.struct(F.lit("audit: rows written").alias("what"), F.col("rows_written").alias("n")))).alias("x")).select("x.*")
+    table = spark.table(res.table).agg(F.count(F.lit(1)).alias("n")).select(F.lit("table: rows").alias("what"), "n")
+    return logged.unionByName(audit).unionByName(table)
 
 
 # ---------------------------------------------------------------- audit
@@ -390,7 +414,13 @@ def source_validation(spark, d):
 
 def source_configs(spark, d):
     rows = _config_rows(_t(spark, d, "customer"))
-    src = F.to_json(F.struct("name", "src_type", F.parse_json("connection").alias("connection"), "schedule"))
+    # two of a customer block share a name, and some sources have a field too many
+    rows = rows.withColumn("name", F.when((F.col("name") != "") & (F.col("c_custkey") % 50 == 1), F.lit("Shared-Name"))
+                           .when((F.col("name") != "") & (F.col("c_custkey") % 50 == 2), F.lit("shared.name"))
+                           .otherwise(F.col("name")))
+    extra = F.when(F.col("c_custkey") % 20 == 0, F.col("c_custkey"))
+    src = F.to_json(F.struct("name", "src_type", F.parse_json("connection").alias("connection"), "schedule",
+                             extra.alias("owner")))
     files = (rows.groupBy(F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string"), F.lit("_"),
                                    F.floor(F.col("c_custkey") / CONFIGS_PER_FILE).cast("string")).alias("pipeline"))
              .agg(F.array_sort(F.collect_list(F.struct("c_custkey", src.alias("src")))).alias("items"))
@@ -448,6 +478,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "payload_values": payload_values,
     "payload_scalar": payload_scalar,
     "first_record_schema": first_record_schema,
+    "first_record_per_source": first_record_per_source,
     "type_unify": type_unify,
     "nested_union": nested_union,
     "clean_record": clean_record_q,
@@ -463,6 +494,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_replace_on_mismatch": table_replace_on_mismatch,
     "fetch_fanout": fetch_fanout,
     "rest_pages": rest_pages,
+    "rest_failures": rest_failures,
     "run_audit": run_audit,
     "run_history_topk": run_history_topk,
     "source_validation": source_validation,

@@ -53,8 +53,8 @@ def shared_root(spark: SparkSession) -> str:
     """The shared folder for durable intermediate data.
 
     Read from ``spark.checkpoint.dir`` (or a checkpoint dir set on the context).
-    Only when neither is set, as in local tests, a fresh temporary folder is
-    created and registered as the checkpoint dir.
+    Where neither is set a local session (one machine, as in tests) gets a fresh
+    temporary folder; any other master raises.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -65,6 +65,8 @@ def shared_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tributary-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.functions.names import column
-from tributary.functions.text import raw_timestamp_text
+from tributary.functions.text import raw_instant_text, raw_timestamp_text
 
 LOAD_ID = "load_id"
 
@@ -26,7 +26,9 @@ def raw_path(root: str, source: str, load_id: str | None = None) -> str:
 
 def _stringify(col: Column, dt: T.DataType) -> Column:
     """Values JSON cannot hold as such → text (Python ``json.dump(default=str)``)."""
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dt, T.TimestampType):
+        return raw_instant_text(col)
+    if isinstance(dt, T.TimestampNTZType):
         return raw_timestamp_text(col)
     if isinstance(dt, (T.DateType, T.DecimalType)):
         return col.cast("string")
@@ -128,13 +130,14 @@ def read_raw(spark: SparkSession, root: str, source: str, schema: T.StructType,
              load_id: str | None = None, *, with_load_id: bool = False) -> DataFrame:
     """Read a raw layer back with the schema it was written from.
 
-    Types that the raw layer holds as text are read as text and cast back.
+    Types that the raw layer holds as text are read as text and cast back. A line that
+    is not JSON, or does not fit the schema, raises.
     """
     path = raw_path(root, source, load_id)
     read_schema = raw_schema(schema)
     if with_load_id and load_id is None:
         read_schema = read_schema.add(LOAD_ID, T.StringType(), True)
-    df = spark.read.schema(read_schema).json(path)
+    df = spark.read.schema(read_schema).option("mode", "FAILFAST").json(path)
     cols = [_restore(column(f.name), f.dataType).alias(f.name) for f in schema.fields]
     if with_load_id:
         cols.append(F.col(LOAD_ID) if load_id is None else F.lit(load_id).alias(LOAD_ID))

@@ -9,18 +9,20 @@ schema mismatch replaces a table — any other write error surfaces unchanged.
 from __future__ import annotations
 
 import logging
+import time
+import uuid
 from dataclasses import dataclass
-from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.functions.names import column
-from tributary.session import shared_root
+from tributary.session import delete_path
 
 log = logging.getLogger(__name__)
 
+_REPLACED = "__r"  # marks folders that took another's place
 CREATED, APPENDED, REPLACED, SKIPPED = "created", "appended", "replaced", "skipped"
 
 
@@ -70,22 +72,79 @@ def delta_available(spark) -> bool:
     return False
 
 
-def _path_has_data(spark, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+def _listing(spark, path: str) -> list[str]:
+    """Names under ``path`` on whatever filesystem it is on; none if it does not exist."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p) and len(fs.listStatus(p)) > 0
+    return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def _stored_at(spark, path: str) -> str | None:
+    """Where a table's data is whose first folder was ``path``: the newest finished folder
+    that replaced it, else ``path`` itself if it has data."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    newer = sorted(n for n in _listing(spark, parent) if n.startswith(name + _REPLACED))
+    for n in reversed(newer):
+        if "_SUCCESS" in _listing(spark, f"{parent}/{n}"):
+            return f"{parent}/{n}"
+    return path if _listing(spark, path) else None
+
+
+def _register(spark, table: str, path: str, fmt: str) -> None:
+    """A catalog entry over finished data, its partitions included."""
+    spark.catalog.createTable(table, path=path, source=fmt)
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        spark.catalog.recoverPartitions(table)
+
+
+def _replace(df: DataFrame, table: str, path: str | None, fmt: str, partition_by: list[str] | None) -> None:
+    """Writes the new data beside the old, then switches the catalog entry over.
+
+    The old table stays readable until its successor is complete, and a write that
+    fails leaves it as it was. ``df`` may read the table it replaces.
+    """
+    spark = df.sparkSession
+    writer = df.write.format(fmt).mode("error")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if path:
+        old = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Location").first()
+        new = f"{path.rstrip('/')}{_REPLACED}{time.time_ns():020d}"
+        writer.save(new)
+        spark.sql(f"DROP TABLE {table}")  # an external table: its files stay
+        _register(spark, table, new, fmt)
+        if old is not None:
+            delete_path(spark, old["data_type"])
+    else:
+        staged = f"{table}_{uuid.uuid4().hex[:10]}"
+        writer.saveAsTable(staged)
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+
+
+def _widened(df: DataFrame, current: T.StructType) -> DataFrame:
+    """``df`` with whole-number columns as doubles where the table has doubles."""
+    have = schema_key(current)
+    exact = lambda c: F.when(F.abs(c) > 2**53, F.raise_error(F.lit(
+        "a whole number is too large to be exact in a DOUBLE column")).cast("double")).otherwise(c.cast("double"))
+    return df.select(*[exact(column(f.name)).alias(f.name)
+                       if isinstance(f.dataType, T.LongType) and isinstance(have.get(f.name), T.DoubleType)
+                       else column(f.name) for f in df.schema.fields])
 
 
 def write_table(df: DataFrame, table: str, *, fmt: str = "parquet", path: str | None = None,
                 on_mismatch: str = "replace", partition_by: list[str] | None = None,
-                skip_if_empty: bool = True, known_rows: int | None = None) -> TableLoad:
+                skip_if_empty: bool = True, known_rows: int | None = None,
+                replace_partitions: bool = False) -> TableLoad:
     """Write ``df`` to catalog table ``table``.
 
     * table missing → create (``created``);
-    * same columns → append, matched by name (``appended``; a bag union, no dedupe);
-    * different columns → ``on_mismatch="replace"`` overwrites data and schema
-      (``replaced``), ``"fail"`` raises :class:`SchemaMismatchError`;
+    * same columns → append, matched by name (``appended``; a bag union, no dedupe), or
+      with ``replace_partitions`` the partitions that ``df`` has rows of are overwritten.
+      Whole numbers go into DOUBLE columns where they are exact there;
+    * different columns → ``on_mismatch="replace"`` writes the new data beside the old and
+      then switches the table over (``replaced``), ``"fail"`` raises
+      :class:`SchemaMismatchError`;
     * no rows → nothing is written (``skipped``), no table is created.
 
     ``known_rows`` (a count the caller already observed) saves the emptiness check.
@@ -101,18 +160,31 @@ def write_table(df: DataFrame, table: str, *, fmt: str = "parquet", path: str |
         return TableLoad(table, SKIPPED, 0)
     obs = Observation(f"rows_{table.replace('.', '_')}")
     exists = spark.catalog.tableExists(table)
-    if not exists and path and _path_has_data(spark, path):
+    stored = None if exists or not path else _stored_at(spark, path)
+    if stored:
         # data from an earlier session whose catalog did not keep the table
-        spark.catalog.createTable(table, path=path, source=fmt)
+        _register(spark, table, stored, fmt)
         exists = True
     previous = None
     if not exists:
-        action, mode, out = CREATED, "error", df
+        action = CREATED
+        writer = _counted(df, obs).write.format(fmt).mode("error")
+        if path:
+            writer = writer.option("path", path)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.saveAsTable(table)
     else:
         current = spark.table(table).schema
+        if not same_columns(current, df.schema):
+            df = _widened(df, current)
         if same_columns(current, df.schema):
-            action, mode = APPENDED, "append"
-            out = df.select(*[column(f.name) for f in current.fields])
+            action = APPENDED
+            out = _counted(df, obs).select(*[column(f.name) for f in current.fields])
+            if replace_partitions:
+                _overwrite_partitions(out, table)
+            else:
+                out.write.format(fmt).mode("append").saveAsTable(table)
         elif on_mismatch == "fail":
             raise SchemaMismatchError(
                 f"table {table}: columns {current.simpleString()} != {df.schema.simpleString()}")
@@ -120,40 +192,25 @@ def write_table(df: DataFrame, table: str, *, fmt: str = "parquet", path: str |
             previous = current.simpleString()
             log.warning("table %s: schema changed, replacing (%s -> %s)", table, previous,
                         df.schema.simpleString())
-            action, mode, out = REPLACED, "overwrite", df
-    if action == REPLACED and _reads_table(out, spark, table):
-        # the new data is derived from the table it replaces: Spark cannot overwrite a
-        # location it is reading, so stage the rows first (reliable checkpoint)
-        shared_root(spark)  # the checkpoint dir: from the session, or set where unset
-        out = out.checkpoint(eager=True)
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = out.write.format(fmt).mode(mode)
-    if path and action != APPENDED:
-        writer = writer.option("path", path)
-    if fmt == "delta" and action == REPLACED:
-        writer = writer.option("overwriteSchema", "true")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+            action = REPLACED
+            if fmt == "delta":
+                _counted(df, obs).write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
+            else:
+                _replace(_counted(df, obs), table, path, fmt, partition_by)
     rows = obs.get.get("rows", 0) if obs.get else 0
     return TableLoad(table, action, int(rows), previous)
 
 
-def _reads_table(df: DataFrame, spark, table: str) -> bool:
-    """Whether ``df`` scans the files of catalog table ``table``."""
+def _counted(df: DataFrame, obs: Observation) -> DataFrame:
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"))
+
+
+def _overwrite_partitions(df: DataFrame, table: str) -> None:
+    """Replaces the partitions that ``df`` has rows of, and leaves the others."""
+    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic")
     try:
-        location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(
-            F.col("col_name") == "Location").first()
-        files = df.inputFiles()
-    except Exception:  # noqa: BLE001 - unknown: stage to be safe
-        return True
-    if location is None:
-        return False
-    root = _norm(location["data_type"])
-    return any(_norm(f).startswith(root + "/") for f in files)
-
-
-def _norm(uri: str) -> str:
-    """``file:/x`` and ``file:///x`` (and other spellings of one location) alike."""
-    u = urlparse(uri)
-    return f"{u.scheme or 'file'}://{u.netloc}{u.path.rstrip('/')}"
+        df.write.mode("overwrite").insertInto(table)
+    finally:
+        conf.set(key, before)

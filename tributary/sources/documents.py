@@ -19,8 +19,8 @@ def read_documents(spark: SparkSession, path: str, *, glob: str = "*.json") -> D
     """``source, load_id, seq, url, body`` for every document under ``path``.
 
     ``source`` is the file's folder name; ``load_id`` is the stamp in the file
-    name (else the file name); ``seq`` orders documents by load id then file name,
-    so the oldest document comes first (its first record decides the columns).
+    name (else the file name), so the oldest load comes first and its first record
+    decides the columns; ``seq``, a hash of the path, orders documents of one load.
     """
     df = (spark.read.format("text").option("wholetext", "true")
           .option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path))

@@ -11,9 +11,8 @@ Connection options (the ``connection`` dict of a source spec):
                    parallel scan; missing bounds come from one MIN/MAX/COUNT
                    query that the database answers (a single row). Without
                    ``num_partitions`` the scan gets one partition per
-                   ``rows_per_partition`` rows (default 1,000,000), at most
-                   ``max_connections`` (default 32) — the database, not the
-                   cluster size, bounds the useful concurrency
+                   ``rows_per_partition`` rows (default 1,000,000); ``max_connections``,
+                   if given, limits that for a database that bears no more
 ``partition_column_sql``  spelling of the column in the bounds query
 ``predicates``     list of WHERE clauses, one partition each (for a partition
                    column whose values are skewed, where equal strides would
@@ -33,7 +32,6 @@ from tributary.fixed import DEFAULT_TABLE
 
 DEFAULT_FETCHSIZE = 10000
 DEFAULT_ROWS_PER_PARTITION = 1_000_000
-DEFAULT_MAX_CONNECTIONS = 32
 
 
 class JdbcSource:
@@ -76,10 +74,10 @@ class JdbcSource:
     def _partitions(self, spark: SparkSession, rows: int | None) -> int:
         if self.conn.get("num_partitions"):
             return max(1, int(self.conn["num_partitions"]))
-        cap = int(self.conn.get("max_connections", DEFAULT_MAX_CONNECTIONS))
         per = int(self.conn.get("rows_per_partition", DEFAULT_ROWS_PER_PARTITION))
         by_rows = -(-int(rows) // per) if rows else spark.sparkContext.defaultParallelism
-        return max(1, min(cap, by_rows, spark.sparkContext.defaultParallelism * 4))
+        most = int(self.conn.get("max_connections") or by_rows)
+        return max(1, min(most, by_rows))
 
     # -- read ----------------------------------------------------------
     def read(self, spark: SparkSession) -> DataFrame:

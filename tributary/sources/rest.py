@@ -11,7 +11,7 @@ Options:
 
 ``endpoint``   URL (required)
 ``method``     ``GET`` (default) or ``POST``, case-insensitive
-``args``       JSON object of query parameters (GET)
+``args``       JSON object of query parameters (GET); a list repeats its key, null is left out
 ``body``       JSON payload (POST)
 ``requests``   JSON array of ``{"args": …, "body": …}`` — one partition each
 ``page_param`` with ``pages``: GET the same endpoint ``pages`` times with
@@ -19,9 +19,9 @@ Options:
                endpoint containing ``{page}`` gets the number in its path instead
 ``requests_per_partition``  requests fetched by one task (default 1)
 ``partitions`` target number of tasks instead (requests spread evenly); the
-               connector's ``"auto"`` means twice the default parallelism, at
-               most ``max_partitions`` (default 64): the endpoint, not the
-               cluster size, bounds the useful concurrency
+               connector's ``"auto"`` means twice the default parallelism; a
+               ``max_partitions`` of the connection limits that, for an endpoint
+               that bears no more
 ``timeout``    seconds per request (default 30)
 ``mode``       ``FAILFAST`` (default): a failed request fails the task (Spark
                retries it); ``PERMISSIVE``: the row carries ``error`` and a NULL body
@@ -69,14 +69,23 @@ class Request:
 
 @dataclass
 class RequestPartition(InputPartition):
-    requests: list
+    start: int
+    stop: int
+
+
+def with_query(url: str, params: dict) -> str:
+    """``url`` with query parameters: a list repeats its key, null values are left out."""
+    pairs = [(k, x) for k, v in params.items()
+             for x in (v if isinstance(v, (list, tuple)) else [v]) if x is not None]
+    if not pairs:
+        return url
+    return url + ("&" if "?" in url else "?") + urllib.parse.urlencode(pairs)
 
 
 def http_fetch(method: str, url: str, params: dict, body: Any, timeout: float) -> tuple[int, str]:
     """Plain urllib transport: GET with query parameters, POST with a JSON payload."""
     if method == "GET":
-        full = url + (("&" if "?" in url else "?") + urllib.parse.urlencode(params) if params else "")
-        req = urllib.request.Request(full, method="GET")
+        req = urllib.request.Request(with_query(url, params), method="GET")
     else:
         data = json.dumps(body if body is not None else {}).encode()
         req = urllib.request.Request(url, data=data, method="POST",
@@ -106,62 +115,74 @@ def _json_option(options: dict, key: str, default: Any) -> Any:
         raise ValueError(f"option {key!r} is not JSON: {e}") from e
 
 
-def plan_requests(options: dict) -> list[Request]:
-    """Validate options (on the driver) and list the requests, numbered in order."""
-    endpoint = options.get("endpoint")
-    if not endpoint:
-        raise ValueError("rest_json: option 'endpoint' is required")
-    method = str(options.get("method", "GET")).upper()
-    if method not in METHODS:
-        raise ValueError(f"rest_json: unsupported method {method!r}; use one of {METHODS}")
-    args = _json_option(options, "args", {})
-    body = _json_option(options, "body", {})
-    if not isinstance(args, dict):
-        raise ValueError("rest_json: option 'args' must be a JSON object")
-    explicit = _json_option(options, "requests", None)
-    if explicit is not None:
-        if not isinstance(explicit, list) or not all(isinstance(r, dict) for r in explicit):
-            raise ValueError("rest_json: option 'requests' must be a JSON array of objects")
-        return [Request(i, method, endpoint, {**args, **(r.get("args") or {})},
-                        r.get("body", body)) for i, r in enumerate(explicit)]
-    if options.get("page_param") or "{page}" in endpoint:
-        pages = int(options.get("pages", 1))
-        start = int(options.get("page_start", 1))
-        if "{page}" in endpoint:
-            return [Request(i, method, endpoint.replace("{page}", str(start + i)), args, body)
-                    for i in range(pages)]
-        return [Request(i, method, endpoint, {**args, options["page_param"]: start + i}, body)
-                for i in range(pages)]
-    return [Request(0, method, endpoint, args, body)]
+class RequestPlan:
+    """The requests of one read, numbered from 0; each is made when its task asks for it.
+
+    Options are checked here, on the driver. Nothing is listed: a plan of a million
+    pages is as small as a plan of one.
+    """
+
+    def __init__(self, options: dict) -> None:
+        self.endpoint = options.get("endpoint")
+        if not self.endpoint:
+            raise ValueError("rest_json: option 'endpoint' is required")
+        self.method = str(options.get("method", "GET")).upper()
+        if self.method not in METHODS:
+            raise ValueError(f"rest_json: unsupported method {self.method!r}; use one of {METHODS}")
+        self.args = _json_option(options, "args", {})
+        self.body = _json_option(options, "body", {})
+        if not isinstance(self.args, dict):
+            raise ValueError("rest_json: option 'args' must be a JSON object")
+        self.explicit = _json_option(options, "requests", None)
+        self.page_param = options.get("page_param")
+        self.page_start = int(options.get("page_start", 1))
+        if self.explicit is not None:
+            if not isinstance(self.explicit, list) or not all(isinstance(r, dict) for r in self.explicit):
+                raise ValueError("rest_json: option 'requests' must be a JSON array of objects")
+            self.count = len(self.explicit)
+        elif self.page_param or "{page}" in self.endpoint:
+            self.count = int(options.get("pages", 1))
+        else:
+            self.count = 1
+
+    def request(self, i: int) -> Request:
+        if self.explicit is not None:
+            own = self.explicit[i]
+            return Request(i, self.method, self.endpoint, {**self.args, **(own.get("args") or {})},
+                           own.get("body", self.body))
+        if "{page}" in self.endpoint:
+            return Request(i, self.method, self.endpoint.replace("{page}", str(self.page_start + i)),
+                           self.args, self.body)
+        paged = {self.page_param: self.page_start + i} if self.page_param else {}
+        return Request(i, self.method, self.endpoint, {**self.args, **paged}, self.body)
 
 
 class RestJsonReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.options = dict(options)
-        self.requests = plan_requests(self.options)
         mode = str(self.options.get("mode", "FAILFAST")).upper()
         if mode not in ("FAILFAST", "PERMISSIVE"):
             raise ValueError(f"rest_json: mode must be FAILFAST or PERMISSIVE, got {mode!r}")
         self.mode = mode
+        RequestPlan(self.options)  # fail early
 
     def partitions(self):
+        count = RequestPlan(self.options).count
         n = max(1, int(self.options.get("requests_per_partition", 1)))
         if self.options.get("partitions"):
-            target = max(1, int(self.options["partitions"]))
-            n = max(1, -(-len(self.requests) // target))
-        return [RequestPartition(self.requests[i:i + n]) for i in range(0, len(self.requests), n)]
+            n = max(1, -(-count // max(1, int(self.options["partitions"]))))
+        return [RequestPartition(i, min(i + n, count)) for i in range(0, count, n)]
 
     def read(self, partition: RequestPartition):
         fetch = _load_fetcher(self.options.get("fetcher"))
         timeout = float(self.options.get("timeout", 30))
-        for request in partition.requests:
-            yield self._one(fetch, timeout, request)
+        plan = RequestPlan(self.options)
+        for i in range(partition.start, partition.stop):
+            yield self._one(fetch, timeout, plan.request(i))
 
     def _one(self, fetch, timeout: float, request: Request) -> tuple:
         source, load_id = self.options.get("source"), self.options.get("load_id")
-        shown = request.url
-        if request.method == "GET" and request.params:
-            shown += "?" + urllib.parse.urlencode(request.params)
+        shown = with_query(request.url, request.params) if request.method == "GET" else request.url
         status, text, error = None, None, None
         try:
             status, text = fetch(request.method, request.url, request.params,
@@ -229,7 +250,9 @@ class RestSource:
         register(spark)
         opts = self.options(load_id)
         if opts.get("partitions") == "auto":
-            cap = int(self.conn.get("max_partitions", 64))
-            opts["partitions"] = str(max(1, min(cap, 2 * spark.sparkContext.defaultParallelism)))
-        plan_requests(opts)  # fail early, on the driver
+            tasks = 2 * spark.sparkContext.defaultParallelism
+            if self.conn.get("max_partitions"):
+                tasks = min(tasks, int(self.conn["max_partitions"]))
+            opts["partitions"] = str(max(1, tasks))
+        RequestPlan(opts)  # fail early, on the driver
         return spark.read.format("rest_json").options(**opts).load()

@@ -5,9 +5,9 @@ table: ``readStream`` on the JSON files with an explicit schema,
 ``trigger(availableNow=True)`` (process what is there, then stop) and
 ``foreachBatch`` into the create/append/replace sink. Each micro-batch is
 tagged ``_load_id = <stream tag>-<batch id>`` (the tag comes from the checkpoint
-location, so two streams feeding one table never share ids); a replayed batch
-whose id is already in the table is skipped, so a restart after a failure never
-duplicates rows.
+location, so two streams feeding one table never share ids); each batch
+overwrites the partition of its id, so a batch that a crash left half written, or that
+is replayed, ends up in the table once and whole.
 """
 
 from __future__ import annotations
@@ -26,41 +26,37 @@ from tributary.sinks.table import write_table
 LOAD_COL = "_load_id"
 
 
-def _already_loaded(spark: SparkSession, table: str, load_id: str) -> bool:
-    if not spark.catalog.tableExists(table):
-        return False
-    return not spark.table(table).filter(F.col(LOAD_COL) == load_id).isEmpty()
-
-
 def incremental_load(spark: SparkSession, raw_folder: str, schema: T.StructType, table: str, *,
                      checkpoint: str, table_path: str | None = None, fmt: str = "parquet",
                      shape: Callable[[DataFrame], DataFrame] | None = None,
-                     on_mismatch: str = "fail", max_files_per_trigger: int | None = None) -> dict:
-    """Load new raw files into ``table``; returns counts of batches loaded/skipped.
+                     on_mismatch: str = "fail", max_files_per_trigger: int | None = None,
+                     done: Callable[[], None] | None = None) -> dict:
+    """Load new raw files into ``table``; returns counts of batches and rows.
 
     ``schema`` is the record schema the raw layer was written from (text-held
     types are cast back); ``shape`` may transform each batch before the write.
-    The table is partitioned by ``_load_id`` so the replay check prunes to one
-    partition.
+    The table is partitioned by ``_load_id``, one partition for each batch; a replayed
+    batch writes its partition anew. ``done`` is called after each batch's commit. A
+    line that is not JSON, or does not fit the schema, fails the batch.
     """
-    stats = {"batches": 0, "skipped": 0, "rows": 0}
+    stats = {"batches": 0, "rows": 0}
     tag = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:10]
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         load_id = f"{tag}-{batch_id:09d}"
-        if _already_loaded(batch.sparkSession, table, load_id):
-            stats["skipped"] += 1
-            return
         typed = batch.select(*[_restore(column(f.name), f.dataType).alias(f.name)
                                for f in schema.fields])
         if shape is not None:
             typed = shape(typed)
         res = write_table(typed.withColumn(LOAD_COL, F.lit(load_id)), table, fmt=fmt,
-                          path=table_path, on_mismatch=on_mismatch, partition_by=[LOAD_COL])
+                          path=table_path, on_mismatch=on_mismatch, partition_by=[LOAD_COL],
+                          replace_partitions=True)
+        if done is not None:
+            done()
         stats["batches"] += 1
         stats["rows"] += res.rows
 
-    reader = spark.readStream.schema(raw_schema(schema))
+    reader = spark.readStream.schema(raw_schema(schema)).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     query = (reader.json(raw_folder).writeStream
@@ -75,17 +71,33 @@ def incremental_load(spark: SparkSession, raw_folder: str, schema: T.StructType,
 def incremental_responses_load(spark: SparkSession, raw_folder: str, table: str, *,
                                checkpoint: str, table_path: str | None = None,
                                fmt: str = "parquet", schema: str = "first_record",
-                               mode: str = "FAILFAST", on_mismatch: str = "fail") -> dict:
+                               mode: str = "FAILFAST", on_mismatch: str = "fail",
+                               columns: T.StructType | None = None) -> dict:
     """Incremental load of a raw layer of API responses: each micro-batch of new
     response files is normalized (its own first-record schema) and appended.
 
-    A batch whose columns differ from the table's fails (``on_mismatch="fail"``)
-    rather than replacing the rows loaded so far.
+    Type changes between batches: whole numbers go into a DOUBLE column where they are
+    exact; any other change of columns fails the batch (``on_mismatch="fail"``) and
+    leaves the table as it is. ``columns`` fixes names and types for all batches, so
+    that a source whose types vary (a fraction after whole numbers) does not stop.
     """
     from tributary.operators.normalize import normalize
+    from tributary.session import delete_path, scratch_dir
     from tributary.sources.rest import response_struct
 
-    return incremental_load(
-        spark, raw_folder, response_struct(), table, checkpoint=checkpoint,
-        table_path=table_path, fmt=fmt, on_mismatch=on_mismatch,
-        shape=lambda batch: normalize(batch, schema=schema, mode=mode))
+    staged: list[str] = []
+
+    def shape(batch: DataFrame) -> DataFrame:
+        staged.append(scratch_dir(batch.sparkSession, "staged-records"))
+        return normalize(batch, schema=schema, mode=mode, staging=staged[-1], columns=columns)
+
+    def done() -> None:
+        while staged:
+            delete_path(spark, staged.pop())
+
+    try:
+        return incremental_load(
+            spark, raw_folder, response_struct(), table, checkpoint=checkpoint,
+            table_path=table_path, fmt=fmt, on_mismatch=on_mismatch, shape=shape, done=done)
+    finally:
+        done()
