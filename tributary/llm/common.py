@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.session import scratch_dir
+from tributary.session import scratch_dir, ship_package
 
 #: White space as the operators count it: space and the control characters 9 to 13.
 SPACE = "[\\x20\\x09-\\x0D]"
@@ -26,6 +26,22 @@ def word_count(text: str) -> Column:
     return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, f"{SPACE}+"))).cast("bigint")
 
 
+#: Documents are large: so many rows go to a Python worker at a time, at most.
+ARROW_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """For operators with Python code: the package on the workers, and Arrow batches of few rows.
+
+    Batches live outside the executors' heaps, so the default of 10,000 rows could take
+    hundreds of megabytes there.
+    """
+    ship_package(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 

@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.session import ship_package
+from tributary.llm.common import prepare
+
 
 MARK = "\u2581"
 #: Segmentations that each word form can get.
@@ -345,7 +346,7 @@ def encode_pieces(docs: DataFrame, model: str, seed: int, rate: float, text: str
     character U+2581 in a text, which the library turns into a space and this keeps).
     Rows of one id and text get the same ids.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"),
                          F.xxhash64(F.lit(seed), F.col(id_col)).alias("key"),
                          *[F.col(f"`{c}`").alias(f"keep_{i}") for i, c in enumerate(keep)])
@@ -375,7 +376,7 @@ def encode_pieces(docs: DataFrame, model: str, seed: int, rate: float, text: str
 
 def decode_pieces(encoded: DataFrame, model: str, ids: str = "piece_ids", out: str = "text") -> DataFrame:
     """``encoded`` with the text of its ids in column ``out``; null ids give null."""
-    ship_package(encoded.sparkSession)
+    prepare(encoded.sparkSession)
     at = encoded.columns.index(ids)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema] + [f"`{out}` string"])
 

@@ -28,8 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tributary.llm.common import shuffle_partitions, staged
-from tributary.session import ship_package
+from tributary.llm.common import prepare, shuffle_partitions, staged
 
 MAGIC = b"PLANES01"
 BLOCK_IDS = 1 << 16
@@ -277,7 +276,7 @@ def write_token_files(docs: DataFrame, root: str, vocabulary: str, end_id: int,
     are unique to the task attempt, and only files of finished tasks are listed.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     ordered = (docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
                .repartitionByRange(F.col("id")).sortWithinPartitions("id", "text"))
     tail = np.array([end_id], "<u4")
@@ -324,7 +323,7 @@ def read_token_files(files: DataFrame, id_type: str = "bigint", with_ids: bool =
     the ids follow as an array.
     """
     spark = files.sparkSession
-    ship_package(spark)
+    prepare(spark)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     # one row per file; the files are far fewer than the documents
     based = files.select("path", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))

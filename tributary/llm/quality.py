@@ -17,7 +17,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.session import ship_package
+from tributary.llm.common import prepare
+
 
 SYMBOLS = b"#*$%&|<>"
 LEVEL = 3
@@ -110,7 +111,7 @@ def quality_report(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     document's length. A null or blank text has no words and fails. Texts that have no
     chunk have null chunk ratios. Repeated rows are judged alike.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     names = [c.split()[0] for c in REPORT.split(", ")]
 
@@ -129,7 +130,7 @@ def quality_report(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
 
 def keep_quality(docs: DataFrame, text: str = "text", bands: tuple[Band, ...] = BANDS) -> DataFrame:
     """The rows of ``docs`` that the rules keep, columns unchanged, in one pass without a shuffle."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     at = docs.columns.index(text)
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

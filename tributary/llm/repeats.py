@@ -29,8 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import BitTable, slices, staged
-from tributary.session import ship_package
+from tributary.llm.common import BitTable, prepare, slices, staged
 
 GRAM = 100
 CLASS_STRETCHES = 2048
@@ -38,7 +37,7 @@ CLASS_STRETCHES = 2048
 BUFFER = 1 << 20
 PLACE_BITS = 24
 #: Stretches that are sorted together.
-SORTED_TOGETHER = 8192
+SORTED_TOGETHER = 4096
 #: 2**26 bits are 8 MB.
 FILTER_BITS = 1 << 26
 
@@ -301,7 +300,7 @@ def find_repeats(docs: DataFrame, length: int = 400, gram: int = GRAM, text: str
     th is the xxhash64 of the text; rows that repeat an id and a text repeat each other.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     gram = min(gram, length)
     keyed = _keyed(docs, text, id_col)
     kind = keyed.schema["id"].dataType.simpleString()
@@ -417,7 +416,7 @@ def cut_repeats(docs: DataFrame, length: int = 400, text: str = "text", id_col:
     Rows that repeat a text remove each other's long strings. ``kept`` may be cut inside
     of a character.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     spans = staged(find_repeats(docs, length, gram, text, id_col, class_stretches), "repeats")
     per_doc = spans.groupBy("id", "th").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     bits = BitTable(spans.select(F.xxhash64("id", "th").alias("key")), "repeat-docs", FILTER_BITS)

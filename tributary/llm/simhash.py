@@ -24,8 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import staged, without_ids
-from tributary.session import ship_package
+from tributary.llm.common import prepare, staged, without_ids
 
 SEED = 42
 PIVOTS = 16
@@ -60,7 +59,7 @@ def fingerprint(text: str | None, words: int, seed: int = SEED) -> int:
 
 def fingerprints(docs: DataFrame, words: int, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, fp) of every row; fp is the fingerprint as a signed long."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +167,7 @@ def near_links(distinct: DataFrame, bits: int, members: int = BUCKET_MEMBERS) ->
     Every pair within the distance is connected by links of pairs within the distance;
     a bucket gives at most one link for each member.
     """
-    ship_package(distinct.sparkSession)
+    prepare(distinct.sparkSession)
     masks = _masks(bits)
     keys = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
                      for i, m in enumerate(masks)])

@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.session import ship_package
+from tributary.llm.common import prepare
+
 
 #: Labelled documents that the lexicon and the model are fitted on, by a hash of their id.
 FIT_ROWS = 8000
@@ -213,7 +214,7 @@ def learn_lexicon(fit: DataFrame) -> list[Entry]:
     Support counts the different words that an entry follows in toxic documents, so that
     copies of one document count once. A stem is taken where no single word stands for it.
     """
-    ship_package(fit.sparkSession)
+    prepare(fit.sparkSession)
 
     def terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -320,7 +321,7 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text", id_col: s
     Whole texts are scored, from the text alone. Null and empty texts get the score of a
     text without hits. A null id is not held out.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
 
