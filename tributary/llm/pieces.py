@@ -31,7 +31,7 @@ MARK = "\u2581"
 #: Segmentations that each word form can get.
 VARIANTS = 4
 #: Words that a Python worker remembers, in each of two generations.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 #: Words of more symbols are merged one by one; the others many at a time.
 LONG_WORD = 48
 NO_MERGE = 1 << 30  # a rank behind all
@@ -280,9 +280,10 @@ class Encoder:
             pick = _mix(np.arange(len(words), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(key))
             picks = (pick % np.uint64(self.variants)).tolist()
             ids = [gets[v](w) for w, v in zip(words, picks)]
-            if None in ids:
-                missing.update((w, v) for w, v, i in zip(words, picks, ids) if i is None)
-            jobs.append((words, picks, ids))
+            open_ = [k for k, i in enumerate(ids) if i is None]
+            asked = [(words[k], picks[k]) for k in open_]
+            missing.update(asked)
+            jobs.append((ids, open_, asked))
         new = []
         for w, v in missing:
             if (own := self.older[v].get(w)) is None:
@@ -293,9 +294,9 @@ class Encoder:
             some = new[i:i + 4000]
             for (w, v), own in zip(some, self.seg.many([w for w, _ in some], [v for _, v in some])):
                 self.known[v][w] = own
-        for (words, picks, ids), t in zip(jobs, texts):
-            if None in ids:
-                ids = [gets[v](w) for w, v in zip(words, picks)]
+        for (ids, open_, asked), t in zip(jobs, texts):
+            for k, (w, v) in zip(open_, asked):
+                ids[k] = gets[v](w)
             row = np.frombuffer(b"".join(ids), "<i4")
             if t and MARK in t:
                 row = self._restore(row, next(c for c in _STAND_INS if c not in t))

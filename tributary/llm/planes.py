@@ -11,6 +11,7 @@ and an Arrow table of documents), then 24 bytes: footer start, two footer length
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 import struct
@@ -219,9 +220,13 @@ class _Encoder:
             self.older, self.known = self.known, {"": b""}
         get = self.known.get
         split = [[p.replace("\n", " ").replace("\t", " ").split(" ") for p in _pieces(t or "")] for t in texts]
-        found = [[list(map(get, words)) for words in pieces] for pieces in split]
-        missing = {w for pieces, ids in zip(split, found) for words, own in zip(pieces, ids) if None in own
-                   for w, i in zip(words, own) if i is None}
+        found, missing = [], set()
+        for pieces in split:
+            for words in pieces:
+                ids = list(map(get, words))
+                open_ = [k for k, i in enumerate(ids) if i is None]
+                missing.update([words[k] for k in open_])
+                found.append((ids, open_, words))
         new = []
         for w in missing:
             if (ids := self.older.get(w)) is None:
@@ -229,8 +234,14 @@ class _Encoder:
             else:
                 self.known[w] = ids
         self._learn(new)
-        for pieces, ids in zip(split, found):
-            yield [b"".join(map(get, words) if None in own else own) for words, own in zip(pieces, ids)]
+        rest = iter(found)
+        for pieces in split:
+            parts = []
+            for ids, open_, words in itertools.islice(rest, len(pieces)):
+                for k in open_:
+                    ids[k] = get(words[k])
+                parts.append(b"".join(ids))
+            yield parts
 
 
 def _pieces(text: str) -> Iterator[str]:
