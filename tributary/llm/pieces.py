@@ -8,8 +8,8 @@ decode to the same text. The same seed gives the same segmentations.
 
 No piece of the model has a word's first mark (U+2581) behind another character, so
 merges never cross from one word into the next, and each word form is segmented once
-for each variant. Which variant an occurrence gets is a keyed hash of the document
-and the occurrence's position.
+for each variant. Which variant a short run of words gets is a keyed hash of the
+document and the run's place in it.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ from tributary.llm.common import prepare
 MARK = "\u2581"
 #: Segmentations that each word form can get.
 VARIANTS = 4
+#: So many neighbouring words of a document have the same variant.
+RUN = 32
 #: Words that a Python worker remembers, in each of two generations.
 REMEMBERED = 800_000
 #: Words of more symbols are merged one by one; the others many at a time.
@@ -277,11 +279,13 @@ class Encoder:
         jobs, missing = [], set()
         for t, key in zip(texts, keys):
             words = self._words(t)
-            pick = _mix(np.arange(len(words), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(key))
-            picks = (pick % np.uint64(self.variants)).tolist()
-            ids = [gets[v](w) for w, v in zip(words, picks)]
+            runs = np.arange(-(-len(words) // RUN), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            picks = (_mix(runs ^ np.uint64(key)) % np.uint64(self.variants)).tolist()
+            ids: list[bytes | None] = []
+            for r, v in enumerate(picks):
+                ids.extend(map(gets[v], words[r * RUN:(r + 1) * RUN]))
             open_ = [k for k, i in enumerate(ids) if i is None]
-            asked = [(words[k], picks[k]) for k in open_]
+            asked = [(words[k], picks[k // RUN]) for k in open_]
             missing.update(asked)
             jobs.append((ids, open_, asked))
         new = []
