@@ -11,8 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tributary.queries import QUERIES  # noqa: E402
 from tributary.session import local_session  # noqa: E402
 
-KEYS = ["jdbc_pushdown_filter", "jdbc_partitioned_scan", "payload_records", "payload_scalar",
-        "run_audit", "run_history_topk", "fetch_fanout", "source_configs"]
+KEYS = ["payload_records", "payload_scalar", "run_audit", "run_history_topk", "fetch_fanout", "source_configs"]
 
 
 def staging_job(spark, sf):
