@@ -318,13 +318,14 @@ def find_repeats(docs: DataFrame, length: int = 400, gram: int = GRAM, text: str
 
     found = staged(keyed.mapInArrow(cut, f"id {kind}, th bigint, first bigint, last bigint, at bigint, "
                                          "g bigint, d1 bigint, d2 bigint"), "stretches")
-    again = found.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g")
+    # written before it is joined: then a hot class's side of the join can be split
+    again = staged(found.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g"), "stretch-classes")
     company = staged(found.join(again, "g"), "stretches-shared")
     one = F.min(F.struct("id", "th", "first", "last", "at"))
     kinds = staged(company.groupBy("g", "d1", "d2").agg(F.count(F.lit(1)).alias("n"), one.alias("one")), "stretch-kinds")
     whole = (company.join(kinds.where("n > 1").select("g", "d1", "d2"), ["g", "d1", "d2"])
              .select("id", "th", "first", "last"))
-    classes = kinds.groupBy("g").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    classes = staged(kinds.groupBy("g").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "mixed-classes")
     mixed = staged(kinds.join(classes, "g").select("g", "n", "kinds", "one.*"), "stretches-mixed")
     bits = BitTable(mixed.select(F.xxhash64("id", "th").alias("key")), "stretch-docs", FILTER_BITS)
     asked = bits.flag(keyed, F.xxhash64("id", "th"), "asked").where("asked").drop("asked")
@@ -401,7 +402,8 @@ def find_repeats(docs: DataFrame, length: int = 400, gram: int = GRAM, text: str
     sorted_rows = by_class.repartition("g").sortWithinPartitions("g", "th", "first").mapInArrow(
         sort, f"id {kind}, th bigint, first bigint, last bigint")
     windows = with_bytes.where("bytes is null").dropDuplicates(["id", "th", "first"])
-    twice = windows.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("w")).where("w > 1").select("d1", "d2")
+    twice = staged(windows.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("w")).where("w > 1").select("d1", "d2"),
+                   "repeated-windows")
     counted = windows.join(twice, ["d1", "d2"]).select("id", "th", "first", "last")
     return whole.unionByName(sorted_rows).unionByName(counted)
 
