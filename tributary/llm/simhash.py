@@ -172,7 +172,8 @@ def near_links(distinct: DataFrame, bits: int, members: int = BUCKET_MEMBERS) ->
     keys = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
                      for i, m in enumerate(masks)])
     keyed = distinct.select("fp", F.explode(keys).alias("k")).select("fp", "k.t", "k.key")
-    sizes = keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # written before it is joined: then a hot bucket's side of the join can be split
+    sizes = staged(keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
     shared = keyed.join(sizes, ["t", "key"])
     cell = F.when(F.col("size") > members, _cells(F.col("fp"), bits)).otherwise(F.array(F.lit(0)))
     celled = shared.select(F.explode(cell).alias("cell"), "t", "key", "fp")
