@@ -33,7 +33,7 @@ VARIANTS = 4
 #: So many neighbouring words of a document have the same variant.
 RUN = 32
 #: Words that a Python worker remembers, in each of two generations.
-REMEMBERED = 800_000
+REMEMBERED = 350_000
 #: Words of more symbols are merged one by one; the others many at a time.
 LONG_WORD = 48
 NO_MERGE = 1 << 30  # a rank behind all
