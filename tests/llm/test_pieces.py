@@ -69,3 +69,17 @@ def test_edge_rows_round_trip(edge, clashing, nothing):
 def test_rows_of_one_id_and_text_are_alike(edge):
     rows = [r for r in P.encode_pieces(edge, MODEL, 9, 0.1).collect() if r.doc_id == 8]
     assert len(rows) == 2 and rows[0].ids_crc32 == rows[1].ids_crc32
+
+
+def test_every_occurrence_draws_for_itself():
+    """A frequent word has as many segmentations as the draws give, neighbours too; each is the agenda's."""
+    text = " ".join(["international"] * 3000 + ["a", "日本語", "x" * 60, "réseau"] * 5)
+    enc = P.Encoder(MODEL, 5, 0.1)
+    ids = enc.encode([text, "short", text], [11, 12, 13])
+    first, _, other = (x.tolist() for x in ids)
+    assert first != other
+    words = enc._words(text)
+    own = [enc.seg.one(w, int(v)) for w, v in zip(words, enc.draws(11, len(words)))]
+    assert first == [i for each in own for i in each]
+    kinds = {tuple(x) for x in own[:3000]}
+    assert len(kinds) > 20

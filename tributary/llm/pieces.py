@@ -7,9 +7,10 @@ skipped. So a word has several segmentations, all made of the model's merges, an
 decode to the same text. The same seed gives the same segmentations.
 
 No piece of the model has a word's first mark (U+2581) behind another character, so
-merges never cross from one word into the next, and each word form is segmented once
-for each variant. Which variant a short run of words gets is a keyed hash of the
-document and the run's place in it.
+merges never cross from one word into the next. Every occurrence of a word draws for
+itself: its variant is a keyed hash of the document and of the word's place in it. What
+is remembered of a word is the tree of its merges, a branch for each merge that may be
+skipped; an occurrence follows its own draws down that tree.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +30,10 @@ from tributary.llm.common import prepare
 
 
 MARK = "\u2581"
-#: Segmentations that each word form can get.
-VARIANTS = 4
-#: So many neighbouring words of a document have the same variant.
-RUN = 32
-#: Words that a Python worker remembers, in each of two generations.
-REMEMBERED = 350_000
+#: Segmentations that a Python worker remembers before it begins anew.
+REMEMBERED = 700_000
 #: Words of more symbols are merged one by one; the others many at a time.
-LONG_WORD = 48
+LONG_WORD = 48  # below 64: three places fit 18 bits
 NO_MERGE = 1 << 30  # a rank behind all
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _STAND_INS = "\uFFFE\uFFFF" + "".join(map(chr, range(0xFDD0, 0xFDF0)))  # noncharacters
@@ -52,6 +50,35 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
 
 
+def _spread(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All characters of ``words``, each one's place in its word, where the words begin, and whose each is."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    first = np.cumsum(sizes) - sizes
+    word = np.repeat(np.arange(len(words)), sizes)
+    chars = _points("".join(words))
+    return chars, np.arange(len(chars)) - first[word], first, word
+
+
+def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start, start + 1, .. (count of them) for each, one behind the other."""
+    ends = np.cumsum(count)
+    return np.repeat(start - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class _Column:
+    """An array that grows."""
+
+    def __init__(self, kind):
+        self.all, self.n = np.empty(1024, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        need = self.n + len(values)
+        if need > len(self.all):
+            self.all = np.concatenate([self.all[:self.n], np.empty(max(need, len(self.all) * 3 // 2) - self.n, self.all.dtype)])
+        self.all[self.n:need] = values
+        self.n = need
+
+
 class Pieces:
     """A SentencePiece BPE model's pieces, merges and byte pieces."""
 
@@ -143,14 +170,22 @@ class Segmenter:
 
     def _salts(self, chars: np.ndarray, place: np.ndarray, first: np.ndarray, variants: list[int]) -> np.ndarray:
         """A hash of each word, the variant and the seed; ``chars`` are the words' code points."""
-        each = _mix(chars.astype(np.uint64) << np.uint64(32) ^ place.astype(np.uint64))
-        own = np.uint64((self.seed * 0x9E3779B97F4A7C15) & (2**64 - 1)) ^ np.array(variants, np.uint64)
-        return _mix(np.add.reduceat(each, first) ^ _mix(own))
+        return self._own(self._forms(chars, place, first), np.array(variants, np.uint64))
+
+    @staticmethod
+    def _forms(chars: np.ndarray, place: np.ndarray, first: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(_mix(chars.astype(np.uint64) << np.uint64(32) ^ place.astype(np.uint64)), first)
+
+    def _own(self, forms: np.ndarray, variants: np.ndarray) -> np.ndarray:
+        return _mix(forms ^ _mix(np.uint64((self.seed * 0x9E3779B97F4A7C15) & (2**64 - 1)) ^ variants))
 
     def _skipped(self, salts: np.ndarray, a: np.ndarray, m: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether the merge of [a, m) and [m, b) is skipped, for many candidates."""
-        x = _mix(salts ^ _mix(a.astype(np.uint64) << np.uint64(42) ^ m.astype(np.uint64) << np.uint64(21) ^ b.astype(np.uint64)))
-        return x < self.least
+        return _mix(salts ^ self._candidates(a, m, b)) < self.least
+
+    @staticmethod
+    def _candidates(a: np.ndarray, m: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return _mix(a.astype(np.uint64) << np.uint64(42) ^ m.astype(np.uint64) << np.uint64(21) ^ b.astype(np.uint64))
 
     def one(self, word: str, variant: int) -> list[int]:
         """The segments of one word by an agenda; returns the cut offsets."""
@@ -197,23 +232,33 @@ class Segmenter:
                 short.append(k)
         if not short:
             return out
-        p = self.p
-        chars = _points("".join([words[k] for k in short]))
-        sizes = np.fromiter((len(words[k]) for k in short), np.int64, len(short))
-        sym = p.of_char[chars]
-        word = np.repeat(np.arange(len(short)), sizes)
-        first = np.cumsum(sizes) - sizes
-        start = np.arange(len(chars)) - first[word]
-        end = start + 1
+        some = [words[k] for k in short]
+        chars, start, first, word = _spread(some)
         salts = self._salts(chars, start, first, [variants[k] for k in short])
+        skipped = None if self.never else lambda w, a, m, b: self._skipped(salts[w], a, m, b)
+        flat, bounds = self._rounds(some, skipped)
+        raw, cuts = flat.tobytes(), (bounds * 4).tolist()
+        for i, k in enumerate(short):
+            out[k] = raw[cuts[i]:cuts[i + 1]]
+        return out
+
+    def _rounds(self, words: list[str], skipped: Callable | None, log: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of short words, one behind the other, and where each word's begin and end.
+
+        ``skipped(word, a, m, b)`` tells which candidates are skipped. ``log`` gets the
+        merges made, each round's (word, a, m, b).
+        """
+        p = self.p
+        chars, start, first, word = _spread(words)
+        sym, end = p.of_char[chars], start + 1
         made = np.full(len(sym), -1)
 
         def offer(at: np.ndarray) -> None:
             """Looks up the pairs (at, at + 1) that may be merged next."""
             if len(at):
                 new = p.merged(sym[at], sym[at + 1])
-                if not self.never:
-                    new[self._skipped(salts[word[at]], start[at], end[at], end[at + 1])] = -1
+                if skipped is not None:
+                    new[skipped(word[at], start[at], end[at], end[at + 1])] = -1
                 made[at] = new
 
         offer(np.flatnonzero(word[:-1] == word[1:]))
@@ -227,6 +272,8 @@ class Segmenter:
                 over = np.repeat(~live, np.diff(np.append(heads, len(sym))))
                 done.append((word[over], start[over], sym[over]))
             best = order[live] % len(sym)
+            if log is not None:
+                log.append((word[best], start[best], end[best], end[best + 1]))
             sym[best], end[best] = made[best], end[best + 1]
             made[best] = made[best + 1]
             stays = np.repeat(live, np.diff(np.append(heads, len(sym))))
@@ -243,26 +290,123 @@ class Segmenter:
         word, start, sym = (np.concatenate(x) for x in zip(*done))
         by = np.argsort(word * (LONG_WORD + 1) + start)
         word, start, sym = word[by], start[by], sym[by]
-        bounds = np.searchsorted(word, np.arange(len(short) + 1))
-        odd = np.unique(word[(sym < 0) | (sym >= p.n)]).tolist()
-        raw, cuts = sym.astype("<i4").tobytes(), (bounds * 4).tolist()
-        for i, k in enumerate(short):
-            out[k] = raw[cuts[i]:cuts[i + 1]]
-        for i in odd:
-            w, a, b = words[short[i]], bounds[i], bounds[i + 1]
-            ids = [y for s, c in zip(sym[a:b].tolist(), start[a:b].tolist()) for y in p.ids_of(s, w[c])]
-            out[short[i]] = np.array(ids, "<i4").tobytes()
-        return out
+        odd = (sym < 0) | (sym >= p.n)
+        if odd.any():  # bytes stand for a character without a piece
+            ids = [p.ids_of(y, words[w][c]) if o else [y]
+                   for y, w, c, o in zip(sym.tolist(), word.tolist(), start.tolist(), odd.tolist())]
+            word = np.repeat(word, list(map(len, ids)))
+            sym = np.array([y for each in ids for y in each])
+        return sym.astype("<i4"), np.searchsorted(word, np.arange(len(words) + 1))
+
+
+class Tree:
+    """The segmentations of short words, remembered as they are first met.
+
+    A node is a word and the candidates skipped so far. It has the ids that the word gets
+    if no more are skipped, and the merges that are still put to the draw on the way
+    there, in order. The first of them that is skipped leads to a child.
+    """
+
+    def __init__(self, seg: Segmenter):
+        self.seg = seg
+        self.clear()
+
+    def clear(self) -> None:
+        self.root: dict[str, int] = {}
+        self.words: list[str] = []
+        self.skips: list[tuple[int, ...]] = []
+        self.passed, self.begin, self.count, self.ids_begin, self.n_ids = (_Column(np.int64) for _ in range(5))
+        self.form = _Column(np.uint64)
+        # the merges of all nodes; child is -1 where nobody went yet
+        self.code, self.hash, self.child = _Column(np.int64), _Column(np.uint64), _Column(np.int64)
+        self.ids = _Column("<i4")
+
+    def grow(self, words: list[str], skips: list[tuple[int, ...]], passed: np.ndarray) -> np.ndarray:
+        """New nodes; the first ``passed`` merges of each are not put to the draw again."""
+        new = [self._grow(words[i:i + 4000], skips[i:i + 4000], passed[i:i + 4000])
+               for i in range(0, len(words), 4000)]  # so many fit the processor's cache
+        return np.concatenate(new)
+
+    def _grow(self, words: list[str], skips: list[tuple[int, ...]], passed: np.ndarray) -> np.ndarray:
+        seg, n, at = self.seg, len(words), len(self.words)
+        taken = np.array(sorted(w << 18 | c for w, codes in enumerate(skips) for c in codes), np.int64)
+
+        def skipped(w, a, m, b):
+            asked = w << 18 | a << 12 | m << 6 | b
+            return taken[np.minimum(np.searchsorted(taken, asked), len(taken) - 1)] == asked
+
+        log: list[tuple] = []
+        ids, bounds = seg._rounds(words, skipped if len(taken) else None, log)
+        chars, place, first, _ = _spread(words)
+        self.words += words
+        self.skips += skips
+        self.passed.add(passed)
+        self.form.add(seg._forms(chars, place, first))
+        self.ids_begin.add(self.ids.n + bounds[:-1])
+        self.n_ids.add(np.diff(bounds))
+        self.ids.add(ids)
+        begin, count = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        if log and not seg.never:
+            w, a, m, b = (np.concatenate(x) for x in zip(*log))
+            turn = np.repeat(np.arange(len(log)), [len(x[0]) for x in log])
+            left = turn >= passed[w]  # every round makes one merge of a word
+            by = np.flatnonzero(left)[np.argsort(w[left], kind="stable")]
+            w, a, m, b = w[by], a[by], m[by], b[by]
+            count = np.bincount(w, minlength=n)
+            begin = self.code.n + np.cumsum(count) - count
+            self.code.add(a << 12 | m << 6 | b)
+            self.hash.add(seg._candidates(a, m, b))
+            self.child.add(np.full(len(w), -1))
+        self.begin.add(begin)
+        self.count.add(count)
+        return np.arange(at, at + n)
+
+    def roots(self, words: list[str]) -> np.ndarray:
+        at = np.fromiter(map(self.root.get, words, repeat(-1)), np.int64, len(words))
+        todo = np.flatnonzero(at < 0)
+        if len(todo):
+            asked = [words[k] for k in todo.tolist()]
+            new = list(dict.fromkeys(asked))
+            self.root.update(zip(new, self.grow(new, [()] * len(new), np.zeros(len(new), np.int64)).tolist()))
+            at[todo] = [self.root[w] for w in asked]
+        return at
+
+    def segment(self, words: list[str], variants: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words one behind the other, and each word's number of ids."""
+        at = self.roots(words)
+        salts = self.seg._own(self.form.all[at], variants)
+        open_ = np.flatnonzero(self.count.all[at])
+        while len(open_):
+            nodes = at[open_]
+            counts = self.count.all[nodes]
+            merges = _ranges(self.begin.all[nodes], counts)
+            hits = np.flatnonzero(_mix(np.repeat(salts[open_], counts) ^ self.hash.all[merges]) < self.seg.least)
+            whose = np.repeat(np.arange(len(open_)), counts)[hits]
+            lead = np.append(True, whose[1:] != whose[:-1])[:len(whose)]  # the first one skipped
+            slots, open_ = merges[hits[lead]], open_[whose[lead]]
+            self._branch(slots, at[open_])
+            at[open_] = self.child.all[slots]
+            open_ = open_[self.count.all[at[open_]] > 0]
+        sizes = self.n_ids.all[at]
+        return self.ids.all[_ranges(self.ids_begin.all[at], sizes)], sizes
+
+    def _branch(self, slots: np.ndarray, nodes: np.ndarray) -> None:
+        new = self.child.all[slots] < 0
+        slots, first = np.unique(slots[new], return_index=True)
+        if len(slots):
+            nodes = nodes[new][first]
+            skips = [(*self.skips[k], c) for k, c in zip(nodes.tolist(), self.code.all[slots].tolist())]
+            passed = self.passed.all[nodes] + slots - self.begin.all[nodes]
+            self.child.all[slots] = self.grow([self.words[k] for k in nodes.tolist()], skips, passed)
 
 
 class Encoder:
-    """Encodes documents; remembers the segments of each word form and variant."""
+    """Encodes documents. With ``variants`` a word form has so many segmentations at most."""
 
-    def __init__(self, path: str, seed: int, rate: float, variants: int):
+    def __init__(self, path: str, seed: int, rate: float, variants: int | None = None):
         self.pieces = Pieces(path)
-        self.seg, self.seed, self.variants = Segmenter(self.pieces, seed, rate), seed, variants if rate > 0 else 1
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        self.older: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.seg, self.variants = Segmenter(self.pieces, seed, rate), variants
+        self.tree = Tree(self.seg)
 
     def _words(self, text: str | None) -> list[str]:
         if not text:
@@ -271,37 +415,34 @@ class Encoder:
             text = text.replace(MARK, next(c for c in _STAND_INS if c not in text))
         return _WORDS.findall(MARK + text.replace(" ", MARK))
 
+    def draws(self, key: int, n: int) -> np.ndarray:
+        """The variants of a document's first ``n`` words."""
+        each = _mix(_mix(np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(key))
+        return each if self.variants is None else each % np.uint64(self.variants)
+
     def encode(self, texts: list[str | None], keys: list[int]) -> Iterator[np.ndarray]:
-        """The ids of each text; ``keys`` (64-bit hashes of the documents) choose the variants."""
-        if sum(map(len, self.known)) > REMEMBERED:
-            self.older, self.known = self.known, [{} for _ in self.known]
-        gets = [d.get for d in self.known]
-        jobs, missing = [], set()
-        for t, key in zip(texts, keys):
-            words = self._words(t)
-            runs = np.arange(-(-len(words) // RUN), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            picks = (_mix(runs ^ np.uint64(key)) % np.uint64(self.variants)).tolist()
-            ids: list[bytes | None] = []
-            for r, v in enumerate(picks):
-                ids.extend(map(gets[v], words[r * RUN:(r + 1) * RUN]))
-            open_ = [k for k, i in enumerate(ids) if i is None]
-            asked = [(words[k], picks[k // RUN]) for k in open_]
-            missing.update(asked)
-            jobs.append((ids, open_, asked))
-        new = []
-        for w, v in missing:
-            if (own := self.older[v].get(w)) is None:
-                new.append((w, v))
-            else:
-                self.known[v][w] = own
-        for i in range(0, len(new), 4000):  # so many fit the processor's cache
-            some = new[i:i + 4000]
-            for (w, v), own in zip(some, self.seg.many([w for w, _ in some], [v for _, v in some])):
-                self.known[v][w] = own
-        for (ids, open_, asked), t in zip(jobs, texts):
-            for k, (w, v) in zip(open_, asked):
-                ids[k] = gets[v](w)
-            row = np.frombuffer(b"".join(ids), "<i4")
+        """The ids of each text; ``keys`` (64-bit hashes of the documents) and the words' places choose the variants."""
+        if len(self.tree.words) > REMEMBERED:
+            self.tree.clear()
+        parts = [self._words(t) for t in texts]
+        sizes = list(map(len, parts))
+        words = [w for part in parts for w in part]
+        draws = np.concatenate([np.empty(0, np.uint64), *map(self.draws, keys, sizes)])
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        long_ = np.flatnonzero(lengths > LONG_WORD).tolist()
+        own = {k: np.array(self.seg.one(words[k], int(draws[k])), "<i4") for k in long_}
+        for k in long_:
+            words[k] = MARK  # in their place; their own ids are put in below
+        ids, n_ids = self.tree.segment(words, draws)
+        ends = np.append(0, np.cumsum(n_ids))
+        a = 0
+        for t, n in zip(texts, sizes):
+            row = ids[ends[a]:ends[a + n]]
+            if long_ and (here := [k for k in long_ if a <= k < a + n]):
+                cuts = [ends[a], *(e for k in here for e in (ends[k], ends[k + 1])), ends[a + n]]
+                row = np.concatenate([x for i, k in enumerate(here) for x in (ids[cuts[2 * i]:cuts[2 * i + 1]], own[k])]
+                                     + [ids[cuts[-2]:cuts[-1]]])
+            a += n
             if t and MARK in t:
                 row = self._restore(row, next(c for c in _STAND_INS if c not in t))
             yield row
@@ -343,13 +484,14 @@ def _runs(sizes: list[int], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
 
 
 def encode_pieces(docs: DataFrame, model: str, seed: int, rate: float, text: str = "text", id_col: str = "doc_id",
-                  variants: int = VARIANTS, keep: tuple[str, ...] = ()) -> DataFrame:
+                  variants: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs``: its id, the ``keep`` columns, piece_ids, n_ids, ids_crc32 and lossless.
 
     lossless tells whether the ids decode to the text exactly. A null or empty text has
     no ids. With rate 0 the ids are those of the SentencePiece library (but for the
     character U+2581 in a text, which the library turns into a space and this keeps).
-    Rows of one id and text get the same ids.
+    Rows of one id and text get the same ids. ``variants`` limits how many segmentations
+    a word form has; without it every occurrence draws for itself.
     """
     prepare(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"),
