@@ -1,3 +1,4 @@
+import base64
 import random
 import re
 from collections import Counter
@@ -63,6 +64,36 @@ def test_verdicts_by_compression():
     assert verdict(prose(3, 1500) + stuff[:6000] + prose(4, 1500)) == (False, "repetitive")
 
 
+def test_encoded_text_is_rejected():
+    rnd = random.Random(6)
+
+    def lines(encode, size, width, by):
+        code = encode(rnd.randbytes(size)).decode()[:size]
+        return by.join(code[i:i + width] for i in range(0, size, width))
+
+    for size in (5000, 8000, 40000, 300000):
+        assert verdict(lines(base64.b64encode, size, 76, "\n")) == (False, "incompressible")
+    for size in (600, 1500, 3000, 8000, 40000):
+        assert verdict(lines(base64.b64encode, size, 9, " ")) == (False, "incompressible")
+        assert verdict(lines(base64.b85encode, size, 9, " ")) == (False, "incompressible")
+    # a stretch inside good prose is found by its chunk
+    assert verdict(prose(3, 2000) + lines(base64.b64encode, 6000, 76, "\n") + prose(4, 2000)) == (False, "incompressible")
+
+
+def test_every_byte_is_in_a_chunk():
+    for n in (1, 600, 1500, 2047, 2048, 2049, 3000, 3072, 5000, 6143):
+        raw = random.Random(n).randbytes(n)
+        chunks = Q._chunks(raw)
+        assert raw.startswith(chunks[0]) and raw.endswith(chunks[-1]) and sum(map(len, chunks)) >= n
+        assert n < 2048 or all(1024 <= len(c) <= 2048 for c in chunks)
+    assert Q._chunks(b"") == []
+    # nearly 1,000 bytes of noise at the end
+    rnd = random.Random(8)
+    noise = " ".join("".join(map(chr, (rnd.randrange(33, 127) for _ in range(9)))) for _ in range(100))
+    good = prose(9, 2000).encode()[:8192].decode()
+    assert verdict(good) == (True, None) and verdict(good + noise) == (False, "incompressible")
+
+
 def test_keep_quality_keeps_columns_and_clean_rows(spark, clashing, nothing):
     assert Q.keep_quality(clashing).columns == clashing.columns
     assert Q.keep_quality(nothing).collect() == []
