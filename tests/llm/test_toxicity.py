@@ -77,6 +77,18 @@ def test_misspelled_terms_are_caught(spark, fitted):
     assert [r.predicted for r in sorted(T.score_documents(df, model).collect())] == [0, 1, 1]
 
 
+def test_misspelled_stem_forms_are_caught(spark, fitted):
+    """Forms that no label showed, misspelled inside of the learned stem."""
+    _, _, model = fitted
+    stems = [e for e in model.lexicon if e.stem]
+    assert stems and all(T.edits_allowed(e) == 1 for e in stems if 5 <= len(e.text) <= 7)
+    assert [T.edits_allowed(T.Entry("x" * n, True, 1.0)) for n in (4, 5, 7, 11, 12)] == [0, 1, 1, 1, 2]
+    filler = "some plain words that say nothing of note here " * 3
+    texts = [filler, filler + "vermniesque and vermniesque", filler + "you varminoid, vvermindom", filler + "such vrminage, virminoid"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert [r.predicted for r in sorted(T.score_documents(df, model).collect())] == [0, 1, 1, 1]
+
+
 def test_quotation_is_told_from_abuse():
     s = T.Scorer([T.Entry("blockhead", False, 5.0)])
     abuse, quote = s.features("you are a blockhead today"), s.features('the word "blockhead" is old')

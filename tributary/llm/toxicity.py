@@ -52,8 +52,8 @@ def plain(token: str) -> str:
 
 def edits_allowed(entry: Entry) -> int:
     """Short entries must match exactly; a stem leaves its ending free and so allows fewer."""
-    n = len(entry.text) - (3 if entry.stem else 0)
-    return 0 if n < 5 else 1 if n < 9 else 2
+    n = len(entry.text)
+    return 0 if n < 5 else 1 if n < (12 if entry.stem else 9) else 2
 
 
 # ---------------------------------------------------------------- the automaton
