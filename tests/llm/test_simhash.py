@@ -100,6 +100,14 @@ def test_drop_keeps_the_smallest_of_each(edge, clashing, nothing):
     assert S.drop_near_duplicates(nothing).collect() == []
 
 
+def test_drop_is_by_id_and_text(spark):
+    """An id on two texts keeps the unique one; of near copies without ids one stays."""
+    copy, other, third = "one two three four five six", "seven eight nine ten eleven twelve", "red green blue black white grey"
+    rows = [(1, copy), (2, copy + " "), (2, other), (None, copy + "  "), (None, third), (None, third + " ")]
+    out = S.drop_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(((r.doc_id or 0), r.text.strip()) for r in out) == [(0, third), (1, copy), (2, other)]
+
+
 def test_fingerprint_of_many_shingles_is_counted_in_steps(monkeypatch):
     text = " ".join(f"w{i % 97}" for i in range(500))
     whole = S.fingerprint(text, 3)

@@ -112,14 +112,15 @@ class BitTable:
         return joined.withColumn(name, F.coalesce(is_set, F.lit(False))).drop(slot_c, bucket_c, bits_c)
 
 
-def without_ids(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """``df`` without the rows whose id is in ``ids`` (one column ``id``, not null).
+def without_rows(df: DataFrame, rows: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``df`` without the rows whose id (or null) and hash of the text are in ``rows`` (columns ``id`` and ``th``).
 
-    Only rows whose id may be among them are shuffled; the rest pass in their partition.
+    Only rows that may be among them are shuffled; the rest pass in their partition.
     """
-    ids = staged(ids.distinct(), "ids")
-    flag, id_r = free_names(df, "listed", "id_r")
-    flagged = BitTable(ids.select(F.xxhash64("id").alias("key")), "id-bits").flag(df, F.xxhash64(F.col(id_col)), flag)
-    rest = flagged.where(flag).join(ids.withColumnRenamed("id", id_r), F.col(id_col) == F.col(id_r), "left_anti")
+    rows = staged(rows.distinct(), "rows")
+    flag, id_r, th_r = free_names(df, "listed", "id_r", "th_r")
+    own = F.xxhash64(text)
+    flagged = BitTable(rows.select(F.xxhash64("id", "th").alias("key")), "row-bits").flag(df, F.xxhash64(F.col(id_col), own), flag)
+    rest = flagged.where(flag).join(rows.toDF(id_r, th_r), F.col(id_col).eqNullSafe(F.col(id_r)) & (own == F.col(th_r)), "left_anti")
     cols = [F.col(f"`{c}`") for c in df.columns]
     return flagged.where(~F.col(flag)).select(*cols).unionByName(rest.select(*cols))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import prepare, staged, without_ids
+from tributary.llm.common import prepare, staged, without_rows
 
 SEED = 42
 PIVOTS = 16
@@ -58,16 +58,16 @@ def fingerprint(text: str | None, words: int, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(id, fp) of every row; fp is the fingerprint as a signed long."""
+    """(id, th, fp) of every row; th is the text's hash, fp the fingerprint as a signed long."""
     prepare(docs.sparkSession)
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("th"))
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t.as_py(), words) for t in b.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps, pa.int64())], ["id", "th", "fp"])
 
-    return narrow.mapInArrow(compute, f"id {narrow.schema['id'].dataType.simpleString()}, fp bigint")
+    return narrow.mapInArrow(compute, f"id {narrow.schema['id'].dataType.simpleString()}, th bigint, fp bigint")
 
 
 # ---------------------------------------------------------------- pivots and buckets
@@ -207,6 +207,19 @@ def star_components(links: DataFrame, purpose: str = "stars") -> DataFrame:
         state = now
 
 
+def _components(docs: DataFrame, words: int, bits: int, text: str, id_col: str) -> DataFrame:
+    """(id, th, fp, lead) of every row; lead is its component's smallest (no_id, id, th)."""
+    fps = staged(fingerprints(docs, words, text, id_col), "fingerprints")
+    # null ids come last: any id is preferred to none
+    distinct = fps.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "th")).alias("low"))
+    stars = star_components(near_links(distinct.select("fp"), bits))
+    rooted = distinct.join(stars, F.col("fp") == F.col("u"), "left").select(
+        "fp", "low", F.coalesce("root", "fp").alias("root"))
+    lows = rooted.groupBy("root").agg(F.min("low").alias("lead"))
+    named = staged(rooted.join(lows, "root").select("fp", "lead"), "components")
+    return fps.join(named, "fp")
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 2, text: str = "text",
                     id_col: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: its id, fingerprint (16 hex digits) and component_id.
@@ -216,20 +229,18 @@ def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 2, text: str =
     without words, null texts included, have fingerprint zero and link like any other.
     Repeated rows are repeated. An empty table gives none.
     """
-    fps = staged(fingerprints(docs, words, text, id_col), "fingerprints")
-    distinct = fps.groupBy("fp").agg(F.min("id").alias("low"))
-    stars = star_components(near_links(distinct.select("fp"), bits))
-    rooted = distinct.join(stars, F.col("fp") == F.col("u"), "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root"))
-    lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = staged(rooted.join(lows, "root").select("fp", "component_id"), "components")
-    return fps.join(named, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-                                        "component_id")
+    return _components(docs, words, bits, text, id_col).select(
+        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("lead.id").alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 3, bits: int = 2, text: str = "text",
                          id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id; columns unchanged."""
-    found = near_duplicates(docs, words, bits, text, id_col)
-    dropped = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("id"))
-    return without_ids(docs, dropped, id_col)
+    """``docs`` with one document of each component, the one with the smallest id; columns unchanged.
+
+    A document is an id with a text: where an id stands on several texts each is kept or
+    dropped for itself. A row without an id stays only where its component has no id, and
+    there the one with the smallest hash of the text. Repeated rows stay or go together.
+    """
+    found = _components(docs, words, bits, text, id_col)
+    kept = F.col("id").eqNullSafe(F.col("lead.id")) & (F.col("th") == F.col("lead.th"))
+    return without_rows(docs, found.where(~kept).select("id", "th"), id_col, text)
