@@ -1,0 +1,103 @@
+"""The source audit against plain Python over all rows."""
+
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from tributary.llm import divergence
+
+TERM = re.compile("[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+")
+LOWER = str.maketrans(divergence.UPPER, divergence.LOWER)
+
+
+def brute(rows, least=3, top=200):
+    docs, counts, groups = defaultdict(Counter), defaultdict(Counter), set()
+    for lang, source, text in rows:
+        lang, source = lang or "", source or ""
+        groups.add((lang, source))
+        terms = TERM.findall((text or "").translate(LOWER))
+        counts[lang, source].update(terms)
+        docs[lang].update(set(terms))
+    out = []
+    for lang, source in groups:
+        kept = [t for t, n in docs[lang].items() if n >= least]
+
+        def shares(count):
+            total = sum(count[t] for t in kept)
+            return {t: 1 + 10**9 * (count[t] + 1) // (total + len(kept)) for t in kept}
+
+        p = shares(counts[lang, source])
+        pair = [(sum((p[t] - q[t]) ** 2 // q[t] for t in kept), s) for x, s in groups if x == lang and s != source
+                for q in [shares(counts[x, s])]]
+        whole = Counter()
+        for x, s in groups:
+            if x == lang:
+                whole.update(counts[x, s])
+        q = shares(whole)
+        term = [((p[t] - q[t]) ** 2 // q[t], t) for t in kept if counts[lang, source][t] and p[t] > q[t]]
+        for part, values in (("pair", pair), ("term", term)):
+            values.sort(key=lambda x: (-x[0], x[1].encode()))
+            out += [(lang, source, part, item, v, k + 1) for k, (v, item) in enumerate(values)
+                    if part == "pair" or k < top]
+    return sorted(out)
+
+
+def result(df, **kw):
+    return sorted(tuple(r) for r in divergence.source_divergence(df, **kw).collect())
+
+
+SCHEMA = "lang string, source string, text string"
+ROWS = [
+    ("en", "a", "The cat, the CAT; the-cat! naïve été"), ("en", "a", "cat cat cat \x1ccat\x1ddog"), ("en", "b", "the dog the_dog dog2dog"),
+    ("en", "b", None), ("en", "b", "cat dog the"), ("en", "c", ""), (None, None, "alpha beta alpha"), ("", "", "alpha"), ("", "x", "alpha beta"),
+    ("fr", "only", "mot mot mot"), ("fr", "only", "mot"), ("fr", "only", "Mot ÉTÉ été"), ("de", "s1", "eins"), ("de", "s2", "zwei"),
+    ("en", "a", "The cat, the CAT; the-cat! naïve été"), ("zh", "日", "日本 日本語 日本"), ("zh", "日", "日本"), ("zh", "é", "日本"),
+] + [("big", f"s{i % 4}", " ".join(f"w{chr(97 + (i * j) % 23)}x" for j in range(30))) for i in range(60)]
+
+
+@pytest.mark.parametrize("top", [1, 200])
+def test_against_brute_force(spark, top):
+    assert result(spark.createDataFrame(ROWS, SCHEMA).repartition(3), top=top) == brute(ROWS, top=top)
+
+
+def test_blocks_do_not_change_the_result(spark, monkeypatch):
+    """Blocks of one document, and of hardly any chunks, give the same counts."""
+    df = spark.createDataFrame(ROWS, SCHEMA).coalesce(1)
+    want = sorted(tuple(r) for r in divergence.term_counts(df).collect())
+    block, out = divergence._Block(), []
+    for lang, source, text in ROWS:
+        block.add((lang or "", source or ""), text or "")
+        out += [b for b in block.batches(7)]
+        block = divergence._Block()
+    assert sum(sum(b.column(4).to_pylist()) for b in out) == sum(
+        sum(divergence.chunk_counts(t or "").values()) for _, _, t in ROWS)
+    import tributary.llm.divergence as D
+
+    def tiny(batches):
+        D.BLOCK_DOCS, D.BLOCK_CHUNKS, D.ROWS_OUT = 2, 5, 3
+        yield from original(batches)
+
+    original = D._to_blocks
+    monkeypatch.setattr(D, "_to_blocks", tiny)
+    assert sorted(tuple(r) for r in D.term_counts(df).collect()) == want
+
+
+def test_documents_and_occurrences(spark):
+    rows = [("en", "s", "Cat cat, (cat)"), ("en", "s", "cat"), ("en", "t", "dog"), ("en", "s", "cat")]
+    got = {tuple(r) for r in divergence.term_counts(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {("en", "s", "cat", 3, 5), ("en", "t", "dog", 1, 1)}
+
+
+def test_large_values_stay_exact(spark):
+    from pyspark.sql import functions as F
+
+    one = spark.range(1).select(divergence._share(F.lit(9 * 10**17), F.lit(9 * 10**18)).alias("p"),
+                                divergence._f(F.lit(10**9).cast("bigint"), F.lit(1).cast("bigint")).alias("f")).first()
+    assert one.p == 1 + 10**9 * (9 * 10**17 + 1) // (9 * 10**18) and one.f == (10**9 - 1) ** 2
+
+
+def test_edges(spark, edge, nothing, clashing):
+    want = brute([(r.lang, r.source, r.text) for r in edge.collect()])
+    assert result(edge) == want and result(clashing) == want
+    assert result(nothing) == []

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import exact, mixing, pieces, planes, quality, repeats, simhash, surrogates, toxicity, urls
+from tributary.llm import (
+    counts,
+    divergence,
+    exact,
+    fim,
+    mixing,
+    pieces,
+    planes,
+    quality,
+    repeats,
+    simhash,
+    surrogates,
+    toxicity,
+    urls,
+)
 from tributary.session import scratch_dir
 
 
@@ -85,6 +99,22 @@ def op10_lexicon_automata(spark, d):
     return toxicity.score_documents(docs, toxicity.fit_model(docs, _t(spark, d, "labels")))
 
 
+TOKEN_LIMIT = 2048
+
+
+def op11_whole_tokens(spark, d):
+    return counts.count_tokens(_t(spark, d, "documents"), vocabulary(WORD_VOCABULARY), TOKEN_LIMIT)
+
+
+def op12_piece_table(spark, d):
+    out = fim.fill_in_middle(_t(spark, d, "documents"), seed=1, plain=10, spm=20, outputs=False)
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+def op13_chunk_audit(spark, d):
+    return divergence.source_divergence(_t(spark, d, "documents"), least_docs=3, top=200)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_plane_tokens": op1_plane_tokens,
     "op2_suffix_repeats": op2_suffix_repeats,
@@ -96,4 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_compression_bands": op8_compression_bands,
     "op9_surrogates": op9_surrogates,
     "op10_lexicon_automata": op10_lexicon_automata,
+    "op11_whole_tokens": op11_whole_tokens,
+    "op12_piece_table": op12_piece_table,
+    "op13_chunk_audit": op13_chunk_audit,
 }
