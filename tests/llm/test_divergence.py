@@ -3,6 +3,7 @@
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from tributary.llm import divergence
@@ -62,25 +63,29 @@ def test_against_brute_force(spark, top):
 
 
 def test_blocks_do_not_change_the_result(spark, monkeypatch):
-    """Blocks of one document, and of hardly any chunks, give the same counts."""
+    """Blocks of a few documents and chunks, many to a file, give the same counts."""
     df = spark.createDataFrame(ROWS, SCHEMA).coalesce(1)
     want = sorted(tuple(r) for r in divergence.term_counts(df).collect())
-    block, out = divergence._Block(), []
-    for lang, source, text in ROWS:
-        block.add((lang or "", source or ""), text or "")
-        out += [b for b in block.batches(7)]
-        block = divergence._Block()
-    assert sum(sum(b.column(4).to_pylist()) for b in out) == sum(
-        sum(divergence.chunk_counts(t or "").values()) for _, _, t in ROWS)
     import tributary.llm.divergence as D
 
-    def tiny(batches):
-        D.BLOCK_DOCS, D.BLOCK_CHUNKS, D.ROWS_OUT = 2, 5, 3
-        yield from original(batches)
-
     original = D._to_blocks
-    monkeypatch.setattr(D, "_to_blocks", tiny)
-    assert sorted(tuple(r) for r in D.term_counts(df).collect()) == want
+    for docs, chunks, pairs in ((1, 10**6, 10**6), (10**6, 5, 10**6), (10**6, 10**6, 7)):
+        def tiny(batches):
+            D.BLOCK_DOCS, D.BLOCK_CHUNKS, D.BLOCK_PAIRS, D.ROWS_OUT = docs, chunks, pairs, 3
+            yield from original(batches)
+
+        monkeypatch.setattr(D, "_to_blocks", tiny)
+        assert sorted(tuple(r) for r in D.term_counts(df).collect()) == want
+
+
+def test_a_chunk_of_every_document_is_a_row_a_block():
+    block = divergence._Block()
+    for k in range(500):
+        block.add("en", f"s{k % 3}", f"the the own{k}")
+    rows = pa.Table.from_batches(block.batches(7)).to_pylist()
+    assert len(rows) == 1 + 501 and rows[0]["names"] == ["en", "s0", "en", "s1", "en", "s2"]
+    the = next(r for r in rows if r["chunk"] == "the")
+    assert the["docs"] == list(range(500)) and the["counts"] == [2] * 500
 
 
 def test_documents_and_occurrences(spark):

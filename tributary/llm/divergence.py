@@ -3,8 +3,10 @@
 White space never stands inside a term, so a text's terms are those of its chunks (what
 lies between white space). Chunks are counted per document, each globally distinct chunk is
 cut into terms once, its terms are joined back, and distinct documents and occurrences are
-aggregated. Documents go in blocks: a block has one row for each chunk with the list of its
-documents that have it, so a chunk of every document is as many rows as there are blocks.
+aggregated. Documents go in blocks: a block is written once, a row for each of its chunks
+with the documents that have it and how often. Only chunks and their places (block, row)
+are shuffled to be cut, only their terms come back to the block, and the block's rows are
+read where its terms arrive: a chunk that a third of all documents have is a row a block.
 
 The differences need no row for a term that a source lacks. With counts above zero listed,
 the sum over all kept terms of f(p, q) of two sources g and h is
@@ -22,16 +24,22 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tributary.llm.common import prepare, slices, staged
+from tributary.session import scratch_dir
 
-#: Documents of a block; a block also ends when it has so many different chunks.
-BLOCK_DOCS = 4096
-BLOCK_CHUNKS = 200_000
+#: A block ends when it has so many documents, different chunks, or chunks of documents.
+BLOCK_DOCS = 1 << 16
+BLOCK_CHUNKS = 400_000
+BLOCK_PAIRS = 3_000_000
 #: Rows of a batch that leaves a worker.
 ROWS_OUT = 20_000
 
@@ -40,7 +48,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Terms: letters A-Z and a-z, and every character beyond ASCII.
 TERM = "[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
-BLOCKS = "block bigint, lang string, source string, chunk string, n bigint, docs array<int>"
+#: Row 0 of a block has its documents' groups: docs are numbers into names (lang, source, ..).
+BLOCKS = "block bigint, idx int, chunk string, docs array<int>, counts array<int>, names array<string>"
+TERMS = "lang string, term string, source string, docs bigint, n bigint"
 
 
 def chunk_counts(text: str) -> Counter:
@@ -53,78 +63,154 @@ def chunk_counts(text: str) -> Counter:
 
 
 class _Block:
-    """The chunks of some documents: for each group its chunks, with occurrences and documents."""
+    """The chunks of some documents: for each its documents and how often each has it."""
 
     def __init__(self) -> None:
-        self.groups: dict[tuple[str, str], dict[str, list]] = {}
-        self.docs = self.chunks = 0
-
-    def add(self, group: tuple[str, str], text: str) -> None:
-        own, k = self.groups.setdefault(group, {}), self.docs
-        before = len(own)
-        for chunk, n in chunk_counts(text).items():
-            entry = own.get(chunk)
+        self.chunks: dict[str, tuple[list, list]] = {}
+        self.groups: dict[tuple[str, str], int] = {}
+        self.of_doc: list[int] = []
+        self.pairs = 0
+
+    def add(self, lang: str, source: str, text: str) -> None:
+        chunks, k, found = self.chunks, len(self.of_doc), chunk_counts(text)
+        self.of_doc.append(self.groups.setdefault((lang, source), len(self.groups)))
+        self.pairs += len(found)
+        for chunk, n in found.items():
+            entry = chunks.get(chunk)
             if entry is None:
-                own[chunk] = [n, [k]]
+                chunks[chunk] = ([k], [n])
             else:
-                entry[0] += n
-                entry[1].append(k)
-        self.docs += 1
-        self.chunks += len(own) - before
+                entry[0].append(k)
+                entry[1].append(n)
 
     def full(self) -> bool:
-        return self.docs >= BLOCK_DOCS or self.chunks >= BLOCK_CHUNKS
+        return len(self.of_doc) >= BLOCK_DOCS or len(self.chunks) >= BLOCK_CHUNKS or self.pairs >= BLOCK_PAIRS
 
     def batches(self, block: int) -> Iterator[pa.RecordBatch]:
-        for (lang, source), own in self.groups.items():
-            items = list(own.items())
-            for a in range(0, len(items), ROWS_OUT):
-                some = items[a:a + ROWS_OUT]
-                lists = [e[1] for _, e in some]
-                ends = [0]
-                for docs in lists:
-                    ends.append(ends[-1] + len(docs))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(some), pa.int64()), pa.array([lang] * len(some), pa.string()),
-                     pa.array([source] * len(some), pa.string()), pa.array([c for c, _ in some], pa.string()),
-                     pa.array([e[0] for _, e in some], pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(list(chain.from_iterable(lists)), pa.int32()))],
-                    names=["block", "lang", "source", "chunk", "n", "docs"])
+        if not self.of_doc:
+            return
+        yield _block_rows(block, 0, [None], [self.of_doc], [[]], list(chain.from_iterable(self.groups)))
+        items = list(self.chunks.items())
+        for a in range(0, len(items), ROWS_OUT):
+            some = items[a:a + ROWS_OUT]
+            yield _block_rows(block, a + 1, [c for c, _ in some], [e[0] for _, e in some], [e[1] for _, e in some], None)
+
+
+def _lists(values: list[list[int]]) -> pa.Array:
+    ends = np.zeros(len(values) + 1, np.int32)
+    np.cumsum([len(v) for v in values], out=ends[1:])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(list(chain.from_iterable(values)), pa.int32()))
+
+
+def _block_rows(block: int, first: int, chunks: list, docs: list, counts: list, names: list | None) -> pa.RecordBatch:
+    n = len(chunks)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([block] * n, pa.int64()), pa.array(range(first, first + n), pa.int32()), pa.array(chunks, pa.string()),
+         _lists(docs), _lists(counts), pa.array([names] * n, pa.list_(pa.string()))],
+        names=["block", "idx", "chunk", "docs", "counts", "names"])
 
 
 def _to_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    number, block = TaskContext.get().partitionId() << 32, _Block()
+    # the rows are written, so a block's number need only be one that no other has
+    number, block = TaskContext.get().taskAttemptId() << 24, _Block()
     for b in slices(batches):
         for lang, source, text in zip(b.column(0), b.column(1), b.column(2)):
-            block.add((lang.as_py(), source.as_py()), text.as_py())
+            block.add(lang.as_py(), source.as_py(), text.as_py())
             if block.full():
                 yield from block.batches(number)
                 number, block = number + 1, _Block()
     yield from block.batches(number)
 
 
+def _merge(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, how many entries each had, and the sum of their values."""
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], values[order]
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[starts], np.diff(np.r_[starts, len(keys)]), np.add.reduceat(values, starts)
+
+
+def _block_terms(rows: pa.Table) -> pa.Table:
+    """One block's (idx, term, times) rows → its terms by group, with documents and occurrences."""
+    block, where = rows.column("block")[0].as_py(), rows.column("path")
+    path = next(p.as_py() for p in where if p.is_valid)
+    files, name = pafs.FileSystem.from_uri(path)
+    own = pq.read_table(name, filesystem=files, columns=["idx", "docs", "counts", "names"], filters=[("block", "=", block)])
+    own = own.sort_by("idx").combine_chunks()
+    docs, names = own.column("docs").combine_chunks(), own.column("names")[0].as_py()
+    ends, flat = docs.offsets.to_numpy(), docs.values.to_numpy()
+    group = flat[ends[0]:ends[1]].astype(np.int64)  # of each document; the other rows have chunks
+    counts = own.column("counts").combine_chunks()
+    shift, times_of = counts.offsets.to_numpy()[1] - ends[1], counts.values.to_numpy()
+    asked = rows.filter(pc.is_null(where))
+    idx, times = asked.column("idx").to_numpy(), asked.column("times").to_numpy().astype(np.int64)
+    if not len(idx):
+        return pa.Table.from_pydict({f: [] for f in _TERM_FIELDS.names}, schema=_TERM_FIELDS)
+    coded = asked.column("term").combine_chunks().dictionary_encode()
+    term = coded.indices.to_numpy().astype(np.int64)
+    sizes = (ends[idx + 1] - ends[idx]).astype(np.int64)
+    at = np.repeat(ends[idx] - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
+    n_docs, n_groups = len(group), len(names) // 2
+    # a document is counted once for a term, however many of its chunks have it
+    keys, _, n = _merge(np.repeat(term, sizes) * n_docs + flat[at], times_of[at + shift] * np.repeat(times, sizes))
+    keys, held, n = _merge(keys // n_docs * n_groups + group[keys % n_docs], n)
+    of = keys % n_groups
+    langs, sources = (pa.array(names[k::2], pa.string()).take(pa.array(of)) for k in (0, 1))
+    return pa.Table.from_arrays([langs, coded.dictionary.take(pa.array(keys // n_groups)).cast(pa.string()), sources,
+                                 pa.array(held.astype(np.int64)), pa.array(n.astype(np.int64))], schema=_TERM_FIELDS)
+
+
+_TERM_FIELDS = pa.schema([("lang", pa.string()), ("term", pa.string()), ("source", pa.string()), ("docs", pa.int64()), ("n", pa.int64())])
+
+
+def _by_block(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
+    """lang, term, source, docs, n of every block."""
+    spark = docs.sparkSession
+    prepare(spark)
+    asked = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(a) for c, a in
+                          ((lang, "lang"), (source, "source"), (text, "text"))])
+    folder = scratch_dir(spark, "chunk-blocks")
+    asked.mapInArrow(_to_blocks, BLOCKS).write.option("compression", "zstd").parquet(folder)
+    blocks = spark.read.schema(BLOCKS).parquet(folder)
+    places = blocks.where("idx > 0").groupBy("chunk").agg(F.collect_list(F.struct("block", "idx")).alias("at"))
+    lower = F.translate("chunk", UPPER, LOWER)
+    found = F.regexp_extract_all(lower, F.lit(TERM), F.lit(0))
+    # most chunks are one term; of others each term comes once, with its number
+    each = F.transform(F.array_distinct("terms"), lambda t: F.struct(
+        t.alias("term"), F.size(F.filter("terms", lambda u: u == t)).alias("times")))
+    one = F.array(F.struct(F.col("terms")[0].alias("term"), F.lit(1).alias("times")))
+    cut = (places.select("at", found.alias("terms")).where(F.size("terms") > 0)
+           .select("at", F.explode(F.when(F.size("terms") == 1, one).otherwise(each)).alias("t"))
+           .select("t", F.explode("at").alias("p")).select("p.block", "p.idx", "t.term", "t.times", F.lit(None).cast("string").alias("path")))
+    files = blocks.where("idx = 0").select("block", "idx", F.lit(None).cast("string").alias("term"), F.lit(0).alias("times"),
+                                           F.col("_metadata.file_path").alias("path"))
+    return cut.unionByName(files).groupBy("block").applyInArrow(_block_terms, TERMS)
+
+
 def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """lang, source, term, ``docs`` (rows with the term) and ``n`` (occurrences).
 
     Null texts, langs and sources count as ''. Every row is a document of its own, repeated
-    ones too. Blank texts give no rows. Only A-Z are lower-cased.
+    ones too. Blank texts give no rows. Only A-Z are lower-cased. A worker holds one block
+    at a time; a document is never split, so a very long one is a block of its own size.
     """
-    prepare(docs.sparkSession)
-    asked = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(a) for c, a in
-                          ((lang, "lang"), (source, "source"), (text, "text"))])
-    blocks = staged(asked.mapInArrow(_to_blocks, BLOCKS), "chunk-blocks")
-    terms = (blocks.select("chunk").distinct()
-             .select("chunk", F.explode(F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0))).alias("term"))
-             .groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times")))
-    joined = blocks.join(terms, "chunk")
-    # a block's documents are few, whatever a term's share of all documents
-    by_block = joined.groupBy("block", "lang", "source", "term").agg(
-        F.sum(F.col("n") * F.col("times")).alias("n"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("docs")))).alias("docs"))
-    return by_block.groupBy("lang", "source", "term").agg(
-        F.sum("docs").cast("bigint").alias("docs"), F.sum("n").cast("bigint").alias("n"))
+    return _by_block(docs, text, lang, source).groupBy("lang", "source", "term").agg(
+        F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+
+
+def _packed(docs: DataFrame, least_docs: int, text: str, lang: str, source: str) -> DataFrame:
+    """A row for each kept term of a language: ``n_lang`` and ``by_source``, its sources' occurrences.
+
+    Counts are summed by source before they meet by term, so a frequent term is as many rows
+    as it has sources. A row is as long as the language's sources that have the term; the
+    audit pairs the sources of a language in its result anyway.
+    """
+    counts = term_counts(docs, text, lang, source)
+    kept = counts.groupBy("lang", "term").agg(
+        F.sum("docs").alias("docs"), F.sum("n").alias("n_lang"), F.collect_list(F.struct("source", "n")).alias("by_source"))
+    return staged(kept.where(F.col("docs") >= least_docs).drop("docs"), "kept-terms")
 
 
 def _share(count: Column, total: Column) -> Column:
@@ -153,17 +239,17 @@ def source_divergence(docs: DataFrame, least_docs: int = 3, top: int = 200, text
     ``term``: the kept terms with p above the language's q, value f, the ``top`` first.
     Ranks go by value descending, then by item in byte order, from 1 in each group and part.
 
-    Nulls in the three columns count as ''; an empty table gives no rows. A group of many
-    documents is spread over blocks, a language of many sources gives a row for each pair of
-    them, as asked. The counts are written once to the shared folder.
+    Nulls in the three columns count as ''; repeated rows are documents each; an empty table
+    gives no rows. A group of many documents is spread over blocks; a language of many
+    sources gives a row for each pair of them, as asked. Blocks and kept terms are written
+    once to the shared folder.
     """
-    all_terms = staged(term_counts(docs, text, lang, source), "term-counts")
-    per_lang = (all_terms.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n_lang"))
-                .where(F.col("docs") >= least_docs).select("lang", "term", "n_lang"))
-    kept = staged(all_terms.select("lang", "source", "term", "n").join(per_lang, ["lang", "term"]), "kept-terms")
-    one_each = kept.select("lang", "term", "n_lang").distinct()
-    langs = one_each.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("n_lang").alias("total_lang"))
-    sums = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("own"))
+    kept = _packed(docs, least_docs, text, lang, source)
+    langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("n_lang").alias("total_lang"))
+    counts = kept.select("lang", F.explode("by_source").alias("s")).select("lang", "s.source", "s.n")
+    profile = counts.groupBy("lang", "source", "n").agg(F.count(F.lit(1)).alias("times"))
+    profile = staged(profile, "profiles")  # how many terms a source has with each count
+    sums = profile.groupBy("lang", "source").agg(F.sum(F.col("n") * F.col("times")).alias("total"), F.sum("times").alias("own"))
     names = docs.select(F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(source), F.lit("")).alias("source")).distinct()
     # one row a group, with its share of a term it lacks
     v = F.coalesce("v", F.lit(0)).cast("bigint")
@@ -172,31 +258,36 @@ def source_divergence(docs: DataFrame, least_docs: int = 3, top: int = 200, text
         "lang", "source", v.alias("v"), F.coalesce("own", F.lit(0)).cast("bigint").alias("own"), size.alias("size"),
         (F.coalesce("total_lang", F.lit(0)).cast("bigint") + v).alias("size_lang"),
         F.when(size > 0, _share(F.lit(0).cast("bigint"), size)).alias("p0")), "groups")
-    shares = kept.join(groups, ["lang", "source"]).select(
-        "lang", "source", "term", "p0", _share(F.col("n"), F.col("size")).alias("p"),
-        _share(F.col("n_lang"), F.col("size_lang")).alias("p_lang"))
-
     g = groups.select("lang", "source", "p0", "v", "own")
     h = g.toDF("lang", "item", "q0", "v_item", "own_item")
     differ = F.col("source") != F.col("item")
     none = g.join(h, "lang").where(differ).select("lang", "source", "item", F.when(F.col("v") == 0, _wide(F.lit(0))).otherwise(
         _wide(F.col("v") - F.col("own") - F.col("own_item")) * _wide(_f(F.col("p0"), F.col("q0")))).alias("value"))
-    profile = shares.groupBy("lang", "source", "p").agg(F.count(F.lit(1)).alias("times"))
     times = _wide(F.col("times"))
-    left = profile.join(h, "lang").where(differ).select(
+    shares = profile.join(groups, ["lang", "source"]).select("lang", "source", "times", "p0", _share(F.col("n"), F.col("size")).alias("p"))
+    left = shares.join(h, "lang").where(differ).select(
         "lang", "source", "item", (times * _wide(_f(F.col("p"), F.col("q0")))).alias("value"))
-    right = profile.toDF("lang", "item", "q", "times").join(g, "lang").where(differ).select(
+    right = shares.select("lang", F.col("source").alias("item"), "times", F.col("p").alias("q")).join(g, "lang").where(differ).select(
         "lang", "source", "item", (times * _wide(_f(F.col("p0"), F.col("q")))).alias("value"))
-    mine = shares.select("lang", "term", "source", "p", "p0")
-    other = mine.toDF("lang", "term", "item", "q", "q0")
+    # pairs of the sources that share a term, counted by their two counts before any arithmetic
+    met = (kept.select("lang", F.col("by_source").alias("a"), F.col("by_source").alias("b"))
+           .select("lang", "b", F.explode("a").alias("a")).select("lang", "a", F.explode("b").alias("b"))
+           .select("lang", F.col("a.source").alias("source"), F.col("b.source").alias("item"), F.col("a.n").alias("n"), F.col("b.n").alias("m"))
+           .where(differ).groupBy("lang", "source", "item", "n", "m").agg(F.count(F.lit(1)).alias("times")))
+    sizes = groups.select("lang", "source", "p0", "size")
     p, q, p0, q0 = (F.col(c) for c in ("p", "q", "p0", "q0"))
-    both = mine.join(other, ["lang", "term"]).where(differ).select(
-        "lang", "source", "item", _wide(_f(p, q) - _f(p, q0) - _f(p0, q) + _f(p0, q0)).alias("value"))
+    both = (met.join(sizes, ["lang", "source"]).join(sizes.toDF("lang", "item", "q0", "size_item"), ["lang", "item"])
+            .select("lang", "source", "item", "times", "p0", "q0", _share(F.col("n"), F.col("size")).alias("p"),
+                    _share(F.col("m"), F.col("size_item")).alias("q"))
+            .select("lang", "source", "item", (times * _wide(_f(p, q) - _f(p, q0) - _f(p0, q) + _f(p0, q0))).alias("value")))
     pairs = (none.unionByName(left).unionByName(right).unionByName(both)
              .groupBy("lang", "source", "item").agg(F.sum("value").cast("bigint").alias("value"))
              .withColumn("part", F.lit("pair")))
-    more = shares.where(F.col("p") > F.col("p_lang")).select(
-        "lang", "source", F.col("term").alias("item"), _f(F.col("p"), F.col("p_lang")).alias("value"), F.lit("term").alias("part"))
+    more = (kept.select("lang", "term", "n_lang", F.explode("by_source").alias("s")).select("lang", "term", "n_lang", "s.source", "s.n")
+            .join(groups.select("lang", "source", "size", "size_lang"), ["lang", "source"])
+            .select("lang", "source", "term", _share(F.col("n"), F.col("size")).alias("p"), _share(F.col("n_lang"), F.col("size_lang")).alias("p_lang"))
+            .where(F.col("p") > F.col("p_lang"))
+            .select("lang", "source", F.col("term").alias("item"), _f(F.col("p"), F.col("p_lang")).alias("value"), F.lit("term").alias("part")))
 
     def ranked(rows: DataFrame) -> DataFrame:
         order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
