@@ -62,36 +62,63 @@ def test_against_brute_force(spark, top):
     assert result(spark.createDataFrame(ROWS, SCHEMA).repartition(3), top=top) == brute(ROWS, top=top)
 
 
-def test_blocks_do_not_change_the_result(spark, monkeypatch):
-    """Blocks of a few documents and chunks, many to a file, give the same counts."""
-    df = spark.createDataFrame(ROWS, SCHEMA).coalesce(1)
-    want = sorted(tuple(r) for r in divergence.term_counts(df).collect())
-    import tributary.llm.divergence as D
-
-    original = D._to_blocks
-    for docs, chunks, pairs in ((1, 10**6, 10**6), (10**6, 5, 10**6), (10**6, 10**6, 7)):
-        def tiny(batches):
-            D.BLOCK_DOCS, D.BLOCK_CHUNKS, D.BLOCK_PAIRS, D.ROWS_OUT = docs, chunks, pairs, 3
-            yield from original(batches)
+def kept(df, **kw):
+    out = divergence.kept_terms(df, **kw).collect()
+    return sorted((r.lang, r.term, r.n_lang, sorted(map(tuple, r.by_source))) for r in out)
 
-        monkeypatch.setattr(D, "_to_blocks", tiny)
-        assert sorted(tuple(r) for r in D.term_counts(df).collect()) == want
 
+def test_blocks_and_merges_of_any_size_agree(spark, monkeypatch):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    want = kept(df.coalesce(1))
+    assert len(want) > 20
+    import tributary.llm.divergence as D
 
-def test_a_chunk_of_every_document_is_a_row_a_block():
-    block = divergence._Block()
+    for chunks, entries, rows in ((1, 10**6, 20_000), (10**6, 3, 2), (10**6, 10**6, 1)):
+        monkeypatch.setattr(D, "BLOCK_CHUNKS", chunks)
+        monkeypatch.setattr(D, "BLOCK_ENTRIES", entries)
+        monkeypatch.setattr(D, "MERGE_ROWS", rows)
+        block, out = D._Block(3), []
+        ids = {s or "": k for k, s in enumerate({r[1] for r in ROWS})}
+        for key, (lang, source, text) in enumerate(ROWS):
+            block.add(lang or "", ids[source or ""], key, text or "")
+            if block.full():
+                out += block.batches()
+                block = D._Block(3)
+        out += block.batches()
+        first = pa.Table.from_batches(out).sort_by([("word", "ascending"), ("lang", "ascending")])
+        cut = pa.Table.from_batches(D._merged(first.to_batches(2), 3, D._Cutter()), D._FIELDS)
+        cut = cut.sort_by([("word", "ascending"), ("lang", "ascending")])
+        got = pa.Table.from_batches(D._merged(cut.to_batches(3), 3, lambda r: D._keep(r, 3)), D._KEPT).to_pylist()
+        assert sorted((r["lang"], r["term"], r["n_lang"]) for r in got) == [w[:3] for w in want]
+        assert sorted(sorted(e["n"] for e in r["by_source"]) for r in got) == sorted(sorted(n for _, n in w[3]) for w in want)
+
+
+def test_a_chunk_of_every_document_stays_short():
+    block = divergence._Block(3)
     for k in range(500):
-        block.add("en", f"s{k % 3}", f"the the own{k}")
-    rows = pa.Table.from_batches(block.batches(7)).to_pylist()
-    assert len(rows) == 1 + 501 and rows[0]["names"] == ["en", "s0", "en", "s1", "en", "s2"]
-    the = next(r for r in rows if r["chunk"] == "the")
-    assert the["docs"] == list(range(500)) and the["counts"] == [2] * 500
-
-
-def test_documents_and_occurrences(spark):
-    rows = [("en", "s", "Cat cat, (cat)"), ("en", "s", "cat"), ("en", "t", "dog"), ("en", "s", "cat")]
-    got = {tuple(r) for r in divergence.term_counts(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert got == {("en", "s", "cat", 3, 5), ("en", "t", "dog", 1, 1)}
+        block.add("en", k % 2, k, f"the the own{k}")
+    rows = pa.Table.from_batches(block.batches()).to_pylist()
+    the = next(r for r in rows if r["word"] == "the")
+    assert len(rows) == 501 and len(the["docs"]) == 3 * 8 and len(the["entries"]) == 2 * 16
+
+
+def test_each_chunk_is_cut_once(monkeypatch):
+    seen = []
+    monkeypatch.setattr(divergence, "chunk_terms", lambda c: seen.append(c) or {c: 1})
+    monkeypatch.setattr(divergence, "MERGE_ROWS", 2)
+    block = divergence._Block(3)
+    for k in range(40):
+        block.add(("en", "de")[k % 2], 0, k, f"the w{k % 7}")
+    rows = pa.Table.from_batches([b for b in block.batches()]).sort_by([("word", "ascending"), ("lang", "ascending")])
+    list(divergence._merged(rows.to_batches(1), 3, divergence._Cutter()))
+    assert sorted(set(seen)) == ["the"] + [f"w{i}" for i in range(7)] and len(seen) == 8
+
+
+def test_the_threshold_counts_documents_not_forms(spark):
+    """Forms of a term in one document are one document, and three forms in three are three."""
+    rows = [("en", "s", "Cat cat, (cat)"), ("en", "s", "dog, x"), ("en", "t", "Dog"), ("en", "s", "dog dog-dog"), ("fr", "s", "cat"), ("en", "s", "cat;")]
+    assert [x[:3] for x in kept(spark.createDataFrame(rows, SCHEMA))] == [("en", "dog", 5)]
+    assert [x[:3] for x in kept(spark.createDataFrame(rows, SCHEMA), least_docs=2)] == [("en", "cat", 4), ("en", "dog", 5)]
 
 
 def test_large_values_stay_exact(spark):

@@ -3,10 +3,11 @@
 White space never stands inside a term, so a text's terms are those of its chunks (what
 lies between white space). Chunks are counted per document, each globally distinct chunk is
 cut into terms once, its terms are joined back, and distinct documents and occurrences are
-aggregated. Documents go in blocks: a block is written once, a row for each of its chunks
-with the documents that have it and how often. Only chunks and their places (block, row)
-are shuffled to be cut, only their terms come back to the block, and the block's rows are
-read where its terms arrive: a chunk that a third of all documents have is a row a block.
+aggregated. What travels for a chunk, and later for a term, is one row a language: its
+occurrences by source, and the smallest ``least_docs`` of its documents' keys. Such a set is
+all that the threshold needs and merges exactly (whoever has fewer has all of them), so a
+chunk of a third of all documents is as short a row as any. Tasks merge their documents
+before the first shuffle; a chunk is one row a block, then a term one row a chunk.
 
 The differences need no row for a term that a source lacks. With counts above zero listed,
 the sum over all kept terms of f(p, q) of two sources g and h is
@@ -20,37 +21,37 @@ where p0 and q0 belong to count zero. The first two sums go over distinct values
 
 from __future__ import annotations
 
+import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.parquet as pq
-from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tributary.llm.common import prepare, slices, staged
-from tributary.session import scratch_dir
 
-#: A block ends when it has so many documents, different chunks, or chunks of documents.
-BLOCK_DOCS = 1 << 16
+#: A block of merged documents ends at so many different chunks, or chunks of sources.
 BLOCK_CHUNKS = 400_000
-BLOCK_PAIRS = 3_000_000
-#: Rows of a batch that leaves a worker.
-ROWS_OUT = 20_000
+BLOCK_ENTRIES = 2_000_000
+#: Rows that are merged together in a worker, and that leave it in a batch.
+MERGE_ROWS = 20_000
 
 UNIT = 1_000_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Terms: letters A-Z and a-z, and every character beyond ASCII.
 TERM = "[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
-#: Row 0 of a block has its documents' groups: docs are numbers into names (lang, source, ..).
-BLOCKS = "block bigint, idx int, chunk string, docs array<int>, counts array<int>, names array<string>"
-TERMS = "lang string, term string, source string, docs bigint, n bigint"
+#: A chunk or term: ``entries`` are (source id, occurrences) pairs, ``docs`` document keys,
+#: both as little-endian 64-bit integers and sorted.
+ROWS = "lang string, word string, entries binary, docs binary"
+_FIELDS = pa.schema([("lang", pa.string()), ("word", pa.string()), ("entries", pa.binary()), ("docs", pa.binary())])
+_KEPT = pa.schema([("lang", pa.string()), ("term", pa.string()), ("n_lang", pa.int64()),
+                   ("by_source", pa.list_(pa.struct([("id", pa.int64()), ("n", pa.int64())])))])
+KEPT = "lang string, term string, n_lang bigint, by_source array<struct<id:bigint,n:bigint>>"
 
 
 def chunk_counts(text: str) -> Counter:
@@ -62,155 +63,197 @@ def chunk_counts(text: str) -> Counter:
     return found
 
 
+def chunk_terms(chunk: str) -> Counter:
+    """The terms of a chunk, only A-Z lower-cased, with how often each stands in it."""
+    return Counter(_TERM(chunk.lower() if chunk.isascii() else chunk.translate(_LOWER)))
+
+
+_TERM, _LOWER = re.compile(TERM).findall, str.maketrans(UPPER, LOWER)
+
+
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Rows of a binary column: ``values`` (a row of 64-bit integers each) cut at ``ends``."""
+    width = values.itemsize * (values.shape[1] if values.ndim == 2 else 1)
+    offsets = (ends * width).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _integers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The integers of a binary column, and where each row's begin (and the last one's end)."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    return np.frombuffer(raw.tobytes(), "<i8"), (offsets - offsets[0]) // 8
+
+
+def _bounds(keys: np.ndarray, n: int) -> np.ndarray:
+    """Where each key of 0 to n - 1 begins in sorted ``keys``, and the end."""
+    return np.searchsorted(keys, np.arange(n + 1))
+
+
 class _Block:
-    """The chunks of some documents: for each its documents and how often each has it."""
+    """Some documents' chunks by language: occurrences by source, and the first documents."""
 
-    def __init__(self) -> None:
-        self.chunks: dict[str, tuple[list, list]] = {}
-        self.groups: dict[tuple[str, str], int] = {}
-        self.of_doc: list[int] = []
-        self.pairs = 0
-
-    def add(self, lang: str, source: str, text: str) -> None:
-        chunks, k, found = self.chunks, len(self.of_doc), chunk_counts(text)
-        self.of_doc.append(self.groups.setdefault((lang, source), len(self.groups)))
-        self.pairs += len(found)
-        for chunk, n in found.items():
+    def __init__(self, least: int) -> None:
+        self.least, self.langs, self.chunks, self.entries = least, {}, 0, 0
+
+    def add(self, lang: str, source: int, key: int, text: str) -> None:
+        chunks, sources = self.langs.setdefault(lang, ({}, {}))
+        own, most = sources.setdefault(source, {}), self.least
+        before = len(chunks), len(own)
+        for chunk, n in chunk_counts(text).items():
             entry = chunks.get(chunk)
             if entry is None:
-                chunks[chunk] = ([k], [n])
-            else:
-                entry[0].append(k)
-                entry[1].append(n)
+                entry = chunks[chunk] = [len(chunks), key]
+            elif len(entry) <= most:  # keys only grow, so the first are the smallest
+                entry.append(key)
+            k = entry[0]
+            own[k] = own.get(k, 0) + n
+        self.chunks += len(chunks) - before[0]
+        self.entries += len(own) - before[1]
 
     def full(self) -> bool:
-        return len(self.of_doc) >= BLOCK_DOCS or len(self.chunks) >= BLOCK_CHUNKS or self.pairs >= BLOCK_PAIRS
-
-    def batches(self, block: int) -> Iterator[pa.RecordBatch]:
-        if not self.of_doc:
-            return
-        yield _block_rows(block, 0, [None], [self.of_doc], [[]], list(chain.from_iterable(self.groups)))
-        items = list(self.chunks.items())
-        for a in range(0, len(items), ROWS_OUT):
-            some = items[a:a + ROWS_OUT]
-            yield _block_rows(block, a + 1, [c for c, _ in some], [e[0] for _, e in some], [e[1] for _, e in some], None)
-
-
-def _lists(values: list[list[int]]) -> pa.Array:
-    ends = np.zeros(len(values) + 1, np.int32)
-    np.cumsum([len(v) for v in values], out=ends[1:])
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(list(chain.from_iterable(values)), pa.int32()))
-
-
-def _block_rows(block: int, first: int, chunks: list, docs: list, counts: list, names: list | None) -> pa.RecordBatch:
-    n = len(chunks)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([block] * n, pa.int64()), pa.array(range(first, first + n), pa.int32()), pa.array(chunks, pa.string()),
-         _lists(docs), _lists(counts), pa.array([names] * n, pa.list_(pa.string()))],
-        names=["block", "idx", "chunk", "docs", "counts", "names"])
-
-
-def _to_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-
-    # the rows are written, so a block's number need only be one that no other has
-    number, block = TaskContext.get().taskAttemptId() << 24, _Block()
-    for b in slices(batches):
-        for lang, source, text in zip(b.column(0), b.column(1), b.column(2)):
-            block.add(lang.as_py(), source.as_py(), text.as_py())
-            if block.full():
-                yield from block.batches(number)
-                number, block = number + 1, _Block()
-    yield from block.batches(number)
-
-
-def _merge(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys in order, how many entries each had, and the sum of their values."""
-    order = np.argsort(keys, kind="stable")
-    keys, values = keys[order], values[order]
-    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    return keys[starts], np.diff(np.r_[starts, len(keys)]), np.add.reduceat(values, starts)
-
-
-def _block_terms(rows: pa.Table) -> pa.Table:
-    """One block's (idx, term, times) rows → its terms by group, with documents and occurrences."""
-    block, where = rows.column("block")[0].as_py(), rows.column("path")
-    path = next(p.as_py() for p in where if p.is_valid)
-    files, name = pafs.FileSystem.from_uri(path)
-    own = pq.read_table(name, filesystem=files, columns=["idx", "docs", "counts", "names"], filters=[("block", "=", block)])
-    own = own.sort_by("idx").combine_chunks()
-    docs, names = own.column("docs").combine_chunks(), own.column("names")[0].as_py()
-    ends, flat = docs.offsets.to_numpy(), docs.values.to_numpy()
-    group = flat[ends[0]:ends[1]].astype(np.int64)  # of each document; the other rows have chunks
-    counts = own.column("counts").combine_chunks()
-    shift, times_of = counts.offsets.to_numpy()[1] - ends[1], counts.values.to_numpy()
-    asked = rows.filter(pc.is_null(where))
-    idx, times = asked.column("idx").to_numpy(), asked.column("times").to_numpy().astype(np.int64)
-    if not len(idx):
-        return pa.Table.from_pydict({f: [] for f in _TERM_FIELDS.names}, schema=_TERM_FIELDS)
-    coded = asked.column("term").combine_chunks().dictionary_encode()
-    term = coded.indices.to_numpy().astype(np.int64)
-    sizes = (ends[idx + 1] - ends[idx]).astype(np.int64)
-    at = np.repeat(ends[idx] - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
-    n_docs, n_groups = len(group), len(names) // 2
-    # a document is counted once for a term, however many of its chunks have it
-    keys, _, n = _merge(np.repeat(term, sizes) * n_docs + flat[at], times_of[at + shift] * np.repeat(times, sizes))
-    keys, held, n = _merge(keys // n_docs * n_groups + group[keys % n_docs], n)
-    of = keys % n_groups
-    langs, sources = (pa.array(names[k::2], pa.string()).take(pa.array(of)) for k in (0, 1))
-    return pa.Table.from_arrays([langs, coded.dictionary.take(pa.array(keys // n_groups)).cast(pa.string()), sources,
-                                 pa.array(held.astype(np.int64)), pa.array(n.astype(np.int64))], schema=_TERM_FIELDS)
-
-
-_TERM_FIELDS = pa.schema([("lang", pa.string()), ("term", pa.string()), ("source", pa.string()), ("docs", pa.int64()), ("n", pa.int64())])
-
-
-def _by_block(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
-    """lang, term, source, docs, n of every block."""
-    spark = docs.sparkSession
-    prepare(spark)
-    asked = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(a) for c, a in
-                          ((lang, "lang"), (source, "source"), (text, "text"))])
-    folder = scratch_dir(spark, "chunk-blocks")
-    asked.mapInArrow(_to_blocks, BLOCKS).write.option("compression", "zstd").parquet(folder)
-    blocks = spark.read.schema(BLOCKS).parquet(folder)
-    places = blocks.where("idx > 0").groupBy("chunk").agg(F.collect_list(F.struct("block", "idx")).alias("at"))
-    lower = F.translate("chunk", UPPER, LOWER)
-    found = F.regexp_extract_all(lower, F.lit(TERM), F.lit(0))
-    # most chunks are one term; of others each term comes once, with its number
-    each = F.transform(F.array_distinct("terms"), lambda t: F.struct(
-        t.alias("term"), F.size(F.filter("terms", lambda u: u == t)).alias("times")))
-    one = F.array(F.struct(F.col("terms")[0].alias("term"), F.lit(1).alias("times")))
-    cut = (places.select("at", found.alias("terms")).where(F.size("terms") > 0)
-           .select("at", F.explode(F.when(F.size("terms") == 1, one).otherwise(each)).alias("t"))
-           .select("t", F.explode("at").alias("p")).select("p.block", "p.idx", "t.term", "t.times", F.lit(None).cast("string").alias("path")))
-    files = blocks.where("idx = 0").select("block", "idx", F.lit(None).cast("string").alias("term"), F.lit(0).alias("times"),
-                                           F.col("_metadata.file_path").alias("path"))
-    return cut.unionByName(files).groupBy("block").applyInArrow(_block_terms, TERMS)
-
-
-def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """lang, source, term, ``docs`` (rows with the term) and ``n`` (occurrences).
+        return self.chunks >= BLOCK_CHUNKS or self.entries >= BLOCK_ENTRIES
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        for lang, (chunks, sources) in self.langs.items():
+            places = np.concatenate([np.fromiter(own.keys(), np.int64, len(own)) for own in sources.values()])
+            counts = np.concatenate([np.fromiter(own.values(), np.int64, len(own)) for own in sources.values()])
+            ids = np.repeat(np.array(list(sources), np.int64), [len(own) for own in sources.values()])
+            order = np.lexsort((ids, places))
+            entries, docs = np.stack([ids, counts], 1)[order], list(chunks.values())
+            ends = np.zeros(len(docs) + 1, np.int64)
+            np.cumsum([len(d) - 1 for d in docs], out=ends[1:])
+            keys = np.fromiter((k for d in docs for k in d[1:]), np.int64, ends[-1])
+            rows = pa.RecordBatch.from_arrays([pa.array([lang] * len(docs), pa.string()), pa.array(list(chunks), pa.string()),
+                                               _binary(entries, _bounds(places[order], len(docs))), _binary(keys, ends)], schema=_FIELDS)
+            yield from slices([rows], MERGE_ROWS)
+
+
+def _merge(rows: pa.Table, least: int) -> pa.Table:
+    """Rows sorted by word and language → one row each: occurrences added up, document keys united."""
+    rows = rows.combine_chunks()
+    lang, word = (rows.column(c).combine_chunks() for c in ("lang", "word"))
+    n = len(rows)
+    new = np.ones(n, bool)
+    if n > 1:
+        new[1:] = pc.or_(pc.not_equal(word[1:], word[:-1]), pc.not_equal(lang[1:], lang[:-1])).to_numpy(zero_copy_only=False)
+    if new.all():
+        return rows
+    key, firsts = np.cumsum(new) - 1, np.flatnonzero(new)
+    flat, ends = _integers(rows.column("entries").combine_chunks())
+    pairs, of = flat.reshape(-1, 2), np.repeat(key, np.diff(ends) // 2)
+    order = np.lexsort((pairs[:, 0], of))
+    pairs, of = pairs[order], of[order]
+    begin = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (pairs[1:, 0] != pairs[:-1, 0])])
+    entries = np.stack([pairs[begin, 0], np.add.reduceat(pairs[:, 1], begin)], 1)
+    docs, ends = _integers(rows.column("docs").combine_chunks())
+    own = np.repeat(key, np.diff(ends))
+    order = np.lexsort((docs, own))
+    docs, own = docs[order], own[order]
+    once = np.r_[True, (own[1:] != own[:-1]) | (docs[1:] != docs[:-1])]
+    docs, own = docs[once], own[once]
+    some = np.arange(len(docs)) - _bounds(own, len(firsts))[own] < least
+    docs, own = docs[some], own[some]
+    at = pa.array(firsts)
+    return pa.Table.from_arrays([lang.take(at), word.take(at), _binary(entries, _bounds(of[begin], len(firsts))),
+                                 _binary(docs, _bounds(own, len(firsts)))], schema=_FIELDS)
+
+
+def _merged(batches: Iterable[pa.RecordBatch], least: int, then: Callable[[pa.Table], pa.Table]) -> Iterator[pa.RecordBatch]:
+    """Merges a partition sorted by word and language, and hands whole rows to ``then``."""
+    waiting: list[pa.RecordBatch] = []
+    tail, have = None, 0
+
+    def merged(last: bool) -> Iterator[pa.RecordBatch]:
+        nonlocal tail
+        table = pa.Table.from_batches(waiting, _FIELDS)
+        rows = _merge(table if tail is None else pa.concat_tables([tail, table]), least)
+        # the last row may go on in the next batch
+        tail = None if last else rows.slice(len(rows) - 1)
+        rows = rows if last else rows.slice(0, len(rows) - 1)
+        if len(rows):
+            yield from then(rows.combine_chunks()).to_batches(MERGE_ROWS)
+
+    for b in batches:
+        waiting.append(b)
+        have += len(b)
+        if have >= MERGE_ROWS:
+            yield from merged(last=False)
+            waiting, have = [], 0
+    if have or tail is not None:
+        yield from merged(last=True)
+
+
+class _Cutter:
+    """Merged chunks → their terms. A chunk's rows (one a language) follow each other: it is cut once."""
+
+    def __init__(self) -> None:
+        self.last, self.found = None, Counter()
+
+    def __call__(self, rows: pa.Table) -> pa.Table:
+        at, times, terms = [], [], []
+        for k, chunk in enumerate(rows.column("word").to_pylist()):
+            if chunk != self.last:
+                self.last, self.found = chunk, chunk_terms(chunk)
+            for term, n in self.found.items():
+                at.append(k)
+                times.append(n)
+                terms.append(term)
+        taken = rows.take(pa.array(at, pa.int64())).combine_chunks()
+        entries = taken.column("entries")
+        factors = np.array(times, np.int64)
+        if (factors > 1).any():
+            flat, ends = _integers(entries.combine_chunks())
+            pairs = flat.reshape(-1, 2).copy()
+            pairs[:, 1] *= np.repeat(factors, np.diff(ends) // 2)
+            entries = _binary(pairs, ends // 2)
+        return pa.Table.from_arrays([taken.column("lang"), pa.array(terms, pa.string()), entries, taken.column("docs")], schema=_FIELDS)
+
+
+def _keep(rows: pa.Table, least: int) -> pa.Table:
+    """Merged terms → those of enough documents."""
+    rows = rows.filter(pc.greater_equal(pc.binary_length(rows.column("docs")), 8 * least)).combine_chunks()
+    if not len(rows):
+        return _KEPT.empty_table()
+    flat, ends = _integers(rows.column("entries").combine_chunks())
+    pairs, ends = flat.reshape(-1, 2), ends // 2
+    structs = pa.StructArray.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["id", "n"])
+    return pa.Table.from_arrays([rows.column("lang"), rows.column("word"), pa.array(np.add.reduceat(pairs[:, 1], ends[:-1])),
+                                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs)], schema=_KEPT)
+
+
+def kept_terms(docs: DataFrame, least_docs: int = 3, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """A row for each term in at least ``least_docs`` documents of its language: lang, term,
+    ``n_lang`` (occurrences there) and ``by_source``, the occurrences by source id (a hash of
+    the name).
 
     Null texts, langs and sources count as ''. Every row is a document of its own, repeated
-    ones too. Blank texts give no rows. Only A-Z are lower-cased. A worker holds one block
-    at a time; a document is never split, so a very long one is a block of its own size.
+    ones too. Blank texts give no rows. Only A-Z are lower-cased. A worker holds one block,
+    whose size is bounded, beside the chunks of one document. Documents are told apart by
+    their partition and place in it, so recomputed input must come in the same order, as
+    files do.
     """
-    return _by_block(docs, text, lang, source).groupBy("lang", "source", "term").agg(
-        F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    prepare(docs.sparkSession)
+    asked = docs.select(F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.xxhash64(F.coalesce(F.col(source), F.lit(""))).alias("source"),
+                        F.monotonically_increasing_id().alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
+    def to_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = _Block(least_docs)
+        for b in slices(batches):
+            for name, own, key, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3)):
+                block.add(name, own, key, body.as_py())
+                if block.full():
+                    yield from block.batches()
+                    block = _Block(least_docs)
+        yield from block.batches()
 
-def _packed(docs: DataFrame, least_docs: int, text: str, lang: str, source: str) -> DataFrame:
-    """A row for each kept term of a language: ``n_lang`` and ``by_source``, its sources' occurrences.
+    def grouped(rows: DataFrame) -> DataFrame:
+        return rows.repartition("word").sortWithinPartitions("word", "lang")
 
-    Counts are summed by source before they meet by term, so a frequent term is as many rows
-    as it has sources. A row is as long as the language's sources that have the term; the
-    audit pairs the sources of a language in its result anyway.
-    """
-    counts = term_counts(docs, text, lang, source)
-    kept = counts.groupBy("lang", "term").agg(
-        F.sum("docs").alias("docs"), F.sum("n").alias("n_lang"), F.collect_list(F.struct("source", "n")).alias("by_source"))
-    return staged(kept.where(F.col("docs") >= least_docs).drop("docs"), "kept-terms")
+    chunks = grouped(asked.mapInArrow(to_chunks, ROWS))
+    terms = grouped(chunks.mapInArrow(lambda batches: _merged(batches, least_docs, _Cutter()), ROWS))
+    return terms.mapInArrow(lambda batches: _merged(batches, least_docs, lambda rows: _keep(rows, least_docs)), KEPT)
 
 
 def _share(count: Column, total: Column) -> Column:
@@ -244,50 +287,51 @@ def source_divergence(docs: DataFrame, least_docs: int = 3, top: int = 200, text
     sources gives a row for each pair of them, as asked. Blocks and kept terms are written
     once to the shared folder.
     """
-    kept = _packed(docs, least_docs, text, lang, source)
+    kept = staged(kept_terms(docs, least_docs, text, lang, source), "kept-terms")
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("n_lang").alias("total_lang"))
-    counts = kept.select("lang", F.explode("by_source").alias("s")).select("lang", "s.source", "s.n")
-    profile = counts.groupBy("lang", "source", "n").agg(F.count(F.lit(1)).alias("times"))
-    profile = staged(profile, "profiles")  # how many terms a source has with each count
-    sums = profile.groupBy("lang", "source").agg(F.sum(F.col("n") * F.col("times")).alias("total"), F.sum("times").alias("own"))
+    counts = kept.select("lang", F.explode("by_source").alias("s")).select("lang", "s.id", "s.n")
+    # how many terms a source has with each count
+    profile = staged(counts.groupBy("lang", "id", "n").agg(F.count(F.lit(1)).alias("times")), "profiles")
+    sums = profile.groupBy("lang", "id").agg(F.sum(F.col("n") * F.col("times")).alias("total"), F.sum("times").alias("own"))
     names = docs.select(F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(source), F.lit("")).alias("source")).distinct()
-    # one row a group, with its share of a term it lacks
     v = F.coalesce("v", F.lit(0)).cast("bigint")
     size = F.coalesce("total", F.lit(0)).cast("bigint") + v
-    groups = staged(names.join(langs, "lang", "left").join(sums, ["lang", "source"], "left").select(
-        "lang", "source", v.alias("v"), F.coalesce("own", F.lit(0)).cast("bigint").alias("own"), size.alias("size"),
+    # one row a group, with its share of a term it lacks
+    groups = staged(names.withColumn("id", F.xxhash64("source")).join(langs, "lang", "left").join(sums, ["lang", "id"], "left").select(
+        "lang", "id", "source", v.alias("v"), F.coalesce("own", F.lit(0)).cast("bigint").alias("own"), size.alias("size"),
         (F.coalesce("total_lang", F.lit(0)).cast("bigint") + v).alias("size_lang"),
         F.when(size > 0, _share(F.lit(0).cast("bigint"), size)).alias("p0")), "groups")
-    g = groups.select("lang", "source", "p0", "v", "own")
+    if not groups.groupBy("lang", "id").count().where("count > 1").isEmpty():
+        raise ValueError("two source names of a language have the same 64-bit hash")
+
+    g = groups.select("lang", "id", "p0", "v", "own")
     h = g.toDF("lang", "item", "q0", "v_item", "own_item")
-    differ = F.col("source") != F.col("item")
-    none = g.join(h, "lang").where(differ).select("lang", "source", "item", F.when(F.col("v") == 0, _wide(F.lit(0))).otherwise(
-        _wide(F.col("v") - F.col("own") - F.col("own_item")) * _wide(_f(F.col("p0"), F.col("q0")))).alias("value"))
-    times = _wide(F.col("times"))
-    shares = profile.join(groups, ["lang", "source"]).select("lang", "source", "times", "p0", _share(F.col("n"), F.col("size")).alias("p"))
-    left = shares.join(h, "lang").where(differ).select(
-        "lang", "source", "item", (times * _wide(_f(F.col("p"), F.col("q0")))).alias("value"))
-    right = shares.select("lang", F.col("source").alias("item"), "times", F.col("p").alias("q")).join(g, "lang").where(differ).select(
-        "lang", "source", "item", (times * _wide(_f(F.col("p0"), F.col("q")))).alias("value"))
-    # pairs of the sources that share a term, counted by their two counts before any arithmetic
-    met = (kept.select("lang", F.col("by_source").alias("a"), F.col("by_source").alias("b"))
-           .select("lang", "b", F.explode("a").alias("a")).select("lang", "a", F.explode("b").alias("b"))
-           .select("lang", F.col("a.source").alias("source"), F.col("b.source").alias("item"), F.col("a.n").alias("n"), F.col("b.n").alias("m"))
-           .where(differ).groupBy("lang", "source", "item", "n", "m").agg(F.count(F.lit(1)).alias("times")))
-    sizes = groups.select("lang", "source", "p0", "size")
+    pair = ["lang", "id", "item"]
+    differ, times = F.col("id") != F.col("item"), _wide(F.col("times"))
     p, q, p0, q0 = (F.col(c) for c in ("p", "q", "p0", "q0"))
-    both = (met.join(sizes, ["lang", "source"]).join(sizes.toDF("lang", "item", "q0", "size_item"), ["lang", "item"])
-            .select("lang", "source", "item", "times", "p0", "q0", _share(F.col("n"), F.col("size")).alias("p"),
-                    _share(F.col("m"), F.col("size_item")).alias("q"))
-            .select("lang", "source", "item", (times * _wide(_f(p, q) - _f(p, q0) - _f(p0, q) + _f(p0, q0))).alias("value")))
-    pairs = (none.unionByName(left).unionByName(right).unionByName(both)
-             .groupBy("lang", "source", "item").agg(F.sum("value").cast("bigint").alias("value"))
-             .withColumn("part", F.lit("pair")))
-    more = (kept.select("lang", "term", "n_lang", F.explode("by_source").alias("s")).select("lang", "term", "n_lang", "s.source", "s.n")
-            .join(groups.select("lang", "source", "size", "size_lang"), ["lang", "source"])
-            .select("lang", "source", "term", _share(F.col("n"), F.col("size")).alias("p"), _share(F.col("n_lang"), F.col("size_lang")).alias("p_lang"))
-            .where(F.col("p") > F.col("p_lang"))
-            .select("lang", "source", F.col("term").alias("item"), _f(F.col("p"), F.col("p_lang")).alias("value"), F.lit("term").alias("part")))
+    none = g.join(h, "lang").where(differ).select(*pair, F.when(F.col("v") == 0, _wide(F.lit(0))).otherwise(
+        _wide(F.col("v") - F.col("own") - F.col("own_item")) * _wide(_f(p0, q0))).alias("value"))
+    shares = profile.join(groups, ["lang", "id"]).select("lang", "id", "times", "p0", _share(F.col("n"), F.col("size")).alias("p"))
+    left = shares.join(h, "lang").where(differ).select(*pair, (times * _wide(_f(p, q0))).alias("value"))
+    right = shares.select("lang", F.col("id").alias("item"), "times", p.alias("q")).join(g, "lang").where(differ).select(
+        *pair, (times * _wide(_f(p0, q))).alias("value"))
+    # the sources that share a term, counted by their two counts before any arithmetic
+    met = (kept.select("lang", F.col("by_source").alias("others"), F.explode("by_source").alias("a"))
+           .select("lang", F.col("a.id").alias("id"), F.col("a.n").alias("n"), F.explode("others").alias("b"))
+           .select("lang", "id", F.col("b.id").alias("item"), "n", F.col("b.n").alias("m"))
+           .where(differ).groupBy(*pair, "n", "m").agg(F.count(F.lit(1)).alias("times")))
+    sizes = groups.select("lang", "id", "p0", "size")
+    both = (met.join(sizes, ["lang", "id"]).join(sizes.toDF("lang", "item", "q0", "size_item"), ["lang", "item"])
+            .select(*pair, "times", "p0", "q0", _share(F.col("n"), F.col("size")).alias("p"), _share(F.col("m"), F.col("size_item")).alias("q"))
+            .select(*pair, (times * _wide(_f(p, q) - _f(p, q0) - _f(p0, q) + _f(p0, q0))).alias("value")))
+    named = groups.select("lang", "id", "source")
+    pairs = (none.unionByName(left).unionByName(right).unionByName(both).groupBy(*pair).agg(F.sum("value").cast("bigint").alias("value"))
+             .join(named, ["lang", "id"]).join(named.toDF("lang", "item", "name"), ["lang", "item"])
+             .select("lang", "source", F.lit("pair").alias("part"), F.col("name").alias("item"), "value"))
+    more = (kept.select("lang", "term", "n_lang", F.explode("by_source").alias("s")).select("lang", "term", "n_lang", "s.id", "s.n")
+            .join(groups.select("lang", "id", "source", "size", "size_lang"), ["lang", "id"])
+            .select("lang", "source", "term", _share(F.col("n"), F.col("size")).alias("p"), _share(F.col("n_lang"), F.col("size_lang")).alias("q"))
+            .where(p > q).select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), _f(p, q).alias("value")))
 
     def ranked(rows: DataFrame) -> DataFrame:
         order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
