@@ -6,6 +6,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tributary.operators import normalize, normalize_by_source, response_outcomes, skip_empty
 from tributary.operators.schema import SchemaConflictError
 
@@ -176,6 +178,36 @@ def test_each_source_has_its_own_first_record(spark):
     assert sorted(tuple(r) for r in got["a"].collect()) == [(1, "s"), (2, None)] and got["b"].first().y == 2.5
 
 
+@pytest.mark.parametrize("n", [1, 40])
+def test_sources_share_one_parse_and_one_scan_of_the_staged_records(spark, monkeypatch, n):
+    """Whatever the number of sources: one staging job, and each result reads its own folder only."""
+    import importlib
+
+    N = importlib.import_module("tributary.operators.normalize")
+    parsed = []
+    original = N.response_records
+    monkeypatch.setattr(N, "response_records", lambda df, **kw: parsed.append(df) or original(df, **kw))
+    df = spark.range(200).select(F.concat(F.lit("s"), F.col("id") % n).alias("source"), F.col("id").alias("seq"),
+                                 F.concat(F.lit('{"k":'), F.col("id"), F.lit("}")).alias("body"))
+    got = N.normalize_by_source(df)
+    # the input once, and the bodies of the first records (one a source) for their keys
+    assert len(got) == n and len(parsed) == 2
+    for name, out in got.items():
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "parseJson" not in plan and "_of" in plan and "PartitionFilters: [isnotnull(_of" in plan
+    assert sorted(r.k for out in got.values() for r in out.collect()) == list(range(200))
+
+
+def test_sources_of_odd_names_and_none(spark):
+    rows = [("", 0, '{"a":1}'), (None, 1, '{"b":1}'), ("x/y=1 %", 2, '{"c":1}'), ("__HIVE_DEFAULT_PARTITION__", 3, '[{"d":1},{"e":2}]'),
+            (None, 4, '{"b":2.5}'), ("s", 5, "[]"), ("S", 6, '["v"]')]
+    got = normalize_by_source(spark.createDataFrame(rows, "source string, seq bigint, body string"))
+    assert {k: (v.columns, v.count()) for k, v in got.items()} == {
+        "": (["a"], 1), None: (["b"], 2), "x/y=1 %": (["c"], 1), "__HIVE_DEFAULT_PARTITION__": (["d"], 2), "S": (["value"], 1)}
+    assert sorted(r.b for r in got[None].collect()) == [1.0, 2.5]
+    assert normalize_by_source(spark.createDataFrame([], "source string, seq bigint, body string")) == {}
+
+
 def test_staged_and_two_pass_agree(responses):
     bodies = ['[{"b":1,"a":{}},{"a":{"x":1},"b":2.5}]', '{"b":3,"c":[1]}', '[]', '[{}]']
     staged = normalize(responses(bodies))

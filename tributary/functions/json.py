@@ -23,6 +23,33 @@ def parse_body(body: Column | str) -> Column:
     return F.try_parse_json(_c(body))
 
 
+def wrapped_value(text: Column | str) -> Column:
+    """The array ``[text, mark]`` as VARIANT, or NULL; see ``is_single`` and ``inner_value``.
+
+    Spark's parsers stop after the first complete value. The mark is a hash of the text, so
+    no text can bring its own: whatever stands behind the first value of ``text`` shows.
+    """
+    t = _c(text)
+    return F.try_parse_json(F.concat(F.lit("["), t, F.lit(',"'), F.xxhash64(t).cast("string"), F.lit('"]')))
+
+
+def is_single(wrapped: Column, text: Column | str) -> Column:
+    """Whether ``text`` was exactly one JSON value."""
+    mark = F.xxhash64(_c(text)).cast("string")
+    return F.coalesce((F.try_variant_get(wrapped, "$[1]", "string") == mark)
+                      & F.try_variant_get(wrapped, "$[2]", "variant").isNull(), F.lit(False))
+
+
+def inner_value(wrapped: Column) -> Column:
+    return F.try_variant_get(wrapped, "$[0]", "variant")
+
+
+def single_value(text: Column | str) -> Column:
+    """Text → VARIANT if it is one JSON value and nothing else; otherwise NULL."""
+    w = wrapped_value(text)
+    return F.when(is_single(w, text), inner_value(w))
+
+
 def as_object(v: Column | str) -> Column:
     """The top level of an object as ``map<string,variant>``; NULL for other kinds."""
     return _c(v).try_cast(OBJECT_T)

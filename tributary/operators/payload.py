@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.fixed import PLACEHOLDER_KEY, PLACEHOLDER_VALUE, VALUE_KEY
-from tributary.functions.json import as_object, is_empty_container
+from tributary.functions.json import as_object, inner_value, is_empty_container, is_single, wrapped_value
 
 
 MODES = ("FAILFAST", "PERMISSIVE")
@@ -65,15 +65,10 @@ def classify_responses(responses: DataFrame, body: str = "body") -> DataFrame:
     the text instead).
     """
     text = F.col(body)
-    # Spark's parsers stop after the first complete value; like Python's json, a text
-    # with anything after it (``{"a":1} x``, ``[1] [2]``) is not valid JSON. The body is
-    # parsed as the value of an object and counted as the item of an array: no text can
-    # end both wrappers early.
-    single = F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
-    wrapped = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    df = responses.select("*", wrapped.alias("_w"), F.regexp_extract(text, _FIRST, 1).alias("_c"),
-                          single.alias("_single"))
-    df = df.withColumn("_v", F.try_variant_get("_w", "$.v", "variant"))
+    # like Python's json, a text with anything after its value (``{"a":1} x``, ``[1] [2]``)
+    # is not valid JSON; the one parse shows it
+    df = responses.select("*", wrapped_value(text).alias("_w"), F.regexp_extract(text, _FIRST, 1).alias("_c"))
+    df = df.select("*", inner_value(F.col("_w")).alias("_v"), is_single(F.col("_w"), text).alias("_single"))
     c = F.col("_c")
     kind = (F.when(F.col("_v").isNull() | ~F.col("_single"), F.lit("invalid"))
             .when(c == "{", F.lit("object")).when(c == "[", F.lit("array"))

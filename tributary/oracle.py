@@ -81,7 +81,17 @@ ORACLE_SQL: dict[str, str] = {
     "table_create": "SELECT * FROM supplier",
     "table_append": "SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'F'",
     "table_replace_on_mismatch": "SELECT * FROM orders",
+    "table_neighbours":
+        "SELECT 'replaced' AS which, CAST(c_custkey AS BIGINT) AS id, c_name AS name FROM customer "
+        "UNION ALL SELECT 'neighbour', n_nationkey, n_name FROM nation",
     "rest_pages": "SELECT * FROM orders",
+    "rest_stream": """
+        WITH p AS (SELECT max(o_orderkey // 64) + 1 AS n FROM orders)
+        SELECT orders.*, n AS fetched, n // 2 // 8 * 8 AS first_run, CAST(0 AS BIGINT) AS idle_run FROM orders, p""",
+    "repair_load": """
+        WITH p AS (SELECT DISTINCT event_id // 64 AS page FROM events)
+        SELECT event_id, user_id, 'PARTIAL' AS first_run, 'SUCCESS' AS repair,
+               (SELECT count(*) FROM p WHERE page % 5 = 0) AS sent_again, CAST(0 AS BIGINT) AS sent_idle FROM events""",
     "rest_failures": """
         WITH p AS (SELECT event_id // 64 AS page, count(*) AS n FROM events GROUP BY 1),
         a AS (SELECT CAST(sum(CASE WHEN page % 5 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS bad,
@@ -97,6 +107,31 @@ ORACLE_SQL: dict[str, str] = {
         "n_name AS first, CAST(n_regionkey AS VARCHAR) AS second FROM nation "
         "UNION ALL SELECT 'orders', o_orderkey, 'o_totalprice,o_orderstatus', CAST(o_totalprice AS VARCHAR), "
         "o_orderstatus FROM orders",
+    "large_array":
+        "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_quantity, l_returnflag FROM lineitem",
+    "raw_documents":
+        "SELECT '20240229_235959' AS load_id, o_orderkey // 64 AS seq, * FROM orders",
+    "type_lattice":
+        "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity AS qty, "
+        "CASE WHEN l_returnflag = 'N' THEN l_discount END AS disc, CASE WHEN l_returnflag = 'R' THEN l_tax END AS tax, "
+        "'load-' || l_returnflag AS _load_id FROM lineitem",
+    "sources_due": """
+        WITH s AS (SELECT c_custkey, c_custkey % 8 AS kind, c_nationkey AS k FROM customer),
+        t AS (SELECT t, minute(t) AS mi, hour(t) AS h, day(t) AS dd, month(t) AS mo, dayofweek(t) AS w
+              FROM generate_series(TIMESTAMP '2024-02-27 10:08:00', TIMESTAMP '2024-03-04 06:29:00', INTERVAL 1 MINUTE) g(t)),
+        keys AS (SELECT DISTINCT kind, k FROM s),
+        hits AS (SELECT kind, k, count(*) AS n, min(t) AS first_due, max(t) AS last_due FROM keys, t WHERE CASE kind
+              WHEN 0 THEN mi = k AND h % 2 = 0 AND w BETWEEN 1 AND 5
+              WHEN 1 THEN mi % 15 = 0 AND h BETWEEN 8 AND 17
+              WHEN 2 THEN mi = 0 AND h = k AND dd = 1
+              WHEN 3 THEN mi IN (5, 35) AND h = 3 AND dd = 29 AND mo = 2
+              WHEN 4 THEN mi = 30 AND h = 6 AND (dd IN (1, 8, 15) OR w = 0)
+              WHEN 6 THEN mi IN (10, 30, 50) AND h = 23 AND mo >= 3 AND w IN (0, 6) ELSE FALSE END GROUP BY ALL)
+        SELECT c_custkey, CASE s.kind WHEN 0 THEN s.k || ' */2 * * 1-5' WHEN 1 THEN '*/15 8-17 * * *' WHEN 2 THEN '0 ' || s.k || ' 1 * *'
+                   WHEN 3 THEN '5,35 3 29 2 *' WHEN 4 THEN '30 6 1-15/7 * 7' WHEN 5 THEN '99 99 * * *' WHEN 6 THEN '10/20 23 * 3-12 0,6' END AS schedule,
+               CASE s.kind WHEN 7 THEN NULL WHEN 5 THEN FALSE WHEN 2 THEN s.k <= 23 ELSE TRUE END AS valid_schedule,
+               CAST(coalesce(n, 0) AS BIGINT) AS n_due, first_due, last_due
+        FROM s LEFT JOIN hits ON hits.kind = s.kind AND hits.k = s.k""",
     "run_audit":
         "SELECT event_type || '_job' AS job_name, count(*) AS runs, "
         "CAST(sum(CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END) AS BIGINT) AS successes, "

@@ -33,11 +33,14 @@ from pyspark.sql import types as T
 
 from tributary.functions.text import raw_load_stamp
 from tributary.operators.normalize import normalize
+from tributary.plans.schedules import due
 from tributary.plans.specs import PipelineSpec, SourceSpec, table_name_for
 from tributary.session import delete_path, shared_root
-from tributary.sinks.raw import read_raw, write_raw, write_raw_responses
-from tributary.sinks.table import SKIPPED, delta_available, write_table
+from tributary.sinks.lattice import load_widening
+from tributary.sinks.raw import add_raw_responses, latest_load, read_raw, write_raw, write_raw_responses
+from tributary.sinks.table import SKIPPED, delta_available, table_known, table_owner, write_table
 from tributary.sources import RestSource, source_for
+from tributary.sources.requests import missing_requests, settled
 from tributary.sources.rest import response_struct
 
 log = logging.getLogger(__name__)
@@ -56,6 +59,9 @@ AUDIT_SCHEMA = T.StructType([
 ])
 #: PARTIAL: data was loaded, but some requests failed (only a PERMISSIVE source goes on then).
 SUCCESS, PARTIAL, FAILURE = "SUCCESS", "PARTIAL", "FAILURE"
+AUDIT_OWNER = "(run audit)"
+#: ``on_mismatch`` of a runner whose tables keep all loads and widen (``sinks.lattice``).
+WIDEN = "widen"
 
 
 @dataclass
@@ -73,6 +79,7 @@ class RunResult:
     table_action: str | None = None
     load_id: str | None = None
     failed_requests: int = 0
+    audited: bool = True  # False: the audit row could not be written (see the log)
 
     def audit_row(self) -> tuple:
         return (self.run_id, self.job_name, self.source, self.status, self.started_at,
@@ -138,13 +145,30 @@ class Runner:
         rows = int((obs.get or {}).get("n", 0))
         return rows, shaped, rows, 0
 
+    def _write(self, shaped: DataFrame, table: str, owner: str, load_id: str, rows: int):
+        if self.on_mismatch == WIDEN:
+            return load_widening(shaped, table, load_id, path=self._table_path(table), owner=owner)
+        return write_table(shaped, table, fmt=self.table_format, known_rows=rows, path=self._table_path(table),
+                           on_mismatch=self.on_mismatch, owner=owner)
+
     def _claim(self, table: str, source: str) -> None:
-        """Refuses a second source whose name gives the same table: it would replace the first."""
+        """Refuses a source whose name gives the table of another: it would replace its rows.
+
+        The audit table is reserved. Owners are kept with the tables, so this holds for
+        other runners and later sessions too.
+        """
+        if table.lower() == self.audit_table.lower():
+            raise ValueError(f"source {source!r} would write the audit table {table!r}; rename one")
         with self._audit_lock:
             owner = self._tables.setdefault(table, source)
+        if owner == source:
+            owner = table_owner(self.spark, table, self._table_path(table)) or source
         if owner != source:
             raise ValueError(f"sources {owner!r} and {source!r} would share table {table!r}; rename one")
 
+    def _table_path(self, table: str) -> str:
+        return f"{self.root}/tables/{table}"
+
     def _staging_path(self, spec: SourceSpec, load_id: str) -> str:
         return f"{self.root}/staging/{spec.name}/load_id={load_id}"
 
@@ -162,8 +186,7 @@ class Runner:
             if rows_read == 0 or rows_shaped == 0:
                 action = SKIPPED
             else:
-                load = write_table(shaped, table, fmt=self.table_format, known_rows=rows_shaped,
-                                   path=f"{self.root}/tables/{table}", on_mismatch=self.on_mismatch)
+                load = self._write(shaped, table, spec.name, load_id, rows_shaped)
                 action, rows_written = load.action, load.rows
             if failed:
                 status = PARTIAL if rows_written else FAILURE
@@ -172,16 +195,42 @@ class Runner:
             status = FAILURE
             error = f"{type(e).__name__}: {_short_message(e)}"
             log.error("source %s failed: %s\n%s", spec.name, error, traceback.format_exc())
-        if not self.keep_staging:
-            # the raw layer stays the durable copy
-            delete_path(self.spark, self._staging_path(spec, load_id))
+        self._drop_staging(spec, load_id)
         finished = _dt.datetime.now(_dt.timezone.utc)
         result = RunResult(run_id, spec.job_name, spec.name, status, started, finished,
                            rows_read, rows_written, error, table, action, load_id, failed)
-        self.record(result)
+        self._try_record(result)
         self.spark.sparkContext.setJobDescription(None)
         return result
 
+    def _drop_staging(self, spec: SourceSpec, load_id: str) -> None:
+        """Drops a load's staged records: the raw layer stays the durable copy."""
+        if self.keep_staging:
+            return
+        try:
+            delete_path(self.spark, self._staging_path(spec, load_id))
+        except Exception as e:  # noqa: BLE001 - left files cost space, not the run
+            log.error("staging of %s stays: %s", spec.name, e)
+
+    def _try_record(self, result: RunResult) -> None:
+        """Writes the audit row; a failure there is logged and does not stop later sources."""
+        try:
+            self.record(result)
+        except Exception as e:  # noqa: BLE001
+            result.audited = False
+            log.error("run %s of %s is not in %s: %s\n%s", result.run_id, result.source, self.audit_table, e,
+                      traceback.format_exc())
+
+    def run_due(self, pipeline: PipelineSpec, start: _dt.datetime, stop: _dt.datetime) -> list[RunResult]:
+        """Runs the scheduled sources of a pipeline that are due at some minute from ``start`` up to
+        before ``stop``, once each, in the pipeline's order."""
+        scheduled = [s for s in pipeline.sources if s.schedule]
+        if not scheduled:
+            return []
+        rows = self.spark.createDataFrame([(k, s.schedule) for k, s in enumerate(scheduled)], "k int, schedule string")
+        found = {r["k"] for r in due(rows, start, stop).where("n_due > 0").select("k").collect()}
+        return self._run_all([s for k, s in enumerate(scheduled) if k in found])
+
     def run_pipeline(self, pipeline: PipelineSpec, *, include_scheduled: bool = False) -> list[RunResult]:
         """Run every unscheduled source (scheduled ones belong to an outside
         scheduler; ``include_scheduled`` runs them too), isolating failures.
@@ -189,20 +238,88 @@ class Runner:
         With ``parallel_sources > 1`` that many sources run at once (Spark
         schedules their jobs side by side); results keep the pipeline's order.
         """
-        specs = list(pipeline.sources) if include_scheduled else pipeline.unscheduled()
+        return self._run_all(list(pipeline.sources) if include_scheduled else pipeline.unscheduled())
+
+    def _run_all(self, specs: list[SourceSpec]) -> list[RunResult]:
         if self.parallel_sources == 1 or len(specs) < 2:
             return [self.run_source(s) for s in specs]
         with ThreadPoolExecutor(max_workers=self.parallel_sources) as pool:
             return list(pool.map(self.run_source, specs))
 
+    # -- repair -----------------------------------------------------------
+    def repair_source(self, spec: SourceSpec, load_id: str | None = None) -> RunResult:
+        """Sends a load's failed and unsent requests again and completes load and table.
+
+        ``load_id`` defaults to the source's latest load. The plan's requests without a good
+        response in the raw layer are sent, each once; the responses are written to the
+        staging folder, added to the load's raw folder, and the good ones are appended to
+        the table with the table's own columns (a value that does not fit raises, and the
+        raw layer keeps it). Without a table yet, the whole load is shaped. A load without
+        missing requests sends nothing. Like a run, a repair that dies between the append
+        and its audit row may append twice when it is started again; one that dies before
+        has changed no table.
+        """
+        self.spark.sparkContext.setJobDescription(f"tributary {spec.job_name} repair")
+        started, run_id = _dt.datetime.now(_dt.timezone.utc), uuid.uuid4().hex
+        table = table_name_for(spec.name, self.table_prefix)
+        sent = rows_written = still = 0
+        action, status, error = SKIPPED, SUCCESS, None
+        try:
+            self._claim(table, spec.name)
+            connector = source_for(spec)
+            if not isinstance(connector, RestSource):
+                raise ValueError(f"source {spec.name!r} has no requests to repair")
+            load_id = load_id or latest_load(self.spark, self.root, spec.name)
+            if load_id is None:
+                raise ValueError(f"source {spec.name!r} has no load to repair")
+            staging = f"{self._staging_path(spec, load_id)}/repair-{run_id}"
+            raw = read_raw(self.spark, self.root, spec.name, response_struct(), load_id)
+            # written first: what is sent must not depend on the folder that it is added to
+            missing_requests(connector.plan(self.spark, load_id), raw).write.parquet(f"{staging}/plan")
+            plan = self.spark.read.parquet(f"{staging}/plan")
+            sent = plan.count()
+            if sent:
+                connector.fetch(self.spark, plan, load_id).write.parquet(f"{staging}/responses")
+                fetched = self.spark.read.parquet(f"{staging}/responses")
+                still = fetched.where(F.col("error").isNotNull()).count()
+                add_raw_responses(fetched, self.root, spec.name, load_id)
+                mode = str(spec.connection.get("mode", self.mode)).upper()
+                how = spec.connection.get("schema", self.schema)
+                stats: dict = {}
+                if self.on_mismatch != WIDEN and table_known(self.spark, table, self._table_path(table)):
+                    good = fetched.where(F.col("error").isNull())
+                    columns = self.spark.table(table).schema
+                    shaped = normalize(good, schema=how, mode=mode, staging=f"{staging}/records", stats=stats, columns=columns)
+                else:
+                    whole = settled(read_raw(self.spark, self.root, spec.name, response_struct(), load_id))
+                    shaped = normalize(whole, schema=how, mode=mode, staging=f"{staging}/records", stats=stats)
+                if self.on_mismatch == WIDEN:  # the load's rows are written anew, as a whole
+                    load = self._write(shaped, table, spec.name, load_id, stats.get("records", 0))
+                else:
+                    load = write_table(shaped, table, fmt=self.table_format, known_rows=stats.get("records", 0),
+                                       path=self._table_path(table), on_mismatch="fail", owner=spec.name)
+                action, rows_written = load.action, load.rows
+            if still:
+                status, error = (PARTIAL if rows_written else FAILURE), f"{still} of {sent} requests failed again"
+        except Exception as e:  # noqa: BLE001 - as in run_source
+            status, error = FAILURE, f"{type(e).__name__}: {_short_message(e)}"
+            log.error("repair of %s failed: %s\n%s", spec.name, error, traceback.format_exc())
+        if load_id is not None:
+            self._drop_staging(spec, load_id)
+        result = RunResult(run_id, spec.job_name, spec.name, status, started, _dt.datetime.now(_dt.timezone.utc),
+                           sent, rows_written, error, table, action, load_id, still)
+        self._try_record(result)
+        self.spark.sparkContext.setJobDescription(None)
+        return result
+
     # -- audit ---------------------------------------------------------
     def record(self, result: RunResult) -> None:
         """Append one audit row (serialised: the first write creates the table)."""
         row = self.spark.createDataFrame([result.audit_row()], AUDIT_SCHEMA)
         with self._audit_lock:
             write_table(row, self.audit_table, fmt=self.table_format,
-                        path=f"{self.root}/tables/{self.audit_table}", on_mismatch="fail",
-                        skip_if_empty=False)
+                        path=self._table_path(self.audit_table), on_mismatch="fail",
+                        skip_if_empty=False, owner=AUDIT_OWNER)
 
     def run_history(self, limit: int = 100) -> DataFrame:
         return run_history(self.spark.table(self.audit_table), limit)

@@ -7,12 +7,13 @@ whose columns match the DuckDB oracle of the same key in ``ORACLE_SQL``.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.fixtures import DERBY_DRIVER, load_into_derby, write_pages
+from tributary.fixtures import DERBY_DRIVER, PAGES_PER_FILE, load_into_derby, write_one_array, write_pages
 from tributary.operators import (
     generic_columns,
     named_rows,
@@ -30,8 +31,11 @@ from tributary.plans.configs import (
     validate_sources,
 )
 from tributary.plans.runner import Runner, job_summary, run_history
+from tributary.plans.schedules import due
 from tributary.plans.specs import SourceSpec
 from tributary.session import scratch_dir, unique_name
+from tributary.sinks.documents import write_documents
+from tributary.sinks.lattice import load_widening, open_widening
 from tributary.sinks.raw import (
     raw_path,
     read_raw,
@@ -41,9 +45,11 @@ from tributary.sinks.raw import (
     write_raw_responses,
 )
 from tributary.sinks.table import write_table
+from tributary.sources.arrays import read_large_arrays
+from tributary.sources.documents import read_documents
 from tributary.sources.jdbc import JdbcSource
 from tributary.sources.rest import response_struct
-from tributary.streaming import LOAD_COL, incremental_load, incremental_responses_load
+from tributary.streaming import LOAD_COL, incremental_fetch, incremental_load, incremental_responses_load
 
 # Page size of the synthetic API responses: every response body holds at most
 # this many records, whatever the key distribution.
@@ -235,6 +241,13 @@ def response_errors(spark, d):
     return response_outcomes(responses).groupBy("outcome").agg(F.count(F.lit(1)).alias("responses"))
 
 
+def large_array(spark, d):
+    """All line items as one array in one file: cut in the reader, range by range."""
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag")
+    folder = write_one_array(li, f"{scratch_dir(spark, 'large')}/lineitem", "lineitem.json")
+    return normalize(read_large_arrays(spark, folder, range_bytes=1 << 20, batch_bytes=1 << 18))
+
+
 # ---------------------------------------------------------------- raw layer
 def raw_roundtrip(spark, d):
     p = _t(spark, d, "part")
@@ -277,6 +290,16 @@ def raw_positional(spark, d):
     return type_variant_columns(cols, cols.columns)
 
 
+def raw_documents(spark, d):
+    """Order pages written as one indented document each, and those documents read and shaped again."""
+    root = scratch_dir(spark, "raw")
+    pages = orders_pages(_t(spark, d, "orders")).select(F.col("page").alias("seq"), "body")
+    write_documents(pages, root, "orders", "20240229_235959")
+    docs = read_documents(spark, raw_path(root, "orders"))
+    orders = normalize(docs, keep=("load_id", "seq"))
+    return orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+
+
 # ---------------------------------------------------------------- tables
 def _table(spark) -> tuple[str, str]:
     name = unique_name("t")
@@ -306,6 +329,34 @@ def table_replace_on_mismatch(spark, d):
     return spark.table(name)
 
 
+def table_neighbours(spark, d):
+    """Two tables whose names and folders share a prefix; one is replaced, both are read back whole."""
+    name, path = _table(spark)
+    write_table(_t(spark, d, "nation"), f"{name}__rest", path=f"{path}__rest")
+    write_table(_t(spark, d, "region"), name, path=path)
+    assert write_table(_t(spark, d, "customer"), name, path=path).action == "replaced"
+    first = spark.table(name).select(F.lit("replaced").alias("which"), F.col("c_custkey").cast("bigint").alias("id"), F.col("c_name").alias("name"))
+    return first.unionByName(spark.table(f"{name}__rest").select(
+        F.lit("neighbour").alias("which"), F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name")))
+
+
+def type_lattice(spark, d):
+    """Three loads of rising types: whole numbers, then fractions, then more columns; every row is kept."""
+    li, name = _t(spark, d, "lineitem"), unique_name("rising")
+    path = f"{scratch_dir(spark, 'tables')}/{name}"
+    body = [F.col("l_orderkey"), F.col("l_linenumber")]
+    by_flag = {
+        "A": [F.col("l_quantity").cast("bigint").alias("qty"), F.lit(None).cast("string").alias("disc")],
+        "N": [F.col("l_quantity").alias("qty"), F.col("l_discount").alias("disc")],
+        "R": [F.col("l_quantity").alias("qty"), F.struct(F.col("l_tax").alias("tax")).alias("info")]}
+    for flag, more in by_flag.items():
+        rows = li.where(F.col("l_returnflag") == flag)
+        seq = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+        bodies = _responses(rows, seq, F.to_json(F.struct(*body, *more), {"ignoreNullFields": "false"}))
+        load_widening(normalize(bodies), name, f"load-{flag}", path=path)
+    return open_widening(spark, name, path).select("l_orderkey", "l_linenumber", "qty", "disc", F.col("info.tax").alias("tax"), "_load_id")
+
+
 def orders_pages(o: DataFrame) -> DataFrame:
     """Orders as API pages by blocks of keys: ``page``, ``body``."""
     rec = F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -362,6 +413,39 @@ def rest_failures(spark, d):
     return logged.unionByName(audit).unionByName(table)
 
 
+def repair_load(spark, d):
+    """Event pages of which every fifth fails; a repair sends those again, and the table is whole."""
+    e = _t(spark, d, "events")
+    good = e.groupBy(F.floor(F.col("event_id") / PAGE).alias("page")).agg(
+        F.to_json(F.array_sort(F.collect_list(F.struct("event_id", "user_id")))).alias("body"))
+    flaky = good.select("page", F.when(F.col("page") % 5 == 0, "!503").otherwise(F.col("body")).alias("body"))
+    runner, res = load_pages(spark, flaky, "events_api", mode="PERMISSIVE")
+    healed = write_pages(good, scratch_dir(spark, "api"))  # the same API, answering now
+    again = runner.repair_source(SourceSpec("events_api", "api", {**healed, "mode": "PERMISSIVE"}))
+    idle = runner.repair_source(SourceSpec("events_api", "api", {**healed, "mode": "PERMISSIVE"}))
+    return spark.table(res.table).select(
+        "event_id", "user_id", F.lit(res.status).alias("first_run"), F.lit(again.status).alias("repair"),
+        F.lit(again.rows_read).cast("bigint").alias("sent_again"), F.lit(idle.rows_read).cast("bigint").alias("sent_idle"))
+
+
+def rest_stream(spark, d):
+    """Order pages as a stream: some, then the others, then nothing new; each is fetched once."""
+    pages = orders_pages(_t(spark, d, "orders"))
+    count = int(pages.agg(F.max("page")).first()[0]) + 1
+    early = count // 2 // PAGES_PER_FILE * PAGES_PER_FILE
+    folder, root, name = scratch_dir(spark, "api"), scratch_dir(spark, "stream"), unique_name("rest")
+    kw = dict(checkpoint=f"{root}/_checkpoint", table_path=f"{root}/tables/{name}")
+    runs = []
+    for part, since in ((pages.where(F.col("page") < early), 0), (pages.where(F.col("page") >= early), early), (None, None)):
+        if part is not None:
+            spec = SourceSpec("orders_api", "api", write_pages(part, folder, since=since))
+        runs.append(incremental_fetch(spark, spec, root, name, **kw)["pages"])
+    fetched = spark.read.schema(response_struct()).json(raw_path(root, "orders_api")).count()
+    return spark.table(name).drop(LOAD_COL).withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")).select(
+        "*", F.lit(fetched).cast("bigint").alias("fetched"), F.lit(runs[0]).cast("bigint").alias("first_run"),
+        F.lit(runs[2]).cast("bigint").alias("idle_run"))
+
+
 # ---------------------------------------------------------------- audit
 def _audit_from_events(spark, d) -> str:
     e = _t(spark, d, "events")
@@ -432,6 +516,22 @@ def source_configs(spark, d):
     return out.select(*CONFIG_COLUMNS, "error", "valid")
 
 
+def _scheduled(c: DataFrame) -> DataFrame:
+    """Customers as sources with schedules of several kinds."""
+    kind, key = F.col("c_custkey") % 8, F.col("c_nationkey").cast("string")
+    schedule = (F.when(kind == 0, F.concat(key, F.lit(" */2 * * 1-5")))
+                .when(kind == 1, F.lit("*/15 8-17 * * *")).when(kind == 2, F.concat(F.lit("0 "), key, F.lit(" 1 * *")))
+                .when(kind == 3, F.lit("5,35 3 29 2 *")).when(kind == 4, F.lit("30 6 1-15/7 * 7"))
+                .when(kind == 5, F.lit("99 99 * * *")).when(kind == 6, F.lit("10/20 23 * 3-12 0,6")))
+    return c.select("c_custkey", schedule.alias("schedule"))
+
+
+def sources_due(spark, d):
+    """Which sources are due between two times, how often, first and last."""
+    found = due(_scheduled(_t(spark, d, "customer")), _dt.datetime(2024, 2, 27, 10, 7, 30), _dt.datetime(2024, 3, 4, 6, 30))
+    return found.select("c_custkey", "schedule", "valid_schedule", "n_due", "first_due", "last_due")
+
+
 # ---------------------------------------------------------------- streaming
 def incremental_load_q(spark, d):
     e = _t(spark, d, "events")
@@ -492,9 +592,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_create": table_create,
     "table_append": table_append,
     "table_replace_on_mismatch": table_replace_on_mismatch,
+    "table_neighbours": table_neighbours,
     "fetch_fanout": fetch_fanout,
     "rest_pages": rest_pages,
     "rest_failures": rest_failures,
+    "rest_stream": rest_stream,
+    "repair_load": repair_load,
+    "large_array": large_array,
+    "raw_documents": raw_documents,
+    "type_lattice": type_lattice,
+    "sources_due": sources_due,
     "run_audit": run_audit,
     "run_history_topk": run_history_topk,
     "source_validation": source_validation,

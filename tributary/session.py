@@ -118,6 +118,13 @@ def local_path(path: str) -> str:
     return path
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names under ``path`` on whatever filesystem it is on; none if it does not exist."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path`` on whatever filesystem it lives on (Hadoop API)."""
     jvm = spark._jvm

@@ -16,7 +16,9 @@ from tributary.sinks.table import (
     SKIPPED,
     SchemaMismatchError,
     TableLoad,
+    TableOwnerError,
     same_columns,
+    table_owner,
     write_table,
 )
 
@@ -27,11 +29,13 @@ __all__ = [
     "SKIPPED",
     "SchemaMismatchError",
     "TableLoad",
+    "TableOwnerError",
     "raw_path",
     "read_raw",
     "read_raw_positional",
     "same_columns",
     "stringify",
+    "table_owner",
     "write_raw",
     "write_raw_positional",
     "write_raw_responses",

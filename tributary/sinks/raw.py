@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.functions.json import single_value
 from tributary.functions.names import column
 from tributary.functions.text import raw_instant_text, raw_timestamp_text
+from tributary.session import list_names
 
 LOAD_ID = "load_id"
 
@@ -109,10 +111,11 @@ def write_raw_positional(df: DataFrame, root: str, source: str, load_id: str,
                          row: str = "row") -> str:
     """Rows without names → one JSON array per line (K2).
 
-    ``row`` must be an array column; VARIANT items keep mixed kinds.
+    ``row`` must be an array column; VARIANT items keep mixed kinds. A null row is the line
+    ``null``.
     """
     path = raw_path(root, source, load_id)
-    df.select(F.to_json(F.col(row)).alias("value")).write.mode("overwrite").text(path)
+    df.select(F.coalesce(F.to_json(F.col(row)), F.lit("null")).alias("value")).write.mode("overwrite").text(path)
     return path
 
 
@@ -126,6 +129,29 @@ def write_raw_responses(responses: DataFrame, root: str, source: str, load_id: s
                      root, source, load_id)
 
 
+def add_raw_responses(responses: DataFrame, root: str, source: str, load_id: str) -> None:
+    """Adds responses (of a repair) to a load, beside those it has."""
+    path = raw_path(root, source, load_id)
+    out = stringify(responses.drop(LOAD_ID))
+    out.write.mode("append").option("ignoreNullFields", "false").json(path)
+
+
+def load_ids(spark: SparkSession, root: str, source: str) -> list[str]:
+    """The finished loads of a source, oldest first."""
+    base = raw_path(root, source)
+    names = [n.removeprefix(f"{LOAD_ID}=") for n in list_names(spark, base) if n.startswith(f"{LOAD_ID}=")]
+    return sorted(n for n in names if raw_finished(spark, root, source, n))
+
+
+def latest_load(spark: SparkSession, root: str, source: str) -> str | None:
+    return max(load_ids(spark, root, source), default=None)
+
+
+def raw_finished(spark: SparkSession, root: str, source: str, load_id: str) -> bool:
+    """Whether a load was written to its end."""
+    return "_SUCCESS" in list_names(spark, raw_path(root, source, load_id))
+
+
 def read_raw(spark: SparkSession, root: str, source: str, schema: T.StructType,
              load_id: str | None = None, *, with_load_id: bool = False) -> DataFrame:
     """Read a raw layer back with the schema it was written from.
@@ -146,11 +172,17 @@ def read_raw(spark: SparkSession, root: str, source: str, schema: T.StructType,
 
 def read_raw_positional(spark: SparkSession, root: str, source: str,
                         load_id: str | None = None) -> DataFrame:
-    """Positional raw lines → ``row ARRAY<VARIANT>`` (plus ``load_id`` when reading all loads)."""
+    """Positional raw lines → ``row ARRAY<VARIANT>`` (plus ``load_id`` when reading all loads).
+
+    The line ``null`` is a null row; a line that is not one whole JSON array raises.
+    """
     path = raw_path(root, source, load_id)
     schema = T.StructType([T.StructField("value", T.StringType())])
     if load_id is None:
         schema = schema.add(LOAD_ID, T.StringType(), True)
     df = spark.read.schema(schema).format("text").load(path)
+    text = F.col("value")
+    bad = F.raise_error(F.concat(F.lit("raw line is not a JSON array: "), F.substring(text, 1, 200))).cast("array<variant>")
+    row = single_value(text).try_cast("array<variant>")
     return df.select(*([F.col(LOAD_ID)] if load_id is None else []),
-                     F.try_parse_json("value").try_cast("array<variant>").alias("row"))
+                     F.when(row.isNotNull() | (F.trim(text) == "null"), row).otherwise(bad).alias("row"))

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# <folder>/<source>_<YYYYmmdd>_<HHMMSS>.json — the stamp becomes the load id
-_NAME = r"([^/]+)/([^/]+?)_([0-9]{8}_[0-9]{6})\.json$"
+# <folder>/<source>_<YYYYmmdd>_<HHMMSS>[-<seq>].json — the stamp becomes the load id
+_NAME = r"([^/]+)/([^/]+?)_([0-9]{8}_[0-9]{6})(?:-([0-9]{1,18}))?\.json$"
 
 
 def read_documents(spark: SparkSession, path: str, *, glob: str = "*.json") -> DataFrame:
@@ -20,7 +20,8 @@ def read_documents(spark: SparkSession, path: str, *, glob: str = "*.json") -> D
 
     ``source`` is the file's folder name; ``load_id`` is the stamp in the file
     name (else the file name), so the oldest load comes first and its first record
-    decides the columns; ``seq``, a hash of the path, orders documents of one load.
+    decides the columns; ``seq``, the number behind the stamp or else a hash of the path,
+    orders documents of one load.
     """
     df = (spark.read.format("text").option("wholetext", "true")
           .option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path))
@@ -33,4 +34,5 @@ def read_documents(spark: SparkSession, path: str, *, glob: str = "*.json") -> D
                      F.col("value").alias("body"))
     # seq: a stable order without a global sort — the hash of the path breaks ties
     # between documents of the same load id; load_id itself orders loads
-    return docs.select("source", "load_id", F.xxhash64("url").alias("seq"), "url", "body")
+    number = F.nullif(F.regexp_extract("url", _NAME, 4), F.lit("")).cast("bigint")
+    return docs.select("source", "load_id", F.coalesce(number, F.xxhash64("url")).alias("seq"), "url", "body")

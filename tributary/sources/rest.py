@@ -13,7 +13,8 @@ Options:
 ``method``     ``GET`` (default) or ``POST``, case-insensitive
 ``args``       JSON object of query parameters (GET); a list repeats its key, null is left out
 ``body``       JSON payload (POST)
-``requests``   JSON array of ``{"args": …, "body": …}`` — one partition each
+``requests``   JSON array of ``{"args": …, "body": …}``; a connection's ``requests_table``
+               names a table of them instead (``tributary.sources.requests``)
 ``page_param`` with ``pages``: GET the same endpoint ``pages`` times with
                ``page_param`` = ``page_start`` … (an extension: pagination); an
                endpoint containing ``{page}`` gets the number in its path instead
@@ -22,6 +23,7 @@ Options:
                connector's ``"auto"`` means twice the default parallelism; a
                ``max_partitions`` of the connection limits that, for an endpoint
                that bears no more
+``pages_endpoint``, ``pages_key``  for streams: where the number of pages stands
 ``timeout``    seconds per request (default 30)
 ``mode``       ``FAILFAST`` (default): a failed request fails the task (Spark
                retries it); ``PERMISSIVE``: the row carries ``error`` and a NULL body
@@ -44,12 +46,13 @@ import urllib.request
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 RESPONSE_SCHEMA = (
     "source string, load_id string, seq bigint, url string, status int, "
     "fetched_at timestamp, body string, error string"
 )
+RESPONSE_COLUMNS = [field.split()[0] for field in RESPONSE_SCHEMA.split(", ")]
 METHODS = ("GET", "POST")
 
 
@@ -92,12 +95,20 @@ def http_fetch(method: str, url: str, params: dict, body: Any, timeout: float) -
                                      headers={"Content-Type": "application/json"})
     try:
         with urllib.request.urlopen(req, timeout=timeout) as resp:  # noqa: S310
-            charset = resp.headers.get_content_charset() or "utf-8"
-            return resp.status or 200, resp.read().decode(charset)  # file:// has no status
+            text = decode_body(resp.read(), resp.headers.get_content_charset())
+            return resp.status or 200, text  # file:// has no status
     except urllib.error.HTTPError as e:
         return e.code, e.read().decode("utf-8", "replace")
 
 
+def decode_body(raw: bytes, charset: str | None = None) -> str:
+    """A JSON body's text: a byte order mark or the zero bytes of its first characters tell
+    UTF-8, 16 and 32 apart; a charset that the response names is used where they do not
+    speak against it. The mark itself is dropped."""
+    found = json.detect_encoding(raw)
+    return raw.decode(found if found != "utf-8" or not charset else charset)
+
+
 def _load_fetcher(spec: str | None):
     if not spec:
         return http_fetch
@@ -157,46 +168,101 @@ class RequestPlan:
         return Request(i, self.method, self.endpoint, {**self.args, **paged}, self.body)
 
 
+def request_mode(options: dict) -> str:
+    mode = str(options.get("mode", "FAILFAST")).upper()
+    if mode not in ("FAILFAST", "PERMISSIVE"):
+        raise ValueError(f"rest_json: mode must be FAILFAST or PERMISSIVE, got {mode!r}")
+    return mode
+
+
+def send(fetch, options: dict, request: Request) -> tuple:
+    """One request → one response row."""
+    shown = with_query(request.url, request.params) if request.method == "GET" else request.url
+    status, text, error = None, None, None
+    try:
+        status, text = fetch(request.method, request.url, request.params, request.body,
+                             float(options.get("timeout", 30)))
+        if status is not None and status >= 400:
+            error = f"HTTP {status}"
+    except Exception as e:  # transport failure
+        error = f"{type(e).__name__}: {e}"
+    if error is not None:
+        if request_mode(options) == "FAILFAST":
+            raise RuntimeError(f"rest_json request {request.seq} to {shown} failed: {error}")
+        text = None
+    return (options.get("source"), options.get("load_id"), request.seq, shown, status,
+            _dt.datetime.now(_dt.timezone.utc), text, error)
+
+
+def _ranges(options: dict, start: int, stop: int) -> list[RequestPartition]:
+    """The requests from start to stop, dealt to tasks."""
+    n = max(1, int(options.get("requests_per_partition", 1)))
+    if options.get("partitions"):
+        n = max(1, -(-(stop - start) // max(1, int(options["partitions"]))))
+    return [RequestPartition(i, min(i + n, stop)) for i in range(start, stop, n)]
+
+
+def _read(options: dict, partition: RequestPartition):
+    fetch, plan = _load_fetcher(options.get("fetcher")), RequestPlan(options)
+    for i in range(partition.start, partition.stop):
+        yield send(fetch, options, plan.request(i))
+
+
 class RestJsonReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.options = dict(options)
-        mode = str(self.options.get("mode", "FAILFAST")).upper()
-        if mode not in ("FAILFAST", "PERMISSIVE"):
-            raise ValueError(f"rest_json: mode must be FAILFAST or PERMISSIVE, got {mode!r}")
-        self.mode = mode
+        request_mode(self.options)
         RequestPlan(self.options)  # fail early
 
     def partitions(self):
-        count = RequestPlan(self.options).count
-        n = max(1, int(self.options.get("requests_per_partition", 1)))
-        if self.options.get("partitions"):
-            n = max(1, -(-count // max(1, int(self.options["partitions"]))))
-        return [RequestPartition(i, min(i + n, count)) for i in range(0, count, n)]
+        return _ranges(self.options, 0, RequestPlan(self.options).count)
 
     def read(self, partition: RequestPartition):
-        fetch = _load_fetcher(self.options.get("fetcher"))
-        timeout = float(self.options.get("timeout", 30))
+        return _read(self.options, partition)
+
+
+class RestJsonStreamReader(DataSourceStreamReader):
+    """The pages of an endpoint as a stream: the offset is the number of pages taken.
+
+    ``pages_endpoint`` answers with the number of pages there are (a number, or an object
+    that has it under ``pages_key``), so a run without new pages fetches none. Pages are
+    numbered as in batch reads, and only ever added: fewer pages than were taken raise.
+    """
+
+    def __init__(self, options: dict) -> None:
+        self.options = dict(options)
+        request_mode(self.options)
         plan = RequestPlan(self.options)
-        for i in range(partition.start, partition.stop):
-            yield self._one(fetch, timeout, plan.request(i))
-
-    def _one(self, fetch, timeout: float, request: Request) -> tuple:
-        source, load_id = self.options.get("source"), self.options.get("load_id")
-        shown = with_query(request.url, request.params) if request.method == "GET" else request.url
-        status, text, error = None, None, None
-        try:
-            status, text = fetch(request.method, request.url, request.params,
-                                 request.body, timeout)
-            if status is not None and status >= 400:
-                error = f"HTTP {status}"
-        except Exception as e:  # transport failure
-            error = f"{type(e).__name__}: {e}"
-        if error is not None:
-            if self.mode == "FAILFAST":
-                raise RuntimeError(f"rest_json request {request.seq} to {shown} failed: {error}")
-            text = None
-        return (source, load_id, request.seq, shown, status,
-                _dt.datetime.now(_dt.timezone.utc), text, error)
+        if plan.explicit is not None or not (plan.page_param or "{page}" in plan.endpoint):
+            raise ValueError("rest_json: a stream needs pages: {page} in the endpoint, or 'page_param'")
+        if not self.options.get("pages_endpoint"):
+            raise ValueError("rest_json: a stream needs 'pages_endpoint', which tells how many pages there are")
+
+    def initialOffset(self) -> dict:
+        return {"pages": 0}
+
+    def latestOffset(self) -> dict:
+        fetch = _load_fetcher(self.options.get("fetcher"))
+        status, text = fetch("GET", self.options["pages_endpoint"], {}, None, float(self.options.get("timeout", 30)))
+        if status is not None and status >= 400:
+            raise RuntimeError(f"rest_json: {self.options['pages_endpoint']} answers HTTP {status}")
+        found = json.loads(text)
+        if self.options.get("pages_key"):
+            found = found[self.options["pages_key"]]
+        if isinstance(found, bool) or not isinstance(found, int) or found < 0:
+            raise ValueError(f"rest_json: {self.options['pages_endpoint']} gives no number of pages: {text[:200]!r}")
+        return {"pages": found}
+
+    def partitions(self, start: dict, end: dict):
+        if end["pages"] < start["pages"]:
+            raise RuntimeError(f"rest_json: {start['pages']} pages were taken, and now there are only {end['pages']}")
+        return _ranges(self.options, start["pages"], end["pages"])
+
+    def read(self, partition: RequestPartition):
+        return _read(self.options, partition)
+
+    def commit(self, end: dict) -> None:
+        """Nothing to keep: Spark's checkpoint holds the offsets."""
 
 
 class RestJsonDataSource(DataSource):
@@ -210,6 +276,9 @@ class RestJsonDataSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return RestJsonReader(self.options)
 
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return RestJsonStreamReader(self.options)
+
 
 def register(spark) -> None:
     spark.dataSource.register(RestJsonDataSource)
@@ -238,12 +307,13 @@ class RestSource:
             if key in c:
                 opts[key] = json.dumps(c[key])
         for key in ("page_param", "pages", "page_start", "timeout", "mode", "fetcher",
-                    "requests_per_partition", "partitions"):
+                    "requests_per_partition", "partitions", "pages_endpoint", "pages_key"):
             if key in c:
                 opts[key] = str(c[key])
         return opts
 
-    def read(self, spark, load_id: str | None = None):
+    def _ready(self, spark, load_id: str | None) -> dict[str, str]:
+        """The options with the number of tasks worked out, and what the workers need in place."""
         from tributary.session import ship_package
 
         ship_package(spark)  # the reader runs in Python workers: they import this module
@@ -255,4 +325,29 @@ class RestSource:
                 tasks = min(tasks, int(self.conn["max_partitions"]))
             opts["partitions"] = str(max(1, tasks))
         RequestPlan(opts)  # fail early, on the driver
-        return spark.read.format("rest_json").options(**opts).load()
+        return opts
+
+    def plan(self, spark, load_id: str | None = None):
+        """This source's requests as a table."""
+        from tributary.sources.requests import request_plan
+
+        table = self.conn.get("requests_table")
+        return request_plan(spark, self.options(load_id), spark.table(table) if table else None)
+
+    def fetch(self, spark, plan, load_id: str | None = None):
+        """The responses to the requests of ``plan``, dealt to tasks as a read would deal them."""
+        from tributary.sources.requests import fetch_requests
+
+        opts = self._ready(spark, load_id)
+        if opts.get("partitions"):
+            plan = plan.repartition(int(opts["partitions"]), "seq")
+        return fetch_requests(plan, opts)
+
+    def read(self, spark, load_id: str | None = None):
+        if self.conn.get("requests_table"):
+            return self.fetch(spark, self.plan(spark, load_id), load_id)
+        return spark.read.format("rest_json").options(**self._ready(spark, load_id)).load()
+
+    def read_stream(self, spark):
+        """Pages that were added since the last run (see ``RestJsonStreamReader``)."""
+        return spark.readStream.format("rest_json").options(**self._ready(spark, None)).load()
