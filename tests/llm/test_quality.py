@@ -80,6 +80,57 @@ def test_encoded_text_is_rejected():
     assert verdict(prose(3, 2000) + lines(base64.b64encode, 6000, 76, "\n") + prose(4, 2000)) == (False, "incompressible")
 
 
+SCRIPTS = {"Cyrillic": 0x430, "Greek": 0x3B1, "Armenian": 0x561, "Arabic": 0x628, "Hebrew": 0x5D0, "Devanagari": 0x905, "Thai": 0xE01}
+
+
+def _transliterated(text, first):
+    return text.translate({ord("a") + i: first + i for i in range(26)} | {ord("A") + i: first + 26 + i for i in range(26)})
+
+
+def test_prose_is_judged_alike_in_any_script(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    good = [t for t in texts if t and verdict(t)[0]]
+    assert len(good) > 800
+    for name, first in SCRIPTS.items():
+        kept = sum(verdict(_transliterated(t, first))[0] for t in good)
+        assert kept >= 0.97 * len(good), (name, kept, len(good))
+
+
+def test_repetition_is_found_in_any_script():
+    stuff = " ".join(f"abcdefghijklmnopqrstuvwxyz{i}" for i in range(300))
+    for first in SCRIPTS.values():
+        assert verdict(_transliterated(stuff, first)) == (False, "repetitive")
+
+
+def test_ideographs_are_judged_for_repetition_only():
+    rnd = random.Random(3)
+    good = " ".join("".join(chr(0x4E00 + int(rnd.paretovariate(0.7)) % 3000) for _ in range(rnd.randint(2, 9))) for _ in range(400))
+    assert verdict(good) == (True, None)
+    again = " ".join(f"重复的内容一直在这里不断地出现没有任何变化{i}" for i in range(300))
+    assert verdict(again) == (False, "repetitive")
+
+
+def test_octets_of_a_text():
+    assert Q.octets_of(b"plain") == (b"plain", False)
+    assert Q.octets_of("b\u044fa\u0430\u044f".encode()) == (bytes([98, 129, 97, 128, 129]), False)
+    text = "a" * 900 + "".join(chr(0x100 + i) * 2 for i in range(Q.OWN_OCTETS)) + "\u4e01\U0001f600"
+    out, wide = Q.octets_of(text.encode())
+    assert not wide and len(out) == len(text) + 4 and out.endswith(bytes([255, 0x4E, 1, 255, 0xF6, 0]))
+    assert Q.octets_of("".join(chr(0x4E00 + i) for i in range(500)).encode())[1]
+    assert Q.octets_of(b"\xff\xfe broken")[0]
+
+
+def test_letters_of_any_alphabet_are_found():
+    rnd = random.Random(5)
+    for size in (17000, 33000, 400000):
+        for letters in ("0123456789abcdef", "0123456789", "acgt", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"):
+            for width, by in ((60, "\n"), (8, " "), (4, " ")):
+                code = "".join(rnd.choice(letters) for _ in range(size))
+                kept, reason = verdict(by.join(code[i:i + width] for i in range(0, size, width)))
+                assert not kept and reason in ("encoded", "incompressible", "repetitive"), (size, letters, width)
+    assert verdict(prose(7, 800)) == verdict(prose(8, 20000)) == (True, None)
+
+
 def test_every_byte_is_in_a_chunk():
     for n in (1, 600, 1500, 2047, 2048, 2049, 3000, 3072, 5000, 6143):
         raw = random.Random(n).randbytes(n)

@@ -87,3 +87,17 @@ def test_a_hash_collision_is_found_and_sorted_again(monkeypatch):
     monkeypatch.setattr(R.Hashed, "of", lambda self, s, n: real(self, s, n) * np.uint64(self.attempt > 0))
     order, common = R.sorted_neighbours([b"b", b"ab", b"aa"], np.zeros(3, int))
     assert order.tolist() == [2, 1, 0] and common.tolist() == [-1, 1, 0]
+
+
+def test_one_row_repeated_a_hundred_thousand_times(spark):
+    """Its text is read once a task, and its spans are few."""
+    text = "".join(chr(97 + i * i % 23) for i in range(90)) + "tail one"
+    many = spark.range(100_000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit(text).alias("text")).repartition(8)
+    other = spark.createDataFrame([(8, "xx" + text[20:70] + "yy"), (9, "nothing of it, and long enough to be judged")], "doc_id bigint, text string")
+    spans = R.find_repeats(many.unionByName(other), 20, gram=5).distinct()
+    assert spans.where("id = 7").count() < 200
+    n = F.aggregate("removed", F.lit(0).cast("bigint"), lambda s, x: s + x["end"] - x["start"])
+    out = R.cut_repeats(many.unionByName(other), 20, gram=5).select("doc_id", n.alias("n"), F.sha2("kept", 256).alias("h"))
+    got = {(r.doc_id, r.n, r.h): r["count"] for r in out.groupBy("doc_id", "n", "h").count().collect()}
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    assert got == {(7, 98, sha(b"")): 100_000, (8, 50, sha(b"xxyy")): 1, (9, 0, sha(b"nothing of it, and long enough to be judged")): 1}

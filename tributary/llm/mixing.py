@@ -26,6 +26,8 @@ SHARE = 1.5
 CAP = 2
 TOLERANCE = 1e-9
 MAX_STEPS = 80
+#: Steps that end without the tolerance are an error beyond this share of a target.
+ACCEPTED_MISS = 1e-6
 #: Documents of a cell that are ranked together.
 RANKED_TOGETHER = 1000
 SEED = 42
@@ -111,6 +113,9 @@ def dual_variables(cells: DataFrame, targets: DataFrame, cap: float = CAP, toler
         worst = state.agg(F.max("miss")).first()[0]
         if worst is None or worst < tolerance:
             break
+    else:
+        if worst > ACCEPTED_MISS:
+            raise RuntimeError(f"a source's expected words miss their target by {worst:.2g} after {MAX_STEPS} Newton steps")
     return state.select("source", "words", "target", "mean", "lam")
 
 

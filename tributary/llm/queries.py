@@ -52,7 +52,7 @@ def op2_suffix_repeats(spark, d):
     cut = repeats.cut_repeats(_t(spark, d, "documents"), length=400)
     n = F.aggregate("removed", F.lit(0).cast("bigint"), lambda s, x: s + x["end"] - x["start"])
     return cut.select("doc_id", "n_bytes", n.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"))
+                      F.sha2("kept", 256).alias("kept_sha256"), (F.size("removed") > 0).alias("repeated"))
 
 
 def op3_simhash_pivots(spark, d):

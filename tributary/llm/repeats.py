@@ -282,6 +282,13 @@ def _keyed(docs: DataFrame, text: str, id_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(t).alias("th"), t.alias("text"))
 
 
+def _unlike(b: pa.RecordBatch) -> pa.RecordBatch:
+    """A batch without rows of an id and a text that an earlier one of it has."""
+    seen: set = set()
+    new = [not (k in seen or seen.add(k)) for k in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+    return b if all(new) else b.filter(pa.array(new))
+
+
 def _octets(column: pa.Array) -> list[bytes]:
     return column.cast(pa.large_binary()).to_pylist()
 
@@ -293,6 +300,24 @@ def _joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     return left.join(r, on, how).drop("id_r", "th_r")
 
 
+def _one_of_each(keyed: DataFrame) -> DataFrame:
+    """``keyed`` without the rows that repeat an id and a text inside of their task.
+
+    No shuffle: what many rows repeat reaches a join once a task instead of once a row.
+    """
+    def first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for b in batches:
+            keys = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+            new = []
+            for k in keys:
+                new.append(k not in seen)
+                seen.add(k)
+            yield b if all(new) else b.filter(pa.array(new))
+
+    return keyed.mapInArrow(first, keyed.schema)
+
+
 def find_repeats(docs: DataFrame, length: int = 400, gram: int = GRAM, text: str = "text", id_col: str = "doc_id",
                  class_stretches: int = CLASS_STRETCHES) -> DataFrame:
     """(id, th, first, last): runs of starts of strings of ``length`` bytes that start elsewhere too.
@@ -330,12 +355,14 @@ def find_repeats(docs: DataFrame, length: int = 400, gram: int = GRAM, text: str
     bits = BitTable(mixed.select(F.xxhash64("id", "th").alias("key")), "stretch-docs", FILTER_BITS)
     asked = bits.flag(keyed, F.xxhash64("id", "th"), "asked").where("asked").drop("asked")
     per_doc = mixed.groupBy("id", "th").agg(F.collect_list(F.struct("g", "n", "kinds", "first", "last", "at")).alias("want"))
-    # a text may be there in several rows; one of them is enough to read the bytes from
-    rows = _joined(asked, per_doc, "inner")
+    # a text may be there in many rows; one of a task is enough to read the bytes from
+    rows = _joined(_one_of_each(asked), per_doc, "inner")
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "th", "g", "n", "first", "last", "at", "bytes", "d1", "d2"]
         for b in slices(batches):
+            # rows of other tasks may repeat one here; they stand in one partition, by the join
+            b = _unlike(b)
             texts, want = _octets(b.column(2)), b.column(3)
             flat, ends = want.flatten(), np.asarray(want.offsets)
             g, n, kinds_, first, last, at = (flat.field(i).to_numpy() for i in range(6))
@@ -419,7 +446,8 @@ def cut_repeats(docs: DataFrame, length: int = 400, text: str = "text", id_col:
     of a character.
     """
     prepare(docs.sparkSession)
-    spans = staged(find_repeats(docs, length, gram, text, id_col, class_stretches), "repeats")
+    # rows that repeat each other have the same spans
+    spans = staged(find_repeats(docs, length, gram, text, id_col, class_stretches).distinct(), "repeats")
     per_doc = spans.groupBy("id", "th").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     bits = BitTable(spans.select(F.xxhash64("id", "th").alias("key")), "repeat-docs", FILTER_BITS)
     flagged = bits.flag(_keyed(docs, text, id_col), F.xxhash64("id", "th"), "listed")

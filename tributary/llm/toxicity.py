@@ -23,8 +23,6 @@ from tributary.llm.common import prepare
 
 #: Labelled documents that the lexicon and the model are fitted on, by a hash of their id.
 FIT_ROWS = 8000
-#: Entries of the lexicon, the best supported ones.
-LEXICON_ENTRIES = 400
 MIN_SUPPORT, SUPPORT_SHARE, MIN_ODDS = 3, 0.004, 20.0
 STEM_SIZES = (4, 5, 6, 7)
 #: Words before and after a hit.
@@ -208,11 +206,13 @@ def _fit_rows(docs: DataFrame, labels: DataFrame, text: str, id_col: str, label:
     return docs.join(F.broadcast(some), F.col(id_col) == F.col("id_l")).select(F.col(text).alias("text"), "y")
 
 
-def learn_lexicon(fit: DataFrame) -> list[Entry]:
+def learn_lexicon(fit: DataFrame, entries: int | None = None) -> list[Entry]:
     """Words and stems that toxic documents have far more often than others.
 
     Support counts the different words that an entry follows in toxic documents, so that
     copies of one document count once. A stem is taken where no single word stands for it.
+    ``entries`` keeps the best supported ones only; without it all are kept, which are no
+    more than the words of the fitted rows (``FIT_ROWS`` at most).
     """
     prepare(fit.sparkSession)
 
@@ -249,7 +249,7 @@ def learn_lexicon(fit: DataFrame) -> list[Entry]:
                    F.size(F.collect_set("of")).alias("forms"))
               .withColumn("odds", odds)
               .where((F.col("support") >= max(MIN_SUPPORT, SUPPORT_SHARE * pos)) & (F.col("odds") >= min(MIN_ODDS, neg))))
-    top = (counts.orderBy(F.desc(F.col("support") * F.log("odds")), "term", "stem").limit(4 * LEXICON_ENTRIES)).collect()
+    top = (counts.orderBy(F.desc(F.col("support") * F.log("odds")), "term", "stem")).collect()
     words = {r.term: r for r in top if not r.stem}
     stems = {r.term: r for r in top if r.stem and r.forms >= 3}
     out = [Entry(w, False, float(np.log(r.odds))) for w, r in words.items()]
@@ -260,7 +260,7 @@ def learn_lexicon(fit: DataFrame) -> list[Entry]:
             out.append(Entry(s, True, float(np.log(r.odds))))
     support = {**{(w, False): r.support for w, r in words.items()}, **{(s, True): r.support for s, r in stems.items()}}
     out.sort(key=lambda e: (-support[(e.text, e.stem)] * e.weight, e))
-    return out[:LEXICON_ENTRIES]
+    return out[:entries]
 
 
 class Model(NamedTuple):
