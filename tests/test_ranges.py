@@ -1,0 +1,102 @@
+"""Ranges of equal depth, and ODBC connection strings."""
+
+import datetime as dt
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tributary.fixtures import DERBY_DRIVER, drop_derby, load_into_derby
+from tributary.plans import SourceSpec
+from tributary.sources import JdbcSource
+from tributary.sources.jdbc import from_odbc, odbc_fields
+from tributary.sources.ranges import STEPS, _packed, equal_ranges
+
+
+def matched(df, ranges):
+    """How many rows each predicate has; every row must have exactly one."""
+    fits = [F.coalesce(F.expr(p), F.lit(False)) for p in ranges]
+    number = sum((f.cast("int") for f in fits), F.lit(0))
+    assert df.where(number != 1).count() == 0
+    row = df.agg(*[F.count_if(f).alias(f"r{k}") for k, f in enumerate(fits)]).first()
+    return list(row)
+
+
+def skewed(spark):
+    return spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 10 == 1, None).otherwise((F.col("id") * 7919) % 1000).alias("k"),
+        F.when(F.col("id") % 50 != 0, F.col("id")).alias("second"))
+
+
+def test_a_hot_value_and_nulls_are_split_by_the_second_column(spark):
+    df = skewed(spark).cache()
+    ranges = equal_ranges(df, "k", 16, "second")
+    counts = matched(df, ranges)
+    assert max(counts) <= 2 * sum(counts) / len(counts) and 8 <= len(ranges) <= 40
+    assert sum(p.startswith("`k` = 7 AND") for p in ranges) >= 4 and sum("`k` IS NULL AND" in p for p in ranges) >= 1
+    alone = matched(df, equal_ranges(df, "k", 16))  # without a second column they stay together
+    assert max(alone) >= 20_000 // 3
+    df.unpersist()
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7])
+def test_types_and_small_tables(spark, parts):
+    rows = [(i, f"it's {i % 5}", dt.date(2024, 1, 1 + i % 28), dt.datetime(2024, 1, 1, i % 24, 0, 1), i / 7) for i in range(200)]
+    df = spark.createDataFrame(rows, "i bigint, s string, d date, t timestamp_ntz, x double")
+    for c in df.columns:
+        if c == "s":  # a sketch of texts has no order of its own in Spark: numbers, dates and times only
+            continue
+        assert sum(matched(df, equal_ranges(df, c, parts))) == 200, c
+    for few in (df.limit(0), df.limit(1), df.select(F.lit(None).cast("int").alias("i")).limit(5)):
+        matched(few, equal_ranges(few, "i", parts))
+    with pytest.raises(ValueError):
+        equal_ranges(df, "i", 0)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 12), max_size=60))
+def test_packed_ranges_cover_everything_once(points):
+    points.sort()
+    ranges = _packed(points, STEPS)
+    for v in range(-1, 14):
+        inside = [(lo is None or v > lo.value or (lo.closed and v == lo.value)) and (hi is None or v < hi.value or (hi.closed and v == hi.value))
+                  for lo, hi, _ in ranges]
+        assert sum(inside) == 1, (v, ranges)
+    assert sum(n for _, _, n in ranges) == len(points)
+    assert all(n <= STEPS or points.count(lo.value) == n for lo, _, n in ranges)
+
+
+def test_a_jdbc_source_reads_by_rows(spark):
+    df = skewed(spark).limit(3000).select(F.col("k").cast("int").alias("k"), F.col("second"))
+    url = load_into_derby(df, "SKEWED")
+    conn = {"url": url, "driver": DERBY_DRIVER, "table": "SKEWED", "partition_column": "k", "num_partitions": 6,
+            "partition_by": "rows", "second_column": "second"}
+    got = JdbcSource(SourceSpec("s", "jdbc", conn)).read(spark)
+    sizes = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert got.count() == 3000 and max(r["count"] for r in sizes) <= 2 * 3000 / got.rdd.getNumPartitions()
+    drop_derby(spark, url)
+
+
+@pytest.mark.parametrize("text,want", [
+    ("DRIVER={PostgreSQL Unicode};SERVER=db.local;PORT=5433;DATABASE=shop;UID=me;PWD={a;b}}c}", {
+        "url": "jdbc:postgresql://db.local:5433/shop", "driver": "org.postgresql.Driver", "user": "me", "password": "a;b}c"}),
+    ("Driver={ODBC Driver 18 for SQL Server};Server=tcp:sql.local,1444;Database=x;Encrypt=yes;", {
+        "url": "jdbc:sqlserver://sql.local:1444;databaseName=x", "driver": "com.microsoft.sqlserver.jdbc.SQLServerDriver"}),
+    ("Driver=MySQL ODBC 8.0;Host=h;Db=d;User=u", {"url": "jdbc:mysql://h:3306/d", "driver": "com.mysql.cj.jdbc.Driver", "user": "u"}),
+    ("Driver={DuckDB Driver};Database=/tmp/my file.db", {"url": "jdbc:duckdb:/tmp/my file.db", "driver": "org.duckdb.DuckDBDriver"}),
+])
+def test_odbc_strings_of_common_drivers(text, want):
+    assert from_odbc(text) == want
+
+
+def test_odbc_strings_that_cannot_be_used(spark):
+    assert odbc_fields("a=1; B = {x y} ;a=2;;") == {"a": "1", "b": "x y"}
+    for text, why in (("Driver={Strange};Database=x", "no known JDBC"), ("DSN=shop", "no known JDBC"), ("Driver=PostgreSQL", "no database"),
+                      ("nonsense", "key=value"), ("a={x", "key=value")):
+        with pytest.raises(ValueError, match=why):
+            from_odbc(text)
+    with pytest.raises(ValueError, match="source 's'.*no known JDBC"):
+        JdbcSource(SourceSpec("s", "odbc", {"odbc_connection_string": "DSN=x"})).read(spark)
+    opts = JdbcSource(SourceSpec("s", "odbc", {"odbc_connection_string": "Driver=SQLite3;Database=f.db", "fetchsize": 5}))._base_options()
+    assert (opts["url"], opts["driver"], opts["fetchsize"]) == ("jdbc:sqlite:f.db", "org.sqlite.JDBC", "5")

@@ -107,6 +107,8 @@ ORACLE_SQL: dict[str, str] = {
         "n_name AS first, CAST(n_regionkey AS VARCHAR) AS second FROM nation "
         "UNION ALL SELECT 'orders', o_orderkey, 'o_totalprice,o_orderstatus', CAST(o_totalprice AS VARCHAR), "
         "o_orderstatus FROM orders",
+    "repeated_load": "SELECT *, CAST(0 AS BIGINT) AS late FROM orders",
+    "split_ranges": "SELECT o_orderkey, 1 AS n_ranges, TRUE AS balanced FROM orders",
     "large_array":
         "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_quantity, l_returnflag FROM lineitem",
     "raw_documents":

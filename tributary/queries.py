@@ -48,6 +48,7 @@ from tributary.sinks.table import write_table
 from tributary.sources.arrays import read_large_arrays
 from tributary.sources.documents import read_documents
 from tributary.sources.jdbc import JdbcSource
+from tributary.sources.ranges import equal_ranges
 from tributary.sources.rest import response_struct
 from tributary.streaming import LOAD_COL, incremental_fetch, incremental_load, incremental_responses_load
 
@@ -565,6 +566,33 @@ def incremental_responses(spark, d):
     return spark.table(name).drop(LOAD_COL)
 
 
+def repeated_load(spark, d):
+    """A load of order pages that was fetched twice: the stream enters it into the table once."""
+    root, name = scratch_dir(spark, "stream"), unique_name("once")
+    pages = orders_pages(_t(spark, d, "orders")).select(
+        F.lit("orders").alias("source"), F.col("page").alias("seq"), F.concat(F.lit("page "), F.col("page")).alias("url"), "body")
+    stats = []
+    for load, at in (("a", "2024-01-01 00:00:00"), ("b", "2024-01-01 06:00:00")):
+        write_raw_responses(pages.withColumn("fetched_at", F.lit(at).cast("timestamp")), root, "orders", load)
+        stats.append(incremental_responses_load(spark, raw_path(root, "orders"), name, checkpoint=f"{root}/_checkpoint",
+                                                table_path=f"{root}/tables/{name}", unique_within="1 day"))
+    return spark.table(name).drop(LOAD_COL).withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")).withColumn(
+        "late", F.lit(sum(s["late"] for s in stats)).cast("bigint"))
+
+
+def split_ranges(spark, d):
+    """Orders parted by customer into ranges of equal depth: each order's number of ranges, and the balance."""
+    o = _t(spark, d, "orders")
+    skewed = o.withColumn("o_custkey", F.when(F.col("o_orderstatus") == "F", F.lit(7)).when(
+        F.col("o_orderstatus") != "P", F.col("o_custkey")))  # a hot customer, and orders of none
+    ranges = equal_ranges(skewed, "o_custkey", 16, second="o_orderkey")
+    fits = [F.coalesce(F.expr(p), F.lit(False)) for p in ranges]
+    rows = skewed.agg(*[F.count_if(f).alias(f"r{k}") for k, f in enumerate(fits)]).first()
+    balanced = max(rows) <= 2 * sum(rows) / len(rows)
+    number = sum((f.cast("int") for f in fits), F.lit(0))
+    return skewed.select("o_orderkey", number.alias("n_ranges"), F.lit(balanced).alias("balanced"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "jdbc_table_scan": jdbc_table_scan,
     "jdbc_default_table": jdbc_default_table,
@@ -602,6 +630,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_documents": raw_documents,
     "type_lattice": type_lattice,
     "sources_due": sources_due,
+    "repeated_load": repeated_load,
+    "split_ranges": split_ranges,
     "run_audit": run_audit,
     "run_history_topk": run_history_topk,
     "source_validation": source_validation,

@@ -2,7 +2,7 @@
 
 Connection options (the ``connection`` dict of a source spec):
 
-``url``            JDBC URL (required; an ODBC connection string is not usable here)
+``url``            JDBC URL; or ``odbc_connection_string``, of a driver that ``from_odbc`` knows
 ``driver``         driver class
 ``table``          table to scan when no ``query`` is given (default ``data``)
 ``query``          SQL run verbatim by the database; wins over ``table``
@@ -17,6 +17,8 @@ Connection options (the ``connection`` dict of a source spec):
 ``predicates``     list of WHERE clauses, one partition each (for a partition
                    column whose values are skewed, where equal strides would
                    give one task most of the rows); wins over ``partition_column``
+``partition_by``   ``"rows"``: ranges of about equal numbers of rows instead of equal strides
+                   (``tributary.sources.ranges``); ``second_column`` parts frequent values
 ``fetchsize``      rows per round trip (default 10000)
 ``options``        any further Spark JDBC options
 
@@ -26,14 +28,63 @@ the SQL sent to the database by Spark.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tributary.fixed import DEFAULT_TABLE
+from tributary.sources.ranges import equal_ranges
 
 DEFAULT_FETCHSIZE = 10000
 DEFAULT_ROWS_PER_PARTITION = 1_000_000
 
 
+# Names of common ODBC drivers (parts of them, in lower case), the URL each
+# gives with its default port, and the JDBC driver class.
+ODBC_DRIVERS = {
+    "postgresql": ("jdbc:postgresql://{server}:{port}/{database}", 5432, "org.postgresql.Driver"),
+    "mysql": ("jdbc:mysql://{server}:{port}/{database}", 3306, "com.mysql.cj.jdbc.Driver"),
+    "mariadb": ("jdbc:mariadb://{server}:{port}/{database}", 3306, "org.mariadb.jdbc.Driver"),
+    "sql server": ("jdbc:sqlserver://{server}:{port};databaseName={database}", 1433, "com.microsoft.sqlserver.jdbc.SQLServerDriver"),
+    "oracle": ("jdbc:oracle:thin:@//{server}:{port}/{database}", 1521, "oracle.jdbc.OracleDriver"),
+    "db2": ("jdbc:db2://{server}:{port}/{database}", 50000, "com.ibm.db2.jcc.DB2Driver"),
+    "sqlite": ("jdbc:sqlite:{database}", None, "org.sqlite.JDBC"),
+    "duckdb": ("jdbc:duckdb:{database}", None, "org.duckdb.DuckDBDriver"),
+}
+_ODBC_KEYS = {"server": ("server", "servername", "host", "hostname"), "database": ("database", "db", "dbq", "initial catalog"),
+              "user": ("uid", "user", "username", "user id"), "password": ("pwd", "password"), "port": ("port",)}
+
+
+def odbc_fields(text: str) -> dict[str, str]:
+    """``key=value;…`` of an ODBC connection string; keys in lower case, the first of a key counts.
+    A value in braces may hold anything, a closing brace doubled."""
+    out, rest = {}, text.strip().rstrip("\0")
+    while rest.strip(" ;"):
+        m = re.match(r"[ ;]*([^=;{}]+?)\s*=\s*(?:\{((?:[^}]|\}\})*)\}\s*|((?!\s*\{)[^;]*))(?:;|$)", rest)
+        if m is None:
+            raise ValueError(f"the ODBC connection string is not key=value;… at {rest[:30]!r}")
+        value = m[2].replace("}}", "}") if m[2] is not None else m[3].strip()
+        out.setdefault(m[1].strip().lower(), value)
+        rest = rest[m.end():]
+    return out
+
+
+def from_odbc(text: str) -> dict[str, str]:
+    """The JDBC options (``url, driver, user, password``) of an ODBC connection string."""
+    fields = odbc_fields(text)
+    known = {name: next((fields[k] for k in keys if fields.get(k)), None) for name, keys in _ODBC_KEYS.items()}
+    said = fields.get("driver", "").lower()
+    match = next((v for k, v in ODBC_DRIVERS.items() if k in said), None)
+    if match is None:
+        raise ValueError(f"the ODBC driver {fields.get('driver') or fields.get('dsn')!r} has no known JDBC counterpart; give a JDBC 'url' instead")
+    url, port, driver = match
+    server, _, given = (known["server"] or "localhost").removeprefix("tcp:").replace(",", ":").partition(":")
+    if "{database}" in url and not known["database"]:
+        raise ValueError("the ODBC connection string names no database")
+    out = {"url": url.format(server=server, port=known["port"] or given or port, database=known["database"]), "driver": driver}
+    return {**out, **{k: known[k] for k in ("user", "password") if known[k]}}
+
+
 class JdbcSource:
     type_name = "jdbc"
 
@@ -45,10 +96,13 @@ class JdbcSource:
     def _base_options(self) -> dict[str, str]:
         c = self.conn
         url = c.get("url") or c.get("jdbc_url")
+        if not url and c.get("odbc_connection_string"):
+            try:
+                c = {**from_odbc(c["odbc_connection_string"]), **c}
+            except ValueError as e:
+                raise ValueError(f"source {self.spec.name!r}: {e}") from e
+            url = c["url"]
         if not url:
-            if c.get("odbc_connection_string"):
-                raise ValueError(f"source {self.spec.name!r}: ODBC connection strings cannot be "
-                                 "read by Spark; give a JDBC 'url' instead")
             raise ValueError(f"source {self.spec.name!r}: connection has no 'url'")
         opts = {"url": url, "fetchsize": str(c.get("fetchsize", DEFAULT_FETCHSIZE))}
         for key in ("driver", "user", "password"):
@@ -129,6 +183,17 @@ class JdbcSource:
         if lo is None or hi is None:  # empty relation: a single partition is enough
             return spark.read.format("jdbc").options(**opts).option("dbtable", dbtable).load()
         n = self._partitions(spark, rows)
+        if self.conn.get("partition_by") == "rows":
+            # the sketch reads the partition columns alone, over equal strides
+            narrow = self._strided(spark, opts, dbtable, col, lo, hi, n)
+            second = self.conn.get("second_column")
+            preds = equal_ranges(narrow.select(*dict.fromkeys(x for x in (col, second) if x)), col, n, second, quote='"')
+            props = {k: v for k, v in opts.items() if k != "url"}
+            return spark.read.jdbc(opts["url"], dbtable, predicates=preds, properties=props)
+        return self._strided(spark, opts, dbtable, col, lo, hi, n)
+
+    @staticmethod
+    def _strided(spark: SparkSession, opts: dict, dbtable: str, col: str, lo, hi, n: int) -> DataFrame:
         return (
             spark.read.format("jdbc").options(**opts)
             .option("dbtable", dbtable)

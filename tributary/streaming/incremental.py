@@ -30,13 +30,15 @@ def incremental_load(spark: SparkSession, raw_folder: str, schema: T.StructType,
                      checkpoint: str, table_path: str | None = None, fmt: str = "parquet",
                      shape: Callable[[DataFrame], DataFrame] | None = None,
                      on_mismatch: str = "fail", max_files_per_trigger: int | None = None,
-                     done: Callable[[], None] | None = None) -> dict:
+                     done: Callable[[], None] | None = None,
+                     prepare: Callable[[DataFrame], DataFrame] | None = None) -> dict:
     """Load new raw files into ``table``; returns counts of batches and rows.
 
     ``schema`` is the record schema the raw layer was written from (text-held
     types are cast back); ``shape`` may transform each batch before the write.
     The table is partitioned by ``_load_id``, one partition for each batch; a replayed
-    batch writes its partition anew. ``done`` is called after each batch's commit. A
+    batch writes its partition anew. ``prepare`` may transform the stream itself (with state,
+    which the checkpoint keeps); ``late`` counts the rows its watermark left out. ``done`` is called after each batch's commit. A
     line that is not JSON, or does not fit the schema, fails the batch.
     """
     stats = {"batches": 0, "rows": 0}
@@ -44,10 +46,7 @@ def incremental_load(spark: SparkSession, raw_folder: str, schema: T.StructType,
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         load_id = f"{tag}-{batch_id:09d}"
-        typed = batch.select(*[_restore(column(f.name), f.dataType).alias(f.name)
-                               for f in schema.fields])
-        if shape is not None:
-            typed = shape(typed)
+        typed = shape(batch) if shape is not None else batch
         res = write_table(typed.withColumn(LOAD_COL, F.lit(load_id)), table, fmt=fmt,
                           path=table_path, on_mismatch=on_mismatch, partition_by=[LOAD_COL],
                           replace_partition={LOAD_COL: load_id})
@@ -59,20 +58,37 @@ def incremental_load(spark: SparkSession, raw_folder: str, schema: T.StructType,
     reader = spark.readStream.schema(raw_schema(schema)).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    query = (reader.json(raw_folder).writeStream
+    rows = reader.json(raw_folder).select(*[_restore(column(f.name), f.dataType).alias(f.name) for f in schema.fields])
+    query = ((prepare(rows) if prepare is not None else rows).writeStream
              .foreachBatch(load_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
+    if prepare is not None:
+        stats["late"] = sum(int(op.numRowsDroppedByWatermark) for p in query.recentProgress for op in p.stateOperators)
     return stats
 
 
+def without_repeats(responses: DataFrame, within: str) -> DataFrame:
+    """A stream of responses without those that repeat an earlier one: same source, url and body.
+
+    State is a hash for each response and is dropped ``within`` (an interval, by
+    ``fetched_at``) behind the newest response seen by an earlier batch. A response older
+    than that is late: Spark leaves it out, as it cannot be told from a repeated one (the raw
+    layer keeps it, and the load's ``late`` counts it). So ``within`` must cover the time from
+    a fetch to the run that loads it. Failed responses have no body and are not compared.
+    """
+    key = F.when(F.col("body").isNull(), F.expr("uuid()")).otherwise(F.sha2("body", 256))
+    marked = responses.withColumn("_content", key).withWatermark("fetched_at", within)
+    return marked.dropDuplicatesWithinWatermark(["source", "url", "_content"]).drop("_content")
+
+
 def incremental_responses_load(spark: SparkSession, raw_folder: str, table: str, *,
                                checkpoint: str, table_path: str | None = None,
                                fmt: str = "parquet", schema: str = "first_record",
                                mode: str = "FAILFAST", on_mismatch: str = "fail",
-                               columns: T.StructType | None = None) -> dict:
+                               columns: T.StructType | None = None, unique_within: str | None = None) -> dict:
     """Incremental load of a raw layer of API responses: each micro-batch of new
     response files is normalized (its own first-record schema) and appended.
 
@@ -80,6 +96,7 @@ def incremental_responses_load(spark: SparkSession, raw_folder: str, table: str,
     exact; any other change of columns fails the batch (``on_mismatch="fail"``) and
     leaves the table as it is. ``columns`` fixes names and types for all batches, so
     that a source whose types vary (a fraction after whole numbers) does not stop.
+    ``unique_within`` loads a response that was fetched again once only (``without_repeats``).
     """
     from tributary.operators.normalize import normalize
     from tributary.session import delete_path, scratch_dir
@@ -98,7 +115,8 @@ def incremental_responses_load(spark: SparkSession, raw_folder: str, table: str,
     try:
         return incremental_load(
             spark, raw_folder, response_struct(), table, checkpoint=checkpoint,
-            table_path=table_path, fmt=fmt, on_mismatch=on_mismatch, shape=shape, done=done)
+            table_path=table_path, fmt=fmt, on_mismatch=on_mismatch, shape=shape, done=done,
+            prepare=(lambda rows: without_repeats(rows, unique_within)) if unique_within else None)
     finally:
         done()
 
