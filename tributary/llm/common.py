@@ -81,28 +81,41 @@ def parts_for(count: int, each: int) -> int:
 
 
 # ---------------------------------------------------------------- bit tables
-#: Bits of a bit table: 2**23 are 1 MB, whatever the input's size.
-TABLE_BITS = 1 << 23
+#: Bits of a bit table: from 1 MB up, BITS_A_KEY for each key, and 64 MB at most.
+TABLE_BITS, MOST_BITS, BITS_A_KEY = 1 << 23, 1 << 29, 16
 _BUCKET = 32768  # bits in a row of the table, as bitmap_construct_agg builds them
 
 
 class BitTable:
     """Tells of a key whether it may be among ``keys``, without a shuffle of the asking rows.
 
-    ``keys`` has one bigint column ``key``, a hash. Each key sets one of ``bits`` bits;
-    the table is at most bits / 8 bytes and is broadcast. A bit set by another key makes
-    a row look like a member, so what members get must be exact for others too.
+    ``keys`` has one bigint column ``key``, a hash. Each key sets one of the table's bits; a
+    bit set by another key makes a row look like a member, so what members get must be exact
+    for others too. The table grows with its keys (one row in BITS_A_KEY looks like a member
+    by chance) up to ``most`` bits and is broadcast. Beyond some ``most`` / 4 keys a table
+    could not tell rows apart: then the keys themselves are joined, which shuffles the
+    asking rows once but marks members only.
     """
 
-    def __init__(self, keys: DataFrame, purpose: str, bits: int = TABLE_BITS):
-        self.bits = bits
-        slot = F.pmod(F.col("key"), F.lit(bits))
-        self.table = staged(keys.groupBy(F.floor(slot / _BUCKET).cast("int").alias("bucket"))
-                            .agg(F.bitmap_construct_agg(F.pmod(slot, F.lit(_BUCKET))).alias("bits")), purpose)
+    def __init__(self, keys: DataFrame, purpose: str, bits: int = TABLE_BITS, most: int | None = None):
+        most = MOST_BITS if most is None else most
+        keys = staged(keys.distinct(), purpose + "-keys")
+        count = keys.count()
+        self.keys = keys if count > most // 4 else None
+        self.bits = min(max(bits, 1 << max(0, count * BITS_A_KEY - 1).bit_length()), max(most, _BUCKET))
+        slot = F.pmod(F.col("key"), F.lit(self.bits))
+        self.table = None if self.keys is not None else staged(
+            keys.groupBy(F.floor(slot / _BUCKET).cast("int").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.pmod(slot, F.lit(_BUCKET))).alias("bits")), purpose)
 
     def flag(self, df: DataFrame, key: Column, name: str) -> DataFrame:
         """``df`` with the boolean column ``name``: ``key`` may be in the table."""
         slot_c, bucket_c, bits_c = free_names(df, "slot", "bucket", "bits")
+        if self.keys is not None:
+            member = self.keys.select(F.col("key").alias(slot_c), F.lit(True).alias(bits_c))
+            asked = df.withColumn(bucket_c, key)
+            joined = asked.join(member.hint("shuffle_hash"), F.col(bucket_c) == F.col(slot_c), "left")
+            return joined.withColumn(name, F.coalesce(F.col(bits_c), F.lit(False))).drop(slot_c, bucket_c, bits_c)
         table = F.broadcast(self.table.select(F.col("bucket").alias(bucket_c), F.col("bits").alias(bits_c)))
         slotted = df.withColumn(slot_c, F.pmod(key, F.lit(self.bits)))
         joined = slotted.join(table, F.floor(F.col(slot_c) / _BUCKET).cast("int") == F.col(bucket_c), "left")
