@@ -64,3 +64,27 @@ def test_nested_rules(spark, rules, urls):
     rules = list({(h, p): (h, p, v) for h, p, v in rules}.values())
     made = [f"http://{h}{p if p.startswith('/') else ''}" for h, p in urls]
     assert got(spark, made, rules) == [brute(u, rules) for u in made]
+
+
+def test_a_rule_goes_to_the_sweeps_of_its_host_only(spark):
+    """100,000 rules and a hot host: rows for rules stay near the rules that urls can meet."""
+    from pyspark.sql import functions as F
+
+    from tributary.llm import urls as U
+
+    rules = spark.range(100_000).select(F.concat(F.lit("h"), F.col("id"), F.lit(".net")).alias("host"), F.lit("/a").alias("path"),
+                                        F.lit("block").alias("verdict"))
+    hot = spark.createDataFrame([("net", "/a/b", "allow"), ("net", "/", "allow")], RULE_COLUMNS)
+    rules = rules.unionByName(hot).cache()
+    pages = spark.range(3000).select(F.col("id").alias("page_id"), F.concat(
+        F.lit("http://"), F.when(F.col("id") % 3 == 0, "x").otherwise(F.concat(F.lit("h"), F.col("id") * 50)), F.lit(".net/a/b")).alias("url"))
+    out = judge_urls(pages, rules, keep=("page_id",), sweep_keys=100)
+    got = {(r.verdict, r.rule is not None and r.rule.startswith("h")): r["count"] for r in
+           out.groupBy("verdict", "rule").count().collect()}
+    assert out.count() == 3000
+    want = sum(1 for i in range(3000) if i % 3 and i * 50 < 100_000)
+    assert out.where("verdict = 'block'").count() == want and ("block", True) in got
+    points = pages.select(F.explode(F.array(F.lit("net"), F.concat(F.lit("net."), F.regexp_extract("url", "//(.*?)\\.", 1)))).alias("key_host"))
+    sizes = U._sweep_sizes(points, rules, 100).cache()
+    assert {r.sweeps for r in sizes.where("key_host = 'net'").collect()} == {30}
+    assert U._marks(rules, sizes).count() == 2 * (2 * 30 + want)

@@ -5,8 +5,11 @@ overlap are nested. A sorted sweep over rule starts, url keys and rule ends keep
 stack of open rules: the running count of starts less ends is its depth, and the rule
 on top at depth d is the last one that was opened at depth d.
 
-A rule with a path also holds for the subdomains of its host. Each url therefore has
-one key for its host and for each parent of it that a rule could name.
+A rule with a path also holds for the subdomains of its host, and these lie between the
+host and the path in no one order: each url has one key for its host and for each parent
+of it that a rule could name, and a sweep holds the paths of one host. Urls of hosts that
+no rule names are not swept, a rule goes to the sweeps of its host only, and the urls of a
+frequent host are dealt to several sweeps.
 """
 
 from __future__ import annotations
@@ -15,10 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tributary.llm.common import parts_for, shuffle_partitions
+from tributary.llm.common import staged
 
 RULE_COLUMNS = "host string, path string, verdict string"
-#: Url keys that one sweep takes; each sweep also sorts all rules.
+#: Urls of a host that one sweep takes; each sweep also sorts the rules of its host.
 SWEEP_KEYS = 1_000_000
 
 
@@ -46,6 +49,28 @@ def _clean_rules(rules: DataFrame) -> DataFrame:
             .select("host", "path", F.col("v.verdict").alias("verdict")))
 
 
+def _sweep_sizes(points: DataFrame, rules: DataFrame, sweep_keys: int) -> DataFrame:
+    """For each host of a rule that urls have: ``sweeps``, over how many its urls are dealt."""
+    hosts = rules.select(_reversed(F.col("host")).alias("key_host")).distinct()
+    return (points.groupBy("key_host").agg(F.count(F.lit(1)).alias("n")).join(hosts, "key_host")
+            .select("key_host", F.ceil(F.col("n") / sweep_keys).cast("bigint").alias("sweeps")))
+
+
+def _marks(rules: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Where rules begin and end: a rule goes to the sweeps of its host, and to no other."""
+    start = F.col("path").cast("binary")
+    placed = rules.withColumn("key_host", _reversed(F.col("host"))).join(sizes, "key_host")
+    both = (placed.withColumn("sweep", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("sweeps") - 1)))
+            .withColumn("kind", F.explode(F.array(F.lit(0), F.lit(2)))))
+    opens = F.col("kind") == 0
+    return both.select(
+        "key_host", "sweep",
+        # no UTF-8 text has the byte FF, so the end sorts behind all that starts like the rule
+        F.when(opens, start).otherwise(F.concat(start, F.unhex(F.lit("FF")))).alias("key"),
+        "kind", F.when(opens, 1).otherwise(-1).alias("delta"),
+        F.when(opens, F.concat("host", "path")).alias("opened"), F.when(opens, F.col("verdict")).alias("opened_verdict"))
+
+
 def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow",
                keep: tuple[str, ...] = (), sweep_keys: int = SWEEP_KEYS) -> DataFrame:
     """The ``keep`` columns of every row with host, path, rule and verdict.
@@ -69,32 +94,25 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
         F.sequence(F.lit(1), F.greatest(levels, F.lit(1))),
         lambda k: F.array_join(F.reverse(F.slice(labels, -k, k)), ".")))
     points = base.select("*", F.explode_outer(parents).alias("key_host"))
-    sweeps = max(4 * shuffle_partitions(spark), parts_for(pages.count() * max(1, depth_of_rules), sweep_keys))
-    points = points.select(
-        "*", F.pmod(F.xxhash64("row", "key_host"), F.lit(sweeps)).alias("sweep"),
+    sizes = staged(_sweep_sizes(points, rules, sweep_keys), "sweep-sizes")
+    dealt = points.join(sizes, "key_host", "left").select(
+        *base.columns, "key_host", F.pmod(F.xxhash64("row"), F.col("sweeps")).alias("sweep"),
         F.col("path").cast("binary").alias("key"), F.lit(1).alias("kind"), F.lit(0).alias("delta"),
         F.lit(None).cast("string").alias("opened"), F.lit(None).cast("string").alias("opened_verdict"))
     blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in base.schema]
-    start = F.col("r_path").cast("binary")
-    marks = (rules.select(F.col("host").alias("r_host"), F.col("path").alias("r_path"), F.col("verdict").alias("r_verdict"))
-             .withColumn("sweep", F.explode(F.sequence(F.lit(0), F.lit(sweeps - 1)).cast("array<bigint>")))
-             .withColumn("kind", F.explode(F.array(F.lit(0), F.lit(2)))))
-    marks = marks.select(
-        *blank, _reversed(F.col("r_host")).alias("key_host"), "sweep",
-        # no UTF-8 text has the byte FF, so the end sorts behind all that starts like the rule
-        F.when(F.col("kind") == 0, start).otherwise(F.concat(start, F.unhex(F.lit("FF")))).alias("key"),
-        "kind", F.when(F.col("kind") == 0, 1).otherwise(-1).alias("delta"),
-        F.when(F.col("kind") == 0, F.concat("r_host", "r_path")).alias("opened"),
-        F.when(F.col("kind") == 0, F.col("r_verdict")).alias("opened_verdict"))
-    order = [F.col("key_host"), F.col("key"), F.col("kind")]
-    sweep = Window.partitionBy("sweep").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    level = Window.partitionBy("sweep", "depth").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    marks = _marks(rules, sizes).select(*blank, "key_host", "sweep", "key", "kind", "delta", "opened", "opened_verdict")
+    order = [F.col("key"), F.col("kind")]
+    sweep = Window.partitionBy("key_host", "sweep").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    level = Window.partitionBy("key_host", "sweep", "depth").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     top = F.struct(F.length("opened").alias("len"), F.size(F.split("key_host", "\\.")).alias("labels"),
                    F.col("opened").alias("rule"), F.col("opened_verdict").alias("verdict"))
-    swept = (points.unionByName(marks)
+    asked = dealt.where("sweep is not null")  # the others' hosts have no rules
+    swept = (asked.unionByName(marks)
              .withColumn("depth", F.sum("delta").over(sweep))
              .withColumn("top", F.last(F.when(F.col("kind") == 0, top), ignorenulls=True).over(level))
-             .where("kind = 1").withColumn("top", F.when(F.col("depth") > 0, F.col("top"))))
+             .where("kind = 1").withColumn("top", F.when(F.col("depth") > 0, F.col("top"))).select(*base.columns, "top"))
+    none = F.lit(None).cast(swept.schema["top"].dataType).alias("top")
+    swept = swept.unionByName(dealt.where("sweep is null").select(*base.columns, none))
     cols = [f.name for f in base.schema]
     best = swept.groupBy("row").agg(*[F.first(c).alias(c) for c in cols if c != "row"], F.max("top").alias("top"))
     return best.select(*[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)], "host", "path",
