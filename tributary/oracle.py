@@ -107,6 +107,18 @@ ORACLE_SQL: dict[str, str] = {
         "n_name AS first, CAST(n_regionkey AS VARCHAR) AS second FROM nation "
         "UNION ALL SELECT 'orders', o_orderkey, 'o_totalprice,o_orderstatus', CAST(o_totalprice AS VARCHAR), "
         "o_orderstatus FROM orders",
+    "rest_post": "SELECT 'POST' AS method, c_custkey, c_name, c_acctbal FROM customer",
+    "run_lookup":
+        "SELECT 'run-' || CAST(event_id AS VARCHAR) AS run_id, 'click_job' AS job_name, 'SUCCESS' AS status "
+        "FROM events WHERE event_type = 'click'",
+    "pipeline_run": """
+        SELECT 'shop' AS pipeline, * FROM (VALUES
+          ('orders', 'SUCCESS', 'created', (SELECT count(*) FROM orders), TRUE, 'SUCCESS', (SELECT count(*) FROM orders)),
+          ('broken', 'FAILURE', NULL, 0, FALSE, 'FAILURE', NULL), ('empty', 'SUCCESS', 'skipped', 0, TRUE, 'SUCCESS', NULL),
+          ('nightly', 'SCHEDULED', '0 3 * * *', 0, FALSE, NULL, NULL))
+          t(source, status, action, rows_written, raw, audited, table_rows)""",
+    "plug_in": "SELECT * FROM part",
+    "write_failure": "SELECT *, 'SchemaMismatchError' AS raised FROM supplier",
     "repeated_load": "SELECT *, CAST(0 AS BIGINT) AS late FROM orders",
     "split_ranges": "SELECT o_orderkey, 1 AS n_ranges, TRUE AS balanced FROM orders",
     "large_array":

@@ -8,12 +8,14 @@ whose columns match the DuckDB oracle of the same key in ``ORACLE_SQL``.
 from __future__ import annotations
 
 import datetime as _dt
+import json
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.fixtures import DERBY_DRIVER, PAGES_PER_FILE, load_into_derby, write_one_array, write_pages
+from tributary.fixtures import DERBY_DRIVER, ECHO, PAGES_PER_FILE, load_into_derby, write_one_array, write_pages
 from tributary.operators import (
     generic_columns,
     named_rows,
@@ -32,11 +34,12 @@ from tributary.plans.configs import (
 )
 from tributary.plans.runner import Runner, job_summary, run_history
 from tributary.plans.schedules import due
-from tributary.plans.specs import SourceSpec
-from tributary.session import scratch_dir, unique_name
+from tributary.plans.specs import PipelineSpec, SourceSpec
+from tributary.session import local_path, scratch_dir, unique_name
 from tributary.sinks.documents import write_documents
 from tributary.sinks.lattice import load_widening, open_widening
 from tributary.sinks.raw import (
+    raw_finished,
     raw_path,
     read_raw,
     read_raw_positional,
@@ -44,7 +47,8 @@ from tributary.sinks.raw import (
     write_raw_positional,
     write_raw_responses,
 )
-from tributary.sinks.table import write_table
+from tributary.sinks.table import SchemaMismatchError, write_table
+from tributary.sources import SOURCE_TYPES, register_type
 from tributary.sources.arrays import read_large_arrays
 from tributary.sources.documents import read_documents
 from tributary.sources.jdbc import JdbcSource
@@ -114,10 +118,13 @@ def generic_columns_q(spark, d):
 
 
 # ---------------------------------------------------------------- payloads
-def payload_object(spark, d):
-    c = _t(spark, d, "customer")
+def object_bodies(c: DataFrame) -> DataFrame:
     body = F.to_json(F.struct("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
-    return normalize(_responses(c, F.col("c_custkey"), body))
+    return _responses(c, F.col("c_custkey"), body)
+
+
+def payload_object(spark, d):
+    return normalize(object_bodies(_t(spark, d, "customer")))
 
 
 def _order_pages(o: DataFrame) -> DataFrame:
@@ -177,14 +184,18 @@ def first_record_per_source(spark, d):
     return out
 
 
-def type_unify(spark, d):
-    li = _t(spark, d, "lineitem")
+def type_bodies(li: DataFrame) -> DataFrame:
+    """A response of one record for each line item, its quantity now whole, now a fraction."""
     qty = F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("bigint").cast("string")) \
         .otherwise(F.col("l_quantity").cast("string"))
     body = F.concat(F.lit('{"l_orderkey":'), F.col("l_orderkey").cast("string"),
                     F.lit(',"l_linenumber":'), F.col("l_linenumber").cast("string"),
                     F.lit(',"qty":'), qty, F.lit(',"disc":'), F.col("l_discount").cast("string"), F.lit("}"))
-    return normalize(_responses(li, F.col("l_orderkey") * 8 + F.col("l_linenumber"), body))
+    return _responses(li, F.col("l_orderkey") * 8 + F.col("l_linenumber"), body)
+
+
+def type_unify(spark, d):
+    return normalize(type_bodies(_t(spark, d, "lineitem")))
 
 
 def nested_union(spark, d):
@@ -566,6 +577,89 @@ def incremental_responses(spark, d):
     return spark.table(name).drop(LOAD_COL)
 
 
+def rest_post(spark, d):
+    """A POST for every customer, its payload from a table of requests."""
+    table = unique_name("requests")
+    c = _t(spark, d, "customer")
+    c.select(F.col("c_custkey").alias("seq"), F.struct("c_custkey", "c_name", "c_acctbal").alias("body")).write.format("parquet").option(
+        "path", scratch_dir(spark, "requests")).saveAsTable(table)
+    runner = Runner(spark, scratch_dir(spark, "out"), table_prefix=unique_name("post") + "_", audit_table=unique_name("runs"))
+    res = runner.run_source(SourceSpec("customers", "api", {
+        "endpoint": "https://api.example/customers", "type": "post", "requests_table": table, "fetcher": ECHO, "partitions": "auto"}))
+    if res.status != "SUCCESS":
+        raise RuntimeError(res.error)
+    return spark.table(res.table)
+
+
+def run_lookup(spark, d):
+    """The runs of one job, by its name."""
+    runner = Runner(spark, scratch_dir(spark, "out"), audit_table=_audit_from_events(spark, d))
+    runs = spark.table(runner.audit_table).count()
+    return runner.run_status(limit=runs, job_name="click_job")
+
+
+def pipeline_run(spark, d):
+    """A pipeline file of four sources: one loads, one fails alone, one has no data, one is scheduled and waits."""
+    pages = write_pages(orders_pages(_t(spark, d, "orders")), scratch_dir(spark, "api"))
+    none = write_pages(spark.createDataFrame([(0, "[]")], "page bigint, body string"), scratch_dir(spark, "api"))
+    sources = [{"name": "orders", "src_type": "API", "connection": pages},
+               {"name": "broken", "src_type": "api", "connection": {**pages, "endpoint": pages["endpoint"].replace("api-", "gone-")}},
+               {"name": "empty", "src_type": "api", "connection": none},
+               {"name": "nightly", "src_type": "odbc", "connection": {"url": "jdbc:none"}, "schedule": "0 3 * * *"}]
+    folder = local_path(scratch_dir(spark, "pipelines"))
+    os.makedirs(folder)
+    with open(f"{folder}/shop.json", "w") as out:
+        json.dump(sources, out)
+    pipeline = PipelineSpec.from_json(f"{folder}/shop.json")
+    root = scratch_dir(spark, "out")
+    runner = Runner(spark, root, table_prefix=unique_name("p") + "_", audit_table=unique_name("runs"))
+    results = runner.run_pipeline(pipeline)
+    rows = [(pipeline.name, r.source, r.status, r.table_action, r.rows_written, raw_finished(spark, root, r.source, r.load_id))
+            for r in results]
+    rows += [(pipeline.name, name, "SCHEDULED", cron, 0, False) for name, cron in ((s.name, cron) for s, cron in pipeline.scheduled())]
+    found = spark.createDataFrame(rows, "pipeline string, source string, status string, action string, rows_written bigint, raw boolean")
+    audit = spark.table(runner.audit_table).select(F.col("source").alias("s"), F.col("status").alias("audited"))
+    counted = spark.table(results[0].table).agg(F.count(F.lit(1)).alias("table_rows"))
+    return (found.join(audit, F.col("source") == F.col("s"), "left").drop("s")
+            .join(F.broadcast(counted), F.col("source") == "orders", "left"))
+
+
+class _Parts:
+    """A connector of its own: the parts of a folder."""
+
+    def __init__(self, spec):
+        self.folder = spec.connection["folder"]
+
+    def read(self, spark):
+        return spark.read.parquet(f"{self.folder}/part.parquet")
+
+
+def plug_in(spark, d):
+    """A new connector class, registered under a name that is looked up without regard to case."""
+    name = unique_name("parts")
+    register_type(name, _Parts)
+    try:
+        runner = Runner(spark, scratch_dir(spark, "out"), table_prefix=unique_name("plug") + "_", audit_table=unique_name("runs"))
+        res = runner.run_source(SourceSpec("parts", name.upper(), {"folder": d}))
+    finally:
+        SOURCE_TYPES.pop(name.lower())
+    if res.status != "SUCCESS":
+        raise RuntimeError(res.error)
+    return spark.table(res.table)
+
+
+def write_failure(spark, d):
+    """A load that does not fit raises, and the table is as it was."""
+    name, path = _table(spark)
+    write_table(_t(spark, d, "supplier"), name, path=path)
+    try:
+        write_table(_t(spark, d, "nation"), name, path=path, on_mismatch="fail")
+        said = "nothing"
+    except SchemaMismatchError as e:
+        said = type(e).__name__
+    return spark.table(name).withColumn("raised", F.lit(said))
+
+
 def repeated_load(spark, d):
     """A load of order pages that was fetched twice: the stream enters it into the table once."""
     root, name = scratch_dir(spark, "stream"), unique_name("once")
@@ -631,6 +725,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "type_lattice": type_lattice,
     "sources_due": sources_due,
     "repeated_load": repeated_load,
+    "rest_post": rest_post,
+    "run_lookup": run_lookup,
+    "pipeline_run": pipeline_run,
+    "plug_in": plug_in,
+    "write_failure": write_failure,
     "split_ranges": split_ranges,
     "run_audit": run_audit,
     "run_history_topk": run_history_topk,
