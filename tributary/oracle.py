@@ -119,6 +119,13 @@ ORACLE_SQL: dict[str, str] = {
           t(source, status, action, rows_written, raw, audited, table_rows)""",
     "plug_in": "SELECT * FROM part",
     "write_failure": "SELECT *, 'SchemaMismatchError' AS raised FROM supplier",
+    "config_changes": """
+        WITH c AS (SELECT 'p' || c_nationkey AS pipeline, c_name AS name, c_custkey AS k FROM customer),
+        f AS (SELECT *, k % 7 = 0 AS conn, k % 5 = 0 AS sched FROM c)
+        SELECT pipeline, name,
+               CASE WHEN k % 11 = 1 THEN 'added' WHEN k % 11 = 2 THEN 'removed' WHEN conn OR sched THEN 'changed' ELSE 'same' END AS change,
+               CASE WHEN k % 11 IN (1, 2) THEN '' ELSE concat_ws(',', CASE WHEN conn THEN 'connection' END,
+                    CASE WHEN sched THEN 'schedule' END) END AS fields FROM f""",
     "repeated_load": "SELECT *, CAST(0 AS BIGINT) AS late FROM orders",
     "split_ranges": "SELECT o_orderkey, 1 AS n_ranges, TRUE AS balanced FROM orders",
     "large_array":

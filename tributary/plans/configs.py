@@ -7,6 +7,10 @@ every ``connection`` object into one struct and lose which keys each had.
 
 from __future__ import annotations
 
+import json
+from decimal import Decimal
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -154,3 +158,75 @@ def validate_config_rows(rows: DataFrame) -> DataFrame:
     err = source_error(*args)
     return rows.select("*", source_errors_column(*args).alias("errors"), err.alias("error"),
                        err.isNull().alias("valid"))
+
+
+# ---------------------------------------------------------------- changes
+def canonical_json(text: str | None) -> str | None:
+    """JSON text in one form: keys sorted (the last of a repeated key counts), no spaces, and
+    numbers by their value (``1``, ``1.0`` and ``1e0`` are one). Text that is not JSON stays."""
+    def number(raw: str):
+        d = Decimal(raw).normalize()
+        # a whole number has one spelling up to a size that would only be zeros
+        return int(d) if d == d.to_integral_value() and abs(d.adjusted()) < 400 else _Raw(str(d))
+
+    if text is None:
+        return None
+    try:
+        value = json.loads(text, parse_int=number, parse_float=number)
+    except ValueError:
+        return text
+    return _text(value)
+
+
+class _Raw(str):
+    """A number's text."""
+
+
+def _text(value) -> str:
+    if isinstance(value, _Raw):
+        return str(value)
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{json.dumps(k)}:{_text(value[k])}" for k in sorted(value)) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_text, value)) + "]"
+    return json.dumps(value)
+
+
+_COMPARED = ("src_type", "connection", "schedule")
+
+
+def _hashed(configs: DataFrame) -> DataFrame:
+    """One row a source: for each compared field the hashes it has, sorted (several, if the source is there twice)."""
+    from tributary.session import ship_package
+
+    ship_package(configs.sparkSession)
+
+    @F.pandas_udf("string")
+    def canonical(texts: pd.Series) -> pd.Series:
+        return texts.map(canonical_json, na_action="ignore")
+
+    values = {"src_type": F.lower("src_type"), "connection": canonical("connection"), "schedule": F.trim(F.col("schedule"))}
+    # a null is a value of its own
+    one = {n: F.when(v.isNull(), F.lit("null")).otherwise(F.sha2(v, 256)) for n, v in values.items()}
+    return configs.groupBy("pipeline", "name").agg(*[F.array_sort(F.collect_list(c)).alias(n) for n, c in one.items()])
+
+
+def config_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """What became of each source: ``pipeline, name, change`` (added, removed, changed, same) and
+    ``fields``, the changed ones of src_type, connection and schedule.
+
+    Both tables have rows of ``pipeline, name, src_type, connection`` (JSON text) and
+    ``schedule``. Sources meet by pipeline and name, nulls alike. A connection is compared by
+    the hash of its canonical form, so another order of keys or spelling of numbers is no
+    change. A source that stands twice in a table is compared as both.
+    """
+    a, b = _hashed(old), _hashed(new)
+    a = a.select("pipeline", "name", *[F.col(f).alias(f"old_{f}") for f in _COMPARED])
+    b = b.select(F.col("pipeline").alias("p"), F.col("name").alias("n"), *[F.col(f).alias(f"new_{f}") for f in _COMPARED])
+    both = a.join(b, a["pipeline"].eqNullSafe(b["p"]) & a["name"].eqNullSafe(b["n"]), "full")
+    was, now = F.col("old_src_type").isNotNull(), F.col("new_src_type").isNotNull()
+    differ = F.filter(F.array(*[F.when(F.col(f"old_{f}") != F.col(f"new_{f}"), F.lit(f)) for f in _COMPARED]), lambda x: x.isNotNull())
+    change = F.when(~was, "added").when(~now, "removed").when(F.size(differ) > 0, "changed").otherwise("same")
+    return both.select(F.when(was, F.col("pipeline")).otherwise(F.col("p")).alias("pipeline"),
+                       F.when(was, F.col("name")).otherwise(F.col("n")).alias("name"), change.alias("change"),
+                       F.when(was & now, differ).otherwise(F.array().cast("array<string>")).alias("fields"))

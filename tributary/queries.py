@@ -27,6 +27,7 @@ from tributary.operators import (
 )
 from tributary.plans.configs import (
     CONFIG_COLUMNS,
+    config_changes,
     pipeline_sources,
     read_pipeline_files,
     validate_config_rows,
@@ -544,6 +545,23 @@ def sources_due(spark, d):
     return found.select("c_custkey", "schedule", "valid_schedule", "n_due", "first_due", "last_due")
 
 
+def config_changes_q(spark, d):
+    """Two versions of a table of sources: some added, removed or changed, all others only spelled anew."""
+    c = _t(spark, d, "customer")
+    key, name = F.col("c_custkey"), F.col("c_name")
+    pipeline = F.concat(F.lit("p"), F.col("c_nationkey").cast("string"))
+    table = lambda conn, schedule: (pipeline.alias("pipeline"), name.alias("name"), F.lit("jdbc").alias("src_type"),
+                                    conn.alias("connection"), schedule.alias("schedule"))
+    nightly = F.when(key % 3 == 0, F.lit("0 3 * * *"))
+    old = c.where(key % 11 != 1).select(*table(
+        F.concat(F.lit('{"url": "jdbc:x", "fetchsize": '), key.cast("string"), F.lit(', "options": {"a": 1, "b": [1.50, null]}}')), nightly))
+    moved = F.when(key % 7 == 0, F.lit("jdbc:y")).otherwise(F.lit("jdbc:x"))
+    new = c.where(key % 11 != 2).select(*table(
+        F.concat(F.lit('{"options":{"b":[1.5,null],"a":1.0},"fetchsize":'), key.cast("string"), F.lit('.0e0,"url":"'), moved, F.lit('"}')),
+        F.when(key % 5 == 0, F.lit("0 4 * * *")).otherwise(nightly)))
+    return config_changes(old, new).select("pipeline", "name", "change", F.array_join("fields", ",").alias("fields"))
+
+
 # ---------------------------------------------------------------- streaming
 def incremental_load_q(spark, d):
     e = _t(spark, d, "events")
@@ -724,6 +742,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_documents": raw_documents,
     "type_lattice": type_lattice,
     "sources_due": sources_due,
+    "config_changes": config_changes_q,
     "repeated_load": repeated_load,
     "rest_post": rest_post,
     "run_lookup": run_lookup,
