@@ -91,3 +91,17 @@ def test_a_runner_runs_what_is_due(spark):
     assert ran(day.replace(hour=9, minute=30), day.replace(hour=10, minute=30)) == ["hourly"]
     assert ran(day.replace(hour=11, minute=59), day.replace(hour=12, minute=1)) == ["hourly", "at_noon"]
     assert ran(day.replace(minute=1), day.replace(minute=59)) == []
+
+
+def test_minutes_are_counted_not_listed(spark):
+    """Values and minutes of a field are bits: no expression lists them for each source."""
+    big = ["0/9999 * * * *", "1-59/59 23 * * *", "59 0-23/23 1-31/30 1-12/11 0-7/7", "*/63,7 * * * *"]
+    rows = spark.createDataFrame([(s,) for s in big], "schedule string")
+    plan = due(rows, *RANGES[0])._jdf.queryExecution().analyzed().toString()
+    assert "flatten" not in plan and all(f"sequence({lo}, {hi}" not in plan for _, lo, hi in FIELDS)
+    got = {r.schedule: (r.n_due, r.first_due, r.last_due) for r in due(rows, dt.datetime(2024, 2, 27, 10), dt.datetime(2024, 3, 4, 6)).collect()}
+    walk = [dt.datetime(2024, 2, 27, 10) + dt.timedelta(minutes=k) for k in range(8400)]
+    walk = [t for t in walk if t < dt.datetime(2024, 3, 4, 6)]
+    for s in big:
+        hits = [t for t in walk if fits(s, t)]
+        assert got[s] == (len(hits), hits[0] if hits else None, hits[-1] if hits else None), s
