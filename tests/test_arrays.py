@@ -134,3 +134,45 @@ def test_a_workers_memory_does_not_depend_on_the_file(tmp_path):
             n += body.count(b'"k"')
     grown = (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024
     assert n == 200_000 and grown < 220, f"{grown} MB"
+
+
+def test_ranges_go_to_many_tasks(spark, tmp_path):
+    """Ranges are short rows: partitions sized by their bytes would give one task all of a file."""
+    from tributary.sources.arrays import parts_for_ranges
+
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.json").write_text(json.dumps([{"a": i, "b": "x" * 40} for i in range(2000)]))
+    got = read_large_arrays(spark, str(tmp_path / "a"), range_bytes=2000, batch_bytes=500)
+    assert got.rdd.getNumPartitions() == min(4 * spark.sparkContext.defaultParallelism, 60) > 1
+    assert sum(len(json.loads(r.body)) for r in got.collect()) == 2000
+    assert (parts_for_ranges(spark, 0), parts_for_ranges(spark, 1), parts_for_ranges(spark, 10**6)) == (1, 1, 62500)
+
+
+def test_few_bytes_are_read_behind_a_range():
+    """A range reads to the end of its last item, not another read buffer."""
+    raw = b"[" + b",".join(b'{"a": %d}' % i for i in range(200_000)) + b"]"
+    read = []
+
+    class Counted(io.BytesIO):
+        def read(self, size=-1):
+            got = super().read(size)
+            read.append(len(got))
+            return got
+
+    list(batches(Counted(raw), len(raw), 0, 10_000, False, 0, 1000))
+    assert sum(read) < 30_000
+
+
+def test_the_first_body_is_kept_once_a_response(spark):
+    """The aggregate that holds a body sees a row for each response, not for each item."""
+    seen = []
+    plain = F.min_by
+    body = F.concat(F.lit("["), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(50)), lambda i: F.concat(F.lit('{"z":'), i.cast("string"), F.lit(',"a":1}'))), ","), F.lit("]"))
+    rows = spark.range(4).select(F.col("id").alias("seq"), F.when(F.col("id") == 0, "[]").otherwise(body).alias("body"))
+    try:
+        F.min_by = lambda c, order: seen.append(order._jc.toString()) or plain(c, order)
+        out = normalize(rows)
+    finally:
+        F.min_by = plain
+    assert out.columns == ["z", "a"] and out.count() == 150
+    assert any("size(recs)" in s for s in seen)

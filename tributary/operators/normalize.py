@@ -11,10 +11,11 @@ from tributary.operators.payload import _check_mode, explode_records, first_keys
 from tributary.operators.schema import (
     FIRST_RECORD,
     _keys,
+    first_body_metric,
     project_records,
     record_schema,
     schema_from_metrics,
-    schema_metrics,
+    schema_metric,
 )
 from tributary.session import ensure_json_semantics, scratch_dir
 
@@ -46,16 +47,16 @@ def normalize(responses: DataFrame, *, schema: str = FIRST_RECORD, clean: bool =
     base = tuple(dict.fromkeys(("source", "load_id", "seq") + tuple(keep)))
     recs = response_records(responses, body=body, mode=mode, clean=clean,
                             keep=base, keep_body=True)
-    records = explode_records(recs, keep=base)
     if staging is False:
-        st = columns or record_schema(records, how=schema, mode=mode, clean=clean)
+        st = columns or record_schema(explode_records(recs, keep=base), how=schema, mode=mode, clean=clean)
         exploded = explode_records(recs.drop("_body"), keep=base)
         return project_records(exploded, st, mode=mode, keep=tuple(keep))
     path = staging if isinstance(staging, str) else scratch_dir(spark, "staged-records")
-    obs = Observation()
-    (records.observe(obs, *schema_metrics(records, mode), F.count(F.lit(1)).alias("records"))
-     .drop("_body0", "wrapped").write.mode("overwrite").parquet(path))
-    metrics = obs.get
+    first, obs = Observation(), Observation()
+    records = explode_records(recs.observe(first, first_body_metric(recs)).drop("_body"), keep=base)
+    (records.observe(obs, schema_metric(mode), F.count(F.lit(1)).alias("records"))
+     .drop("wrapped").write.mode("overwrite").parquet(path))
+    metrics = {**first.get, **obs.get}
     if stats is not None:
         stats["records"] = int(metrics.get("records") or 0)
     st = columns or schema_from_metrics(metrics.get("schema"), _keys(spark, metrics.get("first"), schema, mode, clean),

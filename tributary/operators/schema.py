@@ -86,15 +86,30 @@ def _order_key(df: DataFrame) -> Column:
     return F.struct(*cols)
 
 
+def schema_metric(mode: str = "FAILFAST") -> Column:
+    """The merged schema of ``explode_records`` output."""
+    rec = F.col("rec")
+    if mode != "FAILFAST":  # leave non-object items (rows of NULLs) out of the schema
+        rec = F.when(as_object(rec).isNotNull(), rec)
+    return F.schema_of_variant_agg(rec).alias("schema")
+
+
+def first_body_metric(recs: DataFrame) -> Column:
+    """The body that holds the first record, over ``response_records`` output with ``_body``.
+
+    An aggregate copies the text that it holds with every row it sees: its rows must be
+    the responses, as with their records each body would be copied for each of its items.
+    """
+    order = F.struct(*[F.col(c) for c in ("load_id", "seq") if c in recs.columns], F.lit(0).alias("pos"))
+    return F.min_by(F.col("_body"), F.when(F.size("recs") > 0, order)).alias("first")
+
+
 def schema_metrics(records: DataFrame, mode: str = "FAILFAST") -> list[Column]:
     """The two aggregates pass 1 needs, over ``explode_records`` output (with
     ``_body0``): the merged record schema and the body that holds the first record.
     Both merge idempotently, so they are safe as observed metrics too. The keys of the
     first record are then read from that one body, not from every response's."""
-    rec = F.col("rec")
-    if mode != "FAILFAST":  # leave non-object items (rows of NULLs) out of the schema
-        rec = F.when(as_object(rec).isNotNull(), rec)
-    return [F.schema_of_variant_agg(rec).alias("schema"),
+    return [schema_metric(mode),
             F.min_by(F.col("_body0"), _order_key(records)).alias("first")]
 
 

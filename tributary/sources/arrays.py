@@ -33,6 +33,7 @@ from tributary.sources.rest import RESPONSE_SCHEMA, request_mode
 RANGE_BYTES = 64 << 20
 BATCH_BYTES = 1 << 20
 READ_BYTES = 4 << 20
+BEHIND_BYTES = 1 << 12
 
 _QUOTE, _BACKSLASH, _COMMA, _OPEN, _CLOSE = 34, 92, 44, 91, 93
 _DELTA = np.zeros(256, np.int8)
@@ -77,12 +78,17 @@ class Scanner:
         return outside, depth
 
 
-def _chunks(stream, start: int, stop: int) -> Iterator[tuple[int, np.ndarray]]:
+def _chunks(stream, start: int, stop: int, own: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """The bytes from ``start`` up to ``stop``; behind ``own`` in small pieces at first, as few are wanted there."""
     stream.seek(start)
+    own, behind = stop if own is None else own, BEHIND_BYTES
     while start < stop:
-        raw = stream.read(min(READ_BYTES, stop - start))
+        size = min(READ_BYTES, own - start) if start < own else behind
+        raw = stream.read(min(size, stop - start))
         if not raw:
             return
+        if start >= own:
+            behind = min(2 * behind, READ_BYTES)
         yield start, np.frombuffer(raw, np.uint8)
         start += len(raw)
 
@@ -120,7 +126,7 @@ def head(stream, size: int) -> tuple[str, int]:
         raise ArrayError("not UTF-8")
     at = len(_BOM) if first.startswith(_BOM) else 0
     open_at = None
-    for start, octets in _chunks(stream, at, size):
+    for start, octets in _chunks(stream, at, size, at):
         for i in np.flatnonzero(~_SPACE[octets])[:2]:
             if open_at is not None:
                 return ("objects" if octets[i] == 123 else "values"), open_at
@@ -143,7 +149,7 @@ def batches(stream, size: int, start: int, stop: int, in_string: bool, depth: in
     scan = Scanner(in_string, depth, _odd_before(stream, start))
     begin, held, held_at = None, bytearray(), start  # the open batch, and the bytes kept for it
     cuts: list[np.ndarray] = []                      # separators inside the open batch
-    for at, octets in _chunks(stream, start, size):
+    for at, octets in _chunks(stream, start, size, stop):
         outside, behind = scan.feed(octets)
         before = behind - np.where(outside, _DELTA[octets], 0)
         opens = outside & (before == 0) & (behind == 1)
@@ -219,6 +225,15 @@ def _body(text: bytes, at: int, cuts: np.ndarray, kind: str, whole: bool) -> byt
 
 
 # ---------------------------------------------------------------- Spark jobs
+#: Ranges of a task, about, once every core has several tasks.
+RANGES_PER_TASK = 16
+
+
+def parts_for_ranges(spark: SparkSession, ranges: int) -> int:
+    """Into how many tasks so many ranges go: several a core, and more where there are many ranges."""
+    return max(1, min(int(ranges), max(4 * spark.sparkContext.defaultParallelism, -(-int(ranges) // RANGES_PER_TASK))))
+
+
 def read_large_arrays(spark: SparkSession, path: str, *, glob: str = "*.json", mode: str = "FAILFAST",
                       range_bytes: int = RANGE_BYTES, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """The files under ``path`` as response rows, a row for each batch of items.
@@ -255,7 +270,9 @@ def read_large_arrays(spark: SparkSession, path: str, *, glob: str = "*.json", m
             quotes, outside, inside = zip(*found) if found else ((), (), ())
             yield frame.assign(quotes=quotes, outside=outside, inside=inside)
 
-    dealt = ranges.repartition("path", "start")
+    # a range is a short row, so partitions sized by their bytes would give one task all files
+    tasks = parts_for_ranges(spark, files.agg(F.sum(F.ceil(F.col("length") / range_bytes))).first()[0] or 0)
+    dealt = ranges.repartition(tasks, "path", "start")
     told = dealt.mapInPandas(sums, "path string, length bigint, start bigint, stop bigint, quotes bigint, outside bigint, inside bigint")
     # a file has a row for each range: a running sum over them is far smaller than the file
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
@@ -281,4 +298,4 @@ def read_large_arrays(spark: SparkSession, path: str, *, glob: str = "*.json", m
                         yield response(row.start, None, f"{type(e).__name__}: {e}")
 
     cols = ["path", "length", "start", "stop", "in_string", "depth"]
-    return begun.select(*cols).repartition("path", "start").mapInPandas(bodies, RESPONSE_SCHEMA)
+    return begun.select(*cols).repartition(tasks, "path", "start").mapInPandas(bodies, RESPONSE_SCHEMA)
