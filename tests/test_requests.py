@@ -195,3 +195,16 @@ def test_a_named_charset_is_used_where_the_bytes_allow_it():
     assert decode_body('["é"]'.encode("latin-1"), "iso-8859-1") == '["é"]'
     assert decode_body('["é"]'.encode("utf-16"), "utf-8") == '["é"]'
     assert decode_body(b"") == ""
+
+
+def test_a_reader_hands_over_few_responses_at_a_time(tmp_path):
+    """Rows would be held until there are as many as an Arrow batch takes, whatever their size."""
+    from tributary.fixtures import ECHO
+    from tributary.sources import rest
+
+    read = lambda n, size: list(rest.RestJsonReader({
+        "endpoint": "x", "method": "POST", "page_param": "p", "pages": n, "fetcher": ECHO, "body": '{"t": "%s"}' % ("y" * size)}).read(rest.RequestPartition(0, n)))
+    small, large = read(1000, 1), read(20, 1 << 20)
+    assert [len(b) for b in small] == [256, 256, 256, 232] and max(len(b) for b in large) <= 4
+    assert [s for b in small for s in b.column(2).to_pylist()] == list(range(1000))
+    assert rest.RestJsonReader({"endpoint": "x", "page_param": "p", "pages": 0}).partitions() == []

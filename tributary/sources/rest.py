@@ -202,10 +202,30 @@ def _ranges(options: dict, start: int, stop: int) -> list[RequestPartition]:
     return [RequestPartition(i, min(i + n, stop)) for i in range(start, stop, n)]
 
 
+#: A worker hands over its responses after so many of them, or so many characters.
+ROWS_OUT, CHARS_OUT = 256, 4 << 20
+
+
+def response_batch(rows: list[tuple]):
+    """Response rows as the Arrow batch that leaves a worker."""
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
+        pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.timestamp("us", "UTC"), pa.string(), pa.string()))], RESPONSE_COLUMNS)
+
+
 def _read(options: dict, partition: RequestPartition):
+    """Arrow batches of a few responses: rows would be held until there are thousands of them."""
     fetch, plan = _load_fetcher(options.get("fetcher")), RequestPlan(options)
+    waiting, chars = [], 0
     for i in range(partition.start, partition.stop):
-        yield send(fetch, options, plan.request(i))
+        waiting.append(send(fetch, options, plan.request(i)))
+        chars += len(waiting[-1][6] or "")
+        if len(waiting) >= ROWS_OUT or chars >= CHARS_OUT:
+            yield response_batch(waiting)
+            waiting, chars = [], 0
+    if waiting:
+        yield response_batch(waiting)
 
 
 class RestJsonReader(DataSourceReader):
