@@ -133,3 +133,15 @@ def test_edges(spark, edge, nothing, clashing):
     want = brute([(r.lang, r.source, r.text) for r in edge.collect()])
     assert result(edge) == want and result(clashing) == want
     assert result(nothing) == []
+
+
+def test_chunks_are_cut_at_the_six_white_spaces_only():
+    text = "a b\tc\nd\ve\ff\rg h i\x1cj\x85k  a"
+    assert divergence.chunk_counts(text) == {b"a": 2, **{c.encode(): 1 for c in ["b", "c", "d", "e", "f", "g h i\x1cj\x85k"]}}
+    assert divergence.chunk_counts(text.encode()) == divergence.chunk_counts(text) and divergence.chunk_counts(" \n") == {}
+
+
+def test_two_sources_are_paired_once_before_they_are_counted(spark):
+    rows = spark.createDataFrame([(i, "x y z", "en", s) for i, s in enumerate("abcd")], "doc_id long, text string, lang string, source string")
+    plan = divergence.source_divergence(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(others" in plan

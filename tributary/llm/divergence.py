@@ -54,13 +54,10 @@ _KEPT = pa.schema([("lang", pa.string()), ("term", pa.string()), ("n_lang", pa.i
 KEPT = "lang string, term string, n_lang bigint, by_source array<struct<id:bigint,n:bigint>>"
 
 
-def chunk_counts(text: str) -> Counter:
-    """How often each chunk stands in a text. White space is space and the control characters 9 to 13."""
-    for space in "\n\t\r\v\f":
-        text = text.replace(space, " ")
-    found = Counter(text.split(" "))
-    found.pop("", None)
-    return found
+def chunk_counts(text: str | bytes) -> Counter:
+    """How often each chunk stands in a text, as UTF-8. White space is space and the control characters 9 to 13."""
+    # just what bytes.split() splits on, and no byte of another character
+    return Counter((text.encode() if isinstance(text, str) else text).split())
 
 
 def chunk_terms(chunk: str) -> Counter:
@@ -97,7 +94,7 @@ class _Block:
     def __init__(self, least: int) -> None:
         self.least, self.langs, self.chunks, self.entries = least, {}, 0, 0
 
-    def add(self, lang: str, source: int, key: int, text: str) -> None:
+    def add(self, lang: str, source: int, key: int, text: str | bytes) -> None:
         chunks, sources = self.langs.setdefault(lang, ({}, {}))
         own, most = sources.setdefault(source, {}), self.least
         before = len(chunks), len(own)
@@ -125,7 +122,7 @@ class _Block:
             ends = np.zeros(len(docs) + 1, np.int64)
             np.cumsum([len(d) - 1 for d in docs], out=ends[1:])
             keys = np.fromiter((k for d in docs for k in d[1:]), np.int64, ends[-1])
-            rows = pa.RecordBatch.from_arrays([pa.array([lang] * len(docs), pa.string()), pa.array(list(chunks), pa.string()),
+            rows = pa.RecordBatch.from_arrays([pa.array([lang] * len(docs), pa.string()), pa.array(list(chunks), pa.binary()).cast(pa.string()),
                                                _binary(entries, _bounds(places[order], len(docs))), _binary(keys, ends)], schema=_FIELDS)
             yield from slices([rows], MERGE_ROWS)
 
@@ -242,7 +239,7 @@ def kept_terms(docs: DataFrame, least_docs: int = 3, text: str = "text", lang: s
         block = _Block(least_docs)
         for b in slices(batches):
             for name, own, key, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3)):
-                block.add(name, own, key, body.as_py())
+                block.add(name, own, key, body.as_buffer().to_pybytes())
                 if block.full():
                     yield from block.batches()
                     block = _Block(least_docs)
@@ -315,11 +312,15 @@ def source_divergence(docs: DataFrame, least_docs: int = 3, top: int = 200, text
     left = shares.join(h, "lang").where(differ).select(*pair, (times * _wide(_f(p, q0))).alias("value"))
     right = shares.select("lang", F.col("id").alias("item"), "times", p.alias("q")).join(g, "lang").where(differ).select(
         *pair, (times * _wide(_f(p0, q))).alias("value"))
-    # the sources that share a term, counted by their two counts before any arithmetic
-    met = (kept.select("lang", F.col("by_source").alias("others"), F.explode("by_source").alias("a"))
-           .select("lang", F.col("a.id").alias("id"), F.col("a.n").alias("n"), F.explode("others").alias("b"))
-           .select("lang", "id", F.col("b.id").alias("item"), "n", F.col("b.n").alias("m"))
-           .where(differ).groupBy(*pair, "n", "m").agg(F.count(F.lit(1)).alias("times")))
+    # the sources that share a term, counted by their two counts before any arithmetic: each
+    # two sources once, and then the other way round
+    once = (kept.select("lang", F.col("by_source").alias("others"), F.explode("by_source").alias("a"))
+            .select("lang", "a", F.explode(F.filter("others", lambda b: b["id"] > F.col("a.id"))).alias("b"))
+            .select("lang", F.col("a.id").alias("id"), F.col("b.id").alias("item"), F.col("a.n").alias("n"), F.col("b.n").alias("m"))
+            .groupBy(*pair, "n", "m").agg(F.count(F.lit(1)).alias("times")))
+    way = F.explode(F.array(F.struct("id", "item", "n", "m"), F.struct(
+        F.col("item").alias("id"), F.col("id").alias("item"), F.col("m").alias("n"), F.col("n").alias("m"))))
+    met = once.select("lang", "times", way.alias("w")).select("lang", "w.*", "times")
     sizes = groups.select("lang", "id", "p0", "size")
     both = (met.join(sizes, ["lang", "id"]).join(sizes.toDF("lang", "item", "q0", "size_item"), ["lang", "item"])
             .select(*pair, "times", "p0", "q0", _share(F.col("n"), F.col("size")).alias("p"), _share(F.col("m"), F.col("size_item")).alias("q"))
