@@ -83,3 +83,14 @@ def test_every_occurrence_draws_for_itself():
     assert first == [i for each in own for i in each]
     kinds = {tuple(x) for x in own[:3000]}
     assert len(kinds) > 20
+
+
+def test_words_met_once_get_no_node():
+    """A tree node costs several merges of its word; who comes by once is merged alone, to the same ids."""
+    text = " ".join(["alpha", "bravo", "charlie", "alpha"])
+    enc = P.Encoder(MODEL, 5, 0.5)
+    first = next(enc.encode([text], [3])).tolist()
+    words = enc._words(text)
+    assert set(enc.tree.root) == {"▁alpha"} and enc.tree.met == {"▁bravo", "▁charlie"}
+    assert first == [i for w, v in zip(words, enc.draws(3, 4)) for i in enc.seg.one(w, int(v))]
+    assert next(enc.encode([text], [3])).tolist() == first and len(enc.tree.root) == 3

@@ -18,6 +18,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from itertools import repeat
 
@@ -35,6 +36,8 @@ REMEMBERED = 700_000
 #: Words of more symbols are merged one by one; the others many at a time.
 LONG_WORD = 48  # below 64: three places fit 18 bits
 NO_MERGE = 1 << 30  # a rank behind all
+NOBODY, ONE = -1, -2
+GONE = -2  # no symbol, and not the -1 of a character without one
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _STAND_INS = "\uFFFE\uFFFF" + "".join(map(chr, range(0xFDD0, 0xFDF0)))  # noncharacters
 
@@ -250,6 +253,7 @@ class Segmenter:
         """
         p = self.p
         chars, start, first, word = _spread(words)
+        whose, places = word, start
         sym, end = p.of_char[chars], start + 1
         made = np.full(len(sym), -1)
 
@@ -262,24 +266,27 @@ class Segmenter:
                 made[at] = new
 
         offer(np.flatnonzero(word[:-1] == word[1:]))
-        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        ended = np.full(len(sym), GONE)  # the symbols of words that are done, where each begins
         while len(sym):
             # best of each word: lowest rank, then leftmost
             heads = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
             order = np.minimum.reduceat(p.ranks[made] * len(sym) + np.arange(len(sym)), heads)
             live = order < NO_MERGE * len(sym)
-            if not live.all():
-                over = np.repeat(~live, np.diff(np.append(heads, len(sym))))
-                done.append((word[over], start[over], sym[over]))
-            best = order[live] % len(sym)
+            if live.all():
+                best, stays = order % len(sym), np.ones(len(sym), bool)
+            else:
+                stays = np.repeat(live, np.diff(np.append(heads, len(sym))))
+                over = np.flatnonzero(~stays)
+                ended[first[word[over]] + start[over]] = sym[over]
+                best = order[live] % len(sym)
             if log is not None:
                 log.append((word[best], start[best], end[best], end[best + 1]))
             sym[best], end[best] = made[best], end[best + 1]
             made[best] = made[best + 1]
-            stays = np.repeat(live, np.diff(np.append(heads, len(sym))))
             stays[best + 1] = False
-            place = (np.cumsum(stays) - 1)[best]
-            sym, word, start, end, made = sym[stays], word[stays], start[stays], end[stays], made[stays]
+            left = np.flatnonzero(stays)
+            place = np.searchsorted(left, best)
+            sym, word, start, end, made = (x.take(left) for x in (sym, word, start, end, made))
             if not len(sym):
                 break
             made[place] = -1
@@ -287,9 +294,8 @@ class Segmenter:
             after = after[word[after] == word[after + 1]]
             before = place[place > 0] - 1
             offer(np.concatenate([after, before[word[before] == word[before + 1]]]))
-        word, start, sym = (np.concatenate(x) for x in zip(*done))
-        by = np.argsort(word * (LONG_WORD + 1) + start)
-        word, start, sym = word[by], start[by], sym[by]
+        at = np.flatnonzero(ended != GONE)
+        word, start, sym = whose[at], places[at], ended[at]
         odd = (sym < 0) | (sym >= p.n)
         if odd.any():  # bytes stand for a character without a piece
             ids = [p.ids_of(y, words[w][c]) if o else [y]
@@ -305,6 +311,9 @@ class Tree:
     A node is a word and the candidates skipped so far. It has the ids that the word gets
     if no more are skipped, and the merges that are still put to the draw on the way
     there, in order. The first of them that is skipped leads to a child.
+
+    Many words, and more so many children, are met once. Who comes first is merged alone,
+    with its own draws; a node is made for whoever comes there next.
     """
 
     def __init__(self, seg: Segmenter):
@@ -313,11 +322,12 @@ class Tree:
 
     def clear(self) -> None:
         self.root: dict[str, int] = {}
+        self.met: set[str] = set()  # words without a node that came by once
         self.words: list[str] = []
         self.skips: list[tuple[int, ...]] = []
         self.passed, self.begin, self.count, self.ids_begin, self.n_ids = (_Column(np.int64) for _ in range(5))
         self.form = _Column(np.uint64)
-        # the merges of all nodes; child is -1 where nobody went yet
+        # the merges of all nodes; child is NOBODY where nobody went yet, and ONE where one occurrence did
         self.code, self.hash, self.child = _Column(np.int64), _Column(np.uint64), _Column(np.int64)
         self.ids = _Column("<i4")
 
@@ -356,26 +366,36 @@ class Tree:
             begin = self.code.n + np.cumsum(count) - count
             self.code.add(a << 12 | m << 6 | b)
             self.hash.add(seg._candidates(a, m, b))
-            self.child.add(np.full(len(w), -1))
+            self.child.add(np.full(len(w), NOBODY))
         self.begin.add(begin)
         self.count.add(count)
         return np.arange(at, at + n)
 
+    def size(self) -> int:
+        return len(self.words) + len(self.met)
+
     def roots(self, words: list[str]) -> np.ndarray:
-        at = np.fromiter(map(self.root.get, words, repeat(-1)), np.int64, len(words))
+        """The nodes of words; NOBODY for a word that is met for the first time, and once."""
+        at = np.fromiter(map(self.root.get, words, repeat(NOBODY)), np.int64, len(words))
         todo = np.flatnonzero(at < 0)
         if len(todo):
             asked = [words[k] for k in todo.tolist()]
-            new = list(dict.fromkeys(asked))
-            self.root.update(zip(new, self.grow(new, [()] * len(new), np.zeros(len(new), np.int64)).tolist()))
-            at[todo] = [self.root[w] for w in asked]
+            times = Counter(asked)
+            new = [w for w, n in times.items() if n > 1 or w in self.met]
+            self.met.update(times)
+            self.met.difference_update(new)
+            self.root.update(zip(new, self.grow(new, [()] * len(new), np.zeros(len(new), np.int64)).tolist()) if new else ())
+            at[todo] = np.fromiter(map(self.root.get, asked, repeat(NOBODY)), np.int64, len(asked))
         return at
 
     def segment(self, words: list[str], variants: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words one behind the other, and each word's number of ids."""
         at = self.roots(words)
-        salts = self.seg._own(self.form.all[at], variants)
-        open_ = np.flatnonzero(self.count.all[at])
+        alone = [np.flatnonzero(at < 0)]
+        own = np.flatnonzero(at >= 0)
+        salts = np.zeros(len(at), np.uint64)
+        salts[own] = self.seg._own(self.form.all[at[own]], variants[own])
+        open_ = own[self.count.all[at[own]] > 0]
         while len(open_):
             nodes = at[open_]
             counts = self.count.all[nodes]
@@ -385,16 +405,41 @@ class Tree:
             lead = np.append(True, whose[1:] != whose[:-1])[:len(whose)]  # the first one skipped
             slots, open_ = merges[hits[lead]], open_[whose[lead]]
             self._branch(slots, at[open_])
-            at[open_] = self.child.all[slots]
-            open_ = open_[self.count.all[at[open_]] > 0]
-        sizes = self.n_ids.all[at]
-        return self.ids.all[_ranges(self.ids_begin.all[at], sizes)], sizes
+            there = self.child.all[slots]
+            alone.append(open_[there < 0])
+            open_, there = open_[there >= 0], there[there >= 0]
+            at[open_] = there
+            open_ = open_[self.count.all[there] > 0]
+        alone = np.concatenate(alone)
+        at[alone] = 0  # any; their own ids follow
+        sizes, begin = self.n_ids.all[at], self.ids_begin.all[at]
+        if not len(alone):
+            return self.ids.all[_ranges(begin, sizes)], sizes
+        ids, bounds = self._alone([words[k] for k in alone.tolist()], variants[alone])
+        sizes[alone], begin[alone] = np.diff(bounds), self.ids.n + bounds[:-1]
+        return np.concatenate([self.ids.all[:self.ids.n], ids])[_ranges(begin, sizes)], sizes
+
+    def _alone(self, words: list[str], variants: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words that are merged with their own draws, and where each word's begin and end."""
+        seg, ids, sizes = self.seg, [], []
+        for i in range(0, len(words), 4000):
+            some = words[i:i + 4000]
+            chars, place, first, _ = _spread(some)
+            salts = seg._own(seg._forms(chars, place, first), variants[i:i + 4000])
+            flat, bounds = seg._rounds(some, None if seg.never else lambda w, a, m, b: seg._skipped(salts[w], a, m, b))
+            ids.append(flat)
+            sizes.append(np.diff(bounds))
+        return np.concatenate(ids), np.append(0, np.cumsum(np.concatenate(sizes)))
 
     def _branch(self, slots: np.ndarray, nodes: np.ndarray) -> None:
+        """Children where two occurrences go, now or with one that went before."""
         new = self.child.all[slots] < 0
-        slots, first = np.unique(slots[new], return_index=True)
+        slots, first, times = np.unique(slots[new], return_index=True, return_counts=True)
+        nodes = nodes[new][first]
+        grown = (times > 1) | (self.child.all[slots] == ONE)
+        self.child.all[slots[~grown]] = ONE
+        slots, nodes = slots[grown], nodes[grown]
         if len(slots):
-            nodes = nodes[new][first]
             skips = [(*self.skips[k], c) for k, c in zip(nodes.tolist(), self.code.all[slots].tolist())]
             passed = self.passed.all[nodes] + slots - self.begin.all[nodes]
             self.child.all[slots] = self.grow([self.words[k] for k in nodes.tolist()], skips, passed)
@@ -422,7 +467,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None], keys: list[int]) -> Iterator[np.ndarray]:
         """The ids of each text; ``keys`` (64-bit hashes of the documents) and the words' places choose the variants."""
-        if len(self.tree.words) > REMEMBERED:
+        if self.tree.size() > REMEMBERED:
             self.tree.clear()
         parts = [self._words(t) for t in texts]
         sizes = list(map(len, parts))
@@ -463,6 +508,17 @@ class Encoder:
         return raw[1:].decode("utf-8", "replace") if raw else ""  # without the space put before the first word
 
 
+    def lossless(self, ids: list[np.ndarray], texts: list[str | None]) -> list[bool]:
+        """Whether each text's ids decode to it."""
+        table = self.pieces.decoded
+        out = []
+        for own, text in zip(ids, texts):
+            text = text or ""
+            raw = b"".join(map(table.__getitem__, own.tolist()))
+            out.append(raw[1:] == text.encode("utf-8", "surrogatepass") or self.decode(own) == text)
+        return out
+
+
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
@@ -509,7 +565,7 @@ def encode_pieces(docs: DataFrame, model: str, seed: int, rate: float, text: str
                 lens = np.array([0, *map(len, ids)], np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum(lens), pa.int32()),
                                                  pa.array(np.concatenate(ids) if ids else [], pa.int32()))
-                same = [enc.decode(i) == (t or "") for i, t in zip(ids, texts)]
+                same = enc.lossless(ids, texts)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *part.columns[3:], lists, pa.array(lens[1:]),
                      pa.array([zlib.crc32(np.ascontiguousarray(i).tobytes()) for i in ids], pa.int64()), pa.array(same)],
