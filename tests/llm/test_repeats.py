@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.conftest import EDGE_ROWS
 from tributary.llm import repeats as R
+from tributary.llm.queries import QUERIES
 
 
 def brute(rows, length):
@@ -101,3 +102,23 @@ def test_one_row_repeated_a_hundred_thousand_times(spark):
     got = {(r.doc_id, r.n, r.h): r["count"] for r in out.groupBy("doc_id", "n", "h").count().collect()}
     sha = lambda b: hashlib.sha256(b).hexdigest()
     assert got == {(7, 98, sha(b"")): 100_000, (8, 50, sha(b"xxyy")): 1, (9, 0, sha(b"nothing of it, and long enough to be judged")): 1}
+
+
+def test_the_query_removes_passages_of_over_50_words_from_400_bytes_on(spark, tmp_path):
+    """Told by n_removed and repeated; n_bytes is the size of the input, whatever is removed."""
+    rnd = random.Random(9)
+    words = lambda n: " ".join("".join(rnd.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n))
+    rows, planted = [], {}
+    for size in (399, 400, 450, 399, 400):
+        passage = words(70)[:size - 1] + "z"
+        assert len(passage.split()) > 50
+        for _ in range(2):  # the bytes on both sides differ
+            i = len(rows)
+            planted[i] = size if size >= 400 else 0
+            rows.append((i, f"{words(rnd.randint(5, 120))} {i % 2}{passage}{i % 2} {words(rnd.randint(5, 120))}"))
+    rows += [(len(rows) + k, words(rnd.randint(60, 300))) for k in range(10)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = QUERIES["op2_suffix_repeats"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.repeated) for r in out} == {
+        i: (len(t), planted.get(i, 0), planted.get(i, 0) > 0) for i, t in rows}
+    assert sorted((tuple(r)[:5] for r in out), key=repr) == brute(rows, 400)
