@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +123,46 @@ def test_the_query_removes_passages_of_over_50_words_from_400_bytes_on(spark, tm
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.repeated) for r in out} == {
         i: (len(t), planted.get(i, 0), planted.get(i, 0) > 0) for i, t in rows}
     assert sorted((tuple(r)[:5] for r in out), key=repr) == brute(rows, 400)
+
+
+def task_functions(df, monkeypatch, **kw):
+    """The functions that find_repeats hands to mapInArrow, by name."""
+    found, real = {}, type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, *a, **b: (found.setdefault(f.__name__, f), real(self, f, *a, **b))[1])
+    R.find_repeats(df, 20, gram=5, **kw)
+    return found
+
+
+def test_windows_of_large_classes_are_handed_on_in_lots(spark, monkeypatch):
+    """One batch of long texts has many windows: they are not gathered before they are handed on."""
+    df = spark.createDataFrame(random_rows(), "doc_id bigint, text string")
+    read = task_functions(df, monkeypatch, class_stretches=1)["read"]
+    texts, size = ["".join(chr(97 + (i * k) % 23) for k in range(4000)) for i in range(50)], 4000 - 19
+    want = pa.array([[{"g": 1, "n": 1, "kinds": 9, "first": a, "last": min(a + 14, size - 1), "at": a + 15} for a in range(0, size, 15)]
+                     for _ in texts], pa.list_(pa.struct([(c, pa.int64()) for c in ("g", "n", "kinds", "first", "last", "at")])))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array(range(50)), pa.array(texts), want], ["id", "th", "text", "want"])
+    out = list(read([batch]))
+    assert max(len(b) for b in out) <= 32768 + 15
+    rows = [(r["id"], r["first"], r["last"], r["at"], r["bytes"], r["d1"], r["d2"]) for b in out for r in b.to_pylist()]
+    digest = lambda i, p: np.frombuffer(hashlib.blake2b(texts[i][p:p + 20].encode(), digest_size=16).digest(), "<i8").tolist()
+    assert rows == [(i, p, p, p // 15 * 15 + 15, None, *digest(i, p)) for i in range(50) for p in range(size)]
+
+
+def test_repeats_of_a_row_are_dropped_before_a_class_is_held(spark, monkeypatch):
+    """A row that many tasks have is read in each of them; what they read of it is held once."""
+    df = spark.createDataFrame(random_rows(), "doc_id bigint, text string")
+    sort = task_functions(df, monkeypatch)["sort"]
+    alive = []
+
+    def batches():
+        for th, tail in ((1, b"x"), (2, b"y")):
+            for _ in range(100):  # sorted by class, text and place
+                alive.append(pa.total_allocated_bytes())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([7] * 500), pa.array([1] * 500), *(pa.array([v] * 500) for v in (3, 5, 6)),
+                     pa.array([b"a" * 21 + tail] * 500), pa.array([9 + th] * 500), pa.array([th] * 500)],
+                    ["g", "n", "first", "last", "at", "bytes", "id", "th"])
+
+    got = sorted(tuple(r.values()) for b in sort(batches()) for r in b.to_pylist())
+    assert max(alive) - alive[0] < 500_000  # a batch has 40,000 bytes
+    assert got == [(10, 1, 3, 4), (11, 2, 3, 4)]
