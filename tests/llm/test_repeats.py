@@ -67,6 +67,18 @@ def test_text_longer_than_a_buffer(spark, monkeypatch):
     assert windows == {a.encode()[i:i + 50] for i in range(len(a) - 49)}
 
 
+def test_a_buffer_of_short_texts_alone(spark):
+    """Together they have the bytes of a window, none of them has."""
+    for texts in ([b"a" * 250, b"b" * 300], [b"x" * 399, b"y"], [b"c" * 399] * 400):
+        assert [len(x) for x in R.stretches(texts, 400, R.GRAM)] == [0] * 6
+    rows = [(i, c * 399) for i, c in enumerate("aabcde")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    assert got(df, 400) == brute(rows, 400)
+    long = [(9, "z" * 399 + "y" * 30), (8, "z" * 399 + "y" * 30)]
+    df = df.unionAll(spark.createDataFrame(long, "doc_id bigint, text string").coalesce(1))
+    assert got(df, 400) == brute(rows + long, 400)
+
+
 def test_suffix_order_is_sorted_and_neighbours_are_exact():
     rnd = random.Random(3)
     parts = [bytes(rnd.choice(b"ab") for _ in range(rnd.randint(0, 30))) for _ in range(200)]
